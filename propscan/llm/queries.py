@@ -2,16 +2,50 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from propscan.llm import language_id, media, packing, quality_rules, toxicity
 from propscan.llm.ngram_jaccard_join import near_duplicates
+from propscan.storage import new_path, written
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    learned = docs.where(toxicity.learned_rows()).select("doc_id", "text").join(labels, "doc_id")
+    scored = toxicity.score(docs, toxicity.fit(learned))
+    return scored.select("doc_id", (~toxicity.learned_rows()).alias("held_out"), "score", "predicted")
+
+
+def op4_best_fit_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op5_quality_rules(spark, sf_dir):
+    measured = written(quality_rules.measure(_table(spark, sf_dir, "documents")), "measured")
+    judged = quality_rules.judge(measured, quality_rules.fit_cutoffs(measured, _table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "violated")
+
+
 def op6_ngram_jaccard_join(spark, sf_dir):
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_ngram_jaccard_join,)}
+def op7_language_id(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(language_id.learned_rows()))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", (~language_id.learned_rows()).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_media_columns(spark, sf_dir):
+    return media.media_column(_table(spark, sf_dir, "documents"), new_path(spark, "media"))
+
+
+QUERIES = {f.__name__: f for f in (op2_toxicity, op4_best_fit_packing, op5_quality_rules, op6_ngram_jaccard_join, op7_language_id, op9_media_columns)}
 ORACLE_SQL: dict[str, str] = {}
