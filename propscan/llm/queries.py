@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from propscan.llm import language_id, media, packing, quality_rules, toxicity
+from propscan.llm import chat_rotation, language_id, license_scan, media, packing, quality_rules, source_mixing, toxicity, url_filter
 from propscan.llm.ngram_jaccard_join import near_duplicates
 from propscan.storage import new_path, written
 
@@ -14,6 +14,11 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scans(spark, sf_dir):
+    found = license_scan.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"), F.size("sentence_ids").cast("long").alias("n_sentences"))
+
+
 def op2_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     labels = _table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -22,6 +27,10 @@ def op2_toxicity(spark, sf_dir):
     return scored.select("doc_id", (~toxicity.learned_rows()).alias("held_out"), "score", "predicted")
 
 
+def op3_url_filters(spark, sf_dir):
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op4_best_fit_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -43,9 +52,39 @@ def op7_language_id(spark, sf_dir):
     return found.select("doc_id", (~language_id.learned_rows()).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op8_chat_formatting(spark, sf_dir):
+    return chat_rotation.rotate(_table(spark, sf_dir, "conversations"))
+
+
 def op9_media_columns(spark, sf_dir):
     return media.media_column(_table(spark, sf_dir, "documents"), new_path(spark, "media"))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op4_best_fit_packing, op5_quality_rules, op6_ngram_jaccard_join, op7_language_id, op9_media_columns)}
-ORACLE_SQL: dict[str, str] = {}
+#: Mix of the query: domains are three groups of sources; German counts double, two sources triple.
+DOMAIN_WEIGHTS = [{"domain0": 3.0, "domain1": 2.0}, {"de": 2.0}, {"src3": 3.0, "src5": 3.0}]
+MIX = {"share": 0.6, "max_epochs": 2, "seed": 17}
+
+
+def mix_levels():
+    number = F.regexp_extract(F.coalesce("source", F.lit("")), "[0-9]+$", 0)
+    domain = F.when(number == "", F.lit("unknown")).otherwise(F.concat(F.lit("domain"), (F.expr("try_cast(regexp_extract(coalesce(source, ''), '[0-9]+$', 0) as bigint)") % 3).cast("string")))
+    return {"domain": domain, "lang": F.col("lang"), "source": F.col("source")}
+
+
+def op10_mixing_sources(spark, sf_dir):
+    return source_mixing.mix(_table(spark, sf_dir, "documents"), mix_levels(), DOMAIN_WEIGHTS, **MIX)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_license_scans, op2_toxicity, op3_url_filters, op4_best_fit_packing, op5_quality_rules,
+        op6_ngram_jaccard_join, op7_language_id, op8_chat_formatting, op9_media_columns, op10_mixing_sources,
+    )
+}
+_DOMAIN = "case when regexp_extract(coalesce(source, ''), '[0-9]+$') = '' then 'unknown' else 'domain' || (try_cast(regexp_extract(source, '[0-9]+$') as bigint) % 3) end"
+ORACLE_SQL = {
+    "op1_license_scans": license_scan.oracle_sql(),
+    "op8_chat_formatting": chat_rotation.ORACLE_SQL,
+    "op10_mixing_sources": source_mixing.oracle_sql(_DOMAIN, weights=DOMAIN_WEIGHTS, **MIX),
+}
