@@ -132,7 +132,7 @@ def pack_lengths(counts: np.ndarray, capacity: int = CAPACITY, classes: int = 64
     repeats = np.floor(nnls(table.T, histogram) + 1e-6).astype(np.int64)
     for i in np.argsort(-table.argmax(1) * 0 - repeats, kind="stable"):
         todo = int(repeats[i])
-        parts = [c + 1 for c in np.flatnonzero(table[i])[::-1] for _ in range(int(table[i, c]))]
+        parts = [c + 1 for c in np.flatnonzero(table[i])[::-1].tolist() for _ in range(int(table[i, c]))]
         while todo > 0:
             lengths: list[int] = []
             space = capacity
@@ -205,7 +205,7 @@ def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
     runs = pack_lengths(counts, capacity)
     used = max((s + n for _, _, n, s, _ in runs), default=0)
     runs.append((capacity, 0, tally.get(capacity, 0), used, 0))
-    plan = spark.createDataFrame(runs, "length long, first long, n long, sequence long, offset long")
+    plan = spark.createDataFrame([tuple(map(int, r)) for r in runs], "length long, first long, n long, sequence long, offset long")
 
     # rank within a length: by slices of it, so that no length is one task's work
     split = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(max(1, int(max(tally.values(), default=1)) // rank_rows + 1)))
