@@ -1,7 +1,63 @@
-"""Corpus pipeline over documents."""
-STAGES = []
+"""Corpus pipeline over ``documents``: language ID, quality rules, near duplicates, source mix, packing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and
+read again as the next stage's documents. All stages but the last return the columns of
+``documents``. Rows whose ``doc_id`` is null stay in the stages that judge texts and can't be chosen
+by the stages that choose ids.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from propscan.llm import language_id, packing, quality_rules, source_mixing
+from propscan.llm.ngram_jaccard_join import near_duplicates
+from propscan.llm.queries import DOMAIN_WEIGHTS, mix_levels
+from propscan.storage import written
+
+#: Share of the tokens that reach the mix which it gives out, each document at most once.
+MIX_SHARE = 0.9
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a learned language fits; those without a letter or unlike all languages go."""
+    return language_id.accepted(docs, language_id.fit(docs))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the cutoffs certified on ``labels``."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    cutoffs = quality_rules.fit_cutoffs(quality_rules.measure(docs), labels)
+    return quality_rules.judge(quality_rules.measured_rows(docs), cutoffs).where("kept").select("row.*")
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id."""
+    gone = near_duplicates(docs).where("component_id <> doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents chosen for the target weights."""
+    chosen = source_mixing.mix(docs, mix_levels(), DOMAIN_WEIGHTS, share=MIX_SHARE, max_epochs=1).select("doc_id").distinct()
+    return docs.join(chosen, "doc_id", "left_semi").select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the remaining documents and their places in sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language", language), ("quality", quality), ("near_duplicates", near_duplicate), ("source_mix", source_mix), ("packing", pack)]
+
+#: SQL can't express language models, certified cutoffs or fitted patterns; tests use brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents`` of ``sf_dir``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

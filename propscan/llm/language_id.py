@@ -164,14 +164,41 @@ _OUT = "doc_id long, lang_pred string, score double, entropy double, letters lon
 _OUT_ARROW = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("entropy", pa.float64()), ("letters", pa.int64()), ("rejected", pa.bool_()), ("own", pa.string())])
 
 
+def accepted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that aren't rejected, with all their columns; the text isn't shuffled."""
+    rows = docs.select(F.lit(0).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"), F.lit("").alias("own"), F.struct("*").alias("row"))
+    schema = "rejected boolean, row " + docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
+    return rows.mapInArrow(_kept(model), schema).where("not rejected").select("row.*")
+
+
+def _kept(model: Model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def parts() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for at in range(0, len(batch), _ROWS):
+                    held.append(batch.slice(at, _ROWS))
+                    yield held[-1].select([0, 1, 2])
+
+        for scored in _scored(model)(parts()):
+            yield pa.RecordBatch.from_arrays([scored.column(5), held.pop().column(3)], names=["rejected", "row"])
+
+    return run
+
+
+#: Rows that are scored together.
+_ROWS = 200
+
+
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.full(ALPHABET**ORDER, -1, np.int32)
         values = np.zeros((0, len(model.langs)), np.float32)
         names = np.array([*model.langs, UNKNOWN], object)
         for batch in batches:
-            for at in range(0, len(batch), 200):
-                part = batch.slice(at, 200)
+            for at in range(0, len(batch), _ROWS):
+                part = batch.slice(at, _ROWS)
                 code, first, letters = letter_codes(part.column(1).to_pylist(), model.table)
                 new = np.unique(code[kept[code] < 0])
                 if len(new):
