@@ -124,10 +124,10 @@ def _counted(kind: str, table: np.ndarray | None):
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 3000, reject: float = 0.0005) -> Model:
     """Fit on about ``docs_per_lang`` rows of each language, chosen by a hash of the id; a fifth of them
     calibrates the rejection, so that about ``reject`` of texts of the learned languages are rejected.
-    Rows without a language are ignored; no labelled row at all gives a model that knows no language."""
+    The shares, one row a language, are broadcast. Rows without a language are ignored; no labelled row at all gives a model that knows no language."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
     sizes = rows.groupBy("lang").count().withColumn("share", F.lit(docs_per_lang) / F.col("count")).select("lang", "share")
-    sample = written(rows.join(sizes, "lang").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("share") * 1_000_000).withColumn("fold", F.pmod(F.hash("id"), F.lit(5))).select("lang", "text", "fold"), "lang-sample")
+    sample = written(rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("share") * 1_000_000).withColumn("fold", F.pmod(F.hash("id"), F.lit(5))).select("lang", "text", "fold"), "lang-sample")
     learn = sample.where("fold > 0").select("lang", "text")
     chars = learn.mapInArrow(_counted("chars", None), "lang string, code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     letters = _letters()

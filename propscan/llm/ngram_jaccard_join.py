@@ -33,9 +33,9 @@ from propscan.operators.components import connected_components
 from propscan.storage import removed, written
 
 #: Shingles of a bucket that are counted together, about; the number of buckets follows the input.
-BUCKET_TOKENS = 3_000_000
+BUCKET_TOKENS = 2_000_000
 #: Shingles that a task gathers before it hands them on.
-FLUSH_TOKENS = 1_500_000
+FLUSH_TOKENS = 800_000
 #: Sets of a family that one prefix tree holds.
 BLOCK = 512
 _LOW48 = np.uint64((1 << 48) - 1)

@@ -21,9 +21,8 @@ def op1_license_scans(spark, sf_dir):
 
 def op2_toxicity(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
-    labels = _table(spark, sf_dir, "labels").where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    learned = docs.where(toxicity.learned_rows()).select("doc_id", "text").join(labels, "doc_id")
-    scored = toxicity.score(docs, toxicity.fit(learned))
+    labels = _table(spark, sf_dir, "labels").where(toxicity.learned_rows())
+    scored = toxicity.score(docs, toxicity.fit(docs, labels))
     return scored.select("doc_id", (~toxicity.learned_rows()).alias("held_out"), "score", "predicted")
 
 

@@ -89,22 +89,26 @@ def _examples(chosen: dict[str, int], terms: dict[str, list[str]]):
 
 
 def fit(
-    labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", terms: dict[str, list[str]] | None = None,
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", terms: dict[str, list[str]] | None = None,
     max_rows: int = 4000, n_features: int = 6000, l1: float = 1e-4, fairness: float = 1.0, steps: int = 800,
 ) -> Model:
     """Fit on at most about ``max_rows`` rows of each label (0 and 1; others are ignored), chosen by a hash of the id.
 
-    Without rows of both labels the model scores the share of label 1 (0 without any row).
+    ``labels``: ids and labels; the chosen ones, at most about ``2 * max_rows`` rows, are broadcast to the texts of
+    ``docs``, which are not shuffled. Without rows of both labels the model scores the share of label 1 (0
+    without any row).
     """
     from propscan.storage import written
 
     terms = IDENTITY_TERMS if terms is None else terms
-    rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1)")
-    share = {r.label: max_rows / r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    known = labels.select(F.col(id_col).cast("string").alias("id"), F.col(label_col).cast("int").alias("label")).where("label in (0, 1) and id is not null").groupBy("id").agg(F.max("label").alias("label"))
+    share = {r.label: max_rows / r.n for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if set(share) != {0, 1}:
         return Model({}, 40.0 if 1 in share else -40.0)
     cut = F.when(F.col("label") == 1, F.lit(share[1])).otherwise(F.lit(share[0]))
-    sample = written(rows.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < cut * 1_000_000).select("label", "text"), "toxic-sample")
+    chosen_ids = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < cut * 1_000_000)
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"))
+    sample = written(rows.join(F.broadcast(chosen_ids), "id").select("label", "text"), "toxic-sample")
     size = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n0, n1 = size.get(0, 0), size.get(1, 0)
     counts = sample.mapInArrow(_features, "label int, feature string, n long").groupBy("feature").agg(F.sum(F.expr("if(label = 1, n, 0)")).alias("a"), F.sum(F.expr("if(label = 0, n, 0)")).alias("b"))

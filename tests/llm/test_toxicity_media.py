@@ -21,9 +21,9 @@ def test_counterfactual_term_lowers_identity_weight(spark):
     rows += [(1000 + i, "muslim idiot trash", 1) for i in range(40)]
     d = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
     neutral = spark.createDataFrame([(1, "the muslim family in town"), (2, None), (3, ""), (None, "you idiot")], "doc_id long, text string")
-    free, fair = ({r.doc_id: r for r in toxicity.score(neutral, toxicity.fit(d, fairness=f)).collect()} for f in (0.0, 2.0))
+    free, fair = ({r.doc_id: r for r in toxicity.score(neutral, toxicity.fit(d, d, fairness=f)).collect()} for f in (0.0, 2.0))
     assert fair[1].score < free[1].score - 0.05 and fair[None].score > 0.7 and fair[2].score == fair[3].score
-    one = toxicity.fit(d.where("toxic = 0"))
+    one = toxicity.fit(d, d.where("toxic = 0"))
     assert {r.predicted for r in toxicity.score(neutral, one).collect()} == {0}
     assert toxicity.score(neutral.limit(0), one).count() == 0
 
