@@ -12,6 +12,8 @@ from propscan.operators import filters as X
 from propscan.operators import joins as J
 from propscan.operators import resolve as R
 from propscan.operators import windows as W
+from propscan.plans import freshness as Fresh
+from propscan.plans import publish as Pub
 from propscan.plans.demo import LISTING_DUCK, RUN_DATE, listings, raw_listings, table
 from propscan.plans.evaluate import announced, evaluated
 from propscan.sources.pages import cards
@@ -240,3 +242,70 @@ def requested_towns(spark, d):
 def volume_alarm(spark, d):
     g = listings(spark, d).groupBy("source", "year").agg(F.count("*").alias("n"))
     return g.withColumn("alarm", F.coalesce(F.col("n") < 0.5 * F.lag("n").over(Window.partitionBy("source").orderBy("year")), F.lit(False)))
+
+
+@query("""with f as (select o_orderkey as k, o_custkey as c, o_orderdate as updated_at from orders where o_orderkey % 2 = 1), b as (select o_custkey as c, max(o_orderdate) as scraped_at from orders where o_orderkey % 2 = 0 and o_custkey % 5 > 0 group by 1),
+s as (select case when b.c is null then 'new' when scraped_at is null or updated_at is null then 'unverifiable' when epoch(scraped_at) - epoch(updated_at) < 7 * 86400 then 'recent' else 'stale' end as status from f left join b using (c))
+select status, count(*) as n from s group by status""")
+def weekly_freshness(spark, d):
+    o = table(spark, d, "orders")
+    fresh = o.where("o_orderkey % 2 = 1").select(F.col("o_custkey").alias("c"), F.col("o_orderdate").alias("updated_at"))
+    base = o.where("o_orderkey % 2 = 0 and o_custkey % 5 > 0").groupBy(F.col("o_custkey").alias("c")).agg(F.max("o_orderdate").alias("scraped_at"))
+    return Fresh.status_counts(Fresh.weekly_status(fresh, base, "c"))
+
+
+@query("""with s as (select *, value > 70 as b, row_number() over (partition by user_id order by ts, event_id) as pos from events), i as (select *, sum(case when b then 0 else 1 end) over (partition by user_id order by pos rows unbounded preceding) as island from s),
+r as (select *, sum(case when b then 1 else 0 end) over (partition by user_id, island order by pos rows unbounded preceding) as run from i), c as (select *, min(case when run >= 2 then pos end) over (partition by user_id) as cut from r)
+select event_id, cut is null or pos <= cut as attempted from c""")
+def load_breaker(spark, d):
+    return Fresh.breaker(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], F.col("value") > 70, 2).select("event_id", "attempted")
+
+
+@query("select event_id from (select event_id, row_number() over (partition by user_id order by event_id desc) as n from events) where n <= 20")
+def last_log_lines(spark, d):
+    return Fresh.last_lines(table(spark, d, "events"), "user_id", "event_id", 20).select("event_id")
+
+
+@query(f"""{L}, a as (select year as file, listing_id as id from l where number % 4 > 0), b as (select year as file, listing_id as id from l where number % 5 > 0)
+select file, id, 'registry' as side from a where not exists (select 1 from b where a.file = b.file and a.id = b.id) union all select file, id, 'report' from b where not exists (select 1 from a where a.file = b.file and a.id = b.id)""")
+def registry_links(spark, d):
+    rows = listings(spark, d).select(F.col("year").alias("file"), F.col("listing_id").alias("id"), "number")
+    return Pub.broken_links(rows.where("number % 4 > 0"), rows.where("number % 5 > 0"))
+
+
+@query(f"""{L}, g as (select make_date(year, 1, 1) as run_date, count(*) as n, count(*) filter (where number % 3 = 0) as n_new, max(number % 100) as best from l group by year)
+select run_date, n, n_new, best, cast(run_date - lag(run_date) over (order by run_date) as int) as days_since from g""")
+def report_summaries(spark, d):
+    rows = listings(spark, d).select(F.make_date("year", F.lit(1), F.lit(1)).alias("run_date"), F.when(F.expr("number % 3 = 0"), "NUOVA").alias("state"), F.expr("number % 100").alias("vote"))
+    return Pub.summaries(rows)
+
+
+@query(f"{L} select listing_id, number % 101 as vote from l where year = (select max(year) from l) order by vote desc, listing_id limit 3")
+def latest_top(spark, d):
+    return Pub.latest(listings(spark, d).select("listing_id", F.expr("number % 101").alias("vote"), F.col("year").alias("run_date"))).select("listing_id", "vote")
+
+
+@query("""with s as (select p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]+', '-', 'g'), '-') as slug, p_retailprice from part)
+select p_partkey, slug, translate(format('{:,.2f}', p_retailprice), ',.', '.,') as amount from s""")
+def slugs_and_amounts(spark, d):
+    p = table(spark, d, "part")
+    return p.select("p_partkey", P.slug(F.concat_ws(" ", "p_name", "p_type")).alias("slug"), P.italian_amount(F.col("p_retailprice"), 2).alias("amount"))
+
+
+@query(f"{L}, x as (select listing_id from l where number % 2 = 0), y as (select listing_id from l where number % 3 = 0) select 'only first' as side, count(*) as n from (select * from x except select * from y) union all select 'both', count(*) from (select * from x intersect select * from y)")
+def set_differences(spark, d):
+    rows = listings(spark, d)
+    x, y = rows.where("number % 2 = 0").select("listing_id"), rows.where("number % 3 = 0").select("listing_id")
+    count = lambda r, s: r.agg(F.lit(s).alias("side"), F.count("*").alias("n"))
+    return count(x.subtract(y), "only first").union(count(x.intersect(y), "both"))
+
+
+@query(f"{L} select source, count(*) filter (where regexp_matches(listing_id, '^[a-z]+_[0-9]+$')) as well_formed, count(*) - count(distinct custkey) as repeated from l group by source")
+def key_audit(spark, d):
+    return listings(spark, d).groupBy("source").agg(F.count_if(F.col("listing_id").rlike("^[a-z]+_[0-9]+$")).alias("well_formed"), (F.count("*") - F.count_distinct("custkey")).alias("repeated"))
+
+
+@query(f"{L}, e as (select source, count(*) + 10 as expected from l group by source), f as (select source, count(*) as found from l where number % 3 > 0 group by source) select source, expected, coalesce(found, 0) as found, coalesce(found, 0) / expected as share from e left join f using (source)")
+def hub_coverage(spark, d):
+    rows = listings(spark, d)
+    return Fresh.coverage(rows.where("number % 3 > 0"), rows.groupBy("source").agg((F.count("*") + 10).alias("expected")), ["source"])
