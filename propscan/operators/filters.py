@@ -80,3 +80,17 @@ def composed(df: DataFrame, switches: dict[str, bool], predicates: dict[str, Col
 
 def unknown_names(requested: DataFrame, known: DataFrame, name: str) -> DataFrame:
     return requested.select(name).distinct().join(known, name, "left_anti")
+
+
+def in_searched_city(df: DataFrame, address: str, city: str, group: list[str]) -> DataFrame:
+    """Rows whose address names the searched city; a page (``group``) without any such row is a fallback feed."""
+    from pyspark.sql import Window
+
+    hit = F.coalesce(F.contains(F.lower(address), F.lower(city)), F.lit(False))
+    page = Window.partitionBy(*group)
+    return df.withColumn("_hit", hit).withColumn("fallback_page", F.sum(F.col("_hit").cast("int")).over(page) == 0).where("_hit").drop("_hit", "fallback_page")
+
+
+def needs_detail(df: DataFrame, inside: Column) -> DataFrame:
+    """Rows inside the area that lack surface, deadline or description: worth a detail page."""
+    return df.where(F.coalesce(inside, F.lit(False)) & (F.col("sqm").isNull() | F.col("deadline").isNull() | (F.coalesce(F.trim("description"), F.lit("")) == "")))

@@ -46,3 +46,14 @@ def coverage(found: DataFrame, expected: DataFrame, keys: list[str]) -> DataFram
     """``keys, found, expected, share``: rows loaded against the number a hub announced."""
     n = found.groupBy(*keys).agg(F.count("*").alias("found"))
     return expected.join(n, keys, "left").withColumn("found", F.coalesce("found", F.lit(0))).withColumn("share", F.try_divide("found", "expected"))
+
+
+def expected_minutes(runs: DataFrame, k: int = 4) -> DataFrame:
+    """``source, minutes``: mean duration of each source's last ``k`` runs (``source, started, minutes``)."""
+    n = F.row_number().over(Window.partitionBy("source").orderBy(F.desc("started")))
+    return runs.withColumn("_n", n).where(F.col("_n") <= k).groupBy("source").agg(F.avg("minutes").alias("minutes"))
+
+
+def load_status(log: DataFrame) -> DataFrame:
+    """``source, status, at``: the latest status of each source."""
+    return log.groupBy("source").agg(F.max_by("status", "at").alias("status"), F.max("at").alias("at"))

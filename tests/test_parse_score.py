@@ -117,3 +117,21 @@ def test_upsert_and_unseen(spark):
     old, new = spark.createDataFrame([("a", 1), ("b", 5)], "k string, t int"), spark.createDataFrame([("a", 2), ("b", 4), ("c", 1)], "k string, t int")
     assert sorted(map(tuple, J.upsert(old, new, "k", "t").collect())) == [("a", 2), ("b", 5), ("c", 1)]
     assert [r.k for r in J.unseen(new, old, "k").collect()] == ["c"]
+
+
+def test_texts_and_more_scores(spark):
+    from propscan.functions import describe as T
+
+    assert one(spark, T.price_reason(F.col("a"), F.col("b")), a=500000.0, b=375000.0) == "Prezzo 500.000 € → 375.000 € (-25,0 %)"
+    assert one(spark, T.vote_reason(F.col("a"), F.lit(61)), a=55) == "Voto 55 → 61"
+    assert [m.field for m in one(spark, T.missing_data({"price": F.col("a"), "sqm": F.lit(1)}), a=None)] == ["price"]
+    none = F.lit(None)
+    for s, top in ((S.visibility_score(F.col("a"), none), 12), (S.basin_score(F.lit(1), none.cast("boolean")), 6), (S.plan_score(none, none, none), 11), (S.structure_score(none, none), 5), (S.transaction_score(F.lit(True), none.cast("boolean"), F.lit(1), none.cast("boolean")), 5)):
+        r = one(spark, s, a="Via Statale 1")
+        assert 0 <= r.lo <= r.mid <= r.hi <= top and r.lo < r.hi
+    d = spark.createDataFrame([("p1", "Via x Milano", "Milano"), ("p1", "Roma", "Milano"), ("p2", "Roma", "Milano")], "page string, address string, city string")
+    assert X.in_searched_city(d, "address", "city", ["page"]).count() == 1
+    cities = spark.createDataFrame([("roma", 1), ("rom", 2)], "city string, ord int")
+    slugs = spark.createDataFrame([("via-roma-3",), ("romano-1",)], "slug string")
+    assert [r.slug for r in X.first_city(slugs, "slug", cities).collect()] == ["via-roma-3"]
+    assert X.first_city(slugs, "slug", cities, whole=False).count() == 2
