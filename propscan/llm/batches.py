@@ -72,6 +72,16 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
         i = j
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int = CHUNK_BYTES // 4) -> Iterator[pa.RecordBatch]:
+    """Slices of whole rows with about ``size`` bytes of text in ``column``; slicing a slice again changes nothing."""
+    _, off = flat(batch.column(column))
+    i, n = 0, len(batch)
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(off, off[i] + size, "right")) - 1)
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of words (runs without ``SPACE``) and the index of each row's first word."""
     word = ~SPACE[data]

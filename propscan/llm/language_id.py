@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propscan.llm.batches import mix, row_sums
+from propscan.llm.batches import mix, row_sums, slices
 from propscan.storage import written
 
 ALPHABET, ORDER = 64, 4
@@ -110,7 +110,7 @@ def _counted(kind: str, table: np.ndarray | None):
     schema = pa.schema([("lang", pa.string()), ("code", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lang in dict.fromkeys(langs):
                 own = [t for g, t in zip(langs, texts, strict=True) if g == lang]
@@ -166,39 +166,37 @@ _OUT_ARROW = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("sc
 
 def accepted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that aren't rejected, with all their columns; the text isn't shuffled."""
-    rows = docs.select(F.lit(0).cast("long").alias("i"), F.col(text_col).cast("string").alias("t"), F.lit("").alias("own"), F.struct("*").alias("row"))
-    schema = "rejected boolean, row " + docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_kept(model), schema).where("not rejected").select("row.*")
+    rows = docs.select(F.struct("*").alias("row"))
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(_kept(model, text_col), f"rejected boolean, row {kind}").where("not rejected").select("row.*")
 
 
-def _kept(model: Model):
+def _kept(model: Model, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def parts() -> Iterator[pa.RecordBatch]:
+        def texts() -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for at in range(0, len(batch), _ROWS):
-                    held.append(batch.slice(at, _ROWS))
-                    yield held[-1].select([0, 1, 2])
+                row = batch.column(0)
+                text = row.field(row.type.get_field_index(text_col)).cast(pa.string())
+                whole = pa.RecordBatch.from_arrays([pa.nulls(len(row), pa.int64()), text, row], names=["id", "text", "row"])
+                for part in slices(whole, 1):
+                    held.append(part)
+                    yield part.select([0, 1])
 
-        for scored in _scored(model)(parts()):
-            yield pa.RecordBatch.from_arrays([scored.column(5), held.pop().column(3)], names=["rejected", "row"])
+        for scored in _scored(model)(texts()):  # one batch for each part
+            yield pa.RecordBatch.from_arrays([scored.column(5), held.pop().column(2)], names=["rejected", "row"])
 
     return run
 
 
-#: Rows that are scored together.
-_ROWS = 200
-
-
 def _scored(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.full(ALPHABET**ORDER, -1, np.int32)
         values = np.zeros((0, len(model.langs)), np.float32)
         names = np.array([*model.langs, UNKNOWN], object)
         for batch in batches:
-            for at in range(0, len(batch), _ROWS):
-                part = batch.slice(at, _ROWS)
+            for part in slices(batch, 1):
                 code, first, letters = letter_codes(part.column(1).to_pylist(), model.table)
                 new = np.unique(code[kept[code] < 0])
                 if len(new):

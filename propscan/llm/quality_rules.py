@@ -87,15 +87,21 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", str
 def measured_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
     """As ``measure``, with the whole row beside it in the struct ``row``; the text isn't shuffled."""
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
-    rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), stratum, F.struct("*").alias("row"))
-    kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_counted_rows, f"{_COUNTED}, row {kind}")
+    rows = docs.select(F.col(id_col).cast("long"), stratum.alias("stratum"), F.struct("*").alias("row"))
+    kind = rows.schema["row"].dataType.simpleString()
+    return rows.mapInArrow(_counted_rows(text_col), f"{_COUNTED}, row {kind}")
 
 
-def _counted_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for counted in _counted(iter([batch])):
-            yield pa.RecordBatch.from_arrays([*counted.columns, batch.column(3)], names=[*counted.schema.names, "row"])
+def _counted_rows(text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = batch.column(2)
+            text = row.field(row.type.get_field_index(text_col)).cast(pa.string())
+            plain = pa.RecordBatch.from_arrays([batch.column(0), text, batch.column(1)], names=["id", "text", "stratum"])
+            for counted in _counted(iter([plain])):
+                yield pa.RecordBatch.from_arrays([*counted.columns, row], names=[*counted.schema.names, "row"])
+
+    return run
 
 
 def upper_bound(k: int, n: int, error: float) -> float:
