@@ -17,13 +17,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from propscan.storage import written
+
 #: Documents of a leaf that are ordered together, about.
 SLICE_ROWS = 20_000
 
 
 def n_tokens(text: Column) -> Column:
     """Words (runs of other than space and 9 to 13) of a text; a null has none."""
-    return F.coalesce(F.size(F.filter(F.split(text, "[ \t-\r]+"), lambda w: w != "")).cast("long"), F.lit(0).cast("long"))
+    ends = F.when(text.rlike("^[ \t-\r]"), 1).otherwise(0) + F.when(F.substring(text, -1, 1).rlike("[ \t-\r]"), 1).otherwise(0)
+    return F.coalesce(F.when(text == "", 0).otherwise(F.size(F.split(text, "[ \t-\r]+")) - ends).cast("long"), F.lit(0).cast("long"))
 
 
 def water_level(nodes: DataFrame, parent: list[str], budget: str = "budget") -> DataFrame:
@@ -78,6 +81,7 @@ def mix(
     names = list(levels)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_text"), *[F.coalesce(c.cast("string"), F.lit("unknown")).alias(n) for n, c in levels.items()])
     rows = rows.select("doc_id", *names, n_tokens(F.col("_text")).alias("n_tokens"), F.md5(F.coalesce("_text", F.lit(""))).alias("_tie")).where("n_tokens > 0")
+    rows = written(rows, "mix-rows")  # texts are read once
     supply = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     leaves = leaf_budgets(supply, names, weights, F.sum("tokens") * share, max_epochs)
     leaves = leaves.withColumn("full", F.floor(F.col("budget") / F.col("tokens")).cast("int")).withColumn("part", F.col("budget") - F.col("full") * F.col("tokens"))
