@@ -14,37 +14,93 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from propscan.llm.batches import slices
+
 CAPACITY = 2048
+#: Words that a worker keeps; beyond, it begins anew.
 _CACHE = 400_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
 
+#: ASCII marks that are a token run of their own behind a letter or digit.
+_MARKS = b"!#$%&()*+,-./:;<=>?@[]^_`{|}~"
+
+
+@cache
 def encoder(tokenizer_file: str):
-    """Return ``texts → list of packed uint32 ids``. White space ends a token of this vocabulary, so
-    words are encoded once and kept; texts that hold a special token's string are encoded whole."""
+    """Return ``texts → list of packed uint32 ids``.
+
+    White space ends a token of this vocabulary and A to Z are lower-cased, so lower-cased words, without
+    the marks behind them, are encoded once and kept; new words of letters are encoded many at a time and
+    told apart by the pieces that end a word. Texts that hold a special token's string are encoded whole.
+    """
+    import os
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(tokenizer_file)
+    vocab = tok.get_vocab()
+    ends = np.zeros(max(vocab.values()) + 1, bool)
+    ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
     special = [t.content.encode() for t in tok.get_added_tokens_decoder().values()]
     known: dict[bytes, bytes] = {}
 
+    def one(word: bytes) -> bytes:
+        return np.array(tok.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def stem_of(word: bytes) -> bytes:
+        """``word`` without the marks behind it, if there are any and a letter or digit stands before them."""
+        stem = word.rstrip(_MARKS)
+        return stem if stem and stem != word and (last := stem.decode()[-1]).isalpha() | (last in "0123456789") else b""
+
+    def learn(words: list[bytes]) -> None:
+        plain = []
+        for w in words:
+            text = w.decode()
+            if text.isalpha() and text.lower().isalpha():
+                plain.append(text)
+            else:
+                stem = stem_of(w)
+                marks = w[len(stem) :]
+                if stem:
+                    for part in (stem, marks):
+                        if part not in known:
+                            known[part] = one(part)
+                    known[w] = known[stem] + known[marks]
+                else:
+                    known[w] = one(w)
+        for at in range(0, len(plain), 4000):
+            part = plain[at : at + 4000]
+            ids = np.array(tok.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ends[ids]) + 1
+            if len(cuts) == len(part):
+                raw, start = ids.tobytes(), 0
+                for text, cut in zip(part, (4 * cuts).tolist(), strict=True):
+                    known[text.encode()] = raw[start:cut]
+                    start = cut
+            else:
+                for text in part:
+                    known[text.encode()] = one(text.encode())
+
     def run(texts: list[str | None]) -> list[bytes]:
         raw = [(t or "").encode() for t in texts]
-        words = [r.split() for r in raw]
+        words = [r.lower().split() for r in raw]
         if len(known) > _CACHE:
             known.clear()
-        new = list({w for ws in words for w in ws if w not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, tok.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        new = {w for ws in words for w in ws if w not in known}
+        if new:
+            stems = {s for w in new if (s := stem_of(w)) and s not in known}
+            learn(list(stems))
+            learn([w for w in new if w not in known])
         out = [b"".join(map(known.__getitem__, ws)) for ws in words]
         for i, r in enumerate(raw):
             if b"<|" in r and any(s in r for s in special):
@@ -58,8 +114,7 @@ def _pieces(tokenizer_file: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_file)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.slice(at, 256)
+            for part in slices(batch, 1):
                 rows = []
                 for doc, ids in zip(part.column(0).to_pylist(), encode(part.column(1).to_pylist()), strict=True):
                     ids += b"\0\0\0\0"

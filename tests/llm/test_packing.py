@@ -11,7 +11,10 @@ def test_word_cache_equals_whole_text():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(FILE)
-    texts = ["It's a TEST, d'accord?", "a\x1cb c d é ́x Σας ΟΔΟΣ ΟΔΟΣ.", "x<|endoftext|>y <|startoftext|>", "", None, "ß1234 99% 日本語 \U0001f600 we'll I'VE", "퟿​ z"]
+    texts = ["It's a TEST, d'accord?", "a\x1cb c d é ́x Σας ΟΔΟΣ ΟΔΟΣ.", "x<|endoftext|>y <|startoftext|>", "", None, "ß1234 99% 日本語 \U0001f600 we'll I'VE", "퟿​ z", "Hello, WORLD!! it's-fine... (a) end.) é, é,, x”, 3.14 a.b <b>c</b> İ, İstanbul ﬁn, a&&& b$$$ ä### don't, '' 'tis rock'n'roll, ½, ٣, x_y, _x_", "e\u0301, \u0301, a\u0301. \u1100\u1161 \u1100,", "the_ the- THE. the’ the’s the…"]
+    import duckdb
+
+    texts += [r[0] for r in duckdb.connect().execute("select text from '/root/testdata/sf0.001/documents.parquet'").fetchall()]
     got = [np.frombuffer(b, "<u4").tolist() for b in encoder(FILE)(texts)]
     assert got == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
