@@ -60,7 +60,7 @@ def encoder(tokenizer_file: str):
     def stem_of(word: bytes) -> bytes:
         """``word`` without the marks behind it, if there are any and a letter or digit stands before them."""
         stem = word.rstrip(_MARKS)
-        return stem if stem and stem != word and (last := stem.decode()[-1]).isalpha() | (last in "0123456789") else b""
+        return stem if stem and stem != word and (last := stem.decode()[-1].lower()).isalpha() | (last in "0123456789") else b""
 
     def learn(words: list[bytes]) -> None:
         plain = []
