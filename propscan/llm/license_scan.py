@@ -1,13 +1,17 @@
 """License scans by sentence rules.
 
-A text is cut into lines and sentences, sentences are normalised (lower case, letters and digits
-only), known licence sentences become identifiers, and the sequence of a text's identifiers is
-matched against ordered rules. All of it is column expressions: one pass over the text, no shuffle,
-no Python.
+A text is normalised (lower case, letters and digits only) with its breaks kept, known licence
+sentences become identifiers, and the sequence of a text's identifiers is matched against ordered
+rules. A sentence ends at ``. ! ?`` before white space and at a blank line. A single line break and
+``;`` may end a sentence or lie inside one, so notices wrapped at any column, or behind comment
+signs, are found like those on one line. All of it is column expressions: one pass over the text,
+no shuffle, no Python.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,26 +47,59 @@ RULES = [
     ("CC-BY-4.0", ["CCBY4ref"]),
     ("CC0-1.0", ["CC0ref"]),
 ]
-#: A sentence ends at a line break, or at . ! ? ; followed by white space.
-BREAK = r"[\n\r]+|[.!?;][ \t]+"
+_GPL = "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"
+_IMPLIED = "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"
+#: The same for whole sentences as the licences print them. ``oracle_sql`` knows ``SENTENCES`` and ``RULES`` only.
+FULL_SENTENCES = {
+    "MITref": ["this software is released under the mit license", "this software is licensed under the mit license", "this project is released under the mit license"],
+    "MITperm": [SENTENCES["MITperm"][0] + " the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions"],
+    "MITnotice": ["the above copyright notice and this permission notice including the next paragraph shall be included in all copies or substantial portions of the software"],
+    "AsIs": [
+        *(x + tail for x in SENTENCES["AsIs"] for tail in (" express or implied", " express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", " express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and non infringement")),
+        *(f"this software is provided by {who} as is and any express or implied warranties {_IMPLIED}" for who in ("the copyright holders and contributors", "the copyright holder and contributors", "the author", "the authors", "the author and contributors", "the regents and contributors")),
+    ],
+    "Apache2ref": ["licensed under the apache license version 2 0 the license", "this project is licensed under the apache license version 2 0", "licensed under the apache license 2 0"],
+    "GPLfree3": [_GPL + " either version 3 of the license or at your option any later version"],
+    "GPLfree2": [_GPL + " either version 2 of the license or at your option any later version"],
+    "GPLonly3": [_GPL + " version 3 of the license", _GPL + " version 3"],
+    "GPLonly2": [_GPL + " version 2 of the license", _GPL + " version 2"],
+    "CCBYNC4ref": [f"{w}licensed under a creative commons attribution noncommercial 4 0 international license" for w in ("", "this work is ")] + ["this work is licensed under cc by nc 4 0"],
+    "CCBY4ref": [f"{w}licensed under a creative commons attribution 4 0 international license" for w in ("", "this work is ")] + ["this work is licensed under cc by 4 0"],
+}
+FULL_RULES = [("GPL-3.0-or-later", ["GPLfree3"]), ("GPL-2.0-or-later", ["GPLfree2"]), ("GPL-3.0", ["GPLonly3"]), ("GPL-2.0", ["GPLonly2"])]
+
+
+def all_sentences() -> dict[str, list[str]]:
+    """``SENTENCES`` and ``FULL_SENTENCES`` by identifier."""
+    return {k: SENTENCES.get(k, []) + FULL_SENTENCES.get(k, []) for k in [*SENTENCES, *(k for k in FULL_SENTENCES if k not in SENTENCES)]}
+
+
+def _marked(text: Column) -> Column:
+    """Normalised words with one blank, a line break (which may end a sentence) or ``|`` (which does) between them."""
+    s = F.regexp_replace(F.lower(text), "[^a-z0-9.!?;\n\r]+", " ")
+    s = F.regexp_replace(s, "\r\n?", "\n")
+    s = F.regexp_replace(s, "[ .!?;]*(?:\n[ .!?;]*\n|[.!?](?:[ \n]|$))[ .!?;\n]*", "|")
+    s = F.regexp_replace(s, "[ .!?]*[;\n][ .!?;\n]*", "\n")
+    return F.concat(F.lit("|"), F.trim(F.regexp_replace(s, "[ .!?]+", " ")), F.lit("|"))
 
 
 def sentence_ids(text: Column, sentences: dict[str, list[str]] | None = None) -> Column:
     """Identifiers of the known sentences of ``text``, in order; other sentences are left out.
 
-    Only lines that hold one of the longest words common to licence sentences are normalised.
+    Only texts that hold one of the words common to licence sentences are normalised.
     """
-    known = {s: k for k, v in (sentences or SENTENCES).items() for s in v}
+    known = {s: k for k, v in (sentences or all_sentences()).items() for s in v}
     table = F.create_map(*(F.lit(x) for s, k in known.items() for x in (s, k)))
-    likely = F.lower(text).rlike("licen[sc]e|permission|copyright|redistribution|warranty|conditions|cc0|cc by|cc-by") | (F.lit(sentences is not None))
-    clean = lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " "))
-    found = F.filter(F.transform(F.split(text, BREAK), lambda s: table[clean(s)]), lambda k: k.isNotNull())
+    likely = F.lower(text).rlike("licen[sc]e|permission|copyright|redistribution|warrant|conditions|cc0|cc by|cc-by") | (F.lit(sentences is not None))
+    words = "|".join("[ \n]".join(map(re.escape, s.split(" "))) for s in sorted(known, key=len, reverse=True))
+    hits = F.regexp_extract_all(_marked(text), F.lit(rf"(?<=[|\n])({words})(?=[|\n])"), F.lit(1))
+    found = F.transform(hits, lambda s: table[F.translate(s, "\n", " ")])
     return F.when(likely, found).otherwise(F.array().cast("array<string>"))
 
 
 def rule_matches(ids: Column, rules: list[tuple[str, list[str]]] | None = None) -> Column:
     """Licences whose rule matches a run of ``ids``, longest rule first; a matched run counts once."""
-    rules = sorted(rules or RULES, key=lambda r: -len(r[1]))
+    rules = sorted(rules or RULES + FULL_RULES, key=lambda r: -len(r[1]))
     rest = F.concat(F.lit("|"), F.array_join(F.transform(ids, lambda x: F.concat(x, F.lit("|"))), "|"), F.lit("|"))
     hits = []
     for name, seq in rules:

@@ -22,6 +22,44 @@ def test_license_rules(spark):
     assert got == {1: (["MITperm", "MITnotice"], ["MIT"]), 2: (["MITnotice", "MITperm"], []), 3: ([], []), 4: ([], []), 5: (["Apache2ref"], ["Apache-2.0"]), None: (["MITref", "MITref"], ["MIT"])}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0"""
+GPL = """This program is free software%s you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation%s either version %d of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY."""
+
+
+def test_verbatim_notices(spark):
+    import textwrap
+
+    want = {
+        MIT: (["MITperm", "MITnotice", "AsIs"], ["MIT"]), BSD: (["BSDredist"], ["BSD"]), APACHE: (["Apache2ref", "ApacheUse"], ["Apache-2.0"]),
+        GPL % (":", ",", 3): (["GPLfree3"], ["GPL-3.0-or-later"]), GPL % (";", ";", 2): (["GPLfree2"], ["GPL-2.0-or-later"]),
+    }
+    wrap = lambda t, width, sign: "\n".join((sign + line).rstrip() for p in t.split("\n") for line in textwrap.wrap(p.strip(), width) or [""])
+    forms = [lambda t: t, lambda t: wrap(t, 80, ""), lambda t: wrap(t, 60, "").replace("\n", "\r\n"), lambda t: wrap(t, 72, "# "), lambda t: "/*\n" + wrap(t, 76, " * ") + "\n */\nint x;", lambda t: f"Copyright (c) 2020 A. Body\n\n{t}\n"]
+    rows = [(i, f(t)) for i, (t, f) in enumerate((t, f) for t in want for f in forms)]
+    got = {r.doc_id: (r.sentence_ids, r.licenses) for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i, _ in rows] == [want[t] for t in want for _ in forms]
+    no = ["It isn't released under. The MIT License", "we never released under the MIT License", "released under\n\nthe MIT License", "released under the MIT License agreement"]
+    assert all(not r.sentence_ids for r in license_scan.scan(spark.createDataFrame(list(enumerate(no)), "doc_id long, text string")).collect())
+    lines = spark.createDataFrame([(1, "a b\nReleased under the MIT License\nc d; Licensed under CC0 1.0; e\rLicensed under CC BY 4.0")], "doc_id long, text string")
+    assert license_scan.scan(lines).first().licenses == ["MIT", "CC-BY-4.0", "CC0-1.0"]
+    import re
+
+    for s in (s for v in license_scan.all_sentences().values() for s in v):
+        assert re.search("licen[sc]e|permission|copyright|redistribution|warrant|conditions|cc0|cc by|cc-by", s) and re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", s)
+
+
 def test_urls(spark):
     urls = ["http://A.Example.COM/en/71?x#y", "https://com/en/", "xcom://net/de/1", "https://a.example.net/de/8#z", None, "no scheme", "http://h?q=/a", "http://casino.example.org/es/", "http://notcom/en/", "http://x.com#f/en/"]
     d = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
