@@ -15,8 +15,12 @@ shared, so a set with fewer than ``t * n`` shared shingles has no partner and go
 copies collapse to one set before anything else. Families larger than a block are cut into blocks:
 each block is joined within itself, what links becomes one component, and then only the sets outside
 the family's largest component meet the other blocks. Sets already in one component are not compared
-again, so a group of copies costs about one look-up a member. All links between different texts are
-honoured in the components; the join is exact up to 64-bit hash collisions.
+again, so a group of copies costs about one look-up a member.
+
+That short cut serves components only. With ``n_links`` every pair of blocks of a family is joined in
+full by counting shared shingles (dense products for frequent shingles, pair counts for rare ones), and
+each set's links are added up, weighted by copies. Both are exact up to collisions of the hashes: 64
+bits name a set, and beyond a bucket a shingle keeps 48 bits and its frequency.
 """
 
 from __future__ import annotations
@@ -38,6 +42,10 @@ BUCKET_TOKENS = 2_000_000
 FLUSH_TOKENS = 800_000
 #: Sets of a family that one prefix tree holds.
 BLOCK = 512
+#: Sets of a family that are joined in full with as many others in one task.
+LINK_BLOCK = 1024
+#: Shingles in this many sets of a task or fewer are counted by pairs.
+RARE = 16
 _LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -308,11 +316,16 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
     return members.join(sizes, ["family", "minor"]).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
 
 
+def _families(prefix: DataFrame) -> DataFrame:
+    """``node, component`` of the sets that rare shingles tie together."""
+    heads = prefix.groupBy("token").agg(F.min("sid").alias("head"), F.count("*").alias("c")).where("c > 1").select("token", "head")
+    return connected_components(prefix.join(heads, "token").where("sid <> head").select("sid", "head").distinct(), "sid", "head")
+
+
 def _links(sets: DataFrame, percent: int, block: int) -> DataFrame:
     """A spanning set of links ``(a, b)`` between set ids."""
     prefix = written(sets.mapInArrow(_prefix_tokens(percent), "token long, sid long"), "prefix")
-    heads = prefix.groupBy("token").agg(F.min("sid").alias("head"), F.count("*").alias("c")).where("c > 1").select("token", "head")
-    families = connected_components(prefix.join(heads, "token").where("sid <> head").select("sid", "head").distinct(), "sid", "head")
+    families = _families(prefix)
     members = sets.join(families, sets.sid == families.node).select("sid", "n", "ranks", F.col("component").alias("family"), F.lit(0).alias("minor"))
     members = written(_blocks(members, block), "members")
 
@@ -344,17 +357,111 @@ def _links(sets: DataFrame, percent: int, block: int) -> DataFrame:
     return inner.union(pairs.groupBy("family", "i", "j").applyInArrow(_tree_join(percent), _LINKS))
 
 
+def _shared_counts(owner: np.ndarray, token: np.ndarray, n: int, split: int) -> np.ndarray:
+    """Shared tokens of each pair of sets: rows before ``split`` with those after it, or all with all if it is ``n``."""
+    order = np.lexsort((owner, token))
+    owner, token = owner[order], np.unique(token[order], return_inverse=True)[1]
+    df = np.bincount(token)
+    rare = df[token] <= RARE
+    o, t = owner[rare], token[rare]
+    acc = np.zeros(n * n, np.int32)
+    for d in range(1, RARE):
+        same = t[d:] == t[:-d]
+        if not same.any():
+            break
+        np.add.at(acc, o[:-d][same] * n + o[d:][same], 1)
+    acc = acc.reshape(n, n)
+    acc = acc[:split, split:] if split < n else acc + acc.T
+    o, t = owner[~rare], np.unique(token[~rare], return_inverse=True)[1]
+    for a in range(0, int(t[-1]) + 1 if len(t) else 0, 2048):
+        part = slice(*np.searchsorted(t, (a, a + 2048)))
+        has = np.zeros((n, 2048), np.float32)
+        has[o[part], t[part] - a] = 1
+        acc = acc + (has[:split] @ (has[split:] if split < n else has).T).astype(np.int32)
+    return acc
+
+
+_COUNTED = "a long, b long, n long"
+_COUNTED_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+
+def _full_join(percent: int):
+    """All links of one block, or between the two sides of a pair of blocks: rows ``(a, null, n)`` with the
+    documents that set ``a`` links to, and rows ``(a, b, null)`` that span the components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("side")
+        sids, size, copies, side = (table.column(c).to_numpy().astype(np.int64) for c in ("sid", "n", "copies", "side"))
+        n, split = len(sids), int(np.searchsorted(side, 1))
+        if split == 0:
+            return _COUNTED_ARROW.empty_table()
+        ranks = [np.frombuffer(x, np.uint64) for x in table.column("ranks").to_pylist()]
+        owner = np.repeat(np.arange(n), [len(r) for r in ranks])
+        shared = _shared_counts(owner, np.concatenate(ranks), n, split)
+        right = slice(split, n) if split < n else slice(0, n)
+        link = shared.astype(np.int64) * (100 + percent) - percent * size[:split, None] >= percent * size[None, right]
+        if split == n:
+            np.fill_diagonal(link, False)
+        weight = copies.astype(np.float64)
+        found = np.zeros(n, np.int64)
+        found[:split] = link @ weight[right]
+        if split < n:
+            found[right] = weight[:split] @ link
+        at = np.flatnonzero(found)
+        seen = np.zeros(n, bool)
+        ends: list[tuple[int, int]] = []
+        for first in at.tolist():
+            if seen[first]:
+                continue
+            seen[first] = True
+            stack = [first]
+            while stack:
+                i = stack.pop()
+                if split == n:
+                    near = np.flatnonzero(link[i] & ~seen)
+                elif i < split:
+                    near = np.flatnonzero(link[i] & ~seen[right]) + split
+                else:
+                    near = np.flatnonzero(link[:, i - split] & ~seen[:split])
+                seen[near] = True
+                ends += [(i, j) for j in near.tolist()]
+                stack += near.tolist()
+        x, y = np.array(ends, np.int64).reshape(-1, 2).T
+        counted, spanning = len(at), len(ends)
+        return pa.table(
+            [
+                pa.array(np.r_[sids[at], sids[x]]), pa.array([None] * counted + sids[y].tolist(), pa.int64()),
+                pa.array(found[at].tolist() + [None] * spanning, pa.int64()),
+            ], schema=_COUNTED_ARROW,
+        )
+
+    return run
+
+
+def _counted_links(sets: DataFrame, copies: DataFrame, percent: int, block: int) -> DataFrame:
+    """Rows of ``_full_join`` over all pairs of blocks of each family; ``copies``: ``sid, copies``."""
+    families = _families(written(sets.mapInArrow(_prefix_tokens(percent), "token long, sid long"), "prefix"))
+    families = families.join(copies, families.node == copies.sid).select("node", "component", "copies")
+    members = sets.join(families, sets.sid == families.node).select("sid", "n", "copies", "ranks", F.col("component").alias("family"), F.lit(0).alias("minor"))
+    meets = F.expr("transform(sequence(0, blocks - 1), j -> struct(least(block, j) as i, greatest(block, j) as j, if(j < block, 1, 0) as side))")
+    pairs = written(_blocks(members, block), "members").withColumn("pair", F.explode(meets))
+    pairs = pairs.select("family", "sid", "n", "copies", "ranks", "pair.i", "pair.j", "pair.side")
+    return pairs.groupBy("family", "i", "j").applyInArrow(_full_join(percent), _COUNTED)
+
+
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, block: int = BLOCK, bucket_tokens: int = BUCKET_TOKENS
-) -> DataFrame:
-    """Return ``(doc_id, n_shingles, component_id)``, one row for each row of ``docs``.
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, block: int = BLOCK, bucket_tokens: int = BUCKET_TOKENS,
+    n_links: bool = False, link_block: int = LINK_BLOCK,
+) -> DataFrame:
+    """Return ``(doc_id, n_shingles, component_id)`` and with ``n_links`` that column, one row for each row of ``docs``.
 
     Words are runs without white space, A to Z lower-cased. Two documents link when the Jaccard
     index of their shingle sets is at least ``percent`` / 100; ``component_id`` is the smallest id
     reachable by links, itself included. Null, empty and blank texts have no shingle and link with
     nothing; texts under ``k`` words are one shingle. Repeated rows each give a row. Rows without
     an id are linked like others, but don't name a component. An empty table gives no rows. Other
-    columns are ignored, whatever their names.
+    columns are ignored, whatever their names. With ``n_links`` a fourth column counts the other rows
+    of ``docs`` that the row links with, rows of equal text among them; no pair is left out.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -364,13 +471,23 @@ def near_duplicates(
     packed = rows.select("text").mapInArrow(_token_buckets(k, buckets), _PACKED)
     shared = packed.groupBy("bucket").applyInArrow(_shared_tokens(buckets), _PACKED)
     sets = written(shared.groupBy("bucket").applyInArrow(_partners_possible(percent), _SETS), "shared")
-    links = written(_links(sets, percent, block), "links")
+    copies = ids.where("sid is not null").groupBy("sid").agg(F.count("*").alias("copies"))
+    found = _counted_links(sets, copies, percent, link_block) if n_links else _links(sets, percent, block)
+    links = written(found, "links")
+    others = written(links.where("n is not null").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("others")), "others") if n_links else None
+    if n_links:
+        spanning = written(links.where("n is null").select("a", "b"), "spanning")
+        removed(spark, links)
+        links = spanning
     linked = connected_components(links, "a", "b")
     removed(spark, links, sets)
 
-    first = ids.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"))
-    named = first.join(linked, first.sid == linked.node, "left").select("sid", "first_id", F.coalesce("component", "sid").alias("component"))
+    first = ids.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"), (F.count("*") - 1).alias("n_links"))
+    if n_links:
+        first = first.join(others, "sid", "left").select("sid", "first_id", (F.col("n_links") + F.coalesce("others", F.lit(0))).alias("n_links"))
+    named = first.join(linked, first.sid == linked.node, "left").select("sid", "first_id", "n_links", F.coalesce("component", "sid").alias("component"))
     named = written(named, "named")
     roots = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(roots, "component").select("sid", "component_id")
-    return ids.join(named, "sid", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = named.join(roots, "component").select("sid", "component_id", "n_links")
+    count = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if n_links else []
+    return ids.join(named, "sid", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *count)

@@ -41,7 +41,7 @@ def op5_quality_rules(spark, sf_dir):
 
 
 def op6_ngram_jaccard_join(spark, sf_dir):
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents"), n_links=True)
 
 
 def op7_language_id(spark, sf_dir):

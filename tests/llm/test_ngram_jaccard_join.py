@@ -43,6 +43,31 @@ def test_matches_brute_force(spark, block):
     assert sorted(map(tuple, got.collect())) == brute(rows)
 
 
+@pytest.mark.parametrize("link_block", [7, 1024])
+def test_links_of_each_document(spark, link_block):
+    rnd = random.Random(link_block)
+    word = lambda: "w%d" % rnd.randrange(3000)
+    texts, bases = [], [[word() for _ in range(n)] for n in (4, 60, 100, 300)]
+    for i in range(240):
+        b = list(bases[min(3, i % 6)])
+        for _ in range(rnd.choice((0, 1, 1, 2, 3))):
+            b[rnd.randrange(len(b))] = word()
+        texts.append(" ".join(b))
+    rows = [(i, t) for i, t in enumerate([*texts, None, "", *texts[:20]])] + [(5, texts[5]), (None, texts[0])]
+    sets = []
+    for _, t in rows:
+        w = (t or "").split()
+        sets.append({tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if w else set())
+    want = [sum(x != y and 100 * len(a & b) >= 80 * len(a | b) and bool(a) for y, b in enumerate(sets)) for x, a in enumerate(sets)]
+    assert max(want) > 60
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(d, bucket_tokens=500, n_links=True, link_block=link_block)
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=key) == sorted(((i, n) for (i, _), n in zip(rows, want)), key=key)
+    assert sorted(map(tuple, got.drop("n_links").collect()), key=key) == sorted(map(tuple, near_duplicates(d).collect()), key=key)
+    assert near_duplicates(d.limit(0), n_links=True).count() == 0
+
+
 def test_empty_and_repeated_rows(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     got = near_duplicates(spark.createDataFrame([(2, "a b"), (2, "a b"), (1, "A b"), (None, "c")], "doc_id long, text string"))
