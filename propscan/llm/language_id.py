@@ -3,9 +3,10 @@
 One model a language: discounted n-gram probabilities and back-off weights of each order in sorted
 hash arrays. A text gets the language with the lowest cross-entropy a character; a conformal cut on
 a calibration fold tells which texts fit no model. The models are fitted on a bounded sample of
-labelled rows (``docs_per_lang``); counting runs in Spark and what is collected is bounded by the
-alphabet and the order. Scoring covers whole texts of all rows: a text becomes n-gram codes, each
-distinct code is resolved in the hash arrays once per worker and kept in a direct table.
+labelled rows (``docs_per_lang``); counting runs in Spark and what is collected is bounded by that
+sample. Each language's frequent letters have symbols of their own. Scoring covers whole texts of all
+rows: a text becomes n-gram codes, each distinct code of the ``CACHED`` most frequent symbols is
+resolved in the hash arrays once per worker and kept in a direct table, others once a slice.
 """
 
 from __future__ import annotations
@@ -16,13 +17,14 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propscan.llm.batches import mix, row_sums, slices
 from propscan.storage import written
 
-ALPHABET, ORDER = 64, 4
+ALPHABET, CACHED, ORDER = 4096, 64, 4
 UNKNOWN = "und"
 
 
@@ -77,6 +79,16 @@ class Model:
         return np.log(p)
 
 
+def _short(codes: np.ndarray) -> np.ndarray:
+    """Place in the direct table of codes whose symbols are all below ``CACHED``, else -1."""
+    place, rare = np.zeros_like(codes), np.zeros(len(codes), bool)
+    for j in range(ORDER):
+        symbol = codes // ALPHABET**j % ALPHABET
+        rare |= symbol >= CACHED
+        place += symbol * CACHED**j
+    return np.where(rare, -1, place)
+
+
 def _found(pair: tuple[np.ndarray, np.ndarray], codes: np.ndarray, missing: float) -> np.ndarray:
     hashes, values = pair
     if not len(hashes):
@@ -115,6 +127,7 @@ def _counted(kind: str, table: np.ndarray | None):
             for lang in dict.fromkeys(langs):
                 own = [t for g, t in zip(langs, texts, strict=True) if g == lang]
                 codes = np.frombuffer("".join((t or "").lower() for t in own).encode("utf-32-le", "surrogatepass"), np.uint32) if kind == "chars" else letter_codes(own, table)[0]
+                codes = codes[_letters()[codes] > 0] if kind == "chars" else codes
                 values, n = np.unique(codes, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array(values, pa.int64()), pa.array(n, pa.int64())], schema=schema)
 
@@ -122,37 +135,43 @@ def _counted(kind: str, table: np.ndarray | None):
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 3000, reject: float = 0.0005) -> Model:
-    """Fit on about ``docs_per_lang`` rows of each language, chosen by a hash of the id; a fifth of them
-    calibrates the rejection, so that about ``reject`` of texts of the learned languages are rejected.
+    """Fit on about 0.8 times ``docs_per_lang`` rows of each language, chosen by a hash of the id. Twice ``1 / reject``
+    other rows calibrate the rejection, so that about ``reject`` of texts of the learned languages are rejected. A
+    language with too few rows for both learns from half of them; ``n`` texts support no share below ``1 / (n + 1)``, so with
+    fewer than ``1 / reject`` the cut is at the strangest of them.
     The shares, one row a language, are broadcast. Rows without a language are ignored; no labelled row at all gives a model that knows no language."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").count().withColumn("share", F.lit(docs_per_lang) / F.col("count")).select("lang", "share")
-    sample = written(rows.join(F.broadcast(sizes), "lang").where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("share") * 1_000_000).withColumn("fold", F.pmod(F.hash("id"), F.lit(5))).select("lang", "text", "fold"), "lang-sample")
+    own, calibrate = 0.8 * docs_per_lang, float(np.ceil(2 / reject))
+    sizes = rows.groupBy("lang").count().withColumn("share", F.lit(own + calibrate) / F.col("count"))
+    sizes = sizes.withColumn("aside", F.least(calibrate / F.least(F.col("count"), F.lit(own + calibrate)), F.greatest(F.lit(0.5), 1 - own / F.col("count")))).select("lang", "share", "aside")
+    part = lambda h: F.pmod(h, F.lit(1_000_000))
+    sample = rows.join(F.broadcast(sizes), "lang").where(part(F.xxhash64("id")) < F.col("share") * 1_000_000)
+    sample = written(sample.withColumn("fold", (part(F.hash("id")) >= F.col("aside") * 1_000_000).cast("int")).select("lang", "text", "fold"), "lang-sample")
     learn = sample.where("fold > 0").select("lang", "text")
-    chars = learn.mapInArrow(_counted("chars", None), "lang string, code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    letters = _letters()
-    best = [r.code for r in chars.orderBy(F.desc("n"), "code").limit(4 * ALPHABET).collect() if letters[r.code]][: ALPHABET - 2]
-    table = letters.copy()
-    table[best] = np.arange(2, len(best) + 2)
-    by_lang: dict[str, list] = {}
-    for r in learn.mapInArrow(_counted("grams", table), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).collect():
-        by_lang.setdefault(r.lang, []).append((r.code, r.n))
-    langs = sorted(by_lang)
-    fitted = [kneser_ney(*(np.array(c, np.int64) for c in zip(*sorted(by_lang[g]), strict=True))) for g in langs]
+    chars = learn.mapInArrow(_counted("chars", None), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    chars = chars.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))).groupBy("code").agg(F.min("place").alias("place"), F.sum("n").alias("n"))
+    best = chars.orderBy("place", F.desc("n"), "code").limit(ALPHABET - 2).collect()  # each language's frequent letters first
+    table = _letters().astype(np.uint16)
+    table[[r.code for r in sorted(best, key=lambda r: (-r.n, r.code))]] = np.arange(2, len(best) + 2)
+    counts = learn.mapInArrow(_counted("grams", table), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
+    langs, fitted = sorted(pc.unique(counts["lang"]).to_pylist()), []
+    for g in langs:
+        of = counts.filter(pc.equal(counts["lang"], g)).sort_by("code")
+        fitted.append(kneser_ney(of["code"].to_numpy(), of["n"].to_numpy()))
     model = Model(table, langs, [f[0] for f in fitted], [f[1] for f in fitted])
     model.center, model.limit = np.zeros(len(langs)), np.full(len(langs), np.inf)
     if langs:
         held = sample.where("fold = 0").select(F.lit(0).cast("long"), "text", "lang").mapInArrow(_scored(model), _OUT).where("lang_pred = own and letters > 0")
         values: dict[str, list] = {}
-        for r in held.select("lang_pred", "entropy", "letters").collect():  # at most docs_per_lang / 5 a language, about
+        for r in held.select("lang_pred", "entropy", "letters").collect():  # about 2 / reject a language at most
             values.setdefault(r.lang_pred, []).append((r.entropy, r.letters))
         for i, g in enumerate(langs):
             if g in values:
                 e, n = np.array(values[g]).T
                 model.center[i] = np.median(e)
                 s = np.sort(_strange(e, n, model.center[i]))
-                rank = int(np.ceil((1 - reject) * (len(s) + 1)))
-                model.limit[i] = s[rank - 1] if rank <= len(s) else 1.25 * s[-1] + 0.25
+                rank = min(len(s), int(np.ceil((1 - reject) * (len(s) + 1))))
+                model.limit[i] = s[rank - 1]
     return model
 
 
@@ -191,20 +210,31 @@ def _kept(model: Model, text_col: str):
 
 
 def _scored(model: Model):
+    def resolved(codes: np.ndarray) -> np.ndarray:
+        return np.stack([model.log_prob(i, codes) for i in range(len(model.langs))], 1).astype(np.float32) if model.langs else np.zeros((len(codes), 0), np.float32)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = np.full(ALPHABET**ORDER, -1, np.int32)
+        kept = np.full(CACHED**ORDER, -1, np.int32)
         values = np.zeros((0, len(model.langs)), np.float32)
         names = np.array([*model.langs, UNKNOWN], object)
         for batch in batches:
             for part in slices(batch, 1):
                 code, first, letters = letter_codes(part.column(1).to_pylist(), model.table)
-                new = np.unique(code[kept[code] < 0])
+                at = _short(code)
+                near = at >= 0
+                rows = np.where(near, kept[at], 0)
+                new = np.unique(code[rows < 0])
                 if len(new):
-                    kept[new] = np.arange(len(values), len(values) + len(new))
-                    values = np.concatenate([values, np.stack([model.log_prob(i, new) for i in range(len(model.langs))], 1).astype(np.float32) if model.langs else np.zeros((len(new), 0), np.float32)])
-                rows = kept[code]
+                    kept[_short(new)] = np.arange(len(values), len(values) + len(new))
+                    values = np.concatenate([values, resolved(new)])
+                    rows = np.where(near, kept[at], 0)
+                known = values
+                if not near.all():
+                    rare, place = np.unique(code[~near], return_inverse=True)
+                    rows[~near] = len(values) + place
+                    known = np.concatenate([values, resolved(rare)])
                 n = np.diff(first)
-                total = np.stack([row_sums(values[rows, i].astype(np.float64), first) for i in range(len(model.langs))], 1) if model.langs else np.zeros((len(n), 1))
+                total = np.stack([row_sums(known[rows, i].astype(np.float64), first) for i in range(len(model.langs))], 1) if model.langs else np.zeros((len(n), 1))
                 mean = total / np.maximum(n, 1)[:, None]
                 best = mean.argmax(1)
                 score = 1 / np.exp((mean - mean.max(1, keepdims=True)) * np.sqrt(np.maximum(n, 1))[:, None] * 2).sum(1)

@@ -20,6 +20,36 @@ def test_language_held_out(spark):
     assert {r.lang_pred for r in L.identify(odd, empty).collect()} == {"und"}
 
 
+def test_rejection_follows_the_fold(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) > 500")
+    known = docs.where("lang <> 'es'")
+    model = L.fit(known.where(L.learned_rows()))
+    share = lambda d: L.identify(d, model).agg(F.avg(F.col("rejected").cast("double"))).first()[0]
+    other, own = share(docs.where("lang = 'es'")), share(known.where(~L.learned_rows()))
+    print(other, own)
+    assert other > 0.9 and own < 0.01
+    texts = [(i, "alpha beta gamma delta " * (3 + i % 5), "x") for i in range(8000)] + [(9000, "zq xj vw kk " * 30, "x")]
+    one = L.fit(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
+    assert one.limit[0] < 0.2  # a single odd text doesn't move the cut
+
+
+def test_two_languages_of_a_late_script(spark):
+    import random
+
+    rnd = random.Random(3)
+    many = [chr(c) for c in (*range(0x561, 0x587), *range(0x10D0, 0x10F1), *range(0x3B1, 0x3C9))]  # over 90 letters of three scripts
+    first, second = [chr(0x430 + i) for i in range(0, 32, 2)], [chr(0x430 + i) for i in range(1, 32, 2)]
+
+    def text(letters, n):
+        return " ".join("".join(rnd.choice(letters) for _ in range(rnd.randrange(3, 8))) for _ in range(n))
+
+    rows = [(i, text(many, 300), "big") for i in range(60)] + [(100 + i, text(first, 40), "ru") for i in range(60)] + [(200 + i, text(second, 40), "bg") for i in range(60)]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    new = [(i, text(first if i % 2 else second, 60)) for i in range(40)]
+    got = L.identify(spark.createDataFrame(new, "doc_id long, text string"), model).collect()
+    assert [r.lang_pred for r in got] == ["ru" if r.doc_id % 2 else "bg" for r in got]
+
+
 def test_kneser_ney_sums_to_one():
     import numpy as np
 
