@@ -89,6 +89,16 @@ def tolerance_pairs(spark, d):
     return J.tolerance_pairs(listings(spark, d).where("source in ('caseasta','idealista')"), "listing_id", ["town"], {"sqm": 0.03, "price": 0.02})
 
 
+@query(f"""{L}, t as (select * from l where sqm > 0) select a.listing_id as a, b.listing_id as b from t a join t b on a.town = b.town and a.listing_id < b.listing_id and a.source <> b.source
+  and abs(a.sqm - b.sqm) <= 0.03 * greatest(a.sqm, b.sqm) and abs(a.price - b.price) <= 0.02 * greatest(a.price, b.price)""")
+def portal_pairs(spark, d):
+    """The two-portal rule over all sources."""
+    rows = listings(spark, d)
+    pairs, of = J.tolerance_pairs(rows, "listing_id", ["town"], {"sqm": 0.03, "price": 0.02}), rows.select("listing_id", "source")
+    pairs = pairs.join(of.select(F.col("listing_id").alias("a"), F.col("source").alias("sa")), "a").join(of.select(F.col("listing_id").alias("b"), F.col("source").alias("sb")), "b")
+    return pairs.where("sa <> sb").select("a", "b")
+
+
 @query(f"""{L}, e as (select a.listing_id as x, b.listing_id as y from l a join l b on lower(trim(a.court)) = lower(trim(b.court)) and a.procedure = b.procedure and a.lot = b.lot)
 select x as listing_id, min(y) as property_id from e group by x union all select listing_id, listing_id from l where lot is null""")
 def same_lot_properties(spark, d):
@@ -123,6 +133,20 @@ def snapshot_diff(spark, d):
     return J.diff(at(350), at(357), "part", ["price"])
 
 
+@query(f"""with w as ({_WEEKS.format(lineitem='lineitem')}), k as (select week, row_number() over (order by week) as n from (select distinct week from w)), x as (select part, price, n from w join k using (week)),
+c as (select coalesce(a.part, b.part) as part, coalesce(a.n, b.n + 1) as n, case when b.part is null then 'new' when a.part is null then 'gone' when a.price is not distinct from b.price then 'same' else 'changed' end as change
+  from x a full join x b on a.part = b.part and a.n = b.n + 1)
+select part, week, change from c join k using (n)""")
+def weekly_changes(spark, d):
+    """Every week against the week before, the first against none."""
+    w = _weeks(spark, d)
+    weeks = w.select("week").distinct().withColumn("n", F.row_number().over(Window.orderBy("week")))
+    x = w.join(F.broadcast(weeks), "week")
+    key = F.struct("part", "n")
+    changes = J.diff(x.select(key.alias("key"), "price"), x.select(F.struct("part", (F.col("n") + 1).alias("n")).alias("key"), "price"), "key", ["price"])
+    return changes.select("key.*", "change").join(F.broadcast(weeks), "n").select("part", "week", "change")
+
+
 @query(f"""with w as ({_WEEKS.format(lineitem='lineitem')}), p as (select *, lag(price) over (partition by part order by week) as prev_price from w)
 select part, week, price, prev_price, cast(sum(case when price < prev_price then 1 else 0 end) over (partition by part order by week rows unbounded preceding) as bigint) as failed from p""")
 def price_history(spark, d):
@@ -144,6 +168,15 @@ def as_of_announcement(spark, d):
     return J.as_of(o.where("listing % 3 = 1").drop("price"), log, "custkey", "o_orderdate", "o_orderdate", ["price"]).select("listing", "last_price")
 
 
+@query("""select o.o_orderkey as listing, max_by(p.o_totalprice, strftime(p.o_orderdate, '%Y%m%d%H%M%S') || lpad(cast(p.o_orderkey as varchar), 12, '0')) as last_price from orders o left join orders p on p.o_custkey = o.o_custkey and p.o_orderdate < o.o_orderdate
+  group by o.o_orderkey""")
+def as_of_all_orders(spark, d):
+    """Each order looked up in the log of all earlier orders."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("listing"), F.col("o_custkey").alias("custkey"), "o_orderdate", F.col("o_totalprice").alias("price"))
+    log = o.groupBy("custkey", "o_orderdate").agg(F.max_by("price", "listing").alias("price"))
+    return J.as_of(o.drop("price"), log, "custkey", "o_orderdate", "o_orderdate", ["price"]).select("listing", "last_price")
+
+
 @query("""with s as (select user_id, event_id, ts, value > 50 as stale, row_number() over (partition by user_id order by ts, event_id) as pos from events),
 i as (select *, sum(case when stale then 0 else 1 end) over (partition by user_id order by pos rows unbounded preceding) as island from s),
 r as (select *, sum(case when stale then 1 else 0 end) over (partition by user_id, island order by pos rows unbounded preceding) as streak from i),
