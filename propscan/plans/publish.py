@@ -11,13 +11,20 @@ CHANNELS = ["ASTE", "IMM_ID"]
 
 
 def report_document(run_date: str, announced: DataFrame, discarded: DataFrame, config_hash: str) -> DataFrame:
-    """One JSON document a run: ``announced`` is at most a report's slots; discarded ids are by reason."""
+    """One JSON document a run: ``announced`` is at most a report's slots; of discarded rows it holds the number by reason,
+    their ids are rows of ``publish_discarded``."""
     items = announced.agg(F.coalesce(F.sort_array(F.collect_list(F.struct("position", "listing_id", "vote", "outcome", "price"))), F.array()).alias("opportunita"))
-    reasons = discarded.groupBy("reason").agg(F.sort_array(F.collect_list("listing_id")).alias("ids")).agg(F.map_from_entries(F.collect_list(F.struct("reason", "ids"))).alias("scartate"))
+    reasons = discarded.groupBy("reason").agg(F.count("*").alias("n")).agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("reason", "n")))).alias("scartate"))
     meta = F.struct(F.lit(run_date).alias("data"), F.lit(config_hash).alias("hash_config"))
     return items.crossJoin(reasons).select(F.to_json(F.struct(meta.alias("meta"), "opportunita", "scartate")).alias("value"))
 
 
+def publish_discarded(discarded: DataFrame, path: str) -> None:
+    """Write ``reason, listing_id`` in a folder a reason, in files sorted by id that share no range of ids."""
+    rows = discarded.select("reason", "listing_id").repartitionByRange("reason", "listing_id").sortWithinPartitions("reason", "listing_id")
+    rows.write.partitionBy("reason").mode("overwrite").parquet(path)
+
+
 def publish(announced: DataFrame, registry_path: str, run_date: str, file: str) -> None:
     """Write registry rows of a report; a second run of the same file replaces its rows."""
     rows = announced.select(F.col("listing_id").alias("id"), F.lit(run_date).alias("date"), "channel", "vote", F.lit(file).alias("file"))

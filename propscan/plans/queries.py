@@ -338,6 +338,17 @@ def key_audit(spark, d):
     return listings(spark, d).groupBy("source").agg(F.count_if(F.col("listing_id").rlike("^[a-z]+_[0-9]+$")).alias("well_formed"), (F.count("*") - F.count_distinct("custkey")).alias("repeated"))
 
 
+@query(f"{_EVAL} select reason, listing_id from o where reason is not null and outcome = 'SCARTA'")
+def discarded_listings(spark, d):
+    """One row a discarded listing; ``publish.publish_discarded`` writes them by reason."""
+    return evaluated(listings(spark, d), RUN_DATE).where("reason is not null and outcome = 'SCARTA'").select("reason", "listing_id")
+
+
+@query(f"{_EVAL} select reason, count(*) as n from o where reason is not null and outcome = 'SCARTA' group by reason")
+def discarded_counts(spark, d):
+    return discarded_listings(spark, d).groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query(f"{L}, e as (select source, count(*) + 10 as expected from l group by source), f as (select source, count(*) as found from l where number % 3 > 0 group by source) select source, expected, coalesce(found, 0) as found, coalesce(found, 0) / expected as share from e left join f using (source)")
 def hub_coverage(spark, d):
     rows = listings(spark, d)
