@@ -2,7 +2,9 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-from propscan.llm.packing import encoder, pack, pack_lengths
+import pyarrow as pa
+from propscan.llm.packing import Encoder, pack, pack_lengths
+from pyspark.sql import functions as F
 
 FILE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -15,8 +17,11 @@ def test_word_cache_equals_whole_text():
     import duckdb
 
     texts += [r[0] for r in duckdb.connect().execute("select text from '/root/testdata/sf0.001/documents.parquet'").fetchall()]
-    got = [np.frombuffer(b, "<u4").tolist() for b in encoder(FILE)(texts)]
-    assert got == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+    want = [[*t.encode(x or "", add_special_tokens=False).ids, 0] for x in texts]
+    e = Encoder(FILE)
+    for part in (slice(0, 9), slice(0, None)):  # new words, then known ones too
+        ids, off = e.encode(pa.array(texts[part], pa.string()))
+        assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:])] == want[part]
 
 
 def test_plan_uses_each_piece_once_and_few_sequences():
@@ -42,3 +47,23 @@ def test_pieces(spark):
     assert sorted(r.length for r in got if r.doc_id == 1) == [905, 2048, 2048]
     assert [r.ids_crc32 for r in got if r.doc_id == 2] == [zlib.crc32(b"\0\0\0\0")]
     assert len(got) == 8 and pack(spark.createDataFrame([], "doc_id long, text string"), FILE).count() == 0
+
+
+def test_places_are_gapless(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("length", F.lit("x")).withColumn("slice", F.lit(None).cast("int"))
+    got = pack(docs.union(docs.where("doc_id % 3 = 0")), FILE).collect()
+    spans, pieces = {}, {}
+    for r in got:
+        spans.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        pieces.setdefault(r.doc_id, set()).add((r.piece, r.start, r.length))
+    for found in spans.values():
+        at = 0
+        for offset, length in sorted(found):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    total = sum(r.length for r in got)
+    assert len(spans) <= 1.02 * total / 2048 + 2
+    for found in pieces.values():
+        ends = {start + length for _, start, length in found}
+        assert {start for _, start, _ in found} == {0, *ends} - {max(ends)}
