@@ -8,8 +8,9 @@ windows over the small table of nodes. Each leaf then takes a token-prefix of it
 seeded epochs: documents in the order of md5(seed, epoch, id), whole epochs first, then those of
 the next epoch that begin before the budget ends. Column expressions only.
 
-Running sums in a leaf are two-level (slices of the hash order, then within a slice), so a source
-with a third of all rows is not one task's work; slices follow the leaf's number of rows.
+Running sums in a leaf are two-level: about sqrt(n) slices of the hash order, then within a slice, so a
+source with a third of all rows is not one task's work. Rows meet their leaf's budget by (leaf, salt), a
+key that doesn't hold a leaf together, so the sums within slices are dealt by slice.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import functions as F
 
 from propscan.storage import written
 
-#: Documents of a leaf that are ordered together, about.
-SLICE_ROWS = 20_000
+#: Parts that the rows of a leaf are dealt in when they meet its budget.
+SALTS = 128
 
 
 def n_tokens(text: Column) -> Column:
@@ -68,35 +69,39 @@ def leaf_budgets(supply: DataFrame, levels: list[str], weights: list[dict[str, f
 
 def mix(
     docs: DataFrame, levels: dict[str, Column], weights: list[dict[str, float]], share: float = 0.6, max_epochs: int = 2, seed: int = 17,
-    id_col: str = "doc_id", text_col: str = "text", slice_rows: int = SLICE_ROWS,
+    id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Return ``doc_id, <levels>, n_tokens, epoch, start``: documents chosen, once for each epoch that takes them.
 
     ``share`` times the tokens of all rows are given out. ``start`` is the document's first token in
     its epoch's order of the leaf; a document is taken whole if it begins before the leaf's budget
     ends, so a leaf exceeds it by less than one document. Texts without words are never taken. Null
-    levels are ``unknown``. Repeated rows and rows without an id are documents of their own (equal
-    ones are ordered by text). An empty table gives no rows.
+    levels are ``unknown``. Repeated rows and rows without an id are documents of their own (rows of one id
+    are ordered by text, rows without an id by a hash of it). An empty table gives no rows. Columns named in
+    ``carry`` (as none of the result's own) are returned too; other columns are ignored.
     """
     names = list(levels)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_text"), *[F.coalesce(c.cast("string"), F.lit("unknown")).alias(n) for n, c in levels.items()])
-    rows = rows.select("doc_id", *names, n_tokens(F.col("_text")).alias("n_tokens"), F.md5(F.coalesce("_text", F.lit(""))).alias("_tie")).where("n_tokens > 0")
+    extra = [F.col(c).alias(f"_carry_{i}") for i, c in enumerate(carry)]
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_text"), *extra, *[F.coalesce(c.cast("string"), F.lit("unknown")).alias(n) for n, c in levels.items()])
+    held = [f"_carry_{i}" for i in range(len(carry))]
+    rows = rows.select("doc_id", *held, *names, n_tokens(F.col("_text")).alias("n_tokens"), F.md5(F.coalesce("_text", F.lit(""))).alias("_tie")).where("n_tokens > 0")
     rows = written(rows, "mix-rows")  # texts are read once
     supply = rows.groupBy(*names).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("docs"))
     leaves = leaf_budgets(supply, names, weights, F.sum("tokens") * share, max_epochs)
     leaves = leaves.withColumn("full", F.floor(F.col("budget") / F.col("tokens")).cast("int")).withColumn("part", F.col("budget") - F.col("full") * F.col("tokens"))
-    leaves = leaves.withColumn("slices", F.ceil(F.col("docs") / slice_rows).cast("long")).drop("docs", "budget", "tokens")
-    taken = rows.join(leaves, names).where("full > 0 or part > 0")
+    leaves = leaves.withColumn("slices", F.ceil(F.sqrt("docs")).cast("long")).drop("docs", "budget", "tokens").where("full > 0 or part > 0")
+    leaves = leaves.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    taken = rows.withColumn("_salt", F.pmod(F.xxhash64("_tie", "doc_id", *held), F.lit(SALTS)).cast("int")).join(leaves, [*names, "_salt"]).drop("_salt")
     epochs = F.expr("sequence(0, full - if(part > 0, 0, 1))")
     taken = taken.withColumn("epoch", F.explode(epochs))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.col("_tie"))))
     taken = taken.withColumn("_key", key).withColumn("_slice", F.floor(F.conv(F.substring("_key", 1, 8), 16, 10).cast("long") * F.col("slices") / (1 << 32)))
     leaf = [*names, "epoch"]
     before = Window.partitionBy(*leaf).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = taken.groupBy(*leaf, "_slice").agg(F.sum("n_tokens").alias("sum")).withColumn("base", F.coalesce(F.sum("sum").over(before), F.lit(0))).drop("sum")
-    within = Window.partitionBy(*leaf, "_slice").orderBy("_key", "_tie").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy(*leaf, "_slice").orderBy("_key", "_tie", *held).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     taken = taken.withColumn("upto", F.sum("n_tokens").over(within)).join(bases, [*leaf, "_slice"]).withColumn("start", F.col("base") + F.col("upto") - F.col("n_tokens"))
-    return taken.where("epoch < full or start < part").select("doc_id", *names, "n_tokens", "epoch", "start")
+    return taken.where("epoch < full or start < part").select("doc_id", *names, "n_tokens", "epoch", "start", *[F.col(h).alias(c) for h, c in zip(held, carry, strict=True)])
 
 
 def oracle_sql(domain: str, share: float, max_epochs: int, seed: int, weights: list[dict[str, float]]) -> str:
