@@ -10,17 +10,21 @@ global order, document frequency and then hash:
   is looked up by walking the tree, adding each edge's overlap once for all sets below it and
   leaving subtrees whose remaining length can't reach the needed overlap.
 
-Frequencies come from one shuffle of packed hashes, not of rows. A shingle in only one set can't be
-shared, so a set with fewer than ``t * n`` shared shingles has no partner and goes no further. Exact
+Frequencies come from one shuffle of packed hashes, not of rows. A shingle that a sample of the sets shows
+to be very common isn't counted, as a third of all sets may hold it: it is the last of the order in any
+case, so its postings go to their sets by way of buckets that are dealt by set. A shingle in only one set
+can't be shared, so a set with fewer than ``t * n`` shared shingles has no partner and goes no further. Exact
 copies collapse to one set before anything else. Families larger than a block are cut into blocks:
 each block is joined within itself, what links becomes one component, and then only the sets outside
 the family's largest component meet the other blocks. Sets already in one component are not compared
 again, so a group of copies costs about one look-up a member.
 
-That short cut serves components only. With ``n_links`` every pair of blocks of a family is joined in
-full by counting shared shingles (dense products for frequent shingles, pair counts for rare ones), and
-each set's links are added up, weighted by copies. Both are exact up to collisions of the hashes: 64
-bits name a set, and beyond a bucket a shingle keeps 48 bits and its frequency.
+That short cut serves components only. With ``n_links`` the sets of a family are parted by size, so that
+sets that link lie in one part or in neighbouring ones, and every pair of blocks of such parts is joined in
+full by counting shared shingles (dense products for frequent shingles, pair counts for rare ones); each
+set's links are added up, weighted by copies. Both are exact up to collisions of the hashes: 64 bits name
+a set, 48 bits and the frequency name a shingle. Texts are shingled twice, for names and for postings, as
+keeping the postings on disk would cost more than the second reading.
 """
 
 from __future__ import annotations
@@ -38,8 +42,11 @@ from propscan.storage import removed, written
 
 #: Shingles of a bucket that are counted together, about; the number of buckets follows the input.
 BUCKET_TOKENS = 2_000_000
-#: Shingles that a task gathers before it hands them on.
+#: Shingles that a task gathers before it hands them on, at least.
 FLUSH_TOKENS = 800_000
+#: One set in so many, by its hash, tells which shingles are very common: those in this share of such sets, and
+#: in so many of them at least. At most so many are treated apart; the others are counted like rare ones.
+SAMPLE_OF, COMMON_SHARE, COMMON_LEAST, COMMON_MOST = 64, 0.001, 20, 200_000
 #: Sets of a family that one prefix tree holds.
 BLOCK = 512
 #: Sets of a family that are joined in full with as many others in one task.
@@ -47,6 +54,7 @@ LINK_BLOCK = 1024
 #: Shingles in this many sets of a task or fewer are counted by pairs.
 RARE = 16
 _LOW48 = np.uint64((1 << 48) - 1)
+_COMMON = np.uint64(65535 << 48)
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray, k: int) -> Iterator[np.ndarray]:
@@ -68,17 +76,23 @@ def set_id(hashes: np.ndarray) -> int:
     return int(mix(np.atleast_1d((mix(hashes) * power).sum(dtype=np.uint64) + np.uint64(len(hashes)))).view(np.int64)[0])
 
 
-def _document_sets(k: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("sid", pa.int64())])
+def _document_sets(k: int, sample_of: int):
+    """Size and name of each row's set, and the shingles of sampled sets where a task first meets them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
-            sizes, sids = [], []
-            for _, _, data, off in chunks(batch.column(1)):
+            sizes, sids, sampled = [], [], []
+            for _, _, data, off in chunks(batch.column(0)):
                 for s in shingle_sets(data, off, k):
                     sizes.append(len(s))
                     sids.append(set_id(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sizes, pa.int64()), pa.array(sids, pa.int64())], schema=schema)
+                    first = len(s) and sids[-1] % sample_of == 0 and sids[-1] not in seen
+                    sampled.append(s.view(np.int64) if first else None)
+                    if first:
+                        seen.add(sids[-1])
+            columns = [*batch.columns[1:], pa.array(sizes, pa.int64()), pa.array(sids, pa.int64()), pa.array(sampled, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[1:], "n_shingles", "sid", "sampled"])
 
     return run
 
@@ -111,14 +125,21 @@ def _by_bucket(sids: np.ndarray, ns: np.ndarray, owner: np.ndarray, bucket: np.n
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PACKED_ARROW.types, strict=True)], schema=_PACKED_ARROW)
 
 
-def _token_buckets(k: int, buckets: int):
-    """Each task's distinct sets as packed tokens by bucket: top bits choose the bucket, 48 bits remain."""
+def _token_buckets(k: int, buckets: int, common: np.ndarray):
+    """Each task's distinct sets as packed tokens by bucket: top bits choose the bucket, 48 bits remain.
+
+    Tokens that are ``common`` (sorted) go to buckets below 0, which the set chooses."""
+    enough = max(FLUSH_TOKENS, min(4_000_000, 32 * buckets))
 
     def flush(sets: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
-        sizes = np.array([len(s) for _, s in sets], np.int32)
-        tokens = np.concatenate([s for _, s in sets])
-        bucket = ((tokens >> np.uint64(48)) * np.uint64(buckets) >> np.uint64(16)).astype(np.int32)
-        return _by_bucket(np.array([i for i, _ in sets], np.int64), sizes, np.repeat(np.arange(len(sets), dtype=np.int32), sizes), bucket, tokens & _LOW48, 6)
+        names, sizes = np.array([i for i, _ in sets], np.int64), np.array([len(s) for _, s in sets], np.int32)
+        owner, tokens = np.repeat(np.arange(len(sets), dtype=np.int32), sizes), np.concatenate([s for _, s in sets])
+        bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        if len(common):
+            often = common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens
+            by_set = (names.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+            bucket[often] = -1 - by_set[owner[often]]
+        return _by_bucket(names, sizes, owner, bucket, tokens & _LOW48, 6)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -133,7 +154,7 @@ def _token_buckets(k: int, buckets: int):
                         seen.add(i)
                         held.append((i, s))
                         size += len(s)
-                if size >= FLUSH_TOKENS:
+                if size >= enough:
                     yield flush(held)
                     held, size = [], 0
         if held:
@@ -143,10 +164,14 @@ def _token_buckets(k: int, buckets: int):
 
 
 def _shared_tokens(buckets: int):
-    """Of one bucket's tokens, those in two sets or more, ranked by frequency, dealt by set."""
+    """Of one bucket's tokens, those in two sets or more, ranked by frequency, dealt by set; common ones rank last."""
 
     def run(table: pa.Table) -> pa.Table:
         sids, ns, tokens = _unpacked(table, 6)
+        if (bucket := table.column("bucket")[0].as_py()) < 0:
+            order = np.argsort(sids, kind="stable")
+            s, ranks = sids[order], _COMMON | tokens[order]
+            return pa.Table.from_batches([_by_bucket(s, ns[order], np.searchsorted(s, s).astype(np.int32), np.full(len(s), -1 - bucket, np.int32), ranks, 8)])
         order = np.argsort(tokens, kind="stable")
         same = tokens[order][1:] == tokens[order][:-1]
         order = order[np.r_[False, same] | np.r_[same, False]]
@@ -159,7 +184,7 @@ def _shared_tokens(buckets: int):
         order, t, df = order[df >= 2], t[df >= 2], df[df >= 2]
         if not len(order):
             return _PACKED_ARROW.empty_table()
-        rank = np.minimum(df, 65535).astype(np.uint64) << np.uint64(48) | t
+        rank = np.minimum(df, 65534).astype(np.uint64) << np.uint64(48) | t
         s, n = sids[order], ns[order]
         by_set = np.argsort(s, kind="stable")
         s, n, rank = s[by_set], n[by_set], rank[by_set]
@@ -180,6 +205,8 @@ def _partners_possible(percent: int):
         sids, ns, ranks = _unpacked(table, 8)
         order = np.lexsort((ranks, sids))
         sids, ns, ranks = sids[order], ns[order], ranks[order]
+        once = np.r_[True, (sids[1:] != sids[:-1]) | (ranks[1:] != ranks[:-1])]  # two tasks may have sent a set's common tokens
+        sids, ns, ranks = sids[once], ns[once], ranks[once]
         at = np.flatnonzero(np.r_[True, sids[1:] != sids[:-1]])
         ends = np.r_[at[1:], len(sids)]
         keep = np.flatnonzero((ends - at) * 100 >= percent * ns[at].astype(np.int64))
@@ -316,16 +343,18 @@ def _blocks(members: DataFrame, block: int) -> DataFrame:
     return members.join(sizes, ["family", "minor"]).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
 
 
-def _families(prefix: DataFrame) -> DataFrame:
+def _families(sets: DataFrame, percent: int) -> DataFrame:
     """``node, component`` of the sets that rare shingles tie together."""
+    prefix = written(sets.mapInArrow(_prefix_tokens(percent), "token long, sid long"), "prefix")
     heads = prefix.groupBy("token").agg(F.min("sid").alias("head"), F.count("*").alias("c")).where("c > 1").select("token", "head")
-    return connected_components(prefix.join(heads, "token").where("sid <> head").select("sid", "head").distinct(), "sid", "head")
+    found = connected_components(prefix.join(heads, "token").where("sid <> head").select("sid", "head").distinct(), "sid", "head")
+    removed(sets.sparkSession, prefix)
+    return found
 
 
-def _links(sets: DataFrame, percent: int, block: int) -> DataFrame:
-    """A spanning set of links ``(a, b)`` between set ids."""
-    prefix = written(sets.mapInArrow(_prefix_tokens(percent), "token long, sid long"), "prefix")
-    families = _families(prefix)
+def _links(sets: DataFrame, percent: int, block: int) -> tuple[DataFrame, list[DataFrame]]:
+    """A spanning set of links ``(a, b)`` between set ids, and the written tables that it reads."""
+    families = _families(sets, percent)
     members = sets.join(families, sets.sid == families.node).select("sid", "n", "ranks", F.col("component").alias("family"), F.lit(0).alias("minor"))
     members = written(_blocks(members, block), "members")
 
@@ -335,12 +364,12 @@ def _links(sets: DataFrame, percent: int, block: int) -> DataFrame:
     # Families of several blocks: sets outside the largest component meet every other block.
     cut = members.where("blocks > 1").drop("minor", "blocks", "block")
     if cut.isEmpty():
-        return inner
+        return inner, [members, inner]
     joined = connected_components(inner, "a", "b").withColumnRenamed("node", "sid")
     cut = cut.join(joined, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     largest = cut.groupBy("family", "component").count().groupBy("family").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
     cut = cut.join(largest, "family").withColumn("minor", F.when(F.col("component") == F.col("largest"), 0).otherwise(1)).drop("largest")
-    cut = written(_blocks(cut, block), "cut")
+    cut = kept = written(_blocks(cut, block), "cut")
     counts = cut.groupBy("family").agg(F.coalesce(F.max(F.expr("if(minor = 1, blocks, 0)")), F.lit(0)).alias("minors"))
     cut = cut.join(counts, "family").where("minors > 0")
     majors = cut.where("minor = 0").withColumn("pair", F.explode(F.expr("transform(sequence(0, minors - 1), j -> struct(-1 - block as i, j as j, 0 as side))")))
@@ -354,7 +383,7 @@ def _links(sets: DataFrame, percent: int, block: int) -> DataFrame:
     minors = all_blocks.withColumn("pair", F.explode(meets))
     fields = ["family", "sid", "n", "ranks", "component", "pair.i", "pair.j", "pair.side"]
     pairs = majors.select(*fields).union(minors.select(*fields))
-    return inner.union(pairs.groupBy("family", "i", "j").applyInArrow(_tree_join(percent), _LINKS))
+    return inner.union(pairs.groupBy("family", "i", "j").applyInArrow(_tree_join(percent), _LINKS)), [members, inner, kept]
 
 
 def _shared_counts(owner: np.ndarray, token: np.ndarray, n: int, split: int) -> np.ndarray:
@@ -389,11 +418,12 @@ def _full_join(percent: int):
     """All links of one block, or between the two sides of a pair of blocks: rows ``(a, null, n)`` with the
     documents that set ``a`` links to, and rows ``(a, b, null)`` that span the components."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        _, _, up, first, second = (x.as_py() for x in key)
         table = table.sort_by("side")
         sids, size, copies, side = (table.column(c).to_numpy().astype(np.int64) for c in ("sid", "n", "copies", "side"))
         n, split = len(sids), int(np.searchsorted(side, 1))
-        if split == 0:
+        if split == 0 or (split == n and (up or first != second)):  # a block of the pair is empty
             return _COUNTED_ARROW.empty_table()
         ranks = [np.frombuffer(x, np.uint64) for x in table.column("ranks").to_pylist()]
         owner = np.repeat(np.arange(n), [len(r) for r in ranks])
@@ -438,20 +468,38 @@ def _full_join(percent: int):
     return run
 
 
-def _counted_links(sets: DataFrame, copies: DataFrame, percent: int, block: int) -> DataFrame:
-    """Rows of ``_full_join`` over all pairs of blocks of each family; ``copies``: ``sid, copies``."""
-    families = _families(written(sets.mapInArrow(_prefix_tokens(percent), "token long, sid long"), "prefix"))
+def _counted_links(sets: DataFrame, copies: DataFrame, percent: int, block: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows of ``_full_join`` over all pairs of blocks of each family whose sizes can link, and the written tables
+    that they come from; ``copies``: ``sid, copies``."""
+    families = _families(sets, percent)
     families = families.join(copies, families.node == copies.sid).select("node", "component", "copies")
-    members = sets.join(families, sets.sid == families.node).select("sid", "n", "copies", "ranks", F.col("component").alias("family"), F.lit(0).alias("minor"))
-    meets = F.expr("transform(sequence(0, blocks - 1), j -> struct(least(block, j) as i, greatest(block, j) as j, if(j < block, 1, 0) as side))")
-    pairs = written(_blocks(members, block), "members").withColumn("pair", F.explode(meets))
-    pairs = pairs.select("family", "sid", "n", "copies", "ranks", "pair.i", "pair.j", "pair.side")
-    return pairs.groupBy("family", "i", "j").applyInArrow(_full_join(percent), _COUNTED)
+    part = F.floor(F.log("n") / F.log(F.lit(100 / percent * (1 + 1e-9)))).cast("int")  # sets that link differ by 1 at most
+    members = sets.join(families, sets.sid == families.node).select("sid", "n", "copies", "ranks", F.col("component").alias("family"), part.alias("part"))
+    members = stored = written(members, "members")
+    sizes = written(members.groupBy("family", "part").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "parts")
+    near = sizes.join(sizes.select("family", (F.col("part") - 1).alias("part"), F.col("blocks").alias("above")), ["family", "part"], "left")
+    near = near.join(sizes.select("family", (F.col("part") + 1).alias("part"), F.col("blocks").alias("below")), ["family", "part"], "left")
+    members = members.join(near, ["family", "part"]).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
+    meets = F.expr(
+        "concat(transform(sequence(0, blocks - 1), j -> struct(part as part, 0 as up, least(block, j) as i, greatest(block, j) as j, if(j < block, 1, 0) as side)),"
+        " if(above is null, array(), transform(sequence(0, above - 1), j -> struct(part as part, 1 as up, block as i, j as j, 0 as side))),"
+        " if(below is null, array(), transform(sequence(0, below - 1), i -> struct(part - 1 as part, 1 as up, i as i, block as j, 1 as side))))"
+    )
+    pairs = members.withColumn("pair", F.explode(meets)).select("family", "sid", "n", "copies", "ranks", "pair.part", "pair.up", "pair.i", "pair.j", "pair.side")
+    return pairs.groupBy("family", "part", "up", "i", "j").applyInArrow(_full_join(percent), _COUNTED), [stored, sizes]
+
+
+def _common_tokens(ids: DataFrame, share: float, least: int) -> np.ndarray:
+    """Shingles that are very common by the sampled sets of ``ids``, sorted; at most ``COMMON_MOST``."""
+    sampled = ids.where("sampled is not null").select("sid", "sampled").dropDuplicates(["sid"])
+    enough = max(least, int(share * sampled.count()))
+    tokens = sampled.select(F.explode("sampled").alias("token")).groupBy("token").count().where(F.col("count") >= enough)
+    return np.sort(np.array([r.token for r in tokens.orderBy(F.desc("count"), "token").limit(COMMON_MOST).collect()], np.int64).view(np.uint64))
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, block: int = BLOCK, bucket_tokens: int = BUCKET_TOKENS,
-    n_links: bool = False, link_block: int = LINK_BLOCK,
+    n_links: bool = False, link_block: int = LINK_BLOCK, carry: str | None = None, common: tuple[int, float, int] = (SAMPLE_OF, COMMON_SHARE, COMMON_LEAST),
 ) -> DataFrame:
     """Return ``(doc_id, n_shingles, component_id)`` and with ``n_links`` that column, one row for each row of ``docs``.
 
@@ -461,33 +509,40 @@ def near_duplicates(
     nothing; texts under ``k`` words are one shingle. Repeated rows each give a row. Rows without
     an id are linked like others, but don't name a component. An empty table gives no rows. Other
     columns are ignored, whatever their names. With ``n_links`` a fourth column counts the other rows
-    of ``docs`` that the row links with, rows of equal text among them; no pair is left out.
+    of ``docs`` that the row links with, rows of equal text among them; no pair is left out. With
+    ``carry``, a column that tells rows apart, that column and ``group`` are returned besides: one number for
+    the rows of a component, also where ids are null, and null for rows without a shingle. ``common``:
+    see ``SAMPLE_OF``; it decides where work is done, not what is found.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ids = written(rows.mapInArrow(_document_sets(k), "doc_id long, n_shingles long, sid long"), "sets")
+    rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"), *([F.col(carry).alias("_carry")] if carry else []))
+    plain = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema[1:])
+    ids = written(rows.mapInArrow(_document_sets(k, common[0]), f"{plain}, n_shingles long, sid long, sampled array<long>"), "sets")
     total = ids.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = int(min(65536, max(8, -(-total // bucket_tokens))))
-    packed = rows.select("text").mapInArrow(_token_buckets(k, buckets), _PACKED)
+    buckets = int(max(8, -(-total // bucket_tokens)))
+    packed = rows.select("text").mapInArrow(_token_buckets(k, buckets, _common_tokens(ids, *common[1:])), _PACKED)
     shared = packed.groupBy("bucket").applyInArrow(_shared_tokens(buckets), _PACKED)
     sets = written(shared.groupBy("bucket").applyInArrow(_partners_possible(percent), _SETS), "shared")
     copies = ids.where("sid is not null").groupBy("sid").agg(F.count("*").alias("copies"))
-    found = _counted_links(sets, copies, percent, link_block) if n_links else _links(sets, percent, block)
+    found, read = _counted_links(sets, copies, percent, link_block) if n_links else _links(sets, percent, block)
     links = written(found, "links")
+    removed(spark, sets, *read)
     others = written(links.where("n is not null").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("others")), "others") if n_links else None
     if n_links:
         spanning = written(links.where("n is null").select("a", "b"), "spanning")
         removed(spark, links)
         links = spanning
     linked = connected_components(links, "a", "b")
-    removed(spark, links, sets)
+    removed(spark, links)
 
     first = ids.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"), (F.count("*") - 1).alias("n_links"))
     if n_links:
         first = first.join(others, "sid", "left").select("sid", "first_id", (F.col("n_links") + F.coalesce("others", F.lit(0))).alias("n_links"))
     named = first.join(linked, first.sid == linked.node, "left").select("sid", "first_id", "n_links", F.coalesce("component", "sid").alias("component"))
     named = written(named, "named")
+    removed(spark, linked, *([others] if n_links else []))
     roots = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    named = named.join(roots, "component").select("sid", "component_id", "n_links")
+    named = named.join(roots, "component").select("sid", "component_id", "n_links", F.col("component").alias("group"))
     count = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if n_links else []
-    return ids.join(named, "sid", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *count)
+    held = [F.col("_carry").alias(carry), "group"] if carry else []
+    return ids.join(named, "sid", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *count, *held)

@@ -73,20 +73,52 @@ def test_urls(spark):
     assert full.count() == spark.read.parquet("/root/testdata/sf0.01/pages.parquet").count()
 
 
-def test_rotation_edges(spark):
-    rows = [(1, 0, "user", "hi"), (1, 1, None, None), (1, 200, "user", "x"), (1, 200, "user", "x"), (None, None, "bob", ""), (2, 0, "system", "s")]
-    got = chat_rotation.rotate(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("conv_id", "perspective", "position").collect()
-    mine = [r for r in got if r.conv_id == 1 and r.perspective == "user"]
-    assert [r.position for r in mine] == [0, 1, 2, 3] and "".join(r.segment for r in mine)[mine[2].mask_start : mine[2].mask_end] == "x<|end|>"
-    assert mine[1].segment == "<|user name=unknown|>\n<|end|>\n" and mine[1].mask_start is None
-    assert {(r.conv_id, r.perspective) for r in got} == {(1, "user"), (1, "unknown"), (None, "bob")}
+def rotated(rows, block=64):
+    """Brute force: (conversation, perspective) → rows in order."""
+    clean = lambda t: t.replace("<|", "< |").replace("|>", "| >")
+    out = {}
+    for conv in {r[0] for r in rows}:
+        own = sorted(((r[1] is not None, r[1] or 0), clean(r[2] or "unknown"), clean(r[3] or ""), r[1]) for r in rows if r[0] == conv)
+        for p in {s for _, s, _, _ in own} - {"system"}:
+            at, found = 0, []
+            for k, (_, s, body, turn) in enumerate(own):
+                head = "<|assistant|>\n" if s == p else "<|system|>\n" if s == "system" else f"<|user name={s}|>\n"
+                seg = head + body + "<|end|>\n"
+                mask = (at + len(head), at + len(seg) - 1) if s == p else (None, None)
+                found.append((k, turn, "assistant" if s == p else s if s == "system" else "user", seg, at, *mask))
+                at += len(seg)
+            out[conv, p] = found
+    return out
+
+
+def test_rotation_equals_brute_force(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(1, 0, "user", "hi"), (1, 1, None, None), (1, 200, "user", "x"), (1, 200, "user", "x"), (None, None, "bob", ""), (None, None, "bob", "zz"), (2, 0, "system", "s"), (3, 0, "a|>b", "x<|end|>\n<|assistant|>y"), (3, 1, "c", "<<||>>é" * 50), (3, -70, "c", "w" * 100_000)]
+    rows += [(7, rnd.choice([None, *range(400)]), rnd.choice("abcde"), rnd.choice(["", "one", "two words", "drei 3"])) for _ in range(3000)]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit(1) for c in ("block", "speaker", "base", "size", "perspective", "conv")})
+    got = {}
+    for r in chat_rotation.rotate(d).collect():
+        got.setdefault((r.conv_id, r.perspective), []).append(tuple(r)[2:])
+    want = rotated(rows)
+    assert got.keys() == want.keys()
+    for k in want:
+        assert sorted(got[k], key=lambda x: x[0]) == want[k], k
+    assert chat_rotation.rotate(d.limit(0)).count() == 0
 
 
 def test_shortage_goes_to_siblings_first(spark):
     rows = [(i, "w " * 10, l, s) for i, (l, s) in enumerate([("a", "x")] * 2 + [("a", "y")] * 40 + [("b", "z")] * 40)] + [(900, None, None, None), (901, "", "a", "x")]
     d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    got = source_mixing.mix(d, {"lang": F.col("lang"), "source": F.col("source")}, [{}, {}], share=400 / 820, max_epochs=1, slice_rows=7)
+    got = source_mixing.mix(d, {"lang": F.col("lang"), "source": F.col("source")}, [{}, {}], share=400 / 820, max_epochs=1)
     assert {(r.lang, r.source): r.n for r in got.groupBy("lang", "source").agg(F.sum("n_tokens").alias("n")).collect()} == {("a", "x"): 20, ("a", "y"): 180, ("b", "z"): 200}
     twice = source_mixing.mix(d, {"lang": F.col("lang")}, [{"b": 0.0}], share=1.0, max_epochs=2)
     assert {r.lang: r.n for r in twice.groupBy("lang").agg(F.sum("n_tokens").alias("n")).collect()} == {"a": 820}
     assert source_mixing.mix(d.limit(0), {"lang": F.col("lang")}, [{}]).count() == 0
+    odd = d.withColumns({c: F.lit(1) for c in ("epoch", "slices", "_salt", "n_tokens", "base", "part")})
+    once = source_mixing.mix(odd.union(odd), {"lang": F.col("lang")}, [{}], share=1.0, max_epochs=1, carry=("part",))
+    assert once.count() == 164 and {r.part for r in once.collect()} == {1}
+    nulls = spark.createDataFrame([(None, f"text {i % 50}", "a") for i in range(400)], "doc_id long, text string, lang string")
+    half = source_mixing.mix(nulls, {"lang": F.col("lang")}, [{}], share=0.5, max_epochs=1).collect()
+    assert sum(r.n_tokens for r in half) == 400 and sorted(r.start for r in half) == list(range(0, 400, 2))

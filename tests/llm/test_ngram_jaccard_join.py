@@ -16,10 +16,13 @@ def brute(rows, k=5, percent=80):
             a = comp[a]
         return a
 
-    ids = sorted(sets)
+    ids, holders = sorted(sets), {}
+    for i in ids:
+        for g in sets[i]:
+            holders.setdefault(g, []).append(i)
     for x in ids:
-        for y in ids:
-            if x < y and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y]):
+        for y in {y for g in sets[x] for y in holders[g]}:
+            if x < y and 100 * len(sets[x] & sets[y]) >= percent * len(sets[x] | sets[y]):
                 a, b = sorted((find(x), find(y)))
                 comp[b] = a
     return sorted((i, len(sets[i]), find(i)) for i in ids)
@@ -68,6 +71,36 @@ def test_links_of_each_document(spark, link_block):
     assert near_duplicates(d.limit(0), n_links=True).count() == 0
 
 
+def test_common_passage_and_whole_table(spark):
+    """Shingles in every text go round the counting, and nothing changes; the whole table by brute force."""
+    rnd = random.Random(4)
+    word = lambda: "w%d" % rnd.randrange(3000)
+    passage = [word() for _ in range(30)]
+    rows = []
+    for i in range(300):
+        b = [word() for _ in range(rnd.choice((5, 20, 60)))] if i % 3 else list(rows[rnd.randrange(len(rows))][1].split()[30:]) if i > 9 else [word()]
+        if b and i % 4 == 0:
+            b[rnd.randrange(len(b))] = word()
+        rows.append((i, " ".join(passage + b)))
+    rows += [(300 + i, rows[3][1]) for i in range(40)] + [(400, None)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    want = brute(rows)
+    for common in ((1, 0.3, 2), (4, 0.5, 2)):
+        for links in (False, True):
+            got = near_duplicates(d, common=common, bucket_tokens=3000, n_links=links, link_block=16, block=16).select("doc_id", "n_shingles", "component_id")
+            assert sorted(map(tuple, got.collect())) == want
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = near_duplicates(docs, n_links=True).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == brute([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_groups_of_rows(spark):
+    rows = [("a", 7, "x y z"), ("b", 7, "x y z"), ("c", None, "X y z"), ("d", 5, "x y z"), ("e", 5, "q r s t u v"), ("f", 1, None), ("g", 1, "")]
+    got = {r.key: r for r in near_duplicates(spark.createDataFrame(rows, "key string, doc_id long, text string"), carry="key").collect()}
+    assert len({got[k].group for k in "abcd"}) == 1 and got["e"].group not in {got["a"].group, None} and got["f"].group is None
+    assert [got[k].component_id for k in "abcdefg"] == [5, 5, 5, 5, 5, 1, 1]
+
+
 def test_empty_and_repeated_rows(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     got = near_duplicates(spark.createDataFrame([(2, "a b"), (2, "a b"), (1, "A b"), (None, "c")], "doc_id long, text string"))
