@@ -21,6 +21,9 @@ class Config:
     efficiency: float = 0.68
     capex_base: float = 525.0
     capex_mezzanine: float = 185.0
+    capex_seismic: float = 140.0
+    capex_strip_out: float = 55.0
+    capex_asbestos: float = 47.5
     charges: float = 0.06
     tariffs: tuple[float, ...] = (261.0, 320.0, 380.0)
     occupancy: float = 0.82
@@ -34,6 +37,7 @@ class Config:
     price_anomaly: float = -0.50
     vote_gain: int = 5
     range_gain: float = 10.0
+    low_height: float = 3.0
     fresh_days: float = 7.0
     stale_days: float = 14.0
     stale_streak: int = 3

@@ -10,12 +10,19 @@ from propscan.functions.parse import INDUSTRIAL, RELEVANT
 
 
 def geography(province: Column, town: Column, targets: list[str], c: Config, distance_km: Column | None = None, radius_km: float = 30.0) -> Column:
+    """Outside the target provinces, or in an excluded town. A row within ``radius_km`` of a target is inside; one whose
+    province and distance are unknown is kept (see ``insufficient``)."""
     inside = province.isin(*targets)
     if distance_km is not None:
-        inside = inside | F.coalesce(distance_km <= radius_km, F.lit(False))
+        inside = F.when(distance_km <= radius_km, F.lit(True)).otherwise(inside)
     return F.when(F.lower(town).isin(*c.excluded_towns), "PERIMETRO_GEOGRAFICO").when(~inside, "PERIMETRO_GEOGRAFICO")
 
 
+def insufficient(fields: dict[str, Column]) -> Column:
+    """Names of the decisive fields that are unknown: such a listing is kept, with DATI_INSUFFICIENTI."""
+    return F.array_compact(F.array(*(F.when(v.isNull(), F.lit(n)) for n, v in fields.items())))
+
+
 def category(kind: Column, text: Column) -> Column:
     hint = F.coalesce(F.lower(text).rlike(RELEVANT), F.lit(False))
     return F.when(kind.isNotNull() & ~kind.isin(*INDUSTRIAL) & ((kind == "garage") | ~hint), "TIPOLOGIA")
@@ -55,14 +62,14 @@ def reasons(df: DataFrame, checks: list[Column]) -> DataFrame:
     return df.withColumn("all_reasons", F.array_compact(F.array(*checks))).withColumn("reason", F.try_element_at("all_reasons", F.lit(1)))
 
 
-def first_city(df: DataFrame, text: str, cities: DataFrame, whole: bool = True) -> DataFrame:
-    """Join each row with the first city (``city, ord``, a short list) that its slug holds; rows without one go.
+def first_city(text: Column, cities: list[str], whole: bool = True) -> Column:
+    """The first of ``cities`` (slugs, in their order) that a slug holds, or null.
 
-    ``whole``: the city must be hyphen-bounded, else any substring counts.
+    ``whole``: the city must be hyphen-bounded or end the slug, else any substring counts.
     """
-    hit = F.contains(F.concat(F.lit("-"), text, F.lit("-")), F.concat(F.lit("-"), "city", F.lit("-"))) if whole else F.contains(F.col(text), F.col("city"))
-    keys = [c for c in df.columns]
-    return df.join(cities, hit).groupBy(*keys).agg(F.min_by("city", "ord").alias("city"))
+    bounded = lambda c: F.contains(F.concat(F.lit("-"), text, F.lit("-")), F.concat(F.lit("-"), c, F.lit("-"))) | F.endswith(text, c)
+    hit = bounded if whole else lambda c: F.contains(text, c)
+    return F.try_element_at(F.filter(F.array(*map(F.lit, cities)), hit), F.lit(1))
 
 
 def path_city(path: Column, cities: list[str]) -> Column:
@@ -82,13 +89,30 @@ def unknown_names(requested: DataFrame, known: DataFrame, name: str) -> DataFram
     return requested.select(name).distinct().join(known, name, "left_anti")
 
 
-def in_searched_city(df: DataFrame, address: str, city: str, group: list[str]) -> DataFrame:
-    """Rows whose address names the searched city; a page (``group``) without any such row is a fallback feed."""
-    from pyspark.sql import Window
+def in_searched_city(address: Column, city: Column) -> Column:
+    """Whether an address names the searched city; unknown ones don't."""
+    return F.coalesce(F.contains(F.lower(address), F.lower(city)), F.lit(False))
+
+
+def fallback_pages(df: DataFrame, address: str, city: str, group: list[str]) -> DataFrame:
+    """``group`` columns of the pages without any address that names the searched city: the site's fallback feed."""
+    hits = df.groupBy(*group).agg(F.count_if(in_searched_city(F.col(address), F.col(city))).alias("_hits"))
+    return hits.where("_hits = 0").drop("_hits")
+
+
+def pruned(payload: Column, fields: dict[str, tuple[str, str]]) -> Column:
+    """A struct of a few paths of a heavy JSON detail: name → (path, type); unreadable values are null."""
+    v = F.try_parse_json(payload)
+    return F.struct(*(F.try_variant_get(v, path, kind).alias(name) for name, (path, kind) in fields.items()))
+
 
-    hit = F.coalesce(F.contains(F.lower(address), F.lower(city)), F.lit(False))
-    page = Window.partitionBy(*group)
-    return df.withColumn("_hit", hit).withColumn("fallback_page", F.sum(F.col("_hit").cast("int")).over(page) == 0).where("_hit").drop("_hit", "fallback_page")
+#: What the evaluation reads of the richest portal's detail. Paths of its pages.
+_P = "$.pageProps.detailData.realEstate.properties[0]"
+DETAIL_PATHS = {
+    "beam_height": (f"{_P}.industrial.underBeamHeight", "string"), "barn_height": (f"{_P}.industrial.barnHeight", "string"), "bays": (f"{_P}.industrial.bayes", "int"),
+    "docks": (f"{_P}.industrial.numberLoadingDock", "int"), "floor": (f"{_P}.floor.value", "string"), "floors": (f"{_P}.floors", "string"), "features": (f"{_P}.features", "array<string>"),
+    "availability": (f"{_P}.availability", "string"), "year_built": (f"{_P}.buildingYear", "int"), "condition": (f"{_P}.condition", "string"), "auction": (f"{_P}.auction", "string"),
+}
 
 
 def needs_detail(df: DataFrame, inside: Column) -> DataFrame:

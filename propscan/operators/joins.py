@@ -4,38 +4,105 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propscan.functions.parse import haversine_km
 
 
-def radius_join(left: DataFrame, right: DataFrame, km: float, max_lat: float = 60.0) -> DataFrame:
-    """Pairs within ``km``: both sides need ``lat, lon``; right columns get the prefix ``r_``, and ``km`` is added.
+def _width(km: float, band: Column) -> Column:
+    """Width in degrees of grid cells in a band of one degree of latitude, by its end near a pole and one degree more."""
+    return F.least(km / (110.0 * F.cos(F.radians(F.least(F.abs(band) + 2, F.lit(89.5))))), F.lit(180.0))
 
-    Points fall into grid cells at least ``km`` wide; each left point looks in 3 x 3 cells. Rows
-    without coordinates match nothing.
+
+def radius_join(left: DataFrame, right: DataFrame, km: float) -> DataFrame:
+    """Pairs within ``km`` (at most 100): both sides need ``lat, lon``; right columns get the prefix ``r_``, and ``km`` is added.
+
+    Points fall into cells ``km`` high; the width of a cell follows the latitude, one value for each degree, so that
+    a cell is at least ``km`` wide everywhere, and columns of cells go round the meridian of 180 degrees. A left point
+    looks in 3 x 3 cells in its own degree, and in the next ones where they are near. Rows without coordinates match
+    nothing; latitudes beyond 89 degrees raise.
     """
-    lat_size, lon_size = km / 110.0, km / (110.0 * math.cos(math.radians(max_lat)))
-    cell = lambda c, s: F.floor(F.col(c) / s)
-    around = lambda c: F.explode(F.array(c - 1, c, c + 1))
-    a = left.where("lat is not null and lon is not null").withColumn("_y", around(cell("lat", lat_size)))
-    a = a.withColumn("_x", around(cell("lon", lon_size)))
-    b = right.where("lat is not null and lon is not null")
-    b = b.select(*[F.col(c).alias(f"r_{c}") for c in b.columns], cell("lat", lat_size).alias("_y"), cell("lon", lon_size).alias("_x"))
-    out = a.join(b, ["_y", "_x"]).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("r_lat"), F.col("r_lon")))
-    return out.where(F.col("km") <= km).drop("_x", "_y")
-
-
-def tolerance_pairs(df: DataFrame, key: str, keys: list[str], tolerances: dict[str, float]) -> DataFrame:
-    """Pairs ``a < b`` of ``key`` that are equal in ``keys`` and differ by at most a share of the larger in each
-    column of ``tolerances``; nulls match nothing. The first tolerance makes log-wide buckets."""
-    first, p = next(iter(tolerances.items()))
-    rows = df.select(key, *keys, *tolerances).where(F.col(first) > 0)
-    bucket = F.floor(F.log(F.col(first).cast("double")) / -math.log(1 - p))
-    a = rows.withColumn("_b", bucket)
-    b = rows.select(F.col(key).alias("b"), *[F.col(k) for k in keys], *[F.col(t).alias(f"r_{t}") for t in tolerances], F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("_b"))
-    out = a.join(b, [*keys, "_b"]).where(F.col(key) < F.col("b"))
+    if not 0 < km <= 100:
+        raise ValueError("km must lie between 0 and 100")
+    known = "lat is not null and lon is not null"
+    check = lambda d: d.where(known).withColumn("lat", F.when(F.abs("lat") <= 89, F.col("lat")).otherwise(F.raise_error(F.lit("latitude beyond 89 degrees")).cast("double")))
+    high = km / 110.0
+    columns = lambda width: F.ceil(F.lit(360.0) / width).cast("long")
+    column = lambda lon, width: F.pmod(F.floor((lon + 180) / width).cast("long"), columns(width))
+    a = check(left).withColumn("_band", F.explode(F.expr(f"array_distinct(array(floor(lat - {high}), floor(lat), floor(lat + {high})))")))
+    width = _width(km, F.col("_band"))
+    own = column(F.col("lon"), width)
+    around = F.array_distinct(F.array(*(F.pmod(own + i, columns(width)) for i in (-1, 0, 1)), F.when(own == 0, columns(width) - 2).otherwise(own), F.when(own >= columns(width) - 2, F.lit(0).cast("long")).otherwise(own)))
+    a = a.withColumn("_x", F.explode(around)).withColumn("_y", F.explode(F.array(*(F.floor(F.col("lat") / high) + i for i in (-1, 0, 1)))))
+    b = check(right).withColumn("_band", F.floor("lat"))
+    b = b.select(*[F.col(c).alias(f"r_{c}") for c in right.columns], "_band", column(F.col("lon"), _width(km, F.col("_band"))).alias("_x"), F.floor(F.col("lat") / high).alias("_y"))
+    out = a.join(b, ["_band", "_y", "_x"]).withColumn("km", haversine_km(F.col("lat"), F.col("lon"), F.col("r_lat"), F.col("r_lon")))
+    return out.where(F.col("km") <= km).drop("_x", "_y", "_band")
+
+
+def with_town(rows: DataFrame, towns: DataFrame) -> DataFrame:
+    """Left join on the town's name, trimmed and in lower case: ``province, town_index, inhabitants`` and the province's mean index.
+
+    ``towns``: ``town, province, town_index, inhabitants``, one row a town; a town named twice has its first row by province.
+    """
+    name = F.lower(F.trim("town"))
+    once = towns.groupBy(name.alias("_town")).agg(F.min_by(F.struct("province", "town_index", "inhabitants"), F.struct("province", "town_index")).alias("t")).select("_town", "t.*")
+    mean = once.groupBy("province").agg(F.avg("town_index").alias("province_index"))
+    index = once.join(mean, "province", "left")
+    kept = [c for c in rows.columns if c not in ("province", "town_index", "inhabitants", "province_index")]
+    return rows.select(*kept).join(index, F.lower(F.trim("town")) == F.col("_town"), "left").drop("_town")
+
+
+def surrounded(listings: DataFrame, points: DataFrame, competitors_km: float = 5.0, poles_km: float = 2.0) -> DataFrame:
+    """Add ``competitor_sqm``, ``junction_km`` and ``retail_poles`` by ``points``: ``k, lat, lon, sqm``; even ``k`` are junctions too,
+    multiples of three are retail poles. Listings without coordinates have nulls, those with nothing around have 0 m² and poles."""
+    near = radius_join(listings.select("listing_id", "lat", "lon"), points, competitors_km)
+    sums = near.groupBy("listing_id").agg(F.sum("r_sqm").alias("_sqm"), F.min(F.when(F.col("r_k") % 2 == 0, F.col("km"))).alias("junction_km"), F.count_if((F.col("r_k") % 3 == 0) & (F.col("km") <= poles_km)).cast("int").alias("_poles"))
+    placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    out = listings.join(sums, "listing_id", "left")
+    return out.withColumns({"competitor_sqm": F.when(placed, F.coalesce("_sqm", F.lit(0.0))), "retail_poles": F.when(placed, F.coalesce("_poles", F.lit(0)))}).drop("_sqm", "_poles")
+
+
+def reference_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A reference CSV with a header line (towns, competitors, sites, retail poles); lines that don't fit the schema are left out."""
+    return spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED").option("enforceSchema", False).csv(path)
+
+
+def with_snapshot(matches: DataFrame, items: DataFrame) -> DataFrame:
+    """The announced snapshot of each match: ``matches`` has ``listing_id, id, date, file``; ``items`` is the table of report elements
+    with ``file, id`` and what was announced. Where the element is missing, ``note`` says that no comparison is possible."""
+    columns = [c for c in items.columns if c not in ("file", "id")]
+    found = items.select("file", "id", F.struct(*columns).alias("snapshot"))
+    out = matches.join(found, ["file", "id"], "left")
+    text = F.concat(F.lit("segnalata il "), F.col("date").cast("string"), F.lit(" ma il file storico "), "file", F.lit(" è illeggibile: confronto impossibile"))
+    return out.select("listing_id", "id", "date", "file", "snapshot", F.when(F.col("snapshot").isNull(), text).alias("note"))
+
+
+def longer_text(rows: DataFrame, other: DataFrame, key: str, column: str) -> DataFrame:
+    """``rows`` with the longer of its text and that of ``other`` with the same key (its longest, where it has several)."""
+    best = other.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(column, F.struct(F.length(column), column)).alias("_other"))
+    out = rows.join(best, key, "left")
+    use = F.col("_other").isNotNull() & (F.length("_other") > F.coalesce(F.length(column), F.lit(0)))
+    return out.withColumn(column, F.when(use, F.col("_other")).otherwise(F.col(column))).drop("_other")
+
+
+def tolerance_pairs(df: DataFrame, key: str, keys: list[str], tolerances: dict[str, float], differ: str | None = None) -> DataFrame:
+    """Pairs ``a < b`` of ``key`` that are equal in ``keys``, differ by at most a share of the larger in each column of
+    ``tolerances``, and are unequal in ``differ``; nulls match nothing. Each tolerance makes log-wide buckets, and a row
+    is looked for in the buckets beside its own too, so only rows near in every tolerance meet."""
+    names = list(tolerances)
+    rows = df.select(key, *keys, *names, *([differ] if differ else []))
+    for t in names:
+        rows = rows.where(F.col(t) > 0)
+    bucket = {t: F.floor(F.log(F.col(t).cast("double")) / -math.log(1 - p)) for t, p in tolerances.items()}
+    a = rows.withColumns({f"_b{i}": bucket[t] for i, t in enumerate(names)})
+    b = rows.select(F.col(key).alias("b"), *keys, *[F.col(t).alias(f"r_{t}") for t in names], *[bucket[t].alias(f"_b{i}") for i, t in enumerate(names)], *([F.col(differ).alias("_other")] if differ else []))
+    for i in range(len(names)):
+        b = b.withColumn(f"_b{i}", F.explode(F.array(*(F.col(f"_b{i}") + j for j in (-1, 0, 1)))))
+    out = a.join(b, [*keys, *(f"_b{i}" for i in range(len(names)))]).where(F.col(key) < F.col("b"))
+    if differ:
+        out = out.where(F.col(differ) != F.col("_other"))
     for t, share in tolerances.items():
         out = out.where(F.abs(F.col(t) - F.col(f"r_{t}")) <= share * F.greatest(F.col(t), F.col(f"r_{t}")))
     return out.select(F.col(key).alias("a"), "b").distinct()
@@ -72,10 +139,14 @@ def as_of(rows: DataFrame, log: DataFrame, key: str, at: str, log_at: str, value
 
 
 def imputed(rows: DataFrame, index: DataFrame, key: str, group: str, value: str) -> DataFrame:
-    """Left join with ``index``; where a key has no value its group's mean is used, with low confidence."""
+    """Left join with ``index``; where a key has no value its group's mean is used, with low confidence.
+
+    Means are sums by group and a join, so a group of any size is no task's work."""
     joined = rows.join(index.select(key, value), key, "left")
-    mean = F.avg(value).over(Window.partitionBy(group))
-    return joined.withColumn("imputed", F.coalesce(F.col(value).cast("double"), mean)).withColumn("confidence", F.when(F.col(value).isNotNull(), "alta").when(F.col("imputed").isNotNull(), "bassa"))
+    means = joined.groupBy(F.col(group).alias("_group")).agg(F.avg(value).cast("double").alias("_mean"))
+    joined = joined.join(means, F.col(group).eqNullSafe(F.col("_group")), "left")
+    joined = joined.withColumn("imputed", F.coalesce(F.col(value).cast("double"), F.col("_mean"))).drop("_group", "_mean")
+    return joined.withColumn("confidence", F.when(F.col(value).isNotNull(), "alta").when(F.col("imputed").isNotNull(), "bassa"))
 
 
 def matched_history(listings: DataFrame, registry: DataFrame, this_file: str) -> DataFrame:

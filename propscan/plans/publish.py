@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from propscan.functions.parse import report_name
 from propscan.sources.snapshots import write_partition
 
 CHANNELS = ["ASTE", "IMM_ID"]
@@ -73,3 +76,20 @@ def search(items: DataFrame, text: str) -> DataFrame:
     q = text.strip().lower()
     hit = F.contains(F.lower("listing_id"), F.lit(q)) | F.contains(F.lower("town"), F.lit(q))
     return items.where(F.coalesce(hit, F.lit(False)) if q else F.lit(False))
+
+
+def report_list(items: DataFrame) -> DataFrame:
+    """``run_date, file, n, n_new, n_again``: one row a report, the newest first; rows of unreadable reports (no date) are left out."""
+    g = items.where("run_date is not null").groupBy("run_date").agg(F.count("*").alias("n"), F.count_if(F.col("state") == "NUOVA").alias("n_new"), F.count_if(F.col("state") == "RISEGNALATA").alias("n_again"))
+    return g.select("run_date", report_name(F.col("run_date")).alias("file"), "n", "n_new", "n_again").orderBy(F.desc("run_date"))
+
+
+def one_report(items: DataFrame, file: str) -> DataFrame:
+    """The items of a report by its file name; a name that isn't a report's gives none. Reads that partition only."""
+    found = re.fullmatch(r"report_(\d{4})_(\d{2})_(\d{2})\.json", file)
+    return items.where(F.col("run_date") == F.lit("-".join(found.groups())).try_cast("date")) if found else items.limit(0)
+
+
+def monitor_preview(items: DataFrame, n: int = 30) -> DataFrame:
+    """The first ``n`` rows to monitor, by vote."""
+    return items.where("outcome = 'MONITORA'").orderBy(F.desc("vote"), "listing_id").limit(n)

@@ -14,60 +14,38 @@ from propscan.operators import resolve as R
 from propscan.operators import windows as W
 from propscan.plans import freshness as Fresh
 from propscan.plans import publish as Pub
-from propscan.plans.demo import LISTING_DUCK, RUN_DATE, listings, raw_listings, table
+from propscan.plans.demo import RUN_DATE, facts, listings, raw_listings, table
 from propscan.plans.evaluate import announced, evaluated
+from propscan.plans.expected import EVAL_SQL, L
+from propscan.plans.registry import ORACLE_SQL, QUERIES, query
 from propscan.sources.pages import cards
+from propscan.storage import written
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-L = f"with l as ({LISTING_DUCK})"
-
-
-def query(sql: str | None = None):
-    def keep(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return keep
+def _evaluated(spark, d):
+    """The evaluation, written once, so that later filters don't repeat the scorecard's expressions."""
+    return written(evaluated(facts(spark, d), RUN_DATE), "evaluated")
 
 
 def _today():
     return F.lit(RUN_DATE).cast("date")
 
 
-_NET, _COST = "cast(sqm as double) * 0.68", "cast(price as double) * 1.06 + cast(sqm as double) * 525.0"
-_REASON = """case when town in ('roma','cagliari','ancona') then 'PERIMETRO_GEOGRAFICO' when category in ('garage','residenziale') then 'TIPOLOGIA'
-  when sqm < 950 and sqm >= 5 then 'SUPERFICIE' when days_left < 0 then 'ASTA_SCADUTA' when days_left < 20 then 'TEMPO_INSUFFICIENTE'
-  when cast(price as double) / nullif(cast(sqm as double) * 0.68, 0) > 2500 then 'PREZZO_MQ' end"""
-# quality: height unknown by category, permit 2/7/12, fixed 30, unknown 3.2/5.6/8, transaction 5
-_EVAL = f"""{L}, e as (select *, {_REASON} as reason, case when category in ('capannone','opificio','stabilimento') then 4 else 0 end as h_lo, case when category in ('magazzino','laboratorio') then 8 else 13 end as h_hi,
-  {_NET} * 261.0 * 0.82 * 0.58 / nullif({_COST}, 0) as yoc, {_NET} * 380.0 * 0.82 * 0.58 / nullif({_COST}, 0) as yoc_best from l),
-q as (select *, h_lo + 2 + 30 + 3.2 + 5 as q_lo, (h_lo + h_hi) / 2.0 + 7 + 30 + 5.6 + 5 as q_mid, h_hi + 12 + 30 + 8 + 5 as q_hi from e),
-v as (select *, case when q_mid >= 75 then 0.09 when q_mid >= 60 then 0.11 else 0.14 end as hurdle from q),
-w as (select *, cast(least(greatest(round(0.70 * q_mid + 0.30 * coalesce(least(greatest(50 + 1000 * (yoc - hurdle), 0), 100), 50) - 0.20 * (q_hi - q_lo)
-   - coalesce(case when sqm > 3000 then least(15, 5 * ceil((cast(sqm as double) - 3000) / 1000)) end, 0)), 0), 100) as int) as vote from v),
-o as (select *, case when reason is not null and reason not in ('ASTA_SCADUTA','TEMPO_INSUFFICIENTE') then 'SCARTA' when reason is not null then 'MONITORA' when q_hi < 45 then 'SCARTA'
-   when sqm is null or q_hi - q_lo > 15 or yoc is null or q_lo < 45 then 'DA APPROFONDIRE' when yoc_best < hurdle then 'SCARTA' when yoc < hurdle then 'MONITORA' else 'PROMUOVI' end as outcome from w)"""
-
-
-@query(f"""{_EVAL} select listing_id, vote, outcome, rank from (select *, row_number() over (order by vote desc, yoc desc nulls last, days_left, listing_id) as rank from o
+@query(f"""{EVAL_SQL} select listing_id, vote, outcome, rank from (select *, row_number() over (order by vote desc, yoc desc nulls last, days_left, listing_id) as rank from o
   where outcome in ('PROMUOVI', 'DA APPROFONDIRE')) where rank <= 10""")
 def top_listings(spark, d):
-    return announced(evaluated(listings(spark, d), RUN_DATE)).select("listing_id", "vote", "outcome", F.col("rank").cast("long").alias("rank"))
+    return announced(_evaluated(spark, d)).select("listing_id", "vote", "outcome", F.col("rank").cast("long").alias("rank"))
 
 
-@query(f"""{_EVAL} select channel, outcome, reason, count(*) as n, cast(sum(vote) as bigint) as votes, cast(grouping(channel) as int) as g from (select channel, outcome, vote, coalesce(reason, '-') as reason from o)
+@query(f"""{EVAL_SQL} select channel, outcome, reason, count(*) as n, cast(sum(vote) as bigint) as votes, cast(grouping(channel) as int) as g from (select channel, outcome, vote, coalesce(reason, '-') as reason from o)
   group by grouping sets ((channel, outcome, reason), (outcome), ())""")
 def run_statistics(spark, d):
-    e = evaluated(listings(spark, d), RUN_DATE).select("channel", "outcome", F.coalesce("reason", F.lit("-")).alias("reason"), "vote")
+    e = _evaluated(spark, d).select("channel", "outcome", F.coalesce("reason", F.lit("-")).alias("reason"), "vote")
     return spark.sql("select channel, outcome, reason, count(*) n, sum(vote) votes, cast(grouping(channel) as int) g from {e} group by grouping sets ((channel, outcome, reason), (outcome), ())", e=e)
 
 
-@query(f"{_EVAL} select reason, array_to_string(list_sort(list(listing_id)), ',') as ids from o where reason is not null and outcome = 'SCARTA' group by reason")
+@query(f"{EVAL_SQL} select reason, array_to_string(list_sort(list(listing_id)), ',') as ids from o where reason is not null and outcome = 'SCARTA' group by reason")
 def discarded_ids(spark, d):
-    e = evaluated(listings(spark, d), RUN_DATE).where("reason is not null and outcome = 'SCARTA'")
+    e = _evaluated(spark, d).where("reason is not null and outcome = 'SCARTA'")
     return e.groupBy("reason").agg(F.array_join(F.sort_array(F.collect_list("listing_id")), ",").alias("ids"))
 
 
@@ -338,13 +316,13 @@ def key_audit(spark, d):
     return listings(spark, d).groupBy("source").agg(F.count_if(F.col("listing_id").rlike("^[a-z]+_[0-9]+$")).alias("well_formed"), (F.count("*") - F.count_distinct("custkey")).alias("repeated"))
 
 
-@query(f"{_EVAL} select reason, listing_id from o where reason is not null and outcome = 'SCARTA'")
+@query(f"{EVAL_SQL} select reason, listing_id from o where reason is not null and outcome = 'SCARTA'")
 def discarded_listings(spark, d):
     """One row a discarded listing; ``publish.publish_discarded`` writes them by reason."""
-    return evaluated(listings(spark, d), RUN_DATE).where("reason is not null and outcome = 'SCARTA'").select("reason", "listing_id")
+    return _evaluated(spark, d).where("reason is not null and outcome = 'SCARTA'").select("reason", "listing_id")
 
 
-@query(f"{_EVAL} select reason, count(*) as n from o where reason is not null and outcome = 'SCARTA' group by reason")
+@query(f"{EVAL_SQL} select reason, count(*) as n from o where reason is not null and outcome = 'SCARTA' group by reason")
 def discarded_counts(spark, d):
     return discarded_listings(spark, d).groupBy("reason").agg(F.count("*").alias("n"))
 
@@ -353,3 +331,8 @@ def discarded_counts(spark, d):
 def hub_coverage(spark, d):
     rows = listings(spark, d)
     return Fresh.coverage(rows.where("number % 3 > 0"), rows.groupBy("source").agg((F.count("*") + 10).alias("expected")), ["source"])
+
+
+from propscan.plans import evaluation_queries, source_queries  # noqa: E402, F401  (they register themselves)
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

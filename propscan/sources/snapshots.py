@@ -20,11 +20,20 @@ def exploded(raw: DataFrame, value: str = "value", file: str = "file") -> DataFr
     return parsed.select("file", "e.generated_at", F.explode_outer("e.listings").alias("listing_key", "payload"))
 
 
+def current_files(files: DataFrame, file: str = "file") -> DataFrame:
+    """Files of the week: all of the auction channel, and of the sale channel those under ``current_week``."""
+    return files.where(~F.contains(F.col(file), F.lit("/IMM_ID/")) | F.contains(F.col(file), F.lit("/current_week/")))
+
+
+def of_files(rows: DataFrame, file: str = "file") -> DataFrame:
+    """Add ``channel`` and ``source`` by the file's name."""
+    return rows.withColumns({"channel": F.when(F.col(file).contains("/ASTE/"), "ASTE").otherwise("IMM_ID"), "source": F.regexp_extract(file, r"dataset_(\w+?)(?:_master)?\.json", 1)})
+
+
 def read_envelopes(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Read snapshot files whole (each below 2 GB; larger ones are landed as one record a line, see ``read_lines``)."""
     raw = spark.read.text(paths, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
-    out = exploded(raw)
-    return out.withColumns({"channel": F.when(F.col("file").contains("/ASTE/"), "ASTE").otherwise("IMM_ID"), "source": F.regexp_extract("file", r"dataset_(\w+?)(?:_master)?\.json", 1)})
+    return of_files(exploded(current_files(raw)))
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], schema: str) -> DataFrame:
@@ -87,19 +96,31 @@ def last_good(table: DataFrame, loads: DataFrame) -> DataFrame:
     return table.join(good, ["source", "run_date"])
 
 
-def to_envelope(rows: DataFrame, generated_at: str) -> DataFrame:
-    """One JSON document for export; small tables only."""
-    entries = F.map_from_entries(F.collect_list(F.struct("listing_key", F.parse_json("payload").alias("v"))))
-    return rows.agg(F.to_json(F.struct(F.lit(generated_at).alias("generated_at"), F.count("*").alias("total"), entries.alias("listings"))).alias("value"))
+def envelope_lines(rows: DataFrame, generated_at: str) -> DataFrame:
+    """Lines of one JSON envelope in order, for a text export: the files of a write, joined by name, are the document.
+
+    One line a listing (``listing_key, payload``; of equal keys the greatest payload), sorted by ranges of keys, so no task
+    holds the document; Spark's committer makes the folder visible as a whole.
+    """
+    once = rows.where("listing_key is not null").groupBy("listing_key").agg(F.max("payload").alias("payload"))
+    head = once.agg(F.count("*").alias("n"), F.min("listing_key").alias("first"))
+    key = F.to_json(F.struct(F.col("listing_key").alias("k")))
+    name = F.substring(key, 6, F.length(key) - 6)  # the key as a JSON string
+    comma = F.when(F.col("listing_key") == F.col("first"), F.lit("")).otherwise(F.lit(","))
+    entries = once.join(F.broadcast(head.select("first")), F.lit(True)).select(F.lit(1).alias("part"), "listing_key", F.concat(comma, name, F.lit(":"), "payload").alias("value"))
+    none = F.lit(None).cast("string").alias("listing_key")
+    start = head.select(F.lit(0).alias("part"), none, F.format_string('{"generated_at":"%s","total":%d,"listings":{', F.lit(generated_at), "n").alias("value"))
+    end = head.select(F.lit(2).alias("part"), none, F.lit("}}").alias("value"))
+    return start.unionByName(entries).unionByName(end).orderBy("part", "listing_key").select("value")
 
 
-def log_rows(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``ts, level, message`` of log lines; other lines have null time and level."""
+def log_rows(lines: DataFrame, value: str = "value", keep: list[str] | None = None) -> DataFrame:
+    """``ts, level, message`` of log lines, beside the columns to keep; other lines have null time and level."""
     part = lambda i: F.nullif(F.regexp_extract(value, LOG_LINE, i), F.lit(""))
-    return lines.select(part(1).try_cast("timestamp").alias("ts"), part(2).alias("level"), F.coalesce(part(3), F.col(value)).alias("message"))
+    return lines.select(*(keep or []), part(1).try_cast("timestamp").alias("ts"), part(2).alias("level"), F.coalesce(part(3), F.col(value)).alias("message"))
 
 
-_FIELDS = [
+FIELDS = [
     "url", "titolo", "descrizione_completa", "superficie_mq", "tribunale", "procedura", "categoria", "scraped_at", "data_asta", "data_termine_asta",
     "termine_presentazione_offerte", "prezzo", "prezzo_base", "indirizzo", "comune", "citta_completa", "citta", "zona",
 ]
@@ -123,4 +144,4 @@ def _columns(source: str, price: str, place: str) -> dict[str, Column]:
 
 
 for _source, _where in _PLACES.items():
-    adapter(_source, ", ".join(f"{f} string" for f in _FIELDS), partial(_columns, _source, *_where))
+    adapter(_source, ", ".join(f"{f} string" for f in FIELDS), partial(_columns, _source, *_where))

@@ -43,7 +43,7 @@ def with_row_key(docs: DataFrame, name: str) -> DataFrame:
 
     The key is the same whenever the files are read. Other tables are written first.
     """
-    key = F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index"))
+    key = F.concat_ws(":", F.col("_metadata.file_path"), F.col("_metadata.row_index"))
     try:
         return docs.select("*", key.alias(name))
     except AnalysisException:

@@ -37,28 +37,67 @@ def sessions(stream: DataFrame, ts: str, key: str, gap: str = "30 minutes", dela
 def changes(stream: DataFrame, drop: float = -0.03) -> DataFrame:
     """``listing_id, change, price`` against the last announced state: new, price_drop or new_deadline.
 
-    ``stream``: ``listing_id, price, deadline, scraped_at``; state is one announced record a listing.
+    ``stream``: ``listing_id, price, deadline, scraped_at``; state is one announced record a listing and the time of the
+    latest record seen. Records of a batch are taken in the order of their times; one that is older than what a batch
+    before held is late and says nothing new, so it is left out.
     """
 
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         was = state.get if state.exists else None
         out = []
-        for row in pd.concat(list(frames)).sort_values("scraped_at").itertuples():
+        for row in pd.concat(list(frames)).sort_values("scraped_at", kind="stable").itertuples():
+            at = int(pd.Timestamp(row.scraped_at).value) if row.scraped_at is not None else -(1 << 63)
+            if was is not None and at < was[2]:
+                continue
             if was is None:
                 change = "new"
             elif was[0] and row.price / was[0] - 1 <= drop:
                 change = "price_drop"
-            elif row.deadline != was[1]:
+            elif str(row.deadline) != was[1]:
                 change = "new_deadline"
             else:
+                was = (was[0], was[1], at)
                 continue
-            was = (float(row.price), str(row.deadline))
+            was = (float(row.price), str(row.deadline), at)
             out.append((key[0], change, float(row.price)))
         if was is not None:
             state.update(was)
         yield pd.DataFrame(out, columns=["listing_id", "change", "price"])
 
-    return stream.groupBy("listing_id").applyInPandasWithState(run, "listing_id string, change string, price double", "price double, deadline string", "append", GroupStateTimeout.NoTimeout)
+    kind = "price double, deadline string, seen long"
+    return stream.groupBy("listing_id").applyInPandasWithState(run, "listing_id string, change string, price double", kind, "append", GroupStateTimeout.NoTimeout)
+
+
+def rechecks(stream: DataFrame, wait: str = "90 days", delay: str = "1 day") -> DataFrame:
+    """``listing_id, event, deadline`` of auctions that ended: ``again`` when a later record has a later deadline, ``lapsed`` when
+    ``wait`` after the deadline nothing came.
+
+    ``stream``: ``listing_id, deadline, scraped_at`` (times). A timer on event time ends the wait; state is one deadline a
+    listing. A deadline that is moved before it has passed is no re-listing and only moves the timer.
+    """
+    wait_ms = int(pd.Timedelta(wait).total_seconds() * 1000)
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        out = []
+        if state.hasTimedOut:
+            out.append((key[0], "lapsed", pd.Timestamp(state.get[0], unit="ms")))
+            state.remove()
+        else:
+            held = state.get[0] if state.exists else None
+            for row in pd.concat(list(frames)).sort_values("scraped_at", kind="stable").itertuples():
+                if pd.isna(row.deadline):
+                    continue
+                deadline = int(pd.Timestamp(row.deadline).value // 1_000_000)
+                if held is not None and deadline > held and held < int(pd.Timestamp(row.scraped_at).value // 1_000_000):
+                    out.append((key[0], "again", pd.Timestamp(deadline, unit="ms")))
+                held = deadline if held is None else max(held, deadline)
+            if held is not None:
+                state.update((held,))
+                state.setTimeoutTimestamp(max(held + wait_ms, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame(out, columns=["listing_id", "event", "deadline"])
+
+    rows = stream.withColumns({c: F.col(c).cast("timestamp") for c in ("deadline", "scraped_at")}).withWatermark("scraped_at", delay)
+    return rows.groupBy("listing_id").applyInPandasWithState(run, "listing_id string, event string, deadline timestamp", "deadline long", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def with_last_good(stream: DataFrame, loads: DataFrame) -> DataFrame:

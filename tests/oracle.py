@@ -15,12 +15,17 @@ def norm(v):
     return v
 
 
-def compare(spark, query, sql, folder="/root/testdata/sf0.01"):
+def duck(folder):
     con = duckdb.connect()
     con.execute("set timezone = 'UTC'")
     for t in TABLES:
         if os.path.exists(f"{folder}/{t}.parquet"):
             con.execute(f"create view {t} as select * from '{folder}/{t}.parquet'")
+    return con
+
+
+def compare(spark, query, sql, folder="/root/testdata/sf0.01"):
+    con = duck(folder)
     cur = con.execute(sql)
     names = [c[0] for c in cur.description]
     df = query(spark, folder)

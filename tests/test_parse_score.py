@@ -130,8 +130,84 @@ def test_texts_and_more_scores(spark):
         r = one(spark, s, a="Via Statale 1")
         assert 0 <= r.lo <= r.mid <= r.hi <= top and r.lo < r.hi
     d = spark.createDataFrame([("p1", "Via x Milano", "Milano"), ("p1", "Roma", "Milano"), ("p2", "Roma", "Milano")], "page string, address string, city string")
-    assert X.in_searched_city(d, "address", "city", ["page"]).count() == 1
-    cities = spark.createDataFrame([("roma", 1), ("rom", 2)], "city string, ord int")
-    slugs = spark.createDataFrame([("via-roma-3",), ("romano-1",)], "slug string")
-    assert [r.slug for r in X.first_city(slugs, "slug", cities).collect()] == ["via-roma-3"]
-    assert X.first_city(slugs, "slug", cities, whole=False).count() == 2
+    assert d.where(X.in_searched_city(F.col("address"), F.col("city"))).count() == 1
+    assert [tuple(r) for r in X.fallback_pages(d, "address", "city", ["page"]).collect()] == [("p2",)]
+    slugs = spark.createDataFrame([("via-roma-3",), ("via-roma-3",), ("romano-1",), (None,)], "slug string")
+    assert [r.c for r in slugs.select(X.first_city(F.col("slug"), ["roma", "rom"]).alias("c")).collect()] == ["roma", "roma", None, None]
+    assert [r.c for r in slugs.select(X.first_city(F.col("slug"), ["rom", "roma"], whole=False).alias("c")).collect()] == ["rom", "rom", "rom", None]
+
+
+def test_ranking_past_excluded_rows(spark):
+    """Thirty eligible rows, the best five unchanged (and named twice): ten are announced all the same."""
+    from propscan.plans.evaluate import announced
+
+    rows = spark.createDataFrame([(f"x_{i:02d}", 90 - i, 0.1, None, "PROMUOVI") for i in range(30)], "listing_id string, vote int, yoc_base double, deadline date, outcome string")
+    old = spark.createDataFrame([(f"x_{i:02d}",) for i in (0, 1, 2, 3, 4, 0, 1)] + [(None,), ("gone",)], "listing_id string")
+    got = announced(rows, old).orderBy("position").collect()
+    assert [(r.listing_id, r.rank, r.skipped, r.note) for r in got] == [(f"x_{i:02d}", i + 1, 5, None) for i in range(5, 15)]
+    few = announced(rows.limit(3)).collect()
+    assert {r.note for r in few} == {"solo 3 opportunità idonee e con novità questa settimana"} and announced(rows.limit(0)).count() == 0
+
+
+def test_radius_at_high_latitude_and_the_date_line(spark):
+    a = spark.createDataFrame([(1, 80.0, 10.0), (2, 0.0, 179.99), (3, None, 5.0), (4, -88.5, -180.0)], "id int, lat double, lon double")
+    b = spark.createDataFrame([(1, 80.0, 10.25), (2, 0.01, -179.99), (4, -88.5, 179.5)], "id int, lat double, lon double")
+    assert sorted((r.id, r.r_id) for r in J.radius_join(a, b, 5.0).collect()) == [(1, 1), (2, 2), (4, 4)]
+    with pytest.raises(Exception, match="latitude"):
+        J.radius_join(a.withColumn("lat", F.lit(89.5)), b, 5.0).collect()
+
+
+def test_reference_tables(spark, tmp_path):
+    (tmp_path / "towns.csv").write_text("town,town_index\nmilano,80.5\npavia,\nbad,x\n")
+    got = J.reference_table(spark, str(tmp_path / "towns.csv"), "town string, town_index double")
+    assert sorted(map(tuple, got.collect()), key=str) == [("milano", 80.5), ("pavia", None)]
+
+
+def test_envelope_export(spark, tmp_path):
+    import json
+
+    rows = spark.createDataFrame([(f'k"{i}', json.dumps({"v": i})) for i in range(50)] + [('k"1', '{"v":1}'), (None, "{}")], "listing_key string, payload string").repartition(4)
+    for some in (rows, rows.limit(0)):
+        out = str(tmp_path / f"out{some.count()}")
+        snapshots.envelope_lines(some, "2026-09-16T00:00:00").write.text(out)
+        text = "".join(p.read_text() for p in sorted((tmp_path / out).glob("part-*")))
+        doc = json.loads(text)
+        assert doc["total"] == len(doc["listings"]) == some.where("listing_key is not null").select("listing_key").distinct().count()
+        assert all(doc["listings"][f'k"{i}'] == {"v": i} for i in range(doc["total"]))
+
+
+def test_rotation_registry_and_last_good(spark, tmp_path):
+    from propscan.plans import publish
+
+    path = str(tmp_path / "w")
+    week = lambda day, n: spark.createDataFrame([(f"l{i}", "vgi", day) for i in range(n)], "listing_id string, source string, run_date string")
+    for day, n in (("2026-09-02", 3), ("2026-09-09", 4), ("2026-09-09", 2)):
+        snapshots.write_partition(week(day, n), path)
+    stored = spark.read.parquet(path)
+    assert {str(r.run_date): r["count"] for r in stored.groupBy("run_date").count().collect()} == {"2026-09-02": 3, "2026-09-09": 2}
+    assert snapshots.previous(stored, "2026-09-09").count() == 3 and snapshots.previous(stored, "2026-09-02").count() == 0
+    loads = spark.createDataFrame([("vgi", "2026-09-02", True), ("vgi", "2026-09-09", False)], "source string, run_date string, ok boolean")
+    assert snapshots.last_good(week("2026-09-02", 3).union(week("2026-09-09", 2)), loads).count() == 3
+    ranked = spark.createDataFrame([("l1", "ASTE", 70), ("l2", "ASTE", 60)], "listing_id string, channel string, vote int")
+    for _ in range(2):
+        publish.publish(ranked, str(tmp_path / "r"), "2026-09-16", "report_2026_09_16.json")
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 2
+
+
+def test_config_hash():
+    assert Config().digest() == Config().digest() != Config(slots=9).digest() and len(Config().digest()) == 16
+
+
+def test_tags_and_capex(spark):
+    got = one(spark, P.tagged(F.col("a"), "json", "alta"), a=None)
+    assert tuple(got) == (None, None, None) and tuple(one(spark, P.tagged(F.col("a"), "json", "alta"), a="x")) == ("x", "json", "alta")
+    c, yes = Config(), F.lit(True)
+    plain, full = (one(spark, S.capex(F.col("a"), F.lit(6.0), c, *flags), a=1000.0) for flags in ((), (yes, yes, yes, F.lit(30.0))))
+    assert abs(plain - (525_000 + 1000 * 0.68 * 0.8 * 185)) < 1e-6 and abs(full - plain - 1000 * (140 + 55 + 47.5 - 30)) < 1e-6
+
+
+def test_late_and_mixed_texts(spark):
+    assert one(spark, P.relative_days(F.col("t")), t="alloggio aggiornato 3 giorni fa") == 3 and one(spark, P.relative_days(F.col("t")), t="un'ora fa") == 0
+    assert one(spark, P.court(F.col("t")), t="x Tribunale di Busto Arsizio in composizione") == "Tribunale di Busto Arsizio"
+    assert one(spark, P.slug(F.col("t")), t="Straße ½ ﬁn Łódź Ångström") is not None
+    assert one(spark, P.is_blocked(F.col("t")), t=None) is False

@@ -4,10 +4,47 @@ import sys
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
-from oracle import compare
+from oracle import compare, duck
+from propscan.plans.expected import L
 from propscan.plans.queries import ORACLE_SQL, QUERIES
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_sql(spark, name):
     assert compare(spark, QUERIES[name], ORACLE_SQL[name]) > 0
+
+
+def components(ids, edges):
+    """Smallest id of each id's component."""
+    at = {i: i for i in ids}
+
+    def find(i):
+        while at[i] != i:
+            at[i] = i = at[at[i]]
+        return i
+
+    for a, b in edges:
+        a, b = sorted((find(a), find(b)))
+        at[b] = a
+    return {i: find(i) for i in ids}
+
+
+def test_resolution_and_weekly_chain(spark):
+    """Components by union-find over the SQL's edges; the chain's rows by the queries it is made of."""
+    folder = "/root/testdata/sf0.001"
+    con = duck(folder)
+    ids = [r[0] for r in con.execute(f"{L} select listing_id from l").fetchall()]
+    edges = [r[:2] for r in con.execute(ORACLE_SQL["property_edges"]).fetchall()]
+    want = components(ids, edges)
+    assert {r.listing_id: r.property_id for r in QUERIES["resolved_properties"](spark, folder).collect()} == want and len(set(want.values())) < len(ids)
+    merged = QUERIES["merged_properties"](spark, folder).collect()
+    groups = {}
+    for i, p in want.items():
+        groups.setdefault(p, []).append(i)
+    assert {r.property_id: r.alias_ids for r in merged} == {p: ",".join(sorted(g)) for p, g in groups.items()} and all(r.n_urls == len(groups[r.property_id]) and r.listing_id in groups[r.property_id] for r in merged)
+    top = QUERIES["weekly_announcements"](spark, folder).collect()
+    verdicts = {r.listing_id: r for r in QUERIES["compared_history"](spark, folder).collect()}
+    assert 0 < len(top) <= 10 and sorted(r.position for r in top) == list(range(1, len(top) + 1)) and len({r.property_id for r in top}) == len(top)
+    for r in top:
+        was = verdicts.get(r.listing_id)
+        assert r.state == ("RISEGNALATA" if was and was.verdict == "MIGLIORATA" else "NUOVA") and (was is None or was.verdict in (None, "MIGLIORATA"))

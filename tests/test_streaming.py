@@ -1,3 +1,5 @@
+import datetime as dt
+import os
 import tempfile
 
 from propscan.streaming import jobs
@@ -35,3 +37,36 @@ def test_changes_and_landing(spark, tmp_path):
     (tmp_path / "snap" / "dataset_vgi.json").write_text('{"listings": {"vgi_1": {"id": 1}}}')
     jobs.land(spark, str(tmp_path / "snap"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def files(spark, tmp_path, name, schema, *batches):
+    """A stream with one file a batch."""
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name / f"{i}"))
+        for f in (tmp_path / name / f"{i}").glob("part-*"):
+            os.utime(f, (1_700_000_000 + 10 * i,) * 2)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / name))
+
+
+def test_late_records_change_nothing(spark, tmp_path):
+    schema = "listing_id string, price double, deadline string, scraped_at long"
+    stream = files(spark, tmp_path, "in", schema, [("a", 100.0, "d1", 5)], [("a", 60.0, "d0", 3)], [("a", 99.0, "d1", 6), ("a", 90.0, "d1", 7)], [("a", 98.0, "d1", 6)])
+    got = [(r.change, r.price) for r in run(jobs.changes(stream), "append").collect()]
+    assert got == [("new", 100.0), ("price_drop", 90.0)]
+
+
+def test_rechecks(spark, tmp_path):
+    day = lambda d: dt.datetime(2026, 1, 1) + dt.timedelta(days=d)
+    schema = "listing_id string, deadline timestamp, scraped_at timestamp"
+    stream = files(
+        spark, tmp_path, "in", schema, [("again", day(10), day(1)), ("lapsed", day(10), day(1)), ("moved", day(10), day(1))], [("moved", day(40), day(5))], [("again", day(60), day(20))],
+        [("other", day(500), day(200))], [("other", day(500), day(201))],
+    )
+    got = sorted((r.listing_id, r.event, r.deadline) for r in run(jobs.rechecks(stream, "90 days"), "append").collect())
+    assert ("again", "again", day(60)) in got and ("lapsed", "lapsed", day(10)) in got and not [g for g in got if g[:2] == ("moved", "again")]
+
+
+def test_last_good_load_of_a_stream(spark, tmp_path):
+    stream = files(spark, tmp_path, "in", "listing_id string, source string", [("a", "vgi"), ("b", "new")])
+    loads = spark.createDataFrame([("vgi", "2026-09-02", True), ("vgi", "2026-09-09", False), ("vgi", "2026-08-26", True)], "source string, run_date string, ok boolean")
+    assert {r.listing_id: r.last_good for r in run(jobs.with_last_good(stream, loads), "append").collect()} == {"a": "2026-09-02", "b": None}
