@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propscan.llm.batches import SPACE, chunks, gram_hashes, row_sums, span_hashes, word_spans
+from propscan.storage import written
 
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
@@ -79,7 +80,10 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
-    """``doc_id``, the counts and ``stratum`` of each row; a null or empty text has zero counts."""
+    """``doc_id``, the counts and ``stratum`` of each row; a null or empty text has zero counts, a null stratum is empty.
+
+    Repeated rows give equal rows, ids may be null, an empty table gives no rows, other columns are ignored.
+    """
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
     return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), stratum).mapInArrow(_counted, _COUNTED)
 
@@ -118,41 +122,81 @@ def upper_bound(k: int, n: int, error: float) -> float:
     return high
 
 
+def certified_losses(n: int, alpha: float, error: float) -> int:
+    """Most of ``n`` good documents that a cutoff may reject and still have an ``upper_bound`` of at most ``alpha``; -1 if none."""
+    k = np.arange(int(n * alpha) + 1)
+    if n == 0:
+        return -1
+    logs = np.array([math.lgamma(n + 1) - math.lgamma(x + 1) - math.lgamma(n - x + 1) for x in k.tolist()]) + k * math.log(alpha) + (n - k) * math.log1p(-alpha)
+    return int(np.searchsorted(np.cumsum(np.exp(logs)), error, "right")) - 1  # the bound is at most alpha where P(X <= k | alpha) <= error
+
+
+def best_cutoff(bad: np.ndarray, good: np.ndarray, alpha: float, error: float) -> int | None:
+    """Largest value kept, from counts by value: the certified cutoff with the best gain, or none."""
+    allowed, best = certified_losses(int(good.sum()), alpha, error), None
+    for cut in range(GRID, -1, -1):
+        lost = int(good[cut + 1 :].sum())
+        if lost > allowed:
+            break
+        gain = int(bad[cut + 1 :].sum()) - 20 * lost
+        if gain > 0 and (best is None or gain > best[0]):
+            best = (gain, cut)
+    if best is None:
+        return None
+    cut = best[1]  # no value lies between this cut and a looser one that rejects the same rows: take the middle
+    higher = np.flatnonzero((good + bad)[cut + 1 :])
+    return cut + (int(higher[0]) // 2 if len(higher) else 0)
+
+
+def _cutoffs(alpha: float, error: float):
+    schema = pa.schema([("stratum", pa.string()), ("rule", pa.string()), ("cut", pa.int32())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cuts = []
+            for cells in batch.column(2).to_pylist():
+                counts = np.zeros((2, GRID + 1), np.int64)
+                for c in cells:
+                    counts[c["good"], c["bin"]] += c["n"]
+                cuts.append(best_cutoff(counts[0], counts[1], alpha, error))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cuts, pa.int32())], schema=schema)
+
+    return run
+
+
 def _bin(rule: str) -> F.Column:
     return F.coalesce(F.least(F.lit(GRID), F.ceil(F.expr(f"try_divide({RULES[rule].replace(' / ', ', ')})"))).cast("int"), F.lit(0))
 
 
-def fit_cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.005, error: float = 0.05) -> dict[tuple[str, str], int]:
-    """(stratum, rule) → largest value kept. ``labels``: ``doc_id, quality`` (1 good, 0 bad; null rows are ignored)."""
+def fit_cutoffs(measured: DataFrame, labels: DataFrame, alpha: float = 0.005, error: float = 0.05) -> DataFrame:
+    """``stratum, rule, cut``: largest values kept. ``labels``: ``doc_id, quality`` (1 good, 0 bad; others are ignored).
+
+    A label that repeats counts once, the best of differing ones; a row of ``measured`` that repeats counts as often
+    as it occurs; rows without an id have no label. Without labels, or an empty table, there are no cutoffs.
+    Values beyond ``GRID`` count as ``GRID``, so no cutoff lies beyond it. The result is written.
+    """
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("quality").cast("int").alias("good")).where("good in (0, 1)").groupBy("id").agg(F.max("good").alias("good"))
     rows = measured.where("n_words >= 50").join(known, F.col("doc_id") == F.col("id"))
     long = rows.select("stratum", "good", F.explode(F.create_map(*(x for r in RULES for x in (F.lit(r), _bin(r))))).alias("rule", "bin"))
-    seen: dict[tuple[str, str], np.ndarray] = {}
-    for r in long.groupBy("stratum", "rule", "good", "bin").count().collect():  # at most strata x rules x 2 x GRID rows
-        seen.setdefault((r.stratum, r.rule), np.zeros((2, GRID + 1), np.int64))[r.good, r.bin] += r["count"]
-    found = {}
-    for key, (bad, good) in seen.items():
-        n, best = int(good.sum()), None
-        for cut in range(GRID, -1, -1):
-            lost = int(good[cut + 1 :].sum())
-            if n == 0 or upper_bound(lost, n, error / len(seen)) > alpha:
-                break
-            gain = int(bad[cut + 1 :].sum()) - 20 * lost
-            if gain > 0 and (best is None or gain > best[0]):
-                best = (gain, cut)
-        if best:
-            cut = best[1]  # no value lies between this cut and a looser one that rejects the same rows: take the middle
-            higher = np.flatnonzero((good + bad)[cut + 1 :])
-            found[key] = cut + (int(higher[0]) // 2 if len(higher) else 0)
-    return found
-
-
-def judge(measured: DataFrame, cutoffs: dict[tuple[str, str], int], min_words: int = 50, max_repeat: int = 50) -> DataFrame:
+    cells = long.groupBy("stratum", "rule", "good", "bin").agg(F.count("*").alias("n"))
+    cells = written(cells.groupBy("stratum", "rule").agg(F.collect_list(F.struct("good", "bin", "n")).alias("cells")), "cells")  # at most 2 x GRID each
+    return written(cells.mapInArrow(_cutoffs(alpha, error / max(1, cells.count())), "stratum string, rule string, cut int").where("cut is not null"), "cutoffs")
+
+
+#: Strata with cutoffs that are broadcast to all rows; more are joined by a shuffle of the rows.
+MAX_STRATA = 100_000
+
+
+def judge(measured: DataFrame, cutoffs: DataFrame, min_words: int = 50, max_repeat: int = 50) -> DataFrame:
     """Add ``base_failed``, ``violated`` (rules broken, comma-separated) and ``kept``.
 
     Documents without words fail the base rules. A stratum without cutoffs is kept if its base rules hold.
+    Repeated rows give equal rows, ids may be null, an empty table gives no rows.
     """
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
-    broken = [F.when((F.col("stratum") == s) & (_bin(r) > cut), F.lit(r)) for (s, r), cut in sorted(cutoffs.items())]
-    violated = F.concat_ws(",", *broken) if broken else F.lit("")
-    return measured.withColumn("base_failed", base).withColumn("violated", violated).withColumn("kept", ~F.col("base_failed") & (F.col("violated") == ""))
+    cuts = cutoffs.groupBy(F.col("stratum").alias("_stratum")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "cut"))).alias("_cuts"))
+    cuts = F.broadcast(cuts) if cutoffs.count() <= MAX_STRATA * len(RULES) else cuts
+    rows = measured.join(cuts, measured["stratum"] == F.col("_stratum"), "left")
+    violated = F.concat_ws(",", *(F.when(_bin(r) > F.col("_cuts")[r], F.lit(r)) for r in sorted(RULES)))
+    rows = rows.withColumns({"base_failed": base, "violated": violated}).drop("_stratum", "_cuts")
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("violated") == ""))

@@ -94,3 +94,76 @@ def test_rules_keep_good_and_reject_bad(spark):
     r = j.agg(F.avg(F.expr("if(quality = 1, kept, null)").cast("int")).alias("good"), F.avg(F.expr("if(quality = 0, kept, null)").cast("int")).alias("bad")).first()
     print(r)
     assert r.good > 0.985 and r.bad < 0.5
+
+
+@pytest.mark.parametrize(("n", "alpha", "error"), [(100, 0.05, 0.05), (1000, 0.005, 0.01), (3000, 0.005, 0.05 / 24), (50, 0.005, 0.05), (20_000, 0.01, 0.001)])
+def test_certified_losses_by_the_bound(n, alpha, error):
+    most = Q.certified_losses(n, alpha, error)
+    assert most == max([k for k in range(min(n, int(n * alpha) + 3)) if Q.upper_bound(k, n, error) <= alpha], default=-1)
+
+
+def test_cutoffs_by_brute_force(spark):
+    """The best cutoff of each stratum and rule, by trying all; strata of any name, repeated and missing ids."""
+    import random
+
+    rnd = random.Random(2)
+    rows, labels = [], []
+    for i in range(9000):
+        bad = i % 5 == 0
+        marks = rnd.randrange(30, 60) if bad and i % 3 else rnd.randrange(0, 20)
+        rows.append((i, " ".join(f"w{j}" for j in range(60)) + " " + "! " * marks, f"s{i % 2}" if i % 500 else None))
+        labels.append((i, int(not bad)))
+    d = spark.createDataFrame([*rows, (None, rows[5][1], "s0")], "doc_id long, text string, lang string").withColumns({c: F.lit(1) for c in ("stratum", "n_words", "kept", "rule")})
+    known = spark.createDataFrame([*labels, labels[0], (None, 1), (3, 0)], "doc_id long, quality int")
+    m = Q.measure(d)
+    cut = {(r.stratum, r.rule): r.cut for r in Q.fit_cutoffs(m, known).collect()}
+    counts = {r.doc_id: r for r in m.collect() if r.doc_id is not None}
+    worst = {}
+    for i, good in labels:
+        r = counts[i]
+        worst.setdefault(r.stratum, []).append((-(-100 * r.n_marks // r.n_words), good if i != 3 else 1))
+    n_tests = len(worst) * len(Q.RULES)
+    for s, seen in worst.items():
+        n, best = sum(g for _, g in seen), None
+        for c in range(Q.GRID, -1, -1):
+            lost = sum(g and v > c for v, g in seen)
+            if Q.upper_bound(lost, n, 0.05 / n_tests) > 0.005:
+                break
+            gain = sum(not g and v > c for v, g in seen) - 20 * lost
+            if gain > 0 and (best is None or gain > best[0]):
+                best = (gain, c)
+        found = cut.get((s, "marks"))
+        if best is None:
+            assert found is None
+        else:
+            kept = lambda c: [v <= c for v, _ in seen]
+            assert kept(found) == kept(best[1])
+    assert {s for s, _ in cut} == {"s0", "s1"}  # the stratum of nulls is too small
+    judged = Q.judge(m, Q.fit_cutoffs(m, known)).collect()
+    assert len(judged) == 9001 and not any(r.violated for r in judged if r.stratum == "") and sum(r.violated != "" for r in judged) > 800
+    empty = Q.fit_cutoffs(m, known.limit(0))
+    assert empty.count() == 0 and Q.judge(m.limit(0), empty).count() == 0 and {r.violated for r in Q.judge(m, empty).collect()} == {""}
+
+
+def test_language_edges(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = L.fit(docs)
+    odd = spark.createDataFrame([(1, "der die und das ist nicht " * 40_000, "q")] * 2 + [(2, "", "q")], "doc_id long, text string, row string").withColumns({c: F.lit(1) for c in ("lang", "score", "entropy", "rejected", "own")})
+    got = sorted(tuple(r)[:2] for r in L.identify(odd, model).collect())
+    assert got == [(1, "de"), (1, "de"), (2, "und")]
+    assert L.accepted(odd, model).columns == odd.columns and L.identify(odd.limit(0), model).count() == 0 and L.accepted(odd.where("doc_id = 2"), model).count() == 0
+    two = L.fit(docs, max_langs=2)
+    assert len(two.langs) == 2
+
+
+def test_language_equals_plain_models(spark):
+    """Scores of the hash arrays by plain dictionaries of the same counts."""
+    import math
+
+    texts = {"x": ["abra cadabra", "bar abra", "cab"] * 3, "y": ["lorem olle", "more lore", "rolle"] * 3}
+    model = L.fit(spark.createDataFrame([(i, t, g) for g, ts in texts.items() for i, t in enumerate(ts)], "doc_id long, text string, lang string"), docs_per_lang=100_000, reject=0.9)
+    got = {r.doc_id: r for r in L.identify(spark.createDataFrame([(1, "abra bar"), (2, "more rolle"), (3, "zz")], "doc_id long, text string"), model).collect()}
+    assert (got[1].lang_pred, got[2].lang_pred) == ("x", "y") and got[3].rejected
+    codes, first, letters = L.letter_codes(["abra bar"], model.table)
+    assert math.isclose(got[1].entropy, -float(model.log_prob(0, codes).mean()), rel_tol=1e-4) and letters[0] == 7
+    assert sorted(model.langs) == sorted(texts)

@@ -60,6 +60,13 @@ def test_verbatim_notices(spark):
         assert re.search("licen[sc]e|permission|copyright|redistribution|warrant|conditions|cc0|cc by|cc-by", s) and re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", s)
 
 
+def test_license_edges(spark):
+    d = spark.createDataFrame([(1, "x " * 500_000 + "\n\nReleased under the MIT License.")] * 2, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("sentence_ids", "licenses", "likely")})
+    got = license_scan.scan(d).collect()
+    assert [(r.doc_id, r.sentence_ids, r.licenses) for r in got] == [(1, ["MITref"], ["MIT"])] * 2
+    assert license_scan.scan(d.limit(0)).count() == 0
+
+
 def test_urls(spark):
     urls = ["http://A.Example.COM/en/71?x#y", "https://com/en/", "xcom://net/de/1", "https://a.example.net/de/8#z", None, "no scheme", "http://h?q=/a", "http://casino.example.org/es/", "http://notcom/en/", "http://x.com#f/en/"]
     d = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
@@ -73,6 +80,43 @@ def test_urls(spark):
     assert full.count() == spark.read.parquet("/root/testdata/sf0.01/pages.parquet").count()
 
 
+URL_SQL = r"""
+with a as (select page_id, case when contains(url, '://') then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, regexp_extract(rest, '^[^/?#]*') as raw, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from a),
+u as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path from h),
+r(verdict, rh, rp) as (values ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
+m as (select u.*, rh || rp as rule, r.verdict, row_number() over (partition by page_id order by length(rh || rp) desc nulls last) as n from u left join r on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp))
+select page_id, host, path, rule, verdict from m where n = 1"""
+
+
+def test_urls_of_the_whole_table(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("create view pages as select * from '/root/testdata/sf0.1/pages.parquet'")
+    want = {r[0]: r[1:] for r in con.execute(URL_SQL).fetchall()}
+    got = {r.page_id: r for r in QUERIES["op3_url_filters"](spark, "/root/testdata/sf0.1").collect()}
+    assert got.keys() == want.keys()
+    for i, (h, p, rule, verdict) in want.items():
+        assert (got[i].host, got[i].path, got[i].rule) == (h, p, rule) and got[i].verdict == (verdict or got[i].verdict)
+    assert {r.verdict for r in got.values()} <= {"allow", "block"} and sum(r.rule is None for r in got.values()) > 100
+
+
+def test_urls_learn_from_labels(spark):
+    """Held-out URLs, by the trees alone: no rule decides them."""
+    kind = lambda i: "block" if i % 3 == 0 else "allow"
+    url = lambda i: f"http://win{i}-{i * 7919}-casino.example{i % 9}.xyz/a/b/c/{i * 104729}?id={i}&u={i * 3}&x=1" if i % 3 == 0 else f"https://news.site{i % 9}.org/article/story-{'abcdefghij'[i % 10]}"
+    rows = spark.createDataFrame([(i, url(i), kind(i)) for i in range(1200)], "page_id long, url string, verdict string")
+    held = url_filter.judge(rows.where("page_id % 4 = 1"), rules=[], labelled=rows.where("page_id % 4 <> 1")).collect()
+    assert len(held) == 300 and sum(r.verdict == kind(r.page_id) for r in held) >= 295
+    only = url_filter.judge(rows, rules=[], labelled=rows.where("verdict = 'block'")).select("verdict", "block_score").distinct().collect()
+    assert [tuple(r) for r in only] == [("block", 1.0)]
+    odd = rows.limit(5).union(rows.limit(5)).withColumns({c: F.lit("q") for c in ("host", "path", "rule", "suffix", "label", "features", "prediction")})
+    odd = odd.union(odd.limit(1).withColumn("url", F.lit("http://h.com/" + "x9/" * 100_000)))
+    got = url_filter.judge(odd).collect()
+    assert len(got) == 11 and {r.block_score for r in got} == {0.0} and {r.verdict for r in got} == {"allow"}
+
+
 def rotated(rows, block=64):
     """Brute force: (conversation, perspective) → rows in order."""
     clean = lambda t: t.replace("<|", "< |").replace("|>", "| >")

@@ -5,6 +5,7 @@ import zlib
 import pytest
 from propscan.llm import media, toxicity
 from propscan.llm.queries import op2_toxicity
+from pyspark.sql import functions as F
 
 
 def test_held_out_accuracy(spark):
@@ -28,6 +29,63 @@ def test_counterfactual_term_lowers_identity_weight(spark):
     assert toxicity.score(neutral.limit(0), one).count() == 0
 
 
+def test_swaps_count_once_a_text():
+    terms = {"a": ["muslim", "christian"], "b": ["gay", "straight"], "c": ["gay", "lesbiana"]}
+    text = "A Muslim man. the muslim and gay! Muslim and christian. " * 1000
+    assert toxicity.counterfactual_changes(text, terms) == [({"christian"}, {"muslim"}), ({"lesbiana"}, {"gay"}), ({"straight"}, {"gay"})]
+    assert toxicity.counterfactual_changes(None, terms) == []
+
+
+def test_scores_equal_brute_force(spark):
+    """Every document of a table by adding the weights of its words' features one by one."""
+    import math
+    import re
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.where(toxicity.learned_rows()))
+    odd = spark.createDataFrame([(-1, None), (-1, None), (None, "x" * 300_000), (-2, "you idiot " * 50_000)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").union(odd).withColumns({c: F.lit(9) for c in ("score", "label", "id", "toxic")})
+    texts = rows.collect()
+    got = toxicity.score(rows, model).collect()
+    assert len(got) == len(texts)
+    want = []
+    for r in texts:
+        words = set(re.findall(r"[^\W\d_]+", (r.text or "").lower()))
+        total = sum(model.weights.get(f, 0.0) for f in {f for w in words for f in toxicity.word_features(w)}) + model.bias
+        want.append((str(r.doc_id), 1 / (1 + math.exp(-max(-40, min(40, total))))))
+    for (i, a), (j, b) in zip(sorted((str(r.doc_id), r.score) for r in got), sorted(want), strict=True):
+        assert i == j and abs(a - b) < 1e-9
+    assert all(r.predicted == int(r.score >= 0.7) for r in got)
+
+
+def test_images_are_read_by_another_decoder(spark):
+    jvm = spark._jvm
+    for text in ("abc", "é" * 300, "", "line\n" * 1000):
+        data = media.payload(text)
+        image = jvm.javax.imageio.ImageIO.read(jvm.java.io.ByteArrayInputStream(media.encode(data, len(text.encode()))))
+        assert (image.getWidth(), image.getHeight()) == (64, len(data) // 192)
+        for y in {0, image.getHeight() - 1}:
+            row = b"".join((image.getRGB(x, y) & 0xFFFFFF).to_bytes(3, "big") for x in range(64))
+            assert row == data[192 * y : 192 * (y + 1)]
+
+
+def test_archives_are_cut_into_files(spark):
+    import json
+    import os
+
+    folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/a"
+    spark.dataSource.register(media.MediaArchive)
+    rows = spark.createDataFrame([(i, bytes([i % 256]) * 1000) for i in range(100)], "id long, media binary").coalesce(1)
+    rows.write.format("media_archive").option("fileBytes", 10_000).mode("append").save("file://" + folder)
+    files = json.load(open(f"{folder}/manifest.json"))
+    assert [n for _, _, n in files] == [10] * 10 and all(os.path.getsize(f"{folder}/{name}") == size for name, size, _ in files)
+    back = spark.read.format("media_archive").option("rangeBytes", 3000).load("file://" + folder)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
+    odd = spark.createDataFrame([(1, "a", 2, 3)], "doc_id long, text string, id int, media int")
+    assert media.media_column(odd, "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/c").first().n_bytes == 1
+
+
 def test_round_trip(spark):
     rows = [(1, "abc"), (2, None), (3, ""), (4, "é" * 96), (5, "x" * 193), (5, "x" * 193), (None, "y" * 40_000), (6, "abc ")]
     folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp") + "/a"
