@@ -134,15 +134,17 @@ def _counted(kind: str, table: np.ndarray | None):
     return run
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 3000, reject: float = 0.0005) -> Model:
+def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 3000, reject: float = 0.0005, max_langs: int = 1000) -> Model:
     """Fit on about 0.8 times ``docs_per_lang`` rows of each language, chosen by a hash of the id. Twice ``1 / reject``
     other rows calibrate the rejection, so that about ``reject`` of texts of the learned languages are rejected. A
     language with too few rows for both learns from half of them; ``n`` texts support no share below ``1 / (n + 1)``, so with
     fewer than ``1 / reject`` the cut is at the strangest of them.
-    The shares, one row a language, are broadcast. Rows without a language are ignored; no labelled row at all gives a model that knows no language."""
+    The ``max_langs`` languages with most rows are learned; their shares, one row a language, are broadcast. Rows without
+    a language or text are ignored, repeated rows count as often as they occur; no labelled row at all gives a model that
+    knows no language."""
     rows = labelled.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
     own, calibrate = 0.8 * docs_per_lang, float(np.ceil(2 / reject))
-    sizes = rows.groupBy("lang").count().withColumn("share", F.lit(own + calibrate) / F.col("count"))
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).withColumn("share", F.lit(own + calibrate) / F.col("count"))
     sizes = sizes.withColumn("aside", F.least(calibrate / F.least(F.col("count"), F.lit(own + calibrate)), F.greatest(F.lit(0.5), 1 - own / F.col("count")))).select("lang", "share", "aside")
     part = lambda h: F.pmod(h, F.lit(1_000_000))
     sample = rows.join(F.broadcast(sizes), "lang").where(part(F.xxhash64("id")) < F.col("share") * 1_000_000)
