@@ -1,8 +1,8 @@
 """Media columns: payloads in archives, written and read by a Spark data source.
 
 A payload is stored as an image of 64 RGB pixels a row (192 bytes), 8 bits a sample, in a lossless
-PNG. Members lie one after another in archive files; each file ends with an index of (id, offset,
-length) and its place, so a reader needs no listing service. The source plans byte-range partitions
+PNG. Members lie one after another in archive files of bounded size; each file ends with an index of (id,
+offset, length) and its place, so a reader needs no listing service. The source plans byte-range partitions
 over the folder: a partition takes the members that begin in its range, so one hot or large archive
 is many tasks. Members are streamed as Arrow batches, and a member whose bytes can't be read or
 whose checksum differs is tried again alone, from its offset.
@@ -21,6 +21,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -88,42 +89,44 @@ def _open(path: str) -> tuple[fs.FileSystem, str]:
 
 @dataclass
 class _Written(WriterCommitMessage):
-    name: str
-    size: int
-    members: int
+    files: list[tuple[str, int, int]]  # name, size, members
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, path: str, file_bytes: int):
+        self.path, self.file_bytes = path, file_bytes
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
         store, folder = _open(self.path)
         store.create_dir(folder, recursive=True)
-        name = f"part-{uuid.uuid4().hex}.pma"
-        index, at = [], 0
-        with store.open_output_stream(f"{folder}/{name}") as out:
-            for batch in batches:
-                for i, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        members = ((i, body) for batch in batches for i, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        files = []
+        for first in members:
+            name = f"part-{uuid.uuid4().hex}.pma"
+            index, at = [], 0
+            with store.open_output_stream(f"{folder}/{name}") as out:
+                for i, body in chain([first], members):
                     out.write(body)
                     index.append((_NULL_ID if i is None else i, at, len(body), zlib.crc32(body)))
                     at += len(body)
-            raw = b"".join(_INDEX.pack(*x) for x in index)
-            out.write(raw)
-            out.write(_TAIL.pack(at, len(index), zlib.crc32(raw), _MAGIC))
-        return _Written(name, at + len(raw) + _TAIL.size, len(index))
+                    if at >= self.file_bytes:
+                        break
+                raw = b"".join(_INDEX.pack(*x) for x in index)
+                out.write(raw)
+                out.write(_TAIL.pack(at, len(index), zlib.crc32(raw), _MAGIC))
+            files.append((name, at + len(raw) + _TAIL.size, len(index)))
+        return _Written(files)
 
     def commit(self, messages: list) -> None:
         store, folder = _open(self.path)
         store.create_dir(folder, recursive=True)
         with store.open_output_stream(f"{folder}/manifest.json") as out:
-            out.write(json.dumps([[m.name, m.size, m.members] for m in messages if m]).encode())
+            out.write(json.dumps([f for m in messages if m for f in m.files]).encode())
 
     def abort(self, messages: list) -> None:
         store, folder = _open(self.path)
-        for m in messages:
-            if m:
-                store.delete_file(f"{folder}/{m.name}")
+        for name, _, _ in (f for m in messages if m for f in m.files):
+            store.delete_file(f"{folder}/{name}")
 
 
 @dataclass
@@ -203,7 +206,7 @@ class MediaArchive(DataSource):
         return _Reader(self.options["path"], int(self.options.get("rangeBytes", 32 << 20)), int(self.options.get("tries", 4)))
 
     def writer(self, schema, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"])
+        return _Writer(self.options["path"], int(self.options.get("fileBytes", 128 << 20)))
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
