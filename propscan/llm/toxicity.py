@@ -19,13 +19,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Kinds of identity terms; a term is swapped only for others of its kind.
+#: Kinds of identity terms by language; a term is swapped only for others of its kind. Fixed values.
 IDENTITY_TERMS = {
     "religion": ["muslim", "christian", "jewish", "hindu", "buddhist", "atheist"],
     "orientation": ["gay", "lesbian", "straight", "bisexual"],
     "origin": ["black", "white", "asian", "african", "european", "immigrant"],
     "gender": ["woman", "man", "women", "men", "transgender"],
     "ability": ["disabled", "blind", "deaf"],
+    "religion de": ["muslime", "muslimisch", "christ", "christlich", "jude", "jüdisch", "hindu", "buddhist", "atheist"],
+    "orientation de": ["schwul", "lesbisch", "heterosexuell", "bisexuell"],
+    "origin de": ["schwarze", "weiße", "asiatisch", "afrikanisch", "europäisch", "türkisch", "einwanderer"],
+    "gender de": ["frau", "mann", "frauen", "männer"],
+    "ability de": ["behindert", "taub", "gehörlos"],
+    "religion es": ["musulmán", "musulmana", "cristiano", "cristiana", "judío", "judía", "hindú", "budista", "ateo"],
+    "orientation es": ["gay", "lesbiana", "heterosexual", "bisexual"],
+    "origin es": ["negro", "blanco", "asiático", "africano", "europeo", "inmigrante", "gitano"],
+    "gender es": ["mujer", "hombre", "mujeres", "hombres", "transgénero"],
+    "ability es": ["discapacitado", "ciego", "sordo"],
+    "religion fr": ["musulman", "musulmane", "chrétien", "chrétienne", "juif", "juive", "hindou", "bouddhiste", "athée"],
+    "orientation fr": ["gay", "lesbienne", "hétérosexuel", "bisexuel"],
+    "origin fr": ["noir", "blanc", "asiatique", "africain", "européen", "immigré", "arabe"],
+    "gender fr": ["femme", "homme", "femmes", "hommes", "transgenre"],
+    "ability fr": ["handicapé", "aveugle", "sourd"],
 }
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[.!?\n]+")
@@ -41,14 +56,19 @@ def text_words(text: str | None) -> set[str]:
 
 
 def counterfactual_changes(text: str | None, terms: dict[str, list[str]]) -> list[tuple[set[str], set[str]]]:
-    """For each sentence with an identity term and each other term of its kind: words added and words removed."""
-    kinds = {t: group for group in terms.values() for t in group}
-    out = []
+    """Swaps of an identity term for another of its kind, in sentences that don't name both: words added and removed.
+
+    Each swap counts once a text, so their number is bounded by ``terms`` whatever the text's length.
+    """
+    others: dict[str, set[str]] = {}
+    for group in terms.values():
+        for t in group:
+            others.setdefault(t, set()).update(x for x in group if x != t)
+    found = set()
     for sentence in _SENTENCE.split((text or "").lower()):
         words = set(_WORD.findall(sentence))
-        for t in sorted(words & kinds.keys()):
-            out += [({other}, {t}) for other in kinds[t] if other not in words]
-    return out
+        found |= {(other, t) for t in words & others.keys() for other in others[t] - words}
+    return [({other}, {t}) for other, t in sorted(found)]
 
 
 @dataclass
