@@ -2,19 +2,21 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame, which is written as Parquet and
 read again as the next stage's documents. All stages but the last return the columns of
-``documents``. Rows whose ``doc_id`` is null stay in the stages that judge texts and can't be chosen
-by the stages that choose ids.
+``documents``. The stages that choose documents choose rows, by their place in the files, so repeated
+and missing ids do no harm: rows of one id are documents of their own. Null texts go in the first stage,
+empty tables stay empty, further columns are kept.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from propscan.llm import language_id, packing, quality_rules, source_mixing
 from propscan.llm.ngram_jaccard_join import near_duplicates
 from propscan.llm.queries import DOMAIN_WEIGHTS, mix_levels
-from propscan.storage import written
+from propscan.storage import with_row_key, written
 
 #: Share of the tokens that reach the mix which it gives out, each document at most once.
 MIX_SHARE = 0.9
@@ -26,22 +28,41 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the cutoffs certified on ``labels``."""
+    """Documents that pass the base rules and the cutoffs certified on ``labels``.
+
+    Texts are counted twice, for the cutoffs and for the verdicts: the second pass costs less than to move texts.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     cutoffs = quality_rules.fit_cutoffs(quality_rules.measure(docs), labels)
     return quality_rules.judge(quality_rules.measured_rows(docs), cutoffs).where("kept").select("row.*")
 
 
+def _key(docs: DataFrame) -> str:
+    """A column name that ``docs`` doesn't have."""
+    name = "_row_key"
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id."""
-    gone = near_duplicates(docs).where("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row of each group stays: that with the smallest id (rows without an id come last), and of equal ids
+    the first by its place in the files. Texts without words are no group and stay."""
+    key = _key(docs)
+    keyed = with_row_key(docs, key)
+    found = near_duplicates(keyed, carry=key).where("group is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.col(key).alias("key")))
+    firsts = found.groupBy("group").agg(first.alias("first")).select(F.col("first.key").alias(key))
+    gone = found.select(key).join(firsts, key, "left_anti")
+    return keyed.join(gone, key, "left_anti").select(docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents chosen for the target weights."""
-    chosen = source_mixing.mix(docs, mix_levels(), DOMAIN_WEIGHTS, share=MIX_SHARE, max_epochs=1).select("doc_id").distinct()
-    return docs.join(chosen, "doc_id", "left_semi").select(docs.columns)
+    """Rows chosen for the target weights, each at most once."""
+    key = _key(docs)
+    keyed = with_row_key(docs, key)
+    chosen = source_mixing.mix(keyed, mix_levels(), DOMAIN_WEIGHTS, share=MIX_SHARE, max_epochs=1, carry=(key,)).select(key)
+    return keyed.join(chosen, key, "left_semi").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
