@@ -6,25 +6,22 @@ global order, document frequency and then hash:
 * the rare end of the order finds who can meet: two sets can only reach the threshold if they share
   one of their rarest ``n - ceil(t * n) + 1`` shingles (prefix filter), so those shingles tie sets
   into families;
-* the frequent end makes the prefix trees: the sets of a family share long paths there, and a set
-  is looked up by walking the tree, adding each edge's overlap once for all sets below it and
-  leaving subtrees whose remaining length can't reach the needed overlap.
+* the frequent end makes the prefix trees: the sets of a family share long paths there. Sets walk a
+  tree together: each edge's overlap is counted once for all sets below it, and a subtree is left
+  where the tokens that remain can't reach the needed overlap.
 
 Frequencies come from one shuffle of packed hashes, not of rows. A shingle that a sample of the sets shows
 to be very common isn't counted, as a third of all sets may hold it: it is the last of the order in any
 case, so its postings go to their sets by way of buckets that are dealt by set. A shingle in only one set
 can't be shared, so a set with fewer than ``t * n`` shared shingles has no partner and goes no further. Exact
-copies collapse to one set before anything else. Families larger than a block are cut into blocks:
-each block is joined within itself, what links becomes one component, and then only the sets outside
-the family's largest component meet the other blocks. Sets already in one component are not compared
-again, so a group of copies costs about one look-up a member.
-
-That short cut serves components only. With ``n_links`` the sets of a family are parted by size, so that
-sets that link lie in one part or in neighbouring ones, and every pair of blocks of such parts is joined in
-full by counting shared shingles (dense products for frequent shingles, pair counts for rare ones); each
-set's links are added up, weighted by copies. Both are exact up to collisions of the hashes: 64 bits name
-a set, 48 bits and the frequency name a shingle. Texts are shingled twice, for names and for postings, as
-keeping the postings on disk would cost more than the second reading.
+copies collapse to one set before anything else. The sets of a family are parted by size, so that sets that
+link lie in one part or in neighbouring ones; parts are cut into blocks, and every pair of blocks of such
+parts is joined in one task, by a tree of the one and the sets of the other. No link is left out: each set's
+links are added up, weighted by copies, and a spanning part of them makes the components.
+
+Results are exact up to collisions of the hashes: 64 bits name a set, 48 bits and the frequency name a
+shingle. Texts are shingled twice, for names and for postings, as keeping the postings on disk would cost
+more than the second reading.
 """
 
 from __future__ import annotations
@@ -47,12 +44,8 @@ FLUSH_TOKENS = 800_000
 #: One set in so many, by its hash, tells which shingles are very common: those in this share of such sets, and
 #: in so many of them at least. At most so many are treated apart; the others are counted like rare ones.
 SAMPLE_OF, COMMON_SHARE, COMMON_LEAST, COMMON_MOST = 64, 0.001, 20, 200_000
-#: Sets of a family that one prefix tree holds.
+#: Sets of a family's part that one prefix tree holds.
 BLOCK = 512
-#: Sets of a family that are joined in full with as many others in one task.
-LINK_BLOCK = 1024
-#: Shingles in this many sets of a task or fewer are counted by pairs.
-RARE = 16
 _LOW48 = np.uint64((1 << 48) - 1)
 _COMMON = np.uint64(65535 << 48)
 
@@ -233,114 +226,89 @@ def _prefix_tokens(percent: int):
 
 
 class _Node:
-    __slots__ = ("below", "label", "leaves", "least", "most", "segment")
+    __slots__ = ("below", "leaves", "least", "most", "segment")
 
-    def __init__(self, segment: np.ndarray, least: int, most: int, label: int):
+    def __init__(self, segment: np.ndarray, least: int, most: int):
         self.segment = segment  # tokens of the edge above, in order
         self.below: dict[int, _Node] = {}  # children by their first token
         self.leaves: list[int] = []  # sets that end here
         self.least = least  # smallest set size below
         self.most = most  # most tokens that a set below still has after this edge
-        self.label: int | None = label  # a set below, if all were in one component when added
 
 
 class PrefixTree:
-    """Sets of ordered tokens in a path-compressed trie, with a union of the sets already linked."""
-
-    def __init__(self, sizes: list[int], tokens: list[np.ndarray], labels: list[int], n_tokens: int, percent: int):
-        self.sizes, self.tokens, self.percent = sizes, tokens, percent
-        names = {x: i for i, x in enumerate(dict.fromkeys(labels))}
-        self.label = [names[x] for x in labels]
-        self.parent = list(range(len(names)))
-        self.mark = np.zeros(n_tokens, bool)
-        self.root = _Node(tokens[0][:0], 1 << 62, 0, None)
-
-    def find(self, i: int) -> int:
-        at = self.label[i]
-        while self.parent[at] != at:
-            self.parent[at] = at = self.parent[self.parent[at]]
-        return at
-
-    def add(self, i: int) -> None:
-        node, rest = self.root, self.tokens[i]
+    """Sets of tokens, numbered in the order of the tree from its last to its first, in a path-compressed trie."""
+
+    def __init__(self) -> None:
+        self.root = _Node(np.zeros(0, np.int64), 1 << 62, 0)
+
+    def add(self, i: int, size: int, tokens: np.ndarray) -> None:
+        """Set ``i`` of ``size`` shingles; ``tokens`` are descending."""
+        node, rest = self.root, tokens
         while True:
-            node.least = min(node.least, self.sizes[i])
-            node.most = max(node.most, len(rest))
-            if node.label is not None and self.find(node.label) != self.find(i):
-                node.label = None
+            node.least, node.most = min(node.least, size), max(node.most, len(rest))
             if not len(rest):
                 node.leaves.append(i)
                 return
             child = node.below.get(int(rest[0]))
             if child is None:
-                node.below[int(rest[0])] = child = _Node(rest, self.sizes[i], 0, i)
+                node.below[int(rest[0])] = child = _Node(rest, size, 0)
                 child.leaves.append(i)
                 return
             m = min(len(rest), len(child.segment))
             differ = np.flatnonzero(rest[:m] != child.segment[:m])
             cut = int(differ[0]) if len(differ) else m
             if cut < len(child.segment):
-                upper = _Node(child.segment[:cut], child.least, child.most + len(child.segment) - cut, child.label)
+                upper = _Node(child.segment[:cut], child.least, child.most + len(child.segment) - cut)
                 child.segment = child.segment[cut:]
                 upper.below[int(child.segment[0])] = child
                 node.below[int(rest[0])] = child = upper
             node, rest = child, rest[cut:]
 
-    def links(self, i: int) -> Iterator[int]:
-        """Join set ``i`` with every component of the tree that it links to; yield one partner of each."""
-        x, size, t = self.tokens[i], self.sizes[i], self.percent
-        backward = x[::-1]
-        self.mark[x] = True
-        stack = [(self.root, 0)]
+    def links(self, sizes: np.ndarray, queries: "_Queries", percent: int) -> Iterator[tuple[int, np.ndarray]]:
+        """For each set of the tree (whose size is in ``sizes``), the queries that it links to, if any.
+
+        All queries walk the tree together: an edge's overlap with each of them is counted once for all sets below
+        it, and queries whose remaining tokens, or those of the sets below, can't reach the needed overlap go no further.
+        """
+        stack = [(self.root, np.arange(len(queries.size)), np.zeros(len(queries.size), np.int64))]
         while stack:
-            node, overlap = stack.pop()
-            if node.label is not None and self.find(node.label) == self.find(i):
-                continue
+            node, alive, overlap = stack.pop()
             if len(node.segment):
-                overlap += int(np.count_nonzero(self.mark[node.segment]))
-                left = int(np.searchsorted(backward, node.segment[-1]))  # tokens of x that come later in the order
-            else:
-                left = len(x)
-            if (overlap + min(left, node.most)) * (100 + t) < t * (size + node.least):
-                continue
+                overlap = overlap + queries.count(node.segment)[alive]
+                left = np.minimum(queries.left(alive, int(node.segment[-1])), node.most)
+                going = (overlap + left) * (100 + percent) >= percent * (queries.size[alive] + node.least)
+                alive, overlap = alive[going], overlap[going]
+                if not len(alive):
+                    continue
             for y in node.leaves:
-                if overlap * (100 + t) >= t * (size + self.sizes[y]) and self.find(y) != self.find(i):
-                    self.parent[self.find(y)] = self.find(i)
-                    yield y
-            stack.extend((child, overlap) for child in node.below.values())
-        self.mark[x] = False
+                found = alive[overlap * (100 + percent) >= percent * (queries.size[alive] + sizes[y])]
+                if len(found):
+                    yield y, found
+            stack.extend((child, alive, overlap) for child in node.below.values())
 
 
-_LINKS = "a long, b long"
-_LINKS_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-
-
-def _tree_join(percent: int):
-    """Links of one block, or between the two sides (``side`` 0 and 1) of a pair of blocks."""
-
-    def run(table: pa.Table) -> pa.Table:
-        sids, ns, sides, labels = (table.column(c).to_pylist() for c in ("sid", "n", "side", "component"))
-        ranks = [np.frombuffer(x, np.uint64) for x in table.column("ranks").to_pylist()]
-        names, inverse = np.unique(np.concatenate(ranks), return_inverse=True)
-        cuts = np.cumsum([len(r) for r in ranks])[:-1]
-        tokens = [x[::-1] for x in np.split(inverse, cuts)]  # most frequent first
-        tree = PrefixTree(ns, tokens, labels, len(names), percent)
-        order = sorted(range(len(sids)), key=lambda i: (sides[i], ns[i], sids[i]))
-        paired, found = 1 in sides, []
-        for i in order:
-            if not paired or sides[i] == 1:
-                found += [(sids[i], sids[j]) for j in tree.links(i)]
-            if not paired or sides[i] == 0:
-                tree.add(i)
-        return pa.table([pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)], schema=_LINKS_ARROW)
+class _Queries:
+    """Sets that walk a tree: ``owner, token`` ascending, each below ``len(size)`` and ``n_tokens``."""
 
-    return run
+    def __init__(self, size: np.ndarray, owner: np.ndarray, token: np.ndarray, n_tokens: int):
+        self.size, self.width = size, n_tokens + 1
+        self.key = owner * self.width + token
+        self.first = np.searchsorted(owner, np.arange(len(size)))
+        by_token = np.argsort(token, kind="stable")
+        self.owner = owner[by_token]
+        self.at = np.searchsorted(token[by_token], np.arange(n_tokens + 1))
 
+    def count(self, tokens: np.ndarray) -> np.ndarray:
+        """How many of ``tokens`` each query holds."""
+        n = self.at[tokens + 1] - self.at[tokens]
+        upto = np.cumsum(n)
+        place = np.arange(int(upto[-1])) + np.repeat(self.at[tokens] - (upto - n), n)
+        return np.bincount(self.owner[place], minlength=len(self.size))
 
-def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Add ``blocks``, the number of blocks of the row's (family, minor) part, and ``block``."""
-    sizes = members.groupBy("family", "minor").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    return members.join(sizes, ["family", "minor"]).withColumn("block", F.pmod(F.xxhash64("sid"), "blocks").cast("int"))
+    def left(self, which: np.ndarray, token: int) -> np.ndarray:
+        """Tokens of queries that come after ``token`` in the order of the tree."""
+        return np.searchsorted(self.key, which * self.width + token) - self.first[which]
 
 
 def _families(sets: DataFrame, percent: int) -> DataFrame:
@@ -352,69 +320,11 @@ def _families(sets: DataFrame, percent: int) -> DataFrame:
     return found
 
 
-def _links(sets: DataFrame, percent: int, block: int) -> tuple[DataFrame, list[DataFrame]]:
-    """A spanning set of links ``(a, b)`` between set ids, and the written tables that it reads."""
-    families = _families(sets, percent)
-    members = sets.join(families, sets.sid == families.node).select("sid", "n", "ranks", F.col("component").alias("family"), F.lit(0).alias("minor"))
-    members = written(_blocks(members, block), "members")
-
-    alone = members.withColumns({"side": F.lit(0), "component": F.col("sid")})
-    inner = written(alone.groupBy("family", "block").applyInArrow(_tree_join(percent), _LINKS), "links")
-
-    # Families of several blocks: sets outside the largest component meet every other block.
-    cut = members.where("blocks > 1").drop("minor", "blocks", "block")
-    if cut.isEmpty():
-        return inner, [members, inner]
-    joined = connected_components(inner, "a", "b").withColumnRenamed("node", "sid")
-    cut = cut.join(joined, "sid", "left").withColumn("component", F.coalesce("component", "sid"))
-    largest = cut.groupBy("family", "component").count().groupBy("family").agg(F.max_by("component", F.struct("count", "component")).alias("largest"))
-    cut = cut.join(largest, "family").withColumn("minor", F.when(F.col("component") == F.col("largest"), 0).otherwise(1)).drop("largest")
-    cut = kept = written(_blocks(cut, block), "cut")
-    counts = cut.groupBy("family").agg(F.coalesce(F.max(F.expr("if(minor = 1, blocks, 0)")), F.lit(0)).alias("minors"))
-    cut = cut.join(counts, "family").where("minors > 0")
-    majors = cut.where("minor = 0").withColumn("pair", F.explode(F.expr("transform(sequence(0, minors - 1), j -> struct(-1 - block as i, j as j, 0 as side))")))
-    all_blocks = cut.where("minor = 1").join(
-        cut.where("minor = 0").groupBy("family").agg(F.max("blocks").alias("majors")), "family", "left"
-    )
-    meets = F.expr(
-        "concat(transform(sequence(1, majors), i -> struct(-i as i, block as j, 1 as side)),"
-        " transform(sequence(0, minors - 1), j -> if(j < block, struct(j as i, block as j, 1 as side), struct(block as i, j as j, 0 as side))))"
-    )
-    minors = all_blocks.withColumn("pair", F.explode(meets))
-    fields = ["family", "sid", "n", "ranks", "component", "pair.i", "pair.j", "pair.side"]
-    pairs = majors.select(*fields).union(minors.select(*fields))
-    return inner.union(pairs.groupBy("family", "i", "j").applyInArrow(_tree_join(percent), _LINKS)), [members, inner, kept]
-
-
-def _shared_counts(owner: np.ndarray, token: np.ndarray, n: int, split: int) -> np.ndarray:
-    """Shared tokens of each pair of sets: rows before ``split`` with those after it, or all with all if it is ``n``."""
-    order = np.lexsort((owner, token))
-    owner, token = owner[order], np.unique(token[order], return_inverse=True)[1]
-    df = np.bincount(token)
-    rare = df[token] <= RARE
-    o, t = owner[rare], token[rare]
-    acc = np.zeros(n * n, np.int32)
-    for d in range(1, RARE):
-        same = t[d:] == t[:-d]
-        if not same.any():
-            break
-        np.add.at(acc, o[:-d][same] * n + o[d:][same], 1)
-    acc = acc.reshape(n, n)
-    acc = acc[:split, split:] if split < n else acc + acc.T
-    o, t = owner[~rare], np.unique(token[~rare], return_inverse=True)[1]
-    for a in range(0, int(t[-1]) + 1 if len(t) else 0, 2048):
-        part = slice(*np.searchsorted(t, (a, a + 2048)))
-        has = np.zeros((n, 2048), np.float32)
-        has[o[part], t[part] - a] = 1
-        acc = acc + (has[:split] @ (has[split:] if split < n else has).T).astype(np.int32)
-    return acc
-
-
 _COUNTED = "a long, b long, n long"
 _COUNTED_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
 
-def _full_join(percent: int):
+def _tree_join(percent: int):
     """All links of one block, or between the two sides of a pair of blocks: rows ``(a, null, n)`` with the
     documents that set ``a`` links to, and rows ``(a, b, null)`` that span the components."""
 
@@ -427,9 +337,20 @@ def _full_join(percent: int):
             return _COUNTED_ARROW.empty_table()
         ranks = [np.frombuffer(x, np.uint64) for x in table.column("ranks").to_pylist()]
         owner = np.repeat(np.arange(n), [len(r) for r in ranks])
-        shared = _shared_counts(owner, np.concatenate(ranks), n, split)
-        right = slice(split, n) if split < n else slice(0, n)
-        link = shared.astype(np.int64) * (100 + percent) - percent * size[:split, None] >= percent * size[None, right]
+        names, token, often = np.unique(np.concatenate(ranks), return_inverse=True, return_counts=True)
+        shared = (often > 1)[token]  # a token of one set of the table is in no overlap
+        owner, token = owner[shared], (np.cumsum(often > 1) - 1)[token[shared]]
+        n_tokens, cuts = int((often > 1).sum()), np.searchsorted(owner, np.arange(n + 1))
+        begin = split if split < n else 0
+        tree = PrefixTree()
+        for i in range(begin, n):
+            if cuts[i] < cuts[i + 1]:
+                tree.add(i, int(size[i]), token[cuts[i] : cuts[i + 1]][::-1])  # most frequent first
+        queries = _Queries(size[:split], owner[: cuts[split]], token[: cuts[split]], n_tokens)
+        link = np.zeros((split, n - begin), bool)
+        for y, found in tree.links(size, queries, percent):
+            link[found, y - begin] = True
+        right = slice(begin, n)
         if split == n:
             np.fill_diagonal(link, False)
         weight = copies.astype(np.float64)
@@ -468,8 +389,8 @@ def _full_join(percent: int):
     return run
 
 
-def _counted_links(sets: DataFrame, copies: DataFrame, percent: int, block: int) -> tuple[DataFrame, list[DataFrame]]:
-    """Rows of ``_full_join`` over all pairs of blocks of each family whose sizes can link, and the written tables
+def _links(sets: DataFrame, copies: DataFrame, percent: int, block: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Rows of ``_tree_join`` over all pairs of blocks of each family whose sizes can link, and the written tables
     that they come from; ``copies``: ``sid, copies``."""
     families = _families(sets, percent)
     families = families.join(copies, families.node == copies.sid).select("node", "component", "copies")
@@ -486,7 +407,7 @@ def _counted_links(sets: DataFrame, copies: DataFrame, percent: int, block: int)
         " if(below is null, array(), transform(sequence(0, below - 1), i -> struct(part - 1 as part, 1 as up, i as i, block as j, 1 as side))))"
     )
     pairs = members.withColumn("pair", F.explode(meets)).select("family", "sid", "n", "copies", "ranks", "pair.part", "pair.up", "pair.i", "pair.j", "pair.side")
-    return pairs.groupBy("family", "part", "up", "i", "j").applyInArrow(_full_join(percent), _COUNTED), [stored, sizes]
+    return pairs.groupBy("family", "part", "up", "i", "j").applyInArrow(_tree_join(percent), _COUNTED), [stored, sizes]
 
 
 def _common_tokens(ids: DataFrame, share: float, least: int) -> np.ndarray:
@@ -499,7 +420,7 @@ def _common_tokens(ids: DataFrame, share: float, least: int) -> np.ndarray:
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80, block: int = BLOCK, bucket_tokens: int = BUCKET_TOKENS,
-    n_links: bool = False, link_block: int = LINK_BLOCK, carry: str | None = None, common: tuple[int, float, int] = (SAMPLE_OF, COMMON_SHARE, COMMON_LEAST),
+    n_links: bool = False, carry: str | None = None, common: tuple[int, float, int] = (SAMPLE_OF, COMMON_SHARE, COMMON_LEAST),
 ) -> DataFrame:
     """Return ``(doc_id, n_shingles, component_id)`` and with ``n_links`` that column, one row for each row of ``docs``.
 
@@ -524,15 +445,11 @@ def near_duplicates(
     shared = packed.groupBy("bucket").applyInArrow(_shared_tokens(buckets), _PACKED)
     sets = written(shared.groupBy("bucket").applyInArrow(_partners_possible(percent), _SETS), "shared")
     copies = ids.where("sid is not null").groupBy("sid").agg(F.count("*").alias("copies"))
-    found, read = _counted_links(sets, copies, percent, link_block) if n_links else _links(sets, percent, block)
+    found, read = _links(sets, copies, percent, block)
     links = written(found, "links")
     removed(spark, sets, *read)
+    linked = connected_components(links.where("n is null"), "a", "b")
     others = written(links.where("n is not null").groupBy(F.col("a").alias("sid")).agg(F.sum("n").alias("others")), "others") if n_links else None
-    if n_links:
-        spanning = written(links.where("n is null").select("a", "b"), "spanning")
-        removed(spark, links)
-        links = spanning
-    linked = connected_components(links, "a", "b")
     removed(spark, links)
 
     first = ids.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("first_id"), (F.count("*") - 1).alias("n_links"))

@@ -64,7 +64,7 @@ def test_links_of_each_document(spark, link_block):
     want = [sum(x != y and 100 * len(a & b) >= 80 * len(a | b) and bool(a) for y, b in enumerate(sets)) for x, a in enumerate(sets)]
     assert max(want) > 60
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    got = near_duplicates(d, bucket_tokens=500, n_links=True, link_block=link_block)
+    got = near_duplicates(d, bucket_tokens=500, n_links=True, block=link_block)
     key = lambda r: tuple(map(str, r))
     assert sorted(((r.doc_id, r.n_links) for r in got.collect()), key=key) == sorted(((i, n) for (i, _), n in zip(rows, want)), key=key)
     assert sorted(map(tuple, got.drop("n_links").collect()), key=key) == sorted(map(tuple, near_duplicates(d).collect()), key=key)
@@ -87,7 +87,7 @@ def test_common_passage_and_whole_table(spark):
     want = brute(rows)
     for common in ((1, 0.3, 2), (4, 0.5, 2)):
         for links in (False, True):
-            got = near_duplicates(d, common=common, bucket_tokens=3000, n_links=links, link_block=16, block=16).select("doc_id", "n_shingles", "component_id")
+            got = near_duplicates(d, common=common, bucket_tokens=3000, n_links=links, block=16).select("doc_id", "n_shingles", "component_id")
             assert sorted(map(tuple, got.collect())) == want
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = near_duplicates(docs, n_links=True).select("doc_id", "n_shingles", "component_id").collect()
@@ -101,6 +101,28 @@ def test_groups_of_rows(spark):
     assert [got[k].component_id for k in "abcdefg"] == [5, 5, 5, 5, 5, 1, 1]
 
 
+def test_tree_finds_all_links():
+    """Every link of random sets with long common paths, by counting each pair."""
+    import numpy as np
+    from propscan.llm.ngram_jaccard_join import PrefixTree, _Queries
+
+    rnd = np.random.default_rng(3)
+    base = [rnd.choice(400, 120, replace=False) for _ in range(4)]
+    sets = [np.unique(np.r_[rnd.choice(base[i % 4], 116 - i % 9, replace=False), rnd.choice(400, i % 13)]) for i in range(150)] + [np.arange(3)]
+    size = np.array([len(x) + i % 5 for i, x in enumerate(sets)])  # some shingles are in no other set
+    for cut in (0, 60):
+        tree = PrefixTree()
+        for i in range(cut, len(sets)):
+            tree.add(i, int(size[i]), sets[i][::-1].astype(np.int64))
+        asked = range(len(sets)) if not cut else range(cut)
+        q = _Queries(size[: len(asked)], np.repeat(np.arange(len(asked)), [len(sets[i]) for i in asked]), np.concatenate([sets[i] for i in asked]).astype(np.int64), 400)
+        got = {(x, y) for y, found in tree.links(size, q, 80) for x in found.tolist()}
+        shared = lambda x, y: len(np.intersect1d(sets[x], sets[y]))
+        want = {(x, y) for x in asked for y in range(cut, len(sets)) if 100 * shared(x, y) >= 80 * (size[x] + size[y] - shared(x, y))}
+        assert got == want
+        assert len(want) > 200
+
+
 def test_empty_and_repeated_rows(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     got = near_duplicates(spark.createDataFrame([(2, "a b"), (2, "a b"), (1, "A b"), (None, "c")], "doc_id long, text string"))
