@@ -102,13 +102,16 @@ def labelled_surfaces(text: Column) -> Column:
 def surface(text: Column) -> Column:
     """The built-up area if one is labelled so, else the first: ``value, origin, confidence``, low outside 5..100,000 m²
     and where several areas without a label differ."""
-    found = labelled_surfaces(text)
-    built = F.filter(found, lambda m: m["label"] == "coperta")
-    best = F.try_element_at(F.when(F.size(built) > 0, built).otherwise(F.filter(found, lambda m: F.coalesce(m["label"], F.lit("")) != "scoperta")), F.lit(1))
-    value = F.coalesce(best["value"], F.try_element_at(surfaces(text), F.lit(1)))
-    unsure = (F.size(built) == 0) & (F.size(F.array_distinct(F.transform(found, lambda m: m["value"]))) > 1)
-    confidence = F.when(value.between(5, 100_000) & ~F.coalesce(unsure, F.lit(False)), F.lit("alta")).when(value.isNotNull(), F.lit("bassa"))
-    return F.struct(value.alias("value"), F.when(value.isNotNull(), F.lit("regex_testo")).alias("origin"), confidence.alias("confidence"))
+
+    def best(found: Column) -> Column:
+        built = F.filter(found, lambda m: m["label"] == "coperta")
+        first = F.try_element_at(F.when(F.size(built) > 0, built).otherwise(F.filter(found, lambda m: F.coalesce(m["label"], F.lit("")) != "scoperta")), F.lit(1))
+        value = first["value"]
+        unsure = (F.size(built) == 0) & (F.size(F.array_distinct(F.transform(found, lambda m: m["value"]))) > 1)
+        confidence = F.when(value.between(5, 100_000) & ~F.coalesce(unsure, F.lit(False)), F.lit("alta")).when(value.isNotNull(), F.lit("bassa"))
+        return F.struct(value.alias("value"), F.when(value.isNotNull(), F.lit("regex_testo")).alias("origin"), confidence.alias("confidence"))
+
+    return F.transform(F.array(labelled_surfaces(text)), best)[0]  # the areas are found once
 
 
 def item_details(details: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from propscan.config import Config
 from propscan.functions import describe as D
 from propscan.functions import score as S
+from propscan.operators import audits as A
 from propscan.operators import filters as X
 from propscan.operators import joins as J
 from propscan.operators import resolve as R
@@ -83,7 +84,7 @@ def property_edges(spark, d):
 
 def _properties(spark, d):
     rows = listings(spark, d)
-    return rows, R.properties(rows, R.edges(rows))
+    return rows, R.properties(rows, R.edges(rows, pairs=False))
 
 
 @query()  # transitive closure on whole tables is too slow in SQL: tests use a union-find over the SQL's edges
@@ -106,7 +107,7 @@ def weekly_announcements(spark, d):
     """The whole chain: properties of all listings, one record each, evaluation, history of earlier announcements, comparison and
     the ten best that are new or better."""
     rows = facts(spark, d)
-    of = R.properties(rows, R.edges(rows))
+    of = R.properties(rows, R.edges(rows, pairs=False))
     best = R.survivors(rows.withColumn("url", F.col("listing_id")), of, ["price", "sqm", "lot", "height", "permit"])
     now = written(evaluated(best, RUN_DATE), "evaluated")
     compared = _compared(now, *_past(now))
@@ -324,3 +325,85 @@ select a.k, count(*) as n, round(sum(b.sqm), 2) as sqm from p a join p b on a.k
 def competitors_of_competitors(spark, d):
     p = points(spark, d)
     return J.radius_join(p, p, 100.0).where("k <> r_k").groupBy("k").agg(F.count("*").alias("n"), F.round(F.sum("r_sqm"), 2).alias("sqm"))
+
+
+@query(f"""{L}, x as (select source, case when number % 9 = 0 then ' ' else town end as town, sqm, lot from l)
+select source, field, n, filled, filled / n as share from (select source, 'town' as field, count(*) as n, count(*) filter (where trim(town) <> '') as filled from x group by source
+  union all select source, 'sqm', count(*), count(sqm) from x group by source union all select source, 'lot', count(*), count(lot) from x group by source)""")
+def field_fill(spark, d):
+    """Share of known and non-blank values, by source and field."""
+    rows = listings(spark, d).withColumn("town", F.expr("case when number % 9 = 0 then ' ' else town end"))
+    return A.fill_rates(rows, ["source"], ["town", "sqm", "lot"])
+
+
+@query(f"""{L} select source, count(*) as n, count(sqm) as with_sqm, count(*) filter (where number % 5 > 0) as with_deadline, count(*) filter (where number % 4 > 0 and number % 7 > 0) as with_place from l group by rollup(source)""")
+def data_quality(spark, d):
+    """Rows with surface, deadline and coordinates, by source and in total."""
+    rows = listings(spark, d).withColumns({"deadline": F.expr("case when number % 5 > 0 then deadline end"), "lat": F.expr("case when number % 4 > 0 then lat end"), "lon": F.expr("case when number % 7 > 0 then lon end")})
+    return A.quality_table(rows)
+
+
+@query(f"""{L}, x as (select source, case when number % 50 = 0 then 'x-' || number when number % 60 < 10 then source || '_' || (number - number % 60) else listing_id end as k from l)
+select source, count(*) as n, count(*) filter (where regexp_matches(k, '^[a-z]+_[0-9]+$')) as well_formed, count(*) - count(distinct k) as repeated from x group by source""")
+def key_report(spark, d):
+    """Keys of the right form and repeated keys, by source."""
+    rows = listings(spark, d).select("source", F.expr("case when number % 50 = 0 then concat('x-', number) when number % 60 < 10 then concat(source, '_', number - number % 60) else listing_id end").alias("k"))
+    return A.key_audit(rows, "k", "^[a-z]+_[0-9]+$", ["source"])
+
+
+@query(f"""{L}, c as (select source, year, count(*) as n from l where year % 3 <> 1 or number % 4 = 0 group by all) select source, year, n, coalesce(n < 0.5 * lag(n) over (partition by source order by year), false) as alarm from c""")
+def volume_drops(spark, d):
+    rows = listings(spark, d).where("year % 3 <> 1 or number % 4 = 0").groupBy("source", "year").agg(F.count("*").alias("n"))
+    return A.volume_alarm(rows, "source", "year")
+
+
+@query("select event_type, count(*) filter (where value > 90) as error, count(*) filter (where value > 70 and value <= 90) as warning from events group by event_type")
+def alarm_levels(spark, d):
+    level = F.when(F.col("value") > 90, "ERROR").when(F.col("value") > 70, "WARNING").when(F.col("value") > 20, "INFO")
+    return A.level_counts(table(spark, d, "events").select("event_type", level.alias("level")), "event_type")
+
+
+@query(f"""{L}, r as (select case when number % 5 = 0 then listing_id else 'was_' || number end as id, 'r1' as file, '2026-09-02' as date, number, case when number % 5 = 1 then 'alias_' || number end as alias, case when number % 5 = 2 then 'key_' || number end as k from l where number % 5 < 3
+  union all select 'new_' || number, 'r2', '2026-09-09', number, listing_id, null from l where number % 10 = 0 union all select listing_id, 'this', '2026-09-16', number, null, null from l)
+select listing_id, id, date, file from (select l.listing_id, r.*, row_number() over (partition by l.listing_id order by case when r.id = l.listing_id then 1 when r.k is not null then 3 else 2 end, r.date desc) as n
+  from l join r on r.number = l.number and r.file <> 'this' and (r.id = l.listing_id or r.alias is not null or r.k is not null)) where n = 1""")
+def history_matches(spark, d):
+    """Earlier announcements by id, else by an alias of either side, else by the identity key."""
+    rows = listings(spark, d).select("listing_id", "number")
+    own = rows.select("listing_id", F.expr("case when number % 5 = 1 then array(concat('alias_', number)) end").alias("alias_ids"), F.expr("case when number % 5 = 2 then concat('key_', number) end").alias("identity_key"))
+    first = rows.where("number % 5 < 3").select(
+        F.expr("case when number % 5 = 0 then listing_id else concat('was_', number) end").alias("id"), F.lit("2026-09-02").alias("date"), F.lit("r1").alias("file"),
+        F.expr("case when number % 5 = 1 then array(concat('alias_', number)) end").alias("alias_ids"), F.expr("case when number % 5 = 2 then concat('key_', number) end").alias("identity_key"),
+    )
+    none = [F.array().cast("array<string>").alias("alias_ids"), F.lit(None).cast("string").alias("identity_key")]
+    second = rows.where("number % 10 = 0").select(F.expr("concat('new_', number)").alias("id"), F.lit("2026-09-09").alias("date"), F.lit("r2").alias("file"), F.array("listing_id").alias("alias_ids"), none[1])
+    today = rows.select(F.col("listing_id").alias("id"), F.lit("2026-09-16").alias("date"), F.lit("this").alias("file"), *none)
+    return J.matched_history(own, first.union(second).union(today), "this")
+
+
+@query(f"""{L} select listing_id, concat_ws(',', case when sqm is null then 'sqm' end, case when lot is null then 'lot' end) as missing, (sqm is null)::int + (lot is null)::int as n, replace(format('{{:,.0f}}', cast(number as double)), ',', '.') || ' m²' as area from l""")
+def missing_fields(spark, d):
+    """Unknown fields with where to find them, and an area as readers see it."""
+    from propscan.functions import parse as P
+
+    rows = listings(spark, d)
+    missing = D.missing_data({"sqm": F.col("sqm"), "lot": F.col("lot")})
+    n = F.lit(2) - P.richness(F.col("sqm"), F.col("lot"))
+    return rows.select("listing_id", F.array_join(F.transform(missing, lambda m: m["field"]), ",").alias("missing"), n.alias("n"), D.area_text(F.col("number").cast("double")).alias("area"))
+
+
+@query("""with f as (select o_orderkey as k, o_custkey as c, o_orderdate as u from orders), b as (select o_custkey as c, min(o_orderdate) as s from orders where o_custkey % 5 > 0 group by 1), g as (select k, (epoch(s) - epoch(u)) / 86400.0 as days from f left join b using (c))
+select k, case when days is null then 'new' when days < 7 then 'recent' else 'stale' end as forward, case when days is null then 'new' when abs(days) < 7 then 'recent' else 'stale' end as either from g""")
+def freshness_both_ways(spark, d):
+    """Weekly status where only an older update counts as stale, and where a gap in either direction does."""
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("c"), F.col("o_orderdate").alias("updated_at"))
+    base = o.where("c % 5 > 0").groupBy("c").agg(F.min("updated_at").alias("scraped_at"))
+    one = Fresh.weekly_status(o, base, "c").select("k", F.col("status").alias("forward"))
+    return one.join(Fresh.weekly_status(o, base, "c", mode="abs").select("k", F.col("status").alias("either")), "k")
+
+
+@query("select event_id, row_number() over (order by ts desc, event_id) as place from events")
+def recent_events(spark, d):
+    """Rows by recency, with their place in that order."""
+    ordered = W.recent_first(table(spark, d, "events"), "ts", "event_id").withColumn("at", F.monotonically_increasing_id())
+    return ordered.select("event_id", F.row_number().over(W.Window.orderBy("at")).cast("long").alias("place"))

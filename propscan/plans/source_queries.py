@@ -15,6 +15,7 @@ from propscan.plans.expected import FACTS_SQL, L
 from propscan.plans.registry import query
 from propscan.sources import pages as Pages
 from propscan.sources import snapshots as Snap
+from propscan.storage import written
 
 _PER_PAGE = 20
 _AMOUNT = "translate(format_number(price, 2), ',.', '.,')"
@@ -70,7 +71,7 @@ select source, case source when 'astalegale' then 'B' || (number + 1000000) when
 from c where source in ('asteannunci', 'caseasta', 'fallcoaste', 'medianord', 'worldcapital', 'astalegale', 'idealista')""")
 def portal_listings(spark, d):
     """Listings read from the list pages of seven portals."""
-    pages = printed_pages(spark, d)
+    pages = written(printed_pages(spark, d), "pages")
     found = None
     for source in _PRINTED:
         cards = Pages.portal_cards(pages.where(F.col("source") == source), source)

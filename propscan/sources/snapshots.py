@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,27 +55,30 @@ def baseline(rows: DataFrame) -> DataFrame:
     return rows.select("listing_key", F.try_to_timestamp(F.get_json_object("payload", "$.scraped_at")).alias("scraped_at")).where("scraped_at is not null")
 
 
-#: source prefix → function from ``listing_key, payload`` rows to canonical rows
+#: Sources beyond ``PLACES``: prefix → function from ``listing_key, payload`` rows to canonical rows
 ADAPTERS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 
 
 def adapter(source: str, schema: str, columns: Callable[[], dict[str, Column]]) -> None:
-    """Register a source: the payload is read by ``schema`` as ``p`` and mapped to canonical ``columns``."""
+    """Register a further source: the payload is read by ``schema`` as ``p`` and mapped to canonical ``columns``."""
     ADAPTERS[source] = lambda rows: rows.withColumn("p", F.from_json("payload", schema)).select("listing_key", F.lit(source).alias("source"), *[c.alias(n) for n, c in columns().items()])
 
 
 def canonical(rows: DataFrame) -> DataFrame:
-    """All adapters' rows in one table; keys without an adapter are left out (see ``unknown_sources``)."""
+    """All sources' rows in one table; keys of an unknown source are left out (see ``unknown_sources``).
+
+    The ten portals are read in one pass: their records are parsed once, and a source only tells which fields hold its price and
+    place. Registered adapters add a branch each.
+    """
     prefix = F.regexp_extract("listing_key", "^([a-z]+)_", 1)
-    parts = [make(rows.where(prefix == source)) for source, make in ADAPTERS.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+    out = _portal_rows(rows.withColumn("source", prefix).where(F.col("source").isin(*PLACES)))
+    for source, make in ADAPTERS.items():
+        out = out.unionByName(make(rows.where(prefix == source)), allowMissingColumns=True)
     return out
 
 
 def unknown_sources(rows: DataFrame) -> DataFrame:
-    return rows.select(F.regexp_extract("listing_key", "^([a-z]+)_", 1).alias("source")).where(~F.col("source").isin(*ADAPTERS)).groupBy("source").count()
+    return rows.select(F.regexp_extract("listing_key", "^([a-z]+)_", 1).alias("source")).where(~F.col("source").isin(*PLACES, *ADAPTERS)).groupBy("source").count()
 
 
 def write_partition(rows: DataFrame, path: str, by: str = "run_date") -> None:
@@ -125,23 +127,24 @@ FIELDS = [
     "termine_presentazione_offerte", "prezzo", "prezzo_base", "indirizzo", "comune", "citta_completa", "citta", "zona",
 ]
 #: Source → fields that hold its price and its place.
-_PLACES = {
+PLACES = {
     "asteannunci": ("prezzo_base", "indirizzo"), "asteflorio": ("prezzo", "titolo"), "caseasta": ("prezzo", "indirizzo"), "fallcoaste": ("prezzo", "titolo"),
     "medianord": ("prezzo", "comune"), "vgi": ("prezzo_base", "citta_completa"), "worldcapital": ("prezzo", "citta"), "astalegale": ("prezzo", "citta"),
     "idealista": ("prezzo", "zona"), "immobiliare": ("prezzo", "comune"),
 }
 
 
-def _columns(source: str, price: str, place: str) -> dict[str, Column]:
+def _portal_rows(rows: DataFrame) -> DataFrame:
+    """Canonical columns of the portals' records, by the fields of ``PLACES``."""
     p = lambda name: F.col(f"p.{name}")
+    role = lambda i: F.coalesce(*(F.when(F.col("source").isin(*[s for s, names in PLACES.items() if names[i] == field]), p(field)) for field in dict.fromkeys(names[i] for names in PLACES.values())))
+    rows = rows.withColumn("p", F.from_json("payload", ", ".join(f"{f} string" for f in FIELDS))).withColumns({"_price": role(0), "_place": role(1)})
+    place = F.col("_place")
     sqm = F.coalesce(F.try_element_at(parse.surfaces(p("superficie_mq")), F.lit(1)), parse.italian_number(p("superficie_mq")), parse.surface(p("descrizione_completa"))["value"])
-    return {
-        "url": p("url"), "title": p("titolo"), "description": parse.strip_tags(p("descrizione_completa")), "price": parse.price(p(price), F.lit(source)), "sqm": sqm,
-        "town": F.coalesce(parse.town(p(place)), p(place)), "province": parse.province(p(place)), "court": p("tribunale"), "procedure": parse.procedure(p("procedura")),
+    columns = {
+        "url": p("url"), "title": p("titolo"), "description": parse.strip_tags(p("descrizione_completa")), "price": parse.price(F.col("_price"), F.col("source")), "sqm": sqm,
+        "town": F.coalesce(parse.town(place), place), "province": parse.province(place), "court": p("tribunale"), "procedure": parse.procedure(p("procedura")),
         "deadline": parse.timestamp(F.coalesce(p("termine_presentazione_offerte"), p("data_termine_asta"), p("data_asta"))),
         "category": parse.category(F.concat_ws(" ", p("categoria"), p("titolo"))), "scraped_at": p("scraped_at").try_cast("timestamp"),
     }
-
-
-for _source, _where in _PLACES.items():
-    adapter(_source, ", ".join(f"{f} string" for f in FIELDS), partial(_columns, _source, *_where))
+    return rows.select("listing_key", "source", *[c.alias(n) for n, c in columns.items()])
