@@ -225,11 +225,11 @@ def monitored(spark, d):
     return Pub.monitor_preview(_items(spark, d)).select("listing_id", "vote")
 
 
-@query(f"{_ITEMS} select listing_id, row_number() over (order by days_left, listing_id) as place from i where channel = 'ASTE' and outcome = 'PROMUOVI' and state = 'NUOVA'")
+@query(f"{_ITEMS} select listing_id, row_number() over (order by days_left, listing_id) as place from i where channel = 'ASTE' and outcome = 'PROMUOVI' and state = 'NUOVA' qualify place <= 50")
 def results_by_deadline(spark, d):
-    """Items of one channel, outcome and state by deadline, with their place in that order."""
-    ordered = W.by_choice(_items(spark, d), "deadline", channel="ASTE", outcome="PROMUOVI", state="NUOVA")
-    return ordered.withColumn("place", F.monotonically_increasing_id()).select("listing_id", F.row_number().over(W.Window.orderBy("place")).cast("long").alias("place"))
+    """The first page (50 items) of one channel, outcome and state, nearest deadline first, with places."""
+    page = W.by_choice(_items(spark, d), "deadline", channel="ASTE", outcome="PROMUOVI", state="NUOVA").limit(50)
+    return page.select("listing_id", F.row_number().over(W.Window.orderBy(F.asc_nulls_last("deadline"), "listing_id")).cast("long").alias("place"))
 
 
 @query(f"{_ITEMS} select listing_id, town from i where contains(lower(listing_id), 'vgi_1') or contains(town, 'ger')")
@@ -402,8 +402,17 @@ def freshness_both_ways(spark, d):
     return one.join(Fresh.weekly_status(o, base, "c", mode="abs").select("k", F.col("status").alias("either")), "k")
 
 
-@query("select event_id, row_number() over (order by ts desc, event_id) as place from events")
+@query("select event_id, row_number() over (order by ts desc, event_id) as place from events qualify place <= 50")
 def recent_events(spark, d):
-    """Rows by recency, with their place in that order."""
-    ordered = W.recent_first(table(spark, d, "events"), "ts", "event_id").withColumn("at", F.monotonically_increasing_id())
-    return ordered.select("event_id", F.row_number().over(W.Window.orderBy("at")).cast("long").alias("place"))
+    """The first page (50 rows) by recency, with places."""
+    page = W.recent_first(table(spark, d, "events"), "ts", "event_id").limit(50)
+    return page.select("event_id", F.row_number().over(W.Window.orderBy(F.desc("ts"), "event_id")).cast("long").alias("place"))
+
+
+@query(f"{L} select listing_id, concat_ws(',', case when number % 9 = 0 then 'town' end, case when sqm is null then 'sqm' end, case when number % 8 = 0 then 'price' end) as unknown, town in ('germany', 'france') and number % 9 > 0 as excluded from l")
+def undecided_listings(spark, d):
+    """Decisive fields that are unknown, and the town filter, which never drops an unknown town."""
+    rows = listings(spark, d).withColumns({"town": F.expr("case when number % 9 > 0 then town end"), "price": F.expr("case when number % 8 > 0 then price end")})
+    unknown = X.insufficient({"town": F.col("town"), "sqm": F.col("sqm"), "price": F.col("price")})
+    out = X.geography(F.lit("MI"), F.col("town"), ["MI"], Config(excluded_towns=("germany", "france")), F.lit(None).cast("double"))
+    return rows.select("listing_id", F.array_join(unknown, ",").alias("unknown"), out.isNotNull().alias("excluded"))

@@ -211,3 +211,13 @@ def test_late_and_mixed_texts(spark):
     assert one(spark, P.court(F.col("t")), t="x Tribunale di Busto Arsizio in composizione") == "Tribunale di Busto Arsizio"
     assert one(spark, P.slug(F.col("t")), t="Straße ½ ﬁn Łódź Ångström") is not None
     assert one(spark, P.is_blocked(F.col("t")), t=None) is False
+
+
+def test_order_and_area(spark):
+    rows = spark.createDataFrame([("a", 1, 5.0, None), ("b", 3, None, dt.date(2026, 1, 2)), ("c", 2, 9.0, dt.date(2026, 1, 1))], "listing_id string, vote int, price double, deadline date")
+    ids = lambda d: [r.listing_id for r in d.collect()]
+    assert ids(W.by_choice(rows)) == ["b", "c", "a"] and ids(W.by_choice(rows, "price")) == ["c", "a", "b"] and ids(W.by_choice(rows, "deadline")) == ["c", "b", "a"]
+    assert ids(W.by_choice(rows, "vote", listing_id="c")) == ["c"] and ids(W.recent_first(rows, "deadline", "listing_id")) == ["b", "c", "a"]
+    inside = lambda province, km: one(spark, X.geography(F.col("p"), F.lit("x"), ["MI"], Config(), F.lit(km).cast("double")), p=province)
+    assert inside("MI", None) is None and inside("PV", 20.0) is None and inside(None, 20.0) is None and inside(None, None) is None
+    assert inside("PV", 40.0) == inside("PV", None) == "PERIMETRO_GEOGRAFICO"
