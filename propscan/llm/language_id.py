@@ -21,10 +21,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from propscan.llm.batches import mix, row_sums, slices
+from propscan.llm.batches import mix, released, row_sums, slices
 from propscan.storage import written
 
-ALPHABET, CACHED, ORDER = 4096, 64, 4
+ALPHABET, CACHED, ORDER = 4096, 48, 4
 UNKNOWN = "und"
 
 
@@ -150,12 +150,12 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     sample = rows.join(F.broadcast(sizes), "lang").where(part(F.xxhash64("id")) < F.col("share") * 1_000_000)
     sample = written(sample.withColumn("fold", (part(F.hash("id")) >= F.col("aside") * 1_000_000).cast("int")).select("lang", "text", "fold"), "lang-sample")
     learn = sample.where("fold > 0").select("lang", "text")
-    chars = learn.mapInArrow(_counted("chars", None), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    chars = learn.mapInArrow(released(_counted("chars", None)), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     chars = chars.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))).groupBy("code").agg(F.min("place").alias("place"), F.sum("n").alias("n"))
     best = chars.orderBy("place", F.desc("n"), "code").limit(ALPHABET - 2).collect()  # each language's frequent letters first
     table = _letters().astype(np.uint16)
     table[[r.code for r in sorted(best, key=lambda r: (-r.n, r.code))]] = np.arange(2, len(best) + 2)
-    counts = learn.mapInArrow(_counted("grams", table), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
+    counts = learn.mapInArrow(released(_counted("grams", table)), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
     langs, fitted = sorted(pc.unique(counts["lang"]).to_pylist()), []
     for g in langs:
         of = counts.filter(pc.equal(counts["lang"], g)).sort_by("code")
@@ -163,7 +163,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     model = Model(table, langs, [f[0] for f in fitted], [f[1] for f in fitted])
     model.center, model.limit = np.zeros(len(langs)), np.full(len(langs), np.inf)
     if langs:
-        held = sample.where("fold = 0").select(F.lit(0).cast("long"), "text", "lang").mapInArrow(_scored(model), _OUT).where("lang_pred = own and letters > 0")
+        held = sample.where("fold = 0").select(F.lit(0).cast("long"), "text", "lang").mapInArrow(released(_scored(model)), _OUT).where("lang_pred = own and letters > 0")
         values: dict[str, list] = {}
         for r in held.select("lang_pred", "entropy", "letters").collect():  # about 2 / reject a language at most
             values.setdefault(r.lang_pred, []).append((r.entropy, r.letters))
@@ -189,7 +189,7 @@ def accepted(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """Rows of ``docs`` that aren't rejected, with all their columns; the text isn't shuffled."""
     rows = docs.select(F.struct("*").alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_kept(model, text_col), f"rejected boolean, row {kind}").where("not rejected").select("row.*")
+    return rows.mapInArrow(released(_kept(model, text_col)), f"rejected boolean, row {kind}").where("not rejected").select("row.*")
 
 
 def _kept(model: Model, text_col: str):
@@ -259,7 +259,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     rows, ids may be null, an empty table gives no rows, other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_scored(model), _OUT).drop("own")
+    return rows.mapInArrow(released(_scored(model)), _OUT).drop("own")
 
 
 def learned_rows(id_col: str = "doc_id") -> Column:

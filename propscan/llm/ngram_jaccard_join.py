@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propscan.llm.batches import LOWER, chunks, gram_hashes, mix, span_hashes, word_spans
+from propscan.llm.batches import LOWER, chunks, gram_hashes, mix, released, span_hashes, word_spans
 from propscan.operators.components import connected_components
 from propscan.storage import removed, written
 
@@ -438,10 +438,10 @@ def near_duplicates(
     spark = docs.sparkSession
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(id_col).cast("long").alias("doc_id"), *([F.col(carry).alias("_carry")] if carry else []))
     plain = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema[1:])
-    ids = written(rows.mapInArrow(_document_sets(k, common[0]), f"{plain}, n_shingles long, sid long, sampled array<long>"), "sets")
+    ids = written(rows.mapInArrow(released(_document_sets(k, common[0])), f"{plain}, n_shingles long, sid long, sampled array<long>"), "sets")
     total = ids.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = int(max(8, -(-total // bucket_tokens)))
-    packed = rows.select("text").mapInArrow(_token_buckets(k, buckets, _common_tokens(ids, *common[1:])), _PACKED)
+    packed = rows.select("text").mapInArrow(released(_token_buckets(k, buckets, _common_tokens(ids, *common[1:]))), _PACKED)
     shared = packed.groupBy("bucket").applyInArrow(_shared_tokens(buckets), _PACKED)
     sets = written(shared.groupBy("bucket").applyInArrow(_partners_possible(percent), _SETS), "shared")
     copies = ids.where("sid is not null").groupBy("sid").agg(F.count("*").alias("copies"))

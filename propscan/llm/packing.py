@@ -23,12 +23,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from propscan.llm.batches import CHUNK_BYTES, LOWER, flat, slices, span_hashes, word_spans
+from propscan.llm.batches import CHUNK_BYTES, LOWER, flat, released, slices, span_hashes, word_spans
 from propscan.storage import written
 
 CAPACITY = 2048
-#: Words that a worker keeps; beyond, it begins anew.
-_CACHE = 1_500_000
+#: Words that a task keeps; beyond, it begins anew.
+_CACHE = 400_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -37,7 +37,9 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa
 _MARK = np.isin(np.arange(256), np.frombuffer(b"!#$%&()*+,-./:;<=>?@[]^_`{|}~", np.uint8))
 
 
+@cache
 def tokenizer(tokenizer_file: str):
+    """A worker's tokenizer, kept between tasks."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
@@ -55,7 +57,7 @@ class Encoder:
     """Token ids of whole texts by way of their distinct words.
 
     White space ends a token of this vocabulary and A to Z are lower-cased, so a chunk is cut into lower-cased
-    words, and words from the marks behind them. Each word not met before is tokenised once per worker and its
+    words, and words from the marks behind them. Each word not met before is tokenised once per task and its
     run of ids kept under the word's 64-bit hash; the chunk's ids are gathered from those runs with numpy.
     New words of letters are tokenised many at a time and told apart by the pieces that end a word. Texts that
     hold a special token's string are tokenised whole.
@@ -179,17 +181,12 @@ class Encoder:
         return self.ids[place], np.r_[0, upto[tail]]
 
 
-@cache
-def encoder(tokenizer_file: str) -> Encoder:
-    return Encoder(tokenizer_file)
-
-
 def _pieces(tokenizer_file: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_file).encode
+        encoder = Encoder(tokenizer_file)
         for batch in batches:
-            for part in slices(batch, 1, CHUNK_BYTES):
-                ids, off = encode(part.column(1))
+            for part in slices(batch, 1, CHUNK_BYTES // 2):
+                ids, off = encoder.encode(part.column(1))
                 raw = memoryview(ids.astype("<u4").tobytes())
                 n = np.diff(off)
                 per = -(-n // capacity)
@@ -329,7 +326,7 @@ def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    pieces = written(rows.mapInArrow(_pieces(tokenizer_file, capacity), _PIECES), "pieces")
+    pieces = written(rows.mapInArrow(released(_pieces(tokenizer_file, capacity)), _PIECES), "pieces")
     tally = {r.length: r.n for r in pieces.where(F.col("length") < capacity).groupBy("length").agg(F.count("*").alias("n")).collect()}  # under `capacity` rows
     counts = np.zeros(capacity, np.int64)
     counts[list(tally)] = list(tally.values())

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propscan.llm.batches import SPACE, chunks, gram_hashes, row_sums, span_hashes, word_spans
+from propscan.llm.batches import SPACE, chunks, gram_hashes, released, row_sums, span_hashes, word_spans
 from propscan.storage import written
 
 _SYMBOL = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -85,7 +85,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", str
     Repeated rows give equal rows, ids may be null, an empty table gives no rows, other columns are ignored.
     """
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), stratum).mapInArrow(_counted, _COUNTED)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"), stratum).mapInArrow(released(_counted), _COUNTED)
 
 
 def measured_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str | None = "lang") -> DataFrame:
@@ -93,7 +93,7 @@ def measured_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stratum = F.coalesce(F.col(stratum_col).cast("string"), F.lit("")) if stratum_col else F.lit("")
     rows = docs.select(F.col(id_col).cast("long"), stratum.alias("stratum"), F.struct("*").alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_counted_rows(text_col), f"{_COUNTED}, row {kind}")
+    return rows.mapInArrow(released(_counted_rows(text_col)), f"{_COUNTED}, row {kind}")
 
 
 def _counted_rows(text_col: str):
