@@ -57,8 +57,10 @@ def with_town(rows: DataFrame, towns: DataFrame) -> DataFrame:
 def surrounded(listings: DataFrame, points: DataFrame, competitors_km: float = 5.0, poles_km: float = 2.0) -> DataFrame:
     """Add ``competitor_sqm``, ``junction_km`` and ``retail_poles`` by ``points``: ``k, lat, lon, sqm``; even ``k`` are junctions too,
     multiples of three are retail poles. Listings without coordinates have nulls, those with nothing around have 0 m² and poles."""
-    near = radius_join(listings.select("listing_id", "lat", "lon"), points, competitors_km)
-    sums = near.groupBy("listing_id").agg(F.sum("r_sqm").alias("_sqm"), F.min(F.when(F.col("r_k") % 2 == 0, F.col("km"))).alias("junction_km"), F.count_if((F.col("r_k") % 3 == 0) & (F.col("km") <= poles_km)).cast("int").alias("_poles"))
+    near = radius_join(points.select("k", "lat", "lon", "sqm"), listings.select("listing_id", "lat", "lon"), competitors_km)  # the few look around
+    sums = near.groupBy(F.col("r_listing_id").alias("listing_id")).agg(
+        F.sum("sqm").alias("_sqm"), F.min(F.when(F.col("k") % 2 == 0, F.col("km"))).alias("junction_km"), F.count_if((F.col("k") % 3 == 0) & (F.col("km") <= poles_km)).cast("int").alias("_poles")
+    )
     placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
     out = listings.join(sums, "listing_id", "left")
     return out.withColumns({"competitor_sqm": F.when(placed, F.coalesce("_sqm", F.lit(0.0))), "retail_poles": F.when(placed, F.coalesce("_poles", F.lit(0)))}).drop("_sqm", "_poles")
