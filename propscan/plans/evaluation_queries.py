@@ -23,7 +23,7 @@ from propscan.storage import written
 
 def _evaluated(spark, d):
     """The evaluation, written once: what is ranked, counted and compared reads columns and not the scorecard's expressions."""
-    return written(evaluated(facts(spark, d), RUN_DATE), "evaluated")
+    return written(evaluated(facts(spark, d), RUN_DATE).drop("scores"), "evaluated")
 
 
 @query(f"{EVAL_SQL} select listing_id, {', '.join(f'round({c}_{x}, 6) as {c}_{x}' for c in CRITERIA for x in ('lo', 'mid', 'hi'))} from o")

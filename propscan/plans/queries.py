@@ -23,7 +23,8 @@ from propscan.storage import written
 
 def _evaluated(spark, d):
     """The evaluation, written once, so that later filters don't repeat the scorecard's expressions."""
-    return written(evaluated(facts(spark, d), RUN_DATE), "evaluated")
+    few = ["listing_id", "channel", "reason", "outcome", "vote", "yoc_base", "deadline"]
+    return written(evaluated(facts(spark, d), RUN_DATE).select(*few), "evaluated")
 
 
 def _today():
