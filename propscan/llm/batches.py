@@ -94,9 +94,9 @@ def slices(batch: pa.RecordBatch, column: int, size: int = CHUNK_BYTES // 4) ->
         i = j
 
 
-def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of words (runs without ``SPACE``) and the index of each row's first word."""
-    word = ~SPACE[data]
+def word_spans(data: np.ndarray, off: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of words (runs without ``space``) and the index of each row's first word."""
+    word = ~space[data]
     begin, end = word.copy(), word.copy()
     begin[1:] &= ~word[:-1]
     end[:-1] &= ~word[1:]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from propscan.llm import chat_rotation, language_id, license_scan, media, packing, quality_rules, source_mixing, token_alignment, toxicity, url_filter
+from propscan.llm import chat_rotation, language_id, license_scan, media, packing, phrase_mining, quality_rules, source_mixing, token_alignment, toxicity, url_filter
 from propscan.llm.ngram_jaccard_join import near_duplicates
 from propscan.storage import new_path, written
 
@@ -74,11 +74,15 @@ def op10_mixing_sources(spark, sf_dir):
     return source_mixing.mix(_table(spark, sf_dir, "documents"), mix_levels(), DOMAIN_WEIGHTS, **MIX)
 
 
+def op11_phrase_collocation_mining(spark, sf_dir):
+    return phrase_mining.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_cross_tokenizer_alignment(spark, sf_dir):
     a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    found = token_alignment.align(_table(spark, sf_dir, "documents"), a, b)
     digest = F.when(F.col("n_a") > 0, F.sha2("alignment", 256)).otherwise("")
-    return found.select("doc_id", "n_a", "n_b", F.size("ends").cast("long").alias("n_groups"), "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+    found = token_alignment.align(_table(spark, sf_dir, "documents"), a, b, keep={"n_groups": F.size("ends").cast("long"), "groups_sha256": digest})
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
 QUERIES = {
@@ -86,7 +90,7 @@ QUERIES = {
     for f in (
         op1_license_scans, op2_toxicity, op3_url_filters, op4_best_fit_packing, op5_quality_rules,
         op6_ngram_jaccard_join, op7_language_id, op8_chat_formatting, op9_media_columns, op10_mixing_sources,
-        op13_cross_tokenizer_alignment,
+        op11_phrase_collocation_mining, op13_cross_tokenizer_alignment,
     )
 }
 _DOMAIN = "case when regexp_extract(coalesce(source, ''), '[0-9]+$') = '' then 'unknown' else 'domain' || (try_cast(regexp_extract(source, '[0-9]+$') as bigint) % 3) end"
@@ -94,4 +98,5 @@ ORACLE_SQL = {
     "op1_license_scans": license_scan.oracle_sql(),
     "op8_chat_formatting": chat_rotation.ORACLE_SQL,
     "op10_mixing_sources": source_mixing.oracle_sql(_DOMAIN, weights=DOMAIN_WEIGHTS, **MIX),
+    "op11_phrase_collocation_mining": phrase_mining.oracle_sql(),
 }

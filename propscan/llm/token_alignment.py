@@ -5,37 +5,44 @@ several bytes or a token is a byte fallback, the decoded bytes of the tokens say
 Byte places where an A token and a B token both end cut the tokens into groups, and the two tokens that end at such a
 place are linked.
 
-A text is cut before a blank or line feed that follows a letter, digit or mark: A begins a token at white space, no
-piece of B has a blank or line feed behind another character, and neither looks back over such a place. Those units are
-encoded once, many at a time, and kept; a document is the sequence of its units.
-
-How often two ids are linked is counted over all documents in a first pass and looked up in a second one. Linked tokens
-end at the same byte and neither begins outside the text, so one's bytes end with the other's: there are at most as many
-pairs of ids as both vocabularies have bytes (``pair_bound``, about 600,000), and only so many counts reach the driver
-and are broadcast, at any corpus size.
+A text is cut into units: before a blank or line feed behind a visible character, and between an ASCII letter and an
+ASCII mark. A begins a token there, and no piece of B goes on over such a place (``cuts_hold`` looks through its
+vocabulary; where a piece does, letters and marks stay together). Units are encoded once, many at a time, and kept; a
+document is the sequence of its units.
+
+Links of documents are written, then counted over the corpus, then looked up. Linked tokens end at the same byte and
+neither begins outside the text, so one's bytes end with the other's: there are at most as many pairs of ids as both
+vocabularies have bytes (``pair_bound``, about 600,000), and only so many counts reach the driver and are broadcast, at
+any corpus size.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propscan.llm.batches import released, slices
 from propscan.storage import removed, written
 
-#: Units that a worker keeps, and bytes of text encoded together; beyond the first, it begins anew.
-UNITS, ENCODED = 200_000, 1 << 16
-#: Characters that are no white space to Python and might be to a tokenizer: no unit ends with one.
-_BLANKS = frozenset("᠎​﻿")
-_NO_CUT, _BAD = -1, -2
-_ALIGNED = "doc_id long, n_a long, n_b long, n_links long, n_best long, count_sum long, alignment string, ends array<int>"
-_COUNTS = "a int, b int, n long"
+#: Units that a worker keeps (beyond, it begins anew), and characters that are encoded together.
+UNITS, ENCODED = 500_000, 1 << 16
 _SPACE = "▁"
+_BAD = -1
+#: What stands before units that are encoded together, and before those that begin with a mark.
+_FILLER = " a"
+_MARKS = r"!-/:-@\[-`{-~"
+#: White space other than blank and line feed (and what a tokenizer might take for it): no unit ends behind it.
+_ODD = r"\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff"
+_BLANK_ENDS = frozenset(c for c in map(chr, range(0x10000)) if re.match(rf"[ \n{_ODD}]", c))
+_ANY = rf"(?:[^ \n]|(?<=[{_ODD}])[ \n])"
+_UNIT = re.compile(rf"[ \n]*(?:[A-Za-z]+(?=[ \n{_MARKS}]|$)|{_ANY}*?[A-Za-z](?=[{_MARKS}])|{_ANY}+)|[ \n]+")
+_COARSE_UNIT = re.compile(rf"[ \n]*{_ANY}+|[ \n]+")
 
 
 @cache
@@ -70,51 +77,52 @@ def pair_bound(a_file: str, b_file: str) -> int:
     return sum(map(len, a)) + sum(map(len, b))
 
 
-def _blank_end(unit: str) -> bool:
-    """Whether a unit may not end here: both tokenizers may take white space together with what follows."""
-    return not unit or unit[-1].isspace() or unit[-1] in _BLANKS
+@cache
+def cuts_hold(b_file: str) -> bool:
+    """Whether no piece of B has a letter before a mark. Raises if one has a blank or line feed behind another character."""
+    import sentencepiece
+
+    b = sentencepiece.SentencePieceProcessor(model_file=b_file)
+    pieces = [b.id_to_piece(i) for i in range(b.get_piece_size()) if not (b.is_byte(i) or b.is_control(i) or b.is_unknown(i))]
+    if any(_SPACE in p.lstrip(_SPACE) or "\n" in p or " " in p for p in pieces):
+        raise ValueError("pieces go on over blanks; texts can't be cut there")
+    return not any(re.search(rf"[A-Za-z][{_MARKS}]", p) for p in pieces)
 
 
 class Aligner:
     """Units of texts with their tokens, groups and links."""
 
-    def __init__(self, a_file: str, b_file: str, counts: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None):
-        """``counts``: sorted codes of pairs (``a << 32 | b``), how often each is linked, whether that is its B id's most."""
+    def __init__(self, a_file: str, b_file: str):
         self.a, self.b, self.a_bytes, self.b_bytes = tokenizers(a_file, b_file)
         self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
         self.b_byte = np.array([self.b.is_byte(i) for i in range(len(self.b_bytes))])
-        self.counts = counts
+        self.unit = _UNIT if cuts_hold(b_file) else _COARSE_UNIT
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str | tuple[str], int] = {}
+        self.number: dict[str, int] = {}
         self.groups: list[str] = []
-        self.totals = np.zeros((0, 5), np.int64)  # of a unit: tokens of A and B, links, best links, sum of counts
+        self.totals = np.zeros((0, 2), np.int64)  # of a unit: tokens of A and B
         self.ends, self.links, self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
 
     def _byte_ends(self, text: str, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-        """Ids of A and the places where they end, then those of B; None if a tokenizer's bytes aren't the text's."""
+        """Ids of A and the places where they end, then those of B; None if a tokenizer's bytes aren't the text's.
+
+        ``text`` begins with a blank, which B adds itself.
+        """
         found = self.a.encode(text, add_special_tokens=False)
-        a_ids, a_chars = np.array(found.ids, np.int64), np.array(found.offsets, np.int64).reshape(-1, 2)
-        if text == " ":  # at a text's end; B adds no space to an empty text
-            text, data = "\n ", b"\n "
-            return tuple(x[1:] - i % 2 for i, x in enumerate(self._byte_ends(text, data)))
-        proto = self.b.encode(text[1:] if text[0] == " " else text, return_type="proto").pieces
-        b_ids, b_from, b_ends = (np.array([getattr(p, k) for p in proto], np.int64) for k in ("id", "begin", "end"))
-        if text[0] == " ":
-            b_from, b_ends = b_from + 1, b_ends + 1
-        elif len(b_ids) and self.b_bytes[b_ids[0]] == b" ":  # the space that B adds isn't in the text
-            b_ids, b_from, b_ends = b_ids[1:], b_from[1:], b_ends[1:]
-        else:
-            return None
+        a_ids, a_chars = np.array(found.ids, np.int64), found.offsets
+        proto = self.b.encode(text[1:], return_type="proto").pieces
+        b_ids, b_ends = np.array([p.id for p in proto], np.int64), np.array([p.end for p in proto], np.int64) + 1
         if b"".join(map(self.a_bytes.__getitem__, a_ids.tolist())) != data or b"".join(map(self.b_bytes.__getitem__, b_ids.tolist())) != data:
             return None
+        a_ends = np.array([e for _, e in a_chars], np.int64)
         if len(data) == len(text):  # a character is a byte, offsets and spans are byte places
-            return a_ids, a_chars[:, 1], b_ids, b_ends
+            return a_ids, a_ends, b_ids, b_ends
         at = np.r_[np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80), len(data)]  # characters' first bytes
-        a_open = np.r_[a_chars[1:, 0] < a_chars[:-1, 1], False]  # the next token has a part of the same character
-        b_open = self.b_byte[b_ids] & (b_from == b_ends)  # of the fallbacks of a character the last one has its span
-        return a_ids, self._refined(at[a_chars[:, 1]], self.a_size[a_ids], a_open), b_ids, self._refined(b_ends, self.b_size[b_ids], b_open)
+        a_open = np.r_[np.array([b for b, _ in a_chars[1:]], np.int64) < a_ends[:-1], False]  # the next token has a part of the same character
+        b_open = self.b_byte[b_ids] & (np.array([p.begin for p in proto], np.int64) + 1 == b_ends)  # of a character's fallbacks the last has its span
+        return a_ids, self._refined(at[a_ends], self.a_size[a_ids], a_open), b_ids, self._refined(b_ends, self.b_size[b_ids], b_open)
 
     @staticmethod
     def _refined(coarse: np.ndarray, size: np.ndarray, within: np.ndarray) -> np.ndarray:
@@ -124,193 +132,167 @@ class Aligner:
         behind = total - np.where(last < 0, 0, total[last])
         return np.where(within, np.where(last < 0, 0, coarse[last]) + behind, coarse)
 
-    def _learn(self, keys: list, units: list[str]) -> None:
-        """Encode units together, as they are cut apart anyway; where that fails, one by one."""
-        text = "".join(units)
+    def _learn(self, units: list[str]) -> None:
+        """Encode units together, as they are cut apart anyway; where that fails, in halves."""
+        shown = [_FILLER]  # units as they stand in the text, with fillers
+        for u in units:
+            if u[0] not in " \n":
+                shown.append(_FILLER)
+            shown.append(u)
+        text = "".join(shown)
         data = text.encode()
         found = None if _SPACE in text else self._byte_ends(text, data)
         if found is None:
             if len(units) > 1:
-                half = len(units) // 2
-                self._learn(keys[:half], units[:half])
-                self._learn(keys[half:], units[half:])
+                self._learn(units[: len(units) // 2])
+                self._learn(units[len(units) // 2 :])
             else:
-                self.number[keys[0]] = _BAD
+                self.number[units[0]] = _BAD
             return
         a_ids, a_ends, b_ids, b_ends = found
-        size = np.array([len(u.encode()) for u in units]) if len(text) < len(data) else np.fromiter(map(len, units), np.int64, len(units))
+        size = np.array([len(u.encode()) for u in shown] if len(text) < len(data) else [len(u) for u in shown], np.int64)
         stop = np.cumsum(size)
         cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
         a_stop, b_stop = np.searchsorted(a_ends, cuts), np.searchsorted(b_ends, cuts)
-        a, b = a_ids.tolist(), b_ids.tolist()
-        a_text, b_text = list(map(str, a)), list(map(str, b))
+        own = np.ones(len(shown), bool)  # not a filler
+        own[0] = False
+        own[np.flatnonzero([u[0] not in " \n" for u in shown]) - 1] = False
+        upto = np.searchsorted(cuts, stop, "right")  # groups up to a unit's end
+        at = np.r_[0, upto]
+        a_text, b_text = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
         texts, i, j = [], 0, 0
         for x, y in zip(a_stop.tolist(), b_stop.tolist(), strict=True):
             texts.append((a_text[x] if x == i else ",".join(a_text[i : x + 1])) + "|" + (b_text[y] if y == j else ",".join(b_text[j : y + 1])))
             i, j = x + 1, y + 1
-        upto = np.searchsorted(cuts, stop, "right")  # groups up to a unit's end
-        at = np.r_[0, upto]
-        links = a_ids[a_stop] << 32 | b_ids[b_stop]
-        totals = np.zeros((len(units), 5), np.int64)
-        for k, places in enumerate((a_ends, b_ends)):
-            totals[:, k] = np.diff(np.r_[0, np.searchsorted(places, stop, "right")])
-        totals[:, 2] = np.diff(at)
-        if self.counts is not None:
-            codes, n, best = self.counts
-            place = np.searchsorted(codes, links)
-            for k, v in ((3, best), (4, n)):
-                totals[:, k] = np.diff(np.r_[0, np.cumsum(v[place].astype(np.int64))][at])
+        counted = np.column_stack([np.diff(np.r_[0, np.searchsorted(e, stop, "right")]) for e in (a_ends, b_ends)])
         begin = len(self.groups)
-        self.number.update(zip(keys, range(begin, begin + len(keys)), strict=True))
-        ends = cuts - np.repeat(stop - size, np.diff(at))
-        self.groups += [";".join(texts[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        self.totals = np.concatenate([self.totals, totals])
-        self.ends = np.concatenate([self.ends, ends.astype(np.int32)])
-        self.first = np.concatenate([self.first, self.first[-1] + upto])
-        self.links = np.concatenate([self.links, links])
-        self.size = np.concatenate([self.size, size])
-
-    def learn(self, new: dict) -> None:
-        """Encode units that aren't kept yet, by their keys."""
-        keys, units, size = [], [], 0
-        parts = []
-        for k, u in new.items():
-            if _blank_end(u):  # a text's end, where no unit follows
-                parts.append(([k], [u]))
+        self.number.update(zip(units, range(begin, begin + len(units)), strict=True))
+        mine = np.flatnonzero(own)
+        self.groups += [";".join(texts[i:j]) for i, j in zip(at[mine].tolist(), upto[mine].tolist(), strict=True)]
+        held = np.repeat(own, np.diff(at))
+        self.totals = np.concatenate([self.totals, counted[own]])
+        self.ends = np.concatenate([self.ends, (cuts - np.repeat(stop - size, np.diff(at)))[held].astype(np.int32)])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.diff(at)[own])])
+        self.links = np.concatenate([self.links, (a_ids[a_stop] * len(self.b_bytes) + b_ids[b_stop])[held]])
+        self.size = np.concatenate([self.size, size[own]])
+
+    def learn(self, new: list[str]) -> None:
+        """Encode units that aren't kept yet; one that ends with white space ends a text and is encoded alone."""
+        units, size = [], 0
+        for u in new:
+            if u[-1] in _BLANK_ENDS:
+                self._learn([u])
                 continue
-            keys.append(k)
             units.append(u)
             size += len(u)
             if size >= ENCODED:
-                parts.append((keys, units))
-                keys, units, size = [], [], 0
-        for ks, us in [*parts, (keys, units)] if keys else parts:
-            self._learn(ks, us)
+                self._learn(units)
+                units, size = [], 0
+        if units:
+            self._learn(units)
 
     def texts(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Numbers of each text's units; None for a text without tokens."""
         if len(self.groups) > UNITS:
             self.forget()
-        words = [t.replace("\n", " \n").split(" ") if t else [] for t in texts]  # a line feed begins a unit without the blank
-        number, new = self.number, {}
-        for w in words:
-            for x in w:
-                if x not in number and x not in new:
-                    new[x] = x if x[:1] == "\n" else " " + x
-        for x in [x for x in new if _blank_end(x)]:
-            number[x] = _NO_CUT
-            del new[x]
-        merged = [self._merged(w) if any(number.get(x) == _NO_CUT for x in w) else w for w in words]
-        for w, whole in zip(merged, words, strict=True):
-            if w is not whole:
-                for x in w:
-                    if x not in number and x not in new:
-                        new[x] = "".join(x)
-        self.learn(new)
-        found = [np.fromiter(map(number.__getitem__, w), np.int64, len(w)) for w in merged]
+        units = [self.unit.findall(" " + t) if t else [] for t in texts]
+        number = self.number
+        self.learn(list(dict.fromkeys(u for own in units for u in own if u not in number)))
+        found = [np.fromiter(map(number.__getitem__, own), np.int64, len(own)) for own in units]
         return [n if len(n) and n.min() >= 0 else None for n in found]
 
-    def _merged(self, words: list[str]) -> list[str | tuple[str]]:
-        """Keys of units, where words that end with white space go on in the next one; a text's blank end is a tuple."""
-        out, held = [], ""
-        for x in words:
-            if self.number.get(x) == _NO_CUT:
-                held += x if x[:1] == "\n" else " " + x
-            elif held:
-                out.append(held + (x if x[:1] == "\n" else " " + x))
-                held = ""
-            else:
-                out.append(x)
-        return [*out, (held,)] if held else out
+    def _places(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of a document's groups in ``ends`` and ``links``, and how many each unit has."""
+        k = self.first[n + 1] - self.first[n]
+        return np.repeat(self.first[n] - (np.cumsum(k) - k), k) + np.arange(k.sum()), k
+
+    def document(self, n: np.ndarray | None) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+        """A document's alignment, ends of groups, links and numbers of tokens."""
+        if n is None:
+            return "", np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(2, np.int64)
+        place, k = self._places(n)
+        size = self.size[n]
+        return ";".join(map(self.groups.__getitem__, n.tolist())), self.ends[place] + np.repeat((np.cumsum(size) - size).astype(np.int32), k), self.links[place], self.totals[n].sum(0)
 
 
 _KEPT: dict = {}
 
 
-def _aligner(a_file: str, b_file: str, name: str, counts=None) -> Aligner:
-    """A worker's aligner of this run, kept between tasks."""
-    if name not in _KEPT:
+def _aligner(a_file: str, b_file: str) -> Aligner:
+    """A worker's aligner, kept between tasks."""
+    if (a_file, b_file) not in _KEPT:
         _KEPT.clear()
-        _KEPT[name] = Aligner(a_file, b_file, counts)
-    return _KEPT[name]
+        _KEPT[a_file, b_file] = Aligner(a_file, b_file)
+    return _KEPT[a_file, b_file]
 
 
-def _counting(a_file: str, b_file: str, name: str):
+def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    off = np.r_[0, np.cumsum([len(x) for x in rows])].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate([np.zeros(0, np.int64), *rows]), kind))
+
+
+def _aligning(a_file: str, b_file: str, link: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _aligner(a_file, b_file, name)
-        codes, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        own = _aligner(a_file, b_file)
         for batch in batches:
-            for part in slices(batch, 0):
-                numbers = [n for n in own.texts(part.column(0).to_pylist()) if n is not None]
-                times = np.bincount(np.concatenate(numbers), minlength=len(own.groups)) if numbers else np.zeros(len(own.groups), np.int64)
-                held = np.flatnonzero(times)
-                n = own.first[held + 1] - own.first[held]
-                place = np.repeat(own.first[held] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                codes, back = np.unique(np.r_[codes, own.links[place]], return_inverse=True)
-                sums = np.bincount(back, np.r_[sums, np.repeat(times[held], n)], len(codes)).astype(np.int64)
-        yield pa.record_batch({"a": (codes >> 32).astype(np.int32), "b": (codes & 0xFFFFFFFF).astype(np.int32), "n": sums})
+            for part in slices(batch, 1):
+                notes, ends, links, totals = zip(*map(own.document, own.texts(part.column(1).to_pylist())), strict=True)
+                n_a, n_b = (pa.array([t[k] for t in totals], pa.int64()) for k in (0, 1))
+                yield pa.record_batch({"doc_id": part.column(0), "n_a": n_a, "n_b": n_b, "alignment": pa.array(notes, pa.string()), "ends": _lists(ends, pa.int32()), "links": _lists(links, link)})
 
     return released(run)
 
 
-def link_counts(docs: DataFrame, a_file: str, b_file: str) -> DataFrame:
-    """``a, b, n``: how often the corpus links two ids. Each task sends a row for each pair at most."""
-    import uuid
+def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    codes, sums = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        found, n = np.unique(batch.column(0).flatten().to_numpy(), return_counts=True)
+        codes, back = np.unique(np.r_[codes, found], return_inverse=True)
+        sums = np.bincount(back, np.r_[sums, n], len(codes)).astype(np.int64)
+    yield pa.record_batch({"code": pa.array(codes), "n": pa.array(sums)})
 
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(_counting(a_file, b_file, uuid.uuid4().hex), _COUNTS).groupBy("a", "b").agg(F.sum("n").alias("n"))
 
-
-def _aligning(a_file: str, b_file: str, name: str, counts, spans: bool):
+def _looking_up(counts, places: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _aligner(a_file, b_file, name, counts.value)
+        codes, n, best = counts.value
         for batch in batches:
-            for part in slices(batch, 1):
-                numbers = own.texts(part.column(1).to_pylist())
-                totals = np.array([own.totals[n].sum(0) if n is not None else np.zeros(5, np.int64) for n in numbers]).reshape(-1, 5)
-                notes = [";".join(map(own.groups.__getitem__, n.tolist())) if n is not None else "" for n in numbers]
-                columns = [part.column(0), *(pa.array(totals[:, k]) for k in range(5)), pa.array(notes, pa.string())]
-                yield pa.RecordBatch.from_arrays([*columns, _ends(own, numbers) if spans else pa.nulls(len(part), pa.list_(pa.int32()))], names=[x.split()[0] for x in _ALIGNED.split(", ")])
+            links = batch.column(places)
+            at = np.searchsorted(codes, links.flatten().to_numpy())
+            off = np.r_[0, np.cumsum(links.value_lengths().to_numpy())]
+            sums = [np.r_[0, np.cumsum(v[at])][off] for v in (best, n)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:places], *(pa.array(np.diff(v), pa.int64()) for v in sums)], names=[*batch.schema.names[:places], "n_best", "count_sum"])
 
     return released(run)
 
 
-def _ends(own: Aligner, numbers: list) -> pa.Array:
-    out = []
-    for n in numbers:
-        if n is None:
-            out.append(np.zeros(0, np.int32))
-            continue
-        k, size = own.first[n + 1] - own.first[n], own.size[n]
-        place = np.repeat(own.first[n] - (np.cumsum(k) - k), k) + np.arange(k.sum())
-        out.append((own.ends[place] + np.repeat(np.cumsum(size) - size, k)).astype(np.int32))
-    off = np.r_[0, np.cumsum([len(x) for x in out])].astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate([np.zeros(0, np.int32), *out])))
-
-
-def align(docs: DataFrame, a_file: str, b_file: str, spans: bool = True) -> DataFrame:
+def align(docs: DataFrame, a_file: str, b_file: str, keep: dict[str, Column] | None = None) -> DataFrame:
     """Tokens of every text in both vocabularies and where they end together.
 
-    Returns for each row of ``docs``: ``doc_id``, numbers of tokens ``n_a, n_b``, ``n_links``; ``n_best``, its links whose
-    ids are linked in the corpus at least as often as any other id with that B id; ``count_sum``, the sum of its links'
-    corpus counts; ``alignment``, the groups as ``a1,a2|b1;a3|b2,b3``; and with ``spans`` ``ends``, the byte places in
-    space and text where groups end. A null or empty text, and one whose tokens don't spell it (U+2581 is a blank to B),
-    have no tokens: zeros, an empty alignment and no ends. Rows repeat as they do in ``docs``, an id may be null, an empty
-    table gives an empty result, other columns are ignored. The texts are read twice: for the counts and for the rows.
+    Returns for each row of ``docs``: ``doc_id``, numbers of tokens ``n_a, n_b`` and of links ``n_links``, then the columns
+    of ``keep``; ``n_best``, its links whose ids are linked in the corpus at least as often as any other id with that B
+    id; ``count_sum``, the sum of its links' corpus counts. ``keep`` names columns over ``alignment``, the groups as
+    ``a1,a2|b1;a3|b2,b3``, and ``ends``, the byte places in space and text where groups end; by default both are kept.
+    A null or empty text, and one whose tokens don't spell it (U+2581 is a blank to B), have no tokens: zeros, an empty
+    alignment and no ends. Rows repeat as they do in ``docs``, an id may be null, an empty table gives an empty result,
+    other columns are ignored. Texts are read once; what is kept and the links are written to the shared folder.
     """
-    import uuid
-
     spark = docs.sparkSession
-    table = written(link_counts(docs, a_file, b_file), "link-counts")
-    found = table.toArrow()
-    removed(spark, table)
+    _, _, a_bytes, b_bytes = tokenizers(a_file, b_file)
+    small = len(a_bytes) * len(b_bytes) < 2**31
+    keep = {"alignment": F.col("alignment"), "ends": F.col("ends")} if keep is None else keep
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    raw = rows.mapInArrow(_aligning(a_file, b_file, pa.int32() if small else pa.int64()), f"doc_id long, n_a long, n_b long, alignment string, ends array<int>, links array<{'int' if small else 'long'}>")
+    table = written(raw.select("doc_id", "n_a", "n_b", F.size("links").cast("long").alias("n_links"), *[c.alias(n) for n, c in keep.items()], "links"), "aligned")
+
+    sums = written(table.select("links").mapInArrow(released(_counting), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")), "link-counts")
+    found = sums.toArrow()
+    removed(spark, sums)
     if found.num_rows > pair_bound(a_file, b_file):
         raise RuntimeError("more linked pairs than the vocabularies allow")
-    a, b, n = (found.column(k).to_numpy().astype(np.int64) for k in range(3))
-    code = a << 32 | b
-    order = np.argsort(code)
-    most = np.zeros(int(b.max()) + 1 if len(b) else 0, np.int64)
-    np.maximum.at(most, b, n)
-    counts = spark.sparkContext.broadcast((code[order], n[order], (n == most[b])[order]))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_aligning(a_file, b_file, uuid.uuid4().hex, counts, spans), _ALIGNED)
+    codes, n = (found.column(k).to_numpy().astype(np.int64) for k in ("code", "n"))
+    most = np.zeros(len(b_bytes), np.int64)
+    np.maximum.at(most, codes % len(b_bytes), n)
+    order = np.argsort(codes)
+    counts = spark.sparkContext.broadcast((codes[order], n[order], (n == most[codes % len(b_bytes)])[order].astype(np.int64)))
+    schema = table.drop("links").schema.add("n_best", "long").add("count_sum", "long")
+    return table.mapInArrow(_looking_up(counts, len(table.columns) - 1), schema)

@@ -36,13 +36,14 @@ def brute(rows):
     most = {}
     for (_, k), n in links.items():
         most[k] = max(n, most.get(k, 0))
-    return [(i, n, m, len(o), sum(links[p] == most[p[1]] for p in o), sum(links[p] for p in o), g, e) for i, n, m, g, o, e in out]
+    return [(i, n, m, len(o), g, e, sum(links[p] == most[p[1]] for p in o), sum(links[p] for p in o)) for i, n, m, g, o, e in out]
 
 
 TEXTS = [
     None, "", " ", "\n", "  ", " \n", "a", " a", "a ", "a  b", "a   b  ", "a\nb", "a \nb", "a\n\nb", "\n\na\n", "\na b", "a\tb", "a \t b\r\n c\r d", "it's we'll they 've",
     "ﬁx é é 日本語の文字 🙂 👩‍👩‍👧 Ⅷ", "日本\n語 日本\n語", "<s> </s> <unk> <0x41> <|endoftext|> x<|endoftext|>y", "a▁b rest", "▁", " x  y 　 z  w", "\x00 \x00x \x1c y \x85 z﻿ q ᠎ r ​ s",
     "Straße größer ÜBER naïve façade", "x" * 3000, "ab " * 3000, "1234 5678.90 12,3", "'); \r\n }\r\n */\r", "  indented\n    more\n\tlast", "é́ ́", "the the the", "the the the",
+    "end., x... don't 'tis rock'n'roll a'b' (c) d) e_f g@h.i <x>y </x> 'S 's.", "a.b\n.c\n d", "x,\u00a0 y.\u3000\n z", "é.è,a,é.a", "q\t, r\t\n s", "a\t", "a,\x1f", "\t", ".", ",\n", "word" * 500 + "," * 500,
 ]
 
 
@@ -50,7 +51,7 @@ def test_matches_whole_texts(spark):
     rows = list(enumerate(TEXTS)) + [(None, "the end"), (3, "a twice")]
     docs = spark.createDataFrame([(i, t, 7) for i, t in rows], "doc_id long, text string, n_a long").repartition(3)
     got = ta.align(docs, A, B)
-    key = lambda r: (r[0] is None, r[0] or 0, r[6])
+    key = lambda r: (r[0] is None, r[0] or 0, r[4])
     assert sorted(map(tuple, got.collect()), key=key) == sorted(brute(rows), key=key)
 
 
@@ -66,7 +67,20 @@ def test_query_derives_digests(spark):
 
     want = brute([(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()])
     got = sorted(map(tuple, query(spark, "/root/testdata/sf0.001").collect()))
-    assert got == sorted((i, a, b, n, n, best, total, hashlib.sha256(g.encode()).hexdigest() if a else "") for i, a, b, n, best, total, g, _ in want)
+    assert got == sorted((i, a, b, n, n, best, total, hashlib.sha256(g.encode()).hexdigest() if a else "") for i, a, b, n, g, _, best, total in want)
+
+
+def test_units_are_the_text():
+    own = ta.Aligner(A, B)
+    for t in TEXTS:
+        assert not t or "".join(own.unit.findall(" " + t)) == " " + t
+
+
+def test_coarse_units_where_pieces_mix_letters_and_marks(monkeypatch):
+    own = ta.Aligner(A, B)
+    own.unit = ta._COARSE_UNIT
+    for t, want in zip(TEXTS, brute(enumerate(TEXTS)), strict=True):
+        assert own.document(*own.texts([t]))[0] == want[4]
 
 
 def test_begins_anew(spark, monkeypatch):
@@ -76,7 +90,8 @@ def test_begins_anew(spark, monkeypatch):
     for t in TEXTS:
         (n,) = own.texts([t])
         (want,) = brute([(0, t)])
-        assert (";".join(own.groups[i] for i in n) if n is not None else "") == want[6]
+        note, ends, links, totals = own.document(n)
+        assert (note, list(ends), *totals, len(links)) == (want[4], want[5], want[1], want[2], want[3])
 
 
 def test_empty_table_and_bound(spark):
@@ -87,5 +102,5 @@ def test_empty_table_and_bound(spark):
 @pytest.mark.parametrize("n", [1, 40])
 def test_repeated_rows_count_each(spark, n):
     docs = spark.createDataFrame([(1, "some words here")] * n, "doc_id long, text string")
-    got = ta.align(docs, A, B, spans=False).collect()
+    got = ta.align(docs, A, B, keep={}).collect()
     assert len(got) == n and {r.count_sum for r in got} == {got[0].n_links * n}
