@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from propscan.llm import chat_rotation, language_id, license_scan, media, packing, phrase_mining, quality_rules, source_mixing, token_alignment, toxicity, url_filter
+from propscan.llm import chat_rotation, embedding_links, language_id, license_scan, media, packing, phrase_mining, quality_rules, source_mixing, token_alignment, toxicity, url_filter
 from propscan.llm.ngram_jaccard_join import near_duplicates
 from propscan.storage import new_path, written
 
@@ -78,6 +78,10 @@ def op11_phrase_collocation_mining(spark, sf_dir):
     return phrase_mining.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_near_dedup(spark, sf_dir):
+    return embedding_links.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_cross_tokenizer_alignment(spark, sf_dir):
     a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     digest = F.when(F.col("n_a") > 0, F.sha2("alignment", 256)).otherwise("")
@@ -90,7 +94,7 @@ QUERIES = {
     for f in (
         op1_license_scans, op2_toxicity, op3_url_filters, op4_best_fit_packing, op5_quality_rules,
         op6_ngram_jaccard_join, op7_language_id, op8_chat_formatting, op9_media_columns, op10_mixing_sources,
-        op11_phrase_collocation_mining, op13_cross_tokenizer_alignment,
+        op11_phrase_collocation_mining, op12_embedding_near_dedup, op13_cross_tokenizer_alignment,
     )
 }
 _DOMAIN = "case when regexp_extract(coalesce(source, ''), '[0-9]+$') = '' then 'unknown' else 'domain' || (try_cast(regexp_extract(source, '[0-9]+$') as bigint) % 3) end"
