@@ -31,7 +31,7 @@ from propscan.llm.batches import released, slices
 from propscan.storage import removed, written
 
 #: Units that a worker keeps (beyond, it begins anew), and characters that are encoded together.
-UNITS, ENCODED = 500_000, 1 << 16
+UNITS, ENCODED = 250_000, 1 << 16
 _SPACE = "▁"
 _BAD = -1
 #: What stands before units that are encoded together, and before those that begin with a mark.
