@@ -35,3 +35,52 @@ def connected_components(edges: DataFrame, a: str, b: str, max_rounds: int = 100
             removed(spark, e)
             return labels
     raise RuntimeError(f"components are not stable after {max_rounds} rounds")
+
+
+def constrained_components(edges: DataFrame, labels: DataFrame, rank: str = "rule") -> DataFrame:
+    """Components of ``edges`` (``a, b`` and ``rank``) in which no two labels clash: ``(node, component)`` for each node of ``edges``.
+
+    ``labels``: rows ``node, case, label``; a component may hold one label of each case only. Edges are tried in the order
+    of ``rank``, the smaller and the larger node; each joins its two components, unless that would bring two labels of a
+    case together. A component is named by its smallest node. Null ends and repeated edges are ignored; labels of other nodes too.
+
+    Plain components come first: where no case has two labels, they are the result. The others are joined round by round, with
+    the same result as one edge after another: what clashes is dropped; a part without a label joins along its first edge,
+    which nothing can refuse; and two parts with labels join where an edge is the first of both. So rounds follow the
+    longest chain of labelled parts that wait for each other, and no part's rows meet in one task.
+    """
+    spark = edges.sparkSession
+    ends = edges.where("a is not null and b is not null and a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col(rank).alias("rank"))
+    links = written(ends.groupBy("a", "b").agg(F.min("rank").alias("rank")), "links")
+    plain = connected_components(edges.select("a", "b"), "a", "b")
+    known = labels.where("node is not null and case is not null and label is not null").join(plain, "node").select("component", "node", "case", "label").distinct()
+    clashing = known.groupBy("component", "case").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least <> most").select("component", "case")
+    held = written(known.join(clashing, ["component", "case"], "left_semi"), "labels-held")
+    if held.isEmpty():
+        removed(spark, links, held)
+        return plain
+    hard = held.select("component").distinct()
+    easy = written(plain.join(hard, "component", "left_anti").select("node", "component"), "components")
+    of = written(plain.join(hard, "component", "left_semi").select("node", F.col("node").alias("part")), "parts")
+    tags = written(held.select(F.col("node").alias("part"), "case", "label").distinct(), "labels-held")
+    left = written(links.join(of, links.a == of.node, "left_semi").select(F.col("a").alias("u"), F.col("b").alias("v"), F.struct("rank", "a", "b").alias("at")), "links")
+    removed(spark, links, held, plain)
+    while True:
+        one, two = (tags.select(F.col("part").alias(c), "case", F.col("label").alias(f"label_{c}")) for c in ("u", "v"))
+        refused = left.join(one, "u").join(two, ["v", "case"]).where("label_u <> label_v").select("u", "v").distinct()
+        open_ = written(left.join(refused, ["u", "v"], "left_anti"), "links")
+        removed(spark, left)
+        if open_.isEmpty():
+            removed(spark, open_, tags)
+            return easy.union(of.select("node", F.col("part").alias("component")))
+        both = open_.select("u", "v", "at").union(open_.select(F.col("v").alias("u"), F.col("u").alias("v"), "at"))
+        first = both.groupBy("u").agg(F.min(F.struct("at", "v")).alias("first")).join(tags.select(F.col("part").alias("u"), F.lit(True).alias("labelled")).distinct(), "u", "left")
+        first = written(first.select("u", "first.v", "first.at", F.coalesce("labelled", F.lit(False)).alias("labelled")), "first")
+        agreed = first.where("labelled").groupBy("at").agg(F.min("u").alias("u"), F.max("u").alias("v"), F.count("*").alias("n")).where("n = 2")
+        joined = connected_components(first.where("not labelled").select("u", "v").union(agreed.select("u", "v")), "u", "v")
+        to = lambda df, c: df.join(joined.withColumnsRenamed({"node": c, "component": "into"}), c, "left").withColumn(c, F.coalesce("into", c)).drop("into")
+        new_of, new_tags = written(to(of, "part").select("node", "part"), "parts"), written(to(tags, "part").select("part", "case", "label").distinct(), "labels-held")
+        moved = to(to(open_, "u"), "v").where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "at")
+        left = written(moved.groupBy("u", "v").agg(F.min("at").alias("at")), "links")
+        removed(spark, of, tags, open_, first, joined)
+        of, tags = new_of, new_tags

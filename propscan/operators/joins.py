@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -110,6 +111,44 @@ def tolerance_pairs(df: DataFrame, key: str, keys: list[str], tolerances: dict[s
     return out.select(F.col(key).alias("a"), "b").distinct()
 
 
+def tolerance_links(df: DataFrame, key: str, keys: list[str], tolerances: dict[str, float], sides: tuple[str, object, object] | None = None) -> DataFrame:
+    """Links ``(a, b)`` with the components of ``tolerance_pairs``, in numbers that follow the rows (loops and repeats aside).
+
+    ``sides``: a column and two of its values; then pairs have one row of each. Cells are as wide as the tolerances, so
+    all rows of a cell are pairs: each is linked to the cell's smallest row, or to that of the other side. In the cells
+    around, rows look at the least and greatest value only (of one tolerance), or at those of the second for each
+    value of the first (of two): who is near some row there is near one of these, and they are near each other's.
+    Without sides one link for two cells is kept. Nulls and values that aren't positive match nothing.
+    """
+    names = list(tolerances)
+    if len(names) > 2:
+        raise ValueError("one or two tolerances")
+    side = F.lit(0) if sides is None else F.when(F.col(sides[0]) == F.lit(sides[1]), 0).when(F.col(sides[0]) == F.lit(sides[2]), 1)
+    value = [F.col(t).cast("double").alias(f"_v{i}") for i, t in enumerate(names)]
+    rows = df.select(F.col(key).alias("a"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *value, side.alias("_side"))
+    rows = rows.where(" and ".join(["_side is not null", *(f"_k{i} is not null" for i in range(len(keys))), *(f"_v{i} > 0" for i in range(len(names)))]))
+    cell = [F.floor(F.log(f"_v{i}") / -math.log(1 - p)).alias(f"_c{i}") for i, p in enumerate(tolerances.values())]
+    rows = rows.select("*", *cell)
+    where, cells = [f"_k{i}" for i in range(len(keys))], [f"_c{i}" for i in range(len(names))]
+    heads = rows.groupBy(*where, *cells, "_side").agg(F.min("a").alias("b"))
+    other = F.col("_side") if sides is None else 1 - F.col("_side")
+    within = rows.withColumn("_side", other).join(heads, [*where, *cells, "_side"]).select("a", "b")
+    values = [f"_v{i}" for i in range(len(names))]
+    ends = F.struct(values[-1], F.col("a").alias("b"))
+    stairs = rows.groupBy(*where, *cells, "_side", *values[:-1]).agg(F.array_distinct(F.array(F.min(ends), F.max(ends))).alias("e")).select(*where, *cells, "_side", *values[:-1], F.explode("e").alias("e"))
+    stairs = stairs.select(*where, *cells, "_side", *[F.col(v).alias(f"_w{i}") for i, v in enumerate(values[:-1])], F.col(f"e.{values[-1]}").alias(f"_w{len(names) - 1}"), "e.b")
+    look = rows if sides is not None else stairs.select(*where, *cells, "_side", *[F.col(f"_w{i}").alias(v) for i, v in enumerate(values)], F.col("b").alias("a"))
+    steps = [s for s in itertools.product((-1, 0, 1), repeat=len(names)) if any(s) and (sides is not None or s > (0,) * len(names))]
+    look = look.withColumn("_side", other).withColumnsRenamed({c: f"_own{c}" for c in cells})
+    look = look.withColumn("_at", F.explode(F.array(*(F.struct(*((F.col(f"_own_c{i}") + d).alias(f"_c{i}") for i, d in enumerate(s))) for s in steps)))).select("*", "_at.*")
+    near = look.join(stairs, [*where, *cells, "_side"])
+    for i, share in enumerate(tolerances.values()):
+        near = near.where(F.abs(F.col(f"_v{i}") - F.col(f"_w{i}")) <= share * F.greatest(f"_v{i}", f"_w{i}"))
+    if sides is None:
+        near = near.groupBy(*where, *cells, *(f"_own{c}" for c in cells)).agg(F.min(F.struct("a", "b")).alias("e")).select("e.*")
+    return within.union(near.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b")
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str, order: str) -> DataFrame:
     """The latest record of each key by ``order``; of equal ones the new."""
     rows = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)

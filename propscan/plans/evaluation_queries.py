@@ -71,7 +71,7 @@ one as (select h.a, t.listing_id as b, 1 as rule from t join (select num, min(li
 two as (select h.a, t.listing_id as b, 2 as rule from t join (select k, procedure, lot, min(listing_id) as a from t where lot is not null group by k, procedure, lot) h on h.k = t.k and h.procedure = t.procedure and h.lot = t.lot where t.listing_id <> h.a),
 three as (select x.listing_id as a, y.listing_id as b, 3 as rule from t x join t y on x.k = y.k and x.procedure = y.procedure and x.town = y.town and x.listing_id < y.listing_id where x.lot is null and y.lot is null and abs(x.sqm - y.sqm) <= 0.05 * greatest(x.sqm, y.sqm)),
 four as (select x.listing_id as a, y.listing_id as b, 4 as rule from t x join t y on x.category = y.category and abs(x.lat - y.lat) < 0.005 and abs(x.lon - y.lon) < 0.005 and x.listing_id < y.listing_id where {km("x.", "y.")} <= 0.1),
-five as (select x.listing_id as a, y.listing_id as b, 5 as rule from t x join t y on x.town = y.town and x.listing_id < y.listing_id and x.source <> y.source and abs(x.sqm - y.sqm) <= 0.03 * greatest(x.sqm, y.sqm) and abs(x.price - y.price) <= 0.02 * greatest(x.price, y.price) where x.sqm > 0 and y.sqm > 0),
+five as (select x.listing_id as a, y.listing_id as b, 5 as rule from t x join t y on x.town = y.town and x.listing_id < y.listing_id and x.source <> y.source and x.source in ('idealista', 'immobiliare') and y.source in ('idealista', 'immobiliare') and abs(x.sqm - y.sqm) <= 0.03 * greatest(x.sqm, y.sqm) and abs(x.price - y.price) <= 0.02 * greatest(x.price, y.price) where x.sqm > 0 and y.sqm > 0),
 u as (select * from one union all select * from two union all select * from three union all select * from four union all select * from five),
 e as (select distinct u.a, u.b, u.rule from u join t x on x.listing_id = u.a join t y on y.listing_id = u.b where not coalesce(x.k = y.k and x.procedure = y.procedure and x.lot <> y.lot, false))"""
 
@@ -84,22 +84,31 @@ def property_edges(spark, d):
 
 def _properties(spark, d):
     rows = listings(spark, d)
-    return rows, R.properties(rows, R.edges(rows, pairs=False))
+    return rows, R.properties(rows, R.links(rows))
 
 
-@query()  # transitive closure on whole tables is too slow in SQL: tests use a union-find over the SQL's edges
+@query()  # components that keep lots apart are too slow in SQL: tests join the rules' links one after another
 def resolved_properties(spark, d):
-    """Each listing's property: the components of all four rules' edges."""
+    """Each listing's property: all rules' links, without two lots of a procedure in one property."""
     return _properties(spark, d)[1]
 
 
+def _merged(spark, d):
+    rows, of = _properties(spark, d)
+    rows, of = rows.withColumn("url", F.concat(F.lit("https://"), "source", F.lit("/"), "listing_id")), written(of, "properties")
+    return rows, of, R.survivors(rows, of, ["price", "sqm", "lot", "court", "procedure"])
+
+
 @query()
 def merged_properties(spark, d):
-    """The richest listing of each property, with all its ids."""
-    rows, of = _properties(spark, d)
-    known = ["price", "sqm", "lot", "court", "procedure"]
-    urls = rows.withColumn("url", F.concat(F.lit("https://"), "source", F.lit("/"), "listing_id"))
-    return R.survivors(urls, of, known).select("property_id", "listing_id", F.array_join("alias_ids", ",").alias("alias_ids"), F.size("urls").alias("n_urls"))
+    """The richest listing of each property, and how many it has."""
+    return _merged(spark, d)[2].select("property_id", "listing_id", "n_listings")
+
+
+@query()
+def property_aliases(spark, d):
+    """The other listings of each property, a row each."""
+    return R.aliases(*_merged(spark, d))
 
 
 @query()
@@ -107,8 +116,8 @@ def weekly_announcements(spark, d):
     """The whole chain: properties of all listings, one record each, evaluation, history of earlier announcements, comparison and
     the ten best that are new or better."""
     rows = facts(spark, d)
-    of = R.properties(rows, R.edges(rows, pairs=False))
-    best = R.survivors(rows.withColumn("url", F.col("listing_id")), of, ["price", "sqm", "lot", "height", "permit"])
+    of = R.properties(rows, R.links(rows))
+    best = R.survivors(rows, of, ["price", "sqm", "lot", "height", "permit"])
     now = written(evaluated(best, RUN_DATE), "evaluated")
     compared = _compared(now, *_past(now))
     old = compared.where("snapshot is not null and verdict <> 'MIGLIORATA'").select("listing_id")

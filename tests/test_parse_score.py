@@ -8,7 +8,6 @@ from propscan.functions import score as S
 from propscan.operators import filters as X
 from propscan.operators import joins as J
 from propscan.operators import windows as W
-from propscan.operators.resolve import edges, properties, survivors
 from propscan.sources import pages, snapshots
 from pyspark.sql import functions as F
 
@@ -84,17 +83,6 @@ def test_streak_cut_and_repeat(spark):
     assert sorted(r.i for r in got) == [0, 1, 2, 3, 4, 5]
 
 
-def test_resolution_keeps_lots_apart(spark):
-    base = dict(court=None, procedure=None, lot=None, town=None, sqm=None, price=None, category="capannone", lat=None, lon=None)
-    rows = [{"listing_id": "vgi_4614163", "source": "vgi", "url": "u1", **base}, {"listing_id": "asteannunci_4614163", "source": "asteannunci", "url": "u2", **base}]
-    rows += [{"listing_id": f"x_{i}", "source": "x", "url": f"x{i}", **base, "court": "Ancona ", "procedure": "60/2024", "lot": str(i), "lat": 43.6, "lon": 13.5} for i in range(5)]
-    rows += [{"listing_id": "p_1", "source": "p", "url": "p", **base, "town": "gorle", "sqm": 1000.0, "price": 100.0}, {"listing_id": "q_1", "source": "q", "url": "q", **base, "town": "gorle", "sqm": 1020.0, "price": 101.0}]
-    d = spark.createDataFrame(rows, "listing_id string, source string, url string, court string, procedure string, lot string, town string, sqm double, price double, category string, lat double, lon double")
-    prop = properties(d, edges(d))
-    groups = sorted(len(r.alias_ids) for r in survivors(d, prop, ["court", "price"]).collect())
-    assert groups == [1, 1, 1, 1, 1, 2, 2]
-
-
 def test_envelopes(spark, tmp_path):
     (tmp_path / "dataset_caseasta.json").write_text('{"generated_at": "2026-09-16T00:00:00", "total": 1, "listings": {"caseasta_1": {"titolo": "Capannone", "prezzo": "€ 125.250", "indirizzo": "Gorle (BG) - Via", "superficie_mq": "1.250 mq", "scraped_at": "2026-09-15T01:02:03"}}}')
     (tmp_path / "dataset_vgi.json").write_text("")

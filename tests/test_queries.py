@@ -30,18 +30,31 @@ def components(ids, edges):
 
 
 def test_resolution_and_weekly_chain(spark):
-    """Components by union-find over the SQL's edges; the chain's rows by the queries it is made of."""
+    """Properties against the relation and the lots that SQL gives; the chain's rows by the queries it is made of."""
     folder = "/root/testdata/sf0.001"
     con = duck(folder)
-    ids = [r[0] for r in con.execute(f"{L} select listing_id from l").fetchall()]
+    rows = con.execute(f"{L} select listing_id, lower(trim(court)), procedure, lot from l").fetchall()
+    lot = {i: (k, p, v) for i, k, p, v in rows if None not in (k, p, v)}
     edges = [r[:2] for r in con.execute(ORACLE_SQL["property_edges"]).fetchall()]
-    want = components(ids, edges)
-    assert {r.listing_id: r.property_id for r in QUERIES["resolved_properties"](spark, folder).collect()} == want and len(set(want.values())) < len(ids)
-    merged = QUERIES["merged_properties"](spark, folder).collect()
+    found = {r.listing_id: r.property_id for r in QUERIES["resolved_properties"](spark, folder).collect()}
+    assert len(found) == len(rows) > len(set(found.values()))
     groups = {}
-    for i, p in want.items():
+    for i, p in found.items():
         groups.setdefault(p, []).append(i)
-    assert {r.property_id: r.alias_ids for r in merged} == {p: ",".join(sorted(g)) for p, g in groups.items()} and all(r.n_urls == len(groups[r.property_id]) and r.listing_id in groups[r.property_id] for r in merged)
+    case = lambda members: {(k, p): v for k, p, v in (lot[i] for i in members if i in lot)}
+    apart = lambda members: all(case(members)[lot[i][:2]] == lot[i][2] for i in members if i in lot)
+    assert all(apart(g) and min(g) == p for p, g in groups.items())
+    within = components(found, [(a, b) for a, b in edges if found[a] == found[b]])
+    assert within == found  # a property holds together by the relation's own edges
+    whole = {}
+    for i, c in components(found, edges).items():
+        whole.setdefault(c, []).append(i)
+    assert all(len({found[i] for i in g}) == 1 for g in whole.values() if apart(g))  # and nothing but lots parts what is linked
+    assert any(not apart(g) for g in whole.values())
+    merged = {r.property_id: r for r in QUERIES["merged_properties"](spark, folder).collect()}
+    assert {p: r.n_listings for p, r in merged.items()} == {p: len(g) for p, g in groups.items()}
+    others = QUERIES["property_aliases"](spark, folder).collect()
+    assert sorted([r.alias_id for r in others] + [r.listing_id for r in merged.values()]) == sorted(found) and all(found[r.alias_id] == r.property_id for r in others)
     top = QUERIES["weekly_announcements"](spark, folder).collect()
     verdicts = {r.listing_id: r for r in QUERIES["compared_history"](spark, folder).collect()}
     assert 0 < len(top) <= 10 and sorted(r.position for r in top) == list(range(1, len(top) + 1)) and len({r.property_id for r in top}) == len(top)
