@@ -3,12 +3,12 @@
 A sample of all texts proposes phrases: those of 1 to ``max_words`` words that a lowered threshold calls frequent there,
 length by length. One pass over everything then counts, exactly, the proposed phrases and their negative border: every
 phrase whose two parts (without its last or its first word) were proposed, and every word. A frequent phrase that wasn't
-proposed is a border failure; phrases around failures are counted in another pass, and so on until no failure is left.
-What is frequent is then known exactly, whatever the sample was: parts of a frequent phrase are frequent, so each
-frequent phrase lies in the border of the proposed ones once these are closed.
+proposed is a border failure: what holds it may be frequent too and wasn't counted. Another pass counts all that holds a
+failure and wasn't counted before, at every length, which closes the border: parts of a frequent phrase are frequent,
+so of one that wasn't counted some part is a failure. What is frequent is then known exactly, whatever the sample was.
 
 Phrases are 64-bit hashes of language and words while they are counted (exact up to collisions of those); their wording
-comes from the sample, and from the next pass for border failures. A task sums what it finds before it sends it, so a hot
+comes from the sample, and from the expansion for border failures. A task sums what it finds before it sends it, so a hot
 language or phrase is a row or a few from each task. Proposed phrases go to the tasks as a bit table of a fixed size
 (``FILTER_BITS``), built by Spark; where it is crowded, more phrases are counted than needed, and none is lost.
 """
@@ -31,7 +31,7 @@ from propscan.storage import removed, written
 #: Bits of the table of proposed phrases (16 MB), whatever their number.
 FILTER_BITS = 1 << 27
 #: Hashes that a task holds before it sums them.
-_HELD = 6_000_000
+_HELD = 3_000_000
 #: A language's phrases are ranked in so many slices before their first rows are ranked together.
 _SLICES = 64
 _COUNTED = "key long, n long, lang string, phrase string"
@@ -98,26 +98,55 @@ class Chunk:
         piece = np.r_[0, np.cumsum(PIECE_END[self.data])][self.starts]
         self.follows = (piece[1:] == piece[:-1]) & (self.row[1:] == self.row[:-1])
 
-    def grams(self, k: int) -> np.ndarray:
-        return gram_hashes(self.words, k)
+    def grams(self, at: np.ndarray, k: int) -> np.ndarray:
+        """Hashes of the windows of ``k`` words that begin at ``at``; of all windows at once where that is less work."""
+        if 2 * len(at) > len(self.words):
+            return gram_hashes(self.words, k)[at]
+        acc = np.full(len(at), k, np.uint64)
+        for j in range(k):
+            acc = acc * np.uint64(_R) + self.words[at + j]
+        return mix(acc)
+
+    def valid(self, k: int) -> np.ndarray:
+        """Which windows of ``k`` words lie within a piece."""
+        n = max(0, len(self.words) - k + 1)
+        out = np.ones(n, bool)
+        for j in range(k - 1):
+            out &= self.follows[j : j + n]
+        return out
 
     def phrase(self, i: int, k: int) -> str:
         return b" ".join(self.data[self.starts[i] : self.ends[i + k - 1]].tobytes().split()).decode()
 
     def border(self, bits: Bits, max_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each length: hashes of all windows, and which of them have both parts in ``bits`` (all words have)."""
+        """For each length: where windows begin that have both parts in ``bits`` (all words do), and their hashes."""
         held = np.ones(len(self.words), bool)
         for k in range(1, max_words + 1):
-            h = self.grams(k)
             if k > 1:
                 held = held[:-1] & held[1:] & (self.follows if k == 2 else True)
-            yield k, h, held
-            found = np.flatnonzero(held)
+            at = np.flatnonzero(held)
+            h = self.grams(at, k)
+            yield k, at, h
             held = held.copy()
-            held[found] = bits.has(h[found])
-            if not len(h) or not held.any():
+            held[at] = bits.has(h)
+            if not held.any():
                 return
 
+    def around(self, failed: Bits, bits: Bits, max_words: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length: where windows begin that hold a failure, their hashes, and whether they weren't counted before."""
+        counted = {k: at for k, at, _ in self.border(bits, max_words)}
+        held = np.zeros(len(self.words), bool)
+        for k in range(1, max_words + 1):
+            if k > 1:
+                held = (held[:-1] | held[1:]) & self.valid(k)
+            own = counted.get(k, np.zeros(0, np.int64))
+            own = own[failed.has(self.grams(own, k))]
+            held = held.copy()
+            held[own] = True
+            at = np.flatnonzero(held)
+            if len(at):
+                yield k, at, self.grams(at, k), ~np.isin(at, counted.get(k, own), assume_unique=True)
+
 
 def _summed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     keys, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
@@ -127,48 +156,46 @@ def _summed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"key": pa.array(keys[part].view(np.int64)), "n": pa.array(n[part].astype(np.int64)), "lang": none, "phrase": none})
 
 
-def _worded(wording: dict[int, tuple[str, str]]) -> pa.RecordBatch:
-    keys = np.array(list(wording), np.uint64).view(np.int64)
-    langs, phrases = zip(*wording.values(), strict=True) if wording else ((), ())
-    return pa.record_batch({"key": pa.array(keys), "n": pa.nulls(len(keys), pa.int64()), "lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string())})
+def _worded(wording: dict[int, list]) -> pa.RecordBatch:
+    n, langs, phrases = zip(*wording.values(), strict=True) if wording else ((), (), ())
+    return pa.record_batch({"key": pa.array(np.array(list(wording), np.uint64).view(np.int64)), "n": pa.array(n, pa.int64()), "lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.string())})
 
 
-def _pass(max_words: int, count: str, known=None, before=None, word=None):
-    """One look at texts. ``known``: proposed phrases. ``count``: ``all`` counts their border and the words of each language,
-    ``top`` the border's longest phrases only, ``new`` what isn't in the border of ``before``, '' nothing. ``word``: phrases
-    that are told in words."""
+def _pass(max_words: int, count: str, known, told=None):
+    """One look at texts. ``known``: proposed phrases. ``all`` counts their border and the words of each language, ``top`` the
+    border's longest phrases only; ``around`` counts and words what holds one of the failures ``told``, 0 times what was
+    counted before; ``words`` tells the phrases of ``known`` in words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, old, told = (x.value if x is not None else Bits() for x in (known, before, word))
-        held, size, totals, wording = [], 0, {}, {}
+        bits = known.value
+        held, size, totals = [], 0, {}
+        wording: dict[int, list] = {}
         for batch in batches:
             langs, seeds = _lang_seeds(batch.column(0))
             names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
             for i, j, data, off in chunks(batch.column(1)):
                 chunk = Chunk(data, off, seeds[codes[i:j]])
-                if count == "all":
-                    for c, n in enumerate(np.bincount(codes[i:j][chunk.row], minlength=len(names)).tolist()):
-                        totals[names[c]] = totals.get(names[c], 0) + n
-                earlier = {k: own for k, _, own in chunk.border(old, max_words)} if count == "new" else {}
-                for k, h, own in chunk.border(bits, max_words) if count else ():
-                    if count == "all" or (count == "top" and k == max_words):
-                        held.append(h[own])
-                    elif count == "new":
-                        held.append(h[own & ~earlier[k]] if k in earlier else h[own])
-                    else:
-                        continue
-                    size += len(held[-1])
-                if word is not None:
-                    for k, h, own in chunk.border(told if not count else bits, max_words):
-                        at = np.flatnonzero(own)
-                        at = at[told.has(h[at])]
-                        keys, first = np.unique(h[at], return_index=True)
-                        for key, x in zip(keys.tolist(), at[first].tolist(), strict=True):
-                            if key not in wording:
-                                wording[key] = names[codes[i + chunk.row[x]]], chunk.phrase(x, k)
+                if count in ("around", "words"):
+                    found = chunk.around(told.value, bits, max_words) if count == "around" else ((k, at[own], h[own], np.zeros(own.sum(), bool)) for k, at, h in chunk.border(bits, max_words) for own in [bits.has(h)])
+                    for k, at, h, new in found:
+                        keys, first, back = np.unique(h, return_index=True, return_inverse=True)
+                        n = np.bincount(back, new, len(keys)).astype(np.int64)
+                        for key, x, times in zip(keys.tolist(), at[first].tolist(), n.tolist(), strict=True):
+                            if key in wording:
+                                wording[key][0] += times
+                            else:
+                                wording[key] = [times, names[codes[i + chunk.row[x]]], chunk.phrase(x, k)]
                     if len(wording) > 200_000:
                         yield _worded(wording)
                         wording = {}
+                    continue
+                if count == "all":
+                    for c, n in enumerate(np.bincount(codes[i:j][chunk.row], minlength=len(names)).tolist()):
+                        totals[names[c]] = totals.get(names[c], 0) + n
+                for k, _, h in chunk.border(bits, max_words):
+                    if count == "all" or k == max_words:
+                        held.append(h)
+                        size += len(h)
                 if size > _HELD:
                     yield from _summed(held)
                     held, size = [], 0
@@ -241,45 +268,34 @@ def mine(docs: DataFrame, min_count: int = 100, max_words: int = 5, share: float
         if level.isEmpty():
             break
 
-    def counted(name: str, count: str, *sets: Bits) -> DataFrame:
+    def looked(texts: DataFrame, name: str, count: str, *sets: Bits, where: str = "true") -> DataFrame:
+        """A pass over ``texts``, summed by phrase and written."""
         sent = [_sent(spark, x) for x in sets]
-        run = _pass(max_words, count, *sent)
-        found = rows.mapInArrow(run, _COUNTED).groupBy("key", "lang", "phrase").agg(F.sum("n").alias("n"))
-        out = written(found.where(f"n >= {int(min_count)} or lang is not null"), name)
+        found = texts.mapInArrow(_pass(max_words, count, *sent), _COUNTED)
+        by = ["key", "lang"] if count == "all" else ["key"]
+        wording = [F.min(c).alias(c) for c in ("lang", "phrase") if c not in by]
+        out = written(found.groupBy(*by).agg(F.sum("n").alias("n"), *wording).where(where), name)
         for x in sent:
             x.unpersist()
         return out
 
-    full, passes = counted("phrases-counted", "all", bits), 1
+    full, passes = looked(rows, "phrases-counted", "all", bits, where=f"n >= {int(min_count)} or lang is not null"), 1
     totals = full.where("key is null").select("lang", "n")
     frequent = full.where("key is not null").select("key", "n")
     told = written(frequent.join(proposed, "key", "left_semi"), "phrases-known")
     failed = written(frequent.join(proposed, "key", "left_anti"), "phrases-failed")
-    sent = _sent(spark, Bits.of(told))
-    wording = written(sample.mapInArrow(_pass(max_words, "", word=sent), _COUNTED).where("phrase is not null").groupBy("key").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase")), "phrase-wording")
-    sent.unpersist()
-    removed(spark, sample, *levels)
-    done = [full, told, wording]
-    known = [told]
-    while not failed.isEmpty():
-        before, new = bits, Bits.of(failed)
-        bits = before | new
-        more = counted("phrases-expanded", "new", bits, before, new)
+    wording = looked(sample, "phrase-wording", "words", Bits.of(told))
+    counts, done = told, [sample, *levels, full, told, failed, wording]
+    wording = wording.select("key", "lang", "phrase")
+    if not failed.isEmpty():
+        more = looked(rows, "phrases-around", "around", bits, Bits.of(failed))
         passes += 1
-        done += [failed, more]
-        known.append(failed)
-        wording = wording.union(more.where("phrase is not null").select("key", "lang", "phrase"))
-        seen = known[0].select("key")
-        for x in known[1:]:
-            seen = seen.union(x.select("key"))
-        failed = written(more.where("phrase is null").select("key", "n").join(seen, "key", "left_anti"), "phrases-failed")
-    counts = known[0].select("key", "n")
-    for x in known[1:]:
-        counts = counts.union(x.select("key", "n"))
-    words = wording.groupBy("key").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
-    out = counts.join(words, "key").select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "n")
+        done.append(more)
+        counts = counts.union(failed).union(more.where(f"n >= {int(min_count)}").select("key", "n"))
+        wording = wording.union(more.select("key", "lang", "phrase")).groupBy("key").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
+    out = counts.join(wording, "key").select("lang", "phrase", F.size(F.split("phrase", " ")).alias("words"), "n")
     found = written(out, "phrases"), written(totals, "phrase-totals"), passes
-    removed(spark, *done, failed)
+    removed(spark, *done)
     return found
 
 
