@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from propscan.config import Config
 from propscan.functions.parse import days_between
+from propscan.operators.windows import with_cut, with_streak
 
 
 def weekly_status(fresh: DataFrame, baseline: DataFrame, key: str, c: Config | None = None, mode: str = "forward") -> DataFrame:
@@ -27,14 +28,9 @@ def status_counts(rows: DataFrame) -> DataFrame:
 
 
 def breaker(log: DataFrame, group: list[str], order: list[str], blocked: Column, k: int) -> DataFrame:
-    """Add ``attempted``: false after ``k`` blocked loads in a row."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = log.withColumns({"_blocked": F.coalesce(blocked, F.lit(False)), "_pos": F.row_number().over(w)})
-    rows = rows.withColumn("_island", F.sum((~F.col("_blocked")).cast("int")).over(upto))
-    run = F.sum(F.col("_blocked").cast("int")).over(Window.partitionBy(*group, "_island").orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = rows.withColumn("_run", run).withColumn("_cut", F.min(F.when(F.col("_run") >= k, F.col("_pos"))).over(Window.partitionBy(*group)))
-    return rows.withColumn("attempted", F.col("_cut").isNull() | (F.col("_pos") <= F.col("_cut"))).drop("_blocked", "_pos", "_island", "_run", "_cut")
+    """Add ``attempted``: false after ``k`` blocked loads in a row; an unknown load isn't blocked."""
+    rows = with_cut(with_streak(log, group, order, F.coalesce(blocked, F.lit(False)), "_streak"), group, F.col("_streak") >= k)
+    return rows.withColumn("attempted", F.col("_cut").isNull() | (F.col("_at") <= F.col("_cut"))).select(*log.columns, "attempted")
 
 
 def last_lines(log: DataFrame, run: str, order: str, n: int = 500) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propscan.functions import parse
+from propscan.storage import written
 
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
@@ -225,36 +226,41 @@ def json_ld_descriptions(pages: DataFrame) -> DataFrame:
 _STATE = r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>'
 
 
-def found_keys(rows: DataFrame, key_col: str, json_col: str, name: str, depth: int = 12) -> DataFrame:
-    """``<key_col>, path, value`` of all fields called ``name`` in JSON documents, down to ``depth`` levels, in document order of ``path``.
+def found_keys(rows: DataFrame, key_col: str, json_col: str, name: str) -> DataFrame:
+    """``<key_col>, path, value`` of all fields called ``name`` in JSON documents, at any depth, in document order of ``path``.
 
-    Each level is one step of ``posexplode`` over objects and arrays. Strings that look like JSON count as such.
+    A level is one ``posexplode`` over objects and arrays; what is a hit or holds more is written and opened next, until
+    nothing holds more. Strings that look like JSON count as such.
     """
-    level = rows.select(F.col(key_col), F.array().cast("array<int>").alias("path"), F.lit(None).cast("string").alias("name"), F.col(json_col).alias("value"))
-    found = None
-    for _ in range(depth):
-        inner = F.map_entries(F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}))
-        items = F.transform(F.from_json("value", "array<string>"), lambda v: F.struct(F.lit(None).cast("string").alias("key"), v.alias("value")))
-        low = F.ltrim("value")
-        entries = F.when(low.startswith("{"), inner).when(low.startswith("["), items)
-        level = level.select(key_col, "path", F.posexplode(entries).alias("_at", "_e")).select(key_col, F.concat("path", F.array("_at")).alias("path"), F.col("_e.key").alias("name"), F.col("_e.value").alias("value"))
-        hits = level.where(F.col("name") == name).select(key_col, "path", "value")
-        found = hits if found is None else found.unionByName(hits)
-    return found
-
-
-def app_state(pages: DataFrame, depth: int = 8) -> DataFrame:
+    low = F.ltrim("value")
+    container = low.startswith("{") | low.startswith("[")
+    items = F.transform(F.from_json("value", "array<string>"), lambda v: F.struct(F.lit(None).cast("string").alias("key"), v.alias("value")))
+    entries = F.when(low.startswith("{"), F.map_entries(F.from_json("value", "map<string,string>", {"mode": "PERMISSIVE"}))).otherwise(items)
+    level = rows.select(F.col(key_col), F.array().cast("array<int>").alias("path"), F.col(json_col).alias("value"))
+    out = None
+    while True:
+        opened = level.where(container).select(key_col, "path", F.posexplode(entries).alias("_at", "_e"))
+        opened = opened.select(key_col, F.concat("path", F.array("_at")).alias("path"), F.col("_e.value").alias("value"), F.coalesce(F.col("_e.key") == name, F.lit(False)).alias("_hit"))
+        level = written(opened.where(F.col("_hit") | container), "json-level")
+        hits = level.where("_hit").drop("_hit")
+        out = hits if out is None else out.unionByName(hits)
+        if level.where(container).isEmpty():
+            return out
+        level = level.drop("_hit")
+
+
+def app_state(pages: DataFrame) -> DataFrame:
     """``page_id, position, payload``: the listings of a page's embedded state.
 
     They are the elements' ``realEstate`` of the first ``results`` list whose first element has one; where no such list is left,
     by a change of the page's schema, every ``realEstate`` found anywhere.
     """
     state = pages.select("page_id", F.regexp_extract("html", _STATE, 1).alias("state")).where("state <> ''")
-    lists = found_keys(state, "page_id", "state", "results", depth).withColumn("items", F.from_json("value", "array<string>"))
+    lists = found_keys(state, "page_id", "state", "results").withColumn("items", F.from_json("value", "array<string>"))
     lists = lists.where(F.get_json_object(F.try_element_at("items", F.lit(1)), "$.realEstate").isNotNull())
     first = lists.groupBy("page_id").agg(F.min_by("items", "path").alias("items"))
     usual = first.select("page_id", F.posexplode("items").alias("position", "item")).select("page_id", "position", F.get_json_object("item", "$.realEstate").alias("payload")).where("payload is not null")
-    drifted = found_keys(state.join(first, "page_id", "left_anti"), "page_id", "state", "realEstate", depth)
+    drifted = found_keys(state.join(first, "page_id", "left_anti"), "page_id", "state", "realEstate")
     order = F.transform(F.array_sort(F.collect_list(F.struct("path", "value"))), lambda x: x["value"])
     rest = drifted.groupBy("page_id").agg(order.alias("items")).select("page_id", F.posexplode("items").alias("position", "payload"))
     return usual.unionByName(rest)

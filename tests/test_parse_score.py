@@ -209,3 +209,11 @@ def test_order_and_area(spark):
     inside = lambda province, km: one(spark, X.geography(F.col("p"), F.lit("x"), ["MI"], Config(), F.lit(km).cast("double")), p=province)
     assert inside("MI", None) is None and inside("PV", 20.0) is None and inside(None, 20.0) is None and inside(None, None) is None
     assert inside("PV", 40.0) == inside("PV", None) == "PERIMETRO_GEOGRAFICO"
+
+
+def test_keys_at_any_depth(spark):
+    deep = '{"a":' * 13 + '[1, {"wanted": {"wanted": "x"}}]' + "}" * 13
+    d = spark.createDataFrame([(1, deep), (2, '[{"wanted": null}, {"other": 1}]'), (3, None), (4, "no json"), (5, "{")], "page_id long, state string")
+    got = sorted((r.page_id, r.path, r.value) for r in pages.found_keys(d, "page_id", "state", "wanted").collect())
+    assert got == [(1, [0] * 13 + [1, 0], '{"wanted":"x"}'), (1, [0] * 13 + [1, 0, 0], "x"), (2, [0, 0], None)]
+    assert pages.found_keys(d.where("page_id > 2"), "page_id", "state", "wanted").count() == 0
