@@ -55,6 +55,28 @@ def test_late_records_change_nothing(spark, tmp_path):
     assert got == [("new", 100.0), ("price_drop", 90.0)]
 
 
+def test_unknown_prices_keep_the_last_known_one(spark, tmp_path):
+    schema = "listing_id string, price double, deadline string, scraped_at long"
+    nan = float("nan")
+    stream = files(spark, tmp_path, "in", schema, [("a", 100.0, "d1", 1), ("b", None, None, 1)], [("a", None, "d2", 2), ("b", 70.0, None, 2)], [("a", nan, None, 3)], [("a", 50.0, None, 4), ("b", 60.0, "d", 5), ("c", 1.0, "d", None)])
+    got = sorted((r.listing_id, r.change, r.price) for r in run(jobs.changes(stream), "append").collect())
+    assert got == [("a", "new", 100.0), ("a", "new_deadline", 100.0), ("a", "price_drop", 50.0), ("b", "new", None), ("b", "price_drop", 60.0), ("c", "new", 1.0)]
+
+
+def test_state_survives_a_restart(spark, tmp_path):
+    schema = "listing_id string, price double, deadline string, scraped_at long"
+    def round_of(n, rows):
+        stream = files(spark, tmp_path, "in", schema, *rows) if n == 0 else spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+        if n:
+            spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / "in" / f"again{n}"))
+        jobs.changes(stream).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "cp")).outputMode("append").trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination(120)
+        return sorted((r.listing_id, r.change) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert round_of(0, [[("a", 100.0, "d", 1)]]) == [("a", "new")]
+    assert round_of(1, [("a", 99.0, "d", 2), ("b", 1.0, "d", 2)]) == [("a", "new"), ("b", "new")]
+    assert round_of(2, [("a", 90.0, "d", 3)]) == [("a", "new"), ("a", "price_drop"), ("b", "new")]
+
+
 def test_rechecks(spark, tmp_path):
     day = lambda d: dt.datetime(2026, 1, 1) + dt.timedelta(days=d)
     schema = "listing_id string, deadline timestamp, scraped_at timestamp"
