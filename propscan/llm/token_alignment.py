@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from propscan.llm.batches import released, slices
 from propscan.storage import removed, written
 
-#: Units that a worker keeps (beyond, it begins anew), and characters that are encoded together.
-UNITS, ENCODED = 250_000, 1 << 16
+#: Units that a worker keeps (beyond, those that came once are forgotten), and characters that are encoded together.
+UNITS, ENCODED = 300_000, 1 << 16
 _SPACE = "▁"
 _BAD = -1
 #: What stands before units that are encoded together, and before those that begin with a mark.
@@ -104,6 +104,22 @@ class Aligner:
         self.groups: list[str] = []
         self.totals = np.zeros((0, 2), np.int64)  # of a unit: tokens of A and B
         self.ends, self.links, self.first, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int64)
+
+    def trim(self) -> None:
+        """Keep units that came twice and more since the last time, the most used ones and half of ``UNITS`` at most."""
+        order = np.argsort(-self.uses, kind="stable")[: UNITS // 2]
+        kept = np.sort(order[self.uses[order] > 1])
+        new = np.full(len(self.groups) + 1, _BAD)
+        new[kept] = np.arange(len(kept))
+        n = np.diff(self.first)
+        own = np.zeros(len(n), bool)
+        own[kept] = True
+        held = np.repeat(own, n)
+        self.number = {u: int(new[k]) for u, k in self.number.items() if k >= 0 and new[k] >= 0}
+        self.groups = [self.groups[k] for k in kept.tolist()]
+        self.totals, self.size, self.uses = self.totals[kept], self.size[kept], np.zeros(len(kept), np.int64)
+        self.ends, self.links, self.first = self.ends[held], self.links[held], np.r_[0, np.cumsum(n[kept])]
 
     def _byte_ends(self, text: str, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
         """Ids of A and the places where they end, then those of B; None if a tokenizer's bytes aren't the text's.
@@ -194,12 +210,17 @@ class Aligner:
     def texts(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """Numbers of each text's units; None for a text without tokens."""
         if len(self.groups) > UNITS:
-            self.forget()
+            self.trim()
         units = [self.unit.findall(" " + t) if t else [] for t in texts]
         number = self.number
         self.learn(list(dict.fromkeys(u for own in units for u in own if u not in number)))
         found = [np.fromiter(map(number.__getitem__, own), np.int64, len(own)) for own in units]
-        return [n if len(n) and n.min() >= 0 else None for n in found]
+        found = [n if len(n) and n.min() >= 0 else None for n in found]
+        used = [n for n in found if n is not None]
+        times = np.bincount(np.concatenate(used), minlength=len(self.groups)) if used else np.zeros(len(self.groups), np.int64)
+        times[: len(self.uses)] += self.uses
+        self.uses = times
+        return found
 
     def _places(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of a document's groups in ``ends`` and ``links``, and how many each unit has."""

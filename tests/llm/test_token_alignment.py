@@ -94,6 +94,17 @@ def test_begins_anew(spark, monkeypatch):
         assert (note, list(ends), *totals, len(links)) == (want[4], want[5], want[1], want[2], want[3])
 
 
+def test_frequent_units_are_kept(monkeypatch):
+    monkeypatch.setattr(ta, "UNITS", 20)
+    own, texts = ta.Aligner(A, B), ["the cat, the dog", "the cat again", *(f"the w{i}x cat y{i}" for i in range(40))]
+    for t in texts:
+        (n,) = own.texts([t])
+        note, ends, links, totals = own.document(n)
+        (want,) = brute([(0, t)])
+        assert (note, list(ends), *totals, len(links)) == (want[4], want[5], want[1], want[2], want[3])
+    assert len(own.groups) < 30 and {" the", " cat"} <= set(own.number)
+
+
 def test_empty_table_and_bound(spark):
     assert ta.align(spark.createDataFrame([], "doc_id long, text string"), A, B).count() == 0
     assert ta.pair_bound(A, B) < 800_000
