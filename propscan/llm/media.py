@@ -93,8 +93,11 @@ class _Written(WriterCommitMessage):
 
 
 class _Writer(DataSourceArrowWriter):
-    def __init__(self, path: str, file_bytes: int):
-        self.path, self.file_bytes = path, file_bytes
+    """Files of tasks become visible by a manifest of their write, which appears whole, by renaming. An overwriting write's manifest
+    names those that it replaces; their files go after that."""
+
+    def __init__(self, path: str, file_bytes: int, overwrite: bool = False):
+        self.path, self.file_bytes, self.overwrite = path, file_bytes, overwrite
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
         store, folder = _open(self.path)
@@ -120,8 +123,16 @@ class _Writer(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         store, folder = _open(self.path)
         store.create_dir(folder, recursive=True)
-        with store.open_output_stream(f"{folder}/manifest.json") as out:
-            out.write(json.dumps([f for m in messages if m for f in m.files]).encode())
+        earlier = _manifests(store, folder) if self.overwrite else {}
+        name = uuid.uuid4().hex
+        body = {"files": [f for m in messages if m for f in m.files], "replaces": sorted(earlier)}
+        with store.open_output_stream(f"{folder}/_{name}.tmp") as out:
+            out.write(json.dumps(body).encode())
+        store.move(f"{folder}/_{name}.tmp", f"{folder}/manifest-{name}.json")
+        for old, held in earlier.items():
+            for file, _, _ in held["files"]:
+                store.delete_file(f"{folder}/{file}")
+            store.delete_file(f"{folder}/{old}")
 
     def abort(self, messages: list) -> None:
         store, folder = _open(self.path)
@@ -129,6 +140,17 @@ class _Writer(DataSourceArrowWriter):
             store.delete_file(f"{folder}/{name}")
 
 
+def _manifests(store: fs.FileSystem, folder: str) -> dict[str, dict]:
+    """Manifests of a folder by name, without those that another one replaces."""
+    found = {}
+    for info in store.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        if info.base_name.startswith("manifest-") and info.base_name.endswith(".json"):
+            with store.open_input_stream(info.path) as f:
+                found[info.base_name] = json.loads(f.read())
+    gone = {old for m in found.values() for old in m["replaces"]}
+    return {name: m for name, m in found.items() if name not in gone}
+
+
 @dataclass
 class Range(InputPartition):
     """Members of ``file`` whose first byte lies in ``[start, end)``."""
@@ -144,8 +166,7 @@ class _Reader(DataSourceReader):
 
     def partitions(self) -> list[Range]:
         store, folder = _open(self.path)
-        with store.open_input_stream(f"{folder}/manifest.json") as f:
-            files = json.loads(f.read())
+        files = [f for _, m in sorted(_manifests(store, folder).items()) for f in m["files"]]
         return [Range(name, at, at + self.range_bytes) for name, size, n in files if n for at in range(0, size, self.range_bytes)] or [Range("", 0, 0)]
 
     def read(self, part: Range) -> Iterator[pa.RecordBatch]:
@@ -206,7 +227,7 @@ class MediaArchive(DataSource):
         return _Reader(self.options["path"], int(self.options.get("rangeBytes", 32 << 20)), int(self.options.get("tries", 4)))
 
     def writer(self, schema, overwrite: bool) -> _Writer:
-        return _Writer(self.options["path"], int(self.options.get("fileBytes", 128 << 20)))
+        return _Writer(self.options["path"], int(self.options.get("fileBytes", 128 << 20)), overwrite)
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,12 +237,12 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([encode(payload(t), len((t or "").encode())) for t in part.column(1).to_pylist()], pa.binary())], names=["id", "media"])
 
 
-def store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the texts of ``docs`` as an archive folder."""
+def store(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str = "text", mode: str = "append") -> None:
+    """Write the texts of ``docs`` to an archive folder: beside what it holds, or with ``overwrite`` in its place."""
     spark = docs.sparkSession
     spark.dataSource.register(MediaArchive)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows.mapInArrow(_encoded, "id long, media binary").write.format("media_archive").mode("append").save(folder)
+    rows.mapInArrow(_encoded, "id long, media binary").write.format("media_archive").mode(mode).save(folder)
 
 
 _DIGEST = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"

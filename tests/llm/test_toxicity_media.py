@@ -1,6 +1,7 @@
 import hashlib
 import tempfile
 import zlib
+from pathlib import Path
 
 import pytest
 from propscan.llm import media, toxicity
@@ -78,7 +79,8 @@ def test_archives_are_cut_into_files(spark):
     spark.dataSource.register(media.MediaArchive)
     rows = spark.createDataFrame([(i, bytes([i % 256]) * 1000) for i in range(100)], "id long, media binary").coalesce(1)
     rows.write.format("media_archive").option("fileBytes", 10_000).mode("append").save("file://" + folder)
-    files = json.load(open(f"{folder}/manifest.json"))
+    (manifest,) = Path(folder).glob("manifest-*.json")
+    files = json.loads(manifest.read_text())["files"]
     assert [n for _, _, n in files] == [10] * 10 and all(os.path.getsize(f"{folder}/{name}") == size for name, size, _ in files)
     back = spark.read.format("media_archive").option("rangeBytes", 3000).load("file://" + folder)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
@@ -118,3 +120,20 @@ def test_member_retry():
     assert media.member(Bad(), f"{d}/x", 3, 4, zlib.crc32(b"3456"), 3, fs.LocalFileSystem()) == b"3456"
     with pytest.raises(OSError, match="member at 3"):
         media.member(Bad(), f"{d}/x", 3, 4, 0, 2, fs.LocalFileSystem())
+
+
+def test_archive_of_several_writes(spark, tmp_path):
+    folder = str(tmp_path / "archive")
+    one = lambda i: spark.createDataFrame([(i, f"text {i}")], "doc_id long, text string")
+    ids = lambda: sorted(r.id for r in media.read(spark, folder).collect())
+    media.store(one(1), folder)
+    media.store(one(2), folder)
+    assert ids() == [1, 2]
+    broken = spark.createDataFrame([(3, "x"), (4, "y")], "doc_id long, text string").repartition(2).withColumn("text", F.when(F.col("doc_id") == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="lost"):
+        media.store(broken, folder)
+    assert ids() == [1, 2]
+    media.store(one(5), folder, mode="overwrite")
+    assert ids() == [5] and len(list((tmp_path / "archive").glob("part-*"))) <= 2
+    media.store(one(6), folder)
+    assert ids() == [5, 6]
