@@ -359,8 +359,8 @@ def richness(*columns: Column) -> Column:
 
 
 def italian_amount(x: Column, digits: int = 0) -> Column:
-    """``144.000,00``."""
-    return F.translate(F.format_number(x, digits), ",.", ".,")
+    """``144.000,00``; halves go up."""
+    return F.translate(F.format_number(F.round(x, digits), digits), ",.", ".,")
 
 
 def report_name(day: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propscan.functions.parse import haversine_km
+from propscan.storage import written
 
 
 def _width(km: float, band: Column) -> Column:
@@ -67,9 +68,11 @@ def surrounded(listings: DataFrame, points: DataFrame, competitors_km: float = 5
     return out.withColumns({"competitor_sqm": F.when(placed, F.coalesce("_sqm", F.lit(0.0))), "retail_poles": F.when(placed, F.coalesce("_poles", F.lit(0)))}).drop("_sqm", "_poles")
 
 
-def reference_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A reference CSV with a header line (towns, competitors, sites, retail poles); lines that don't fit the schema are left out."""
-    return spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED").option("enforceSchema", False).csv(path)
+def reference_table(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """A reference CSV with a header line (towns, competitors, sites, retail poles), and ``line`` of the lines that don't fit the schema."""
+    options = {"header": True, "mode": "PERMISSIVE", "enforceSchema": False, "columnNameOfCorruptRecord": "_line"}
+    rows = written(spark.read.schema(f"{schema}, _line string").options(**options).csv(path), "reference")
+    return rows.where("_line is null").drop("_line"), rows.where("_line is not null").select(F.col("_line").alias("line"))
 
 
 def with_snapshot(matches: DataFrame, items: DataFrame) -> DataFrame:

@@ -302,9 +302,9 @@ def to_load(spark, d):
 
 @query(f"""{L}, w as (select listing_id, price, round(price * (1 + 0.01 * (number % 7 - 3)), 2) as now, days_left, cast(number % 100 as int) as v from l)
 select listing_id, case when days_left < 0 then 'scaduta' when days_left < 20 then 'rossa' when days_left <= 35 then 'gialla' else 'verde' end as urgency, 'Voto ' || v || ' → ' || (v + 5) as vote_text,
-  'Asta ignota → ' || strftime(date '{RUN_DATE}' + days_left, '%d/%m/%Y') as date_text, replace(format('{{:,.0f}}', cast(price as double)), ',', '.') || ' €' as euros from w where price % 1 <> 0.5""")
+  'Asta ignota → ' || strftime(date '{RUN_DATE}' + days_left, '%d/%m/%Y') as date_text, replace(format('{{:,}}', cast(floor(price + 0.5) as bigint)), ',', '.') || ' €' as euros from w""")
 def reader_texts(spark, d):
-    r = listings(spark, d).where("price % 1 <> 0.5").withColumn("v", F.expr("cast(number % 100 as int)"))
+    r = listings(spark, d).withColumn("v", F.expr("cast(number % 100 as int)"))
     today = F.lit(RUN_DATE).cast("date")
     return r.select("listing_id", D.urgency(F.col("deadline"), today).alias("urgency"), D.vote_reason(F.col("v"), F.col("v") + 5).alias("vote_text"), D.date_reason(F.lit(None).cast("date"), F.col("deadline")).alias("date_text"), D.euro_text(F.col("price")).alias("euros"))
 

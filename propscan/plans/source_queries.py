@@ -224,24 +224,23 @@ def relative_days(spark, d):
 _SCREENS = ["<html>Please enable JS and disable any ad blocker</html>", "<p>captcha</p>", "geo.CAPTCHA-delivery.com", "Unusual traffic", "traffico insolito", "DataDome", "Accesso negato", "are you a robot", None, "normale"]
 
 
-@query("select page_id, page_id % 10 in (0, 2, 3, 4, 5, 6) as blocked from pages where page_id % 10 <> 9 union all select page_id, regexp_matches(lower(html), 'captcha-delivery[.]com|please enable js|unusual traffic|traffico insolito|datadome|accesso negato') from pages where page_id % 10 = 9")
+@query("select page_id, regexp_matches(lower(html), 'captcha-delivery[.]com|please enable js|unusual traffic|traffico insolito|datadome|accesso negato') as blocked, page_id % 9 in (0, 2, 3, 4, 5, 6) as screen_blocked from pages")
 def blocked_pages(spark, d):
-    """Challenge pages among the given pages and the portals' own forms of them."""
-    texts = F.array(*(F.lit(t) for t in _SCREENS))
-    html = F.when(F.expr("page_id % 10 = 9"), F.col("html")).otherwise(texts[F.expr("cast(page_id % 10 as int)")])
-    return table(spark, d, "pages").select("page_id", P.is_blocked(html).alias("blocked"))
+    """Challenge pages among the given pages, and the portals' own forms of them."""
+    texts = F.array(*(F.lit(t) for t in _SCREENS[:9]))
+    return table(spark, d, "pages").select("page_id", P.is_blocked(F.col("html")).alias("blocked"), P.is_blocked(texts[F.expr("cast(page_id % 9 as int)")]).alias("screen_blocked"))
 
 
 _TOWNS = ["milano", "roma", "pavia"]
 
 
 @query("""with s as (select p_partkey, trim(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]+', '-', 'g'), '-') as slug from part)
-select p_partkey, case when slug like 'e%' or ('-' || slug || '-') like '%-economy-%' or slug like '%economy' then 'economy' when ('-' || slug || '-') like '%-small-%' or slug like '%small' then 'small' end as city,
-  case when contains(slug, 'ass') then 'ass' when contains(slug, 'st') then 'st' end as loose from (select p_partkey, case when p_partkey % 5 = 0 then 'via-economy' else slug end as slug from s) x where slug not like 'e%'""")
+select p_partkey, case when ('-' || slug || '-') like '%-economy-%' or slug like '%economy' then 'economy' when ('-' || slug || '-') like '%-small-%' or slug like '%small' then 'small' end as city,
+  case when contains(slug, 'ass') then 'ass' when contains(slug, 'st') then 'st' end as loose from (select p_partkey, case when p_partkey % 5 = 0 then 'via-economy' else slug end as slug from s) x""")
 def slug_cities(spark, d):
     """The first searched city in a slug, bounded by hyphens or anywhere; a row for each part, whatever repeats."""
     slug = F.when(F.expr("p_partkey % 5 = 0"), F.lit("via-economy")).otherwise(P.slug(F.concat_ws(" ", "p_name", "p_type")))
-    rows = table(spark, d, "part").select("p_partkey", slug.alias("slug")).where("slug not like 'e%'")
+    rows = table(spark, d, "part").select("p_partkey", slug.alias("slug"))
     return rows.select("p_partkey", X.first_city(F.col("slug"), ["economy", "small"]).alias("city"), X.first_city(F.col("slug"), ["ass", "st"], whole=False).alias("loose"))
 
 

@@ -147,8 +147,9 @@ def test_radius_at_high_latitude_and_the_date_line(spark):
 
 def test_reference_tables(spark, tmp_path):
     (tmp_path / "towns.csv").write_text("town,town_index\nmilano,80.5\npavia,\nbad,x\n")
-    got = J.reference_table(spark, str(tmp_path / "towns.csv"), "town string, town_index double")
+    got, odd = J.reference_table(spark, str(tmp_path / "towns.csv"), "town string, town_index double")
     assert sorted(map(tuple, got.collect()), key=str) == [("milano", 80.5), ("pavia", None)]
+    assert [r.line for r in odd.collect()] == ["bad,x"] and odd.count() == 1
 
 
 def test_envelope_export(spark, tmp_path):
