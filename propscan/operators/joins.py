@@ -56,6 +56,37 @@ def with_town(rows: DataFrame, towns: DataFrame) -> DataFrame:
     return rows.select(*kept).join(index, F.lower(F.trim("town")) == F.col("_town"), "left").drop("_town")
 
 
+def _plain(text: Column) -> Column:
+    """Lower-cased words and numbers with single blanks: ``reggio nell emilia``."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+
+
+def town_of_text(rows: DataFrame, key: str, text: str, towns: DataFrame, max_words: int = 5) -> DataFrame:
+    """``key, town, province, confidence`` of the rows whose text names a town of the gazetteer ``towns`` (``town, province``).
+
+    Runs of up to ``max_words`` words are joined with the names, by equality of their words. A name within a longer
+    one that was found there doesn't count. Of several, a town whose province code follows in brackets comes first
+    (``alta``), then the one with more words, then the last, as texts say zone before town; a single one is ``media``,
+    one among others ``bassa``. Rows without a known name give none; of towns of one name the first by province is taken
+    unless the code tells. Null texts and names match nothing.
+    """
+    words = rows.where(F.col(text).isNotNull()).select(F.col(key).alias("_key"), F.upper(text).alias("_text"), F.split(_plain(F.col(text)), " ").alias("_words"))
+    at = F.explode(F.expr("sequence(1, size(_words))")).alias("_at")
+    runs = words.select("_key", "_text", "_words", at).select("_key", "_text", "_at", F.explode(F.expr(f"sequence(1, least({int(max_words)}, size(_words) - _at + 1))")).alias("_n"), "_words")
+    runs = runs.select("_key", "_text", "_at", "_n", F.array_join(F.expr("slice(_words, _at, _n)"), " ").alias("_name"))
+    names = towns.where("town is not null").select(_plain(F.col("town")).alias("_name"), "town", "province").where("_name <> ''").distinct()
+    coded = F.coalesce(F.contains("_text", F.concat(F.lit("("), F.upper("province"), F.lit(")"))), F.lit(False))
+    found = runs.join(names, "_name").withColumn("_coded", coded)
+    spans = F.collect_set(F.struct("_at", "_n"))  # of one text
+    found = found.join(found.groupBy("_key").agg(spans.alias("_spans")), "_key")
+    outer = F.exists("_spans", lambda s: (s["_at"] <= F.col("_at")) & (s["_at"] + s["_n"] >= F.col("_at") + F.col("_n")) & (s["_n"] > F.col("_n")))
+    found = found.where(~outer)
+    best = found.groupBy("_key", "_coded", "_n", "_at").agg(F.min(F.struct("province", "town")).alias("t"), F.first("_name").alias("_name"))
+    best = best.groupBy("_key").agg(F.max_by(F.struct("t.town", "t.province", "_coded"), F.struct(F.col("_coded").cast("int"), "_n", "_at")).alias("b"), F.count_distinct("_name").alias("_names"))
+    confidence = F.when(F.col("b._coded"), "alta").when(F.col("_names") == 1, "media").otherwise("bassa")
+    return best.select(F.col("_key").alias(key), "b.town", "b.province", confidence.alias("confidence"))
+
+
 def surrounded(listings: DataFrame, points: DataFrame, competitors_km: float = 5.0, poles_km: float = 2.0) -> DataFrame:
     """Add ``competitor_sqm``, ``junction_km`` and ``retail_poles`` by ``points``: ``k, lat, lon, sqm``; even ``k`` are junctions too,
     multiples of three are retail poles. Listings without coordinates have nulls, those with nothing around have 0 m² and poles."""

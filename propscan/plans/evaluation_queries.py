@@ -14,7 +14,7 @@ from propscan.operators import resolve as R
 from propscan.operators import windows as W
 from propscan.plans import freshness as Fresh
 from propscan.plans import publish as Pub
-from propscan.plans.demo import RUN_DATE, facts, listings, points, table, towns
+from propscan.plans.demo import RUN_DATE, TOWNS, facts, listings, points, table, towns
 from propscan.plans.evaluate import announced, evaluated, scorecard, with_optional
 from propscan.plans.expected import CRITERIA, EVAL_SQL, L, km
 from propscan.plans.registry import query
@@ -425,3 +425,11 @@ def undecided_listings(spark, d):
     unknown = X.insufficient({"town": F.col("town"), "sqm": F.col("sqm"), "price": F.col("price")})
     out = X.geography(F.lit("MI"), F.col("town"), ["MI"], Config(excluded_towns=("germany", "france")), F.lit(None).cast("double"))
     return rows.select("listing_id", F.array_join(unknown, ",").alias("unknown"), out.isNotNull().alias("excluded"))
+
+
+@query(f"""{L}, tw as ({TOWNS.format(nation="nation", region="region")}) select listing_id, l.town, tw.province, case number % 3 when 0 then 'alta' else 'media' end as confidence from l join tw on tw.town = l.town where number % 3 < 2""")
+def towns_in_titles(spark, d):
+    """The town that a title names, by the gazetteer; titles that name none give no row."""
+    rows = listings(spark, d).join(towns(spark, d).select("town", "province"), "town")
+    title = F.expr("case number % 3 when 0 then concat('Capannone a ', upper(town), ' (', upper(province), ')') when 1 then concat('Magazzino, zona nord, ', initcap(town)) else 'Deposito altrove' end")
+    return J.town_of_text(rows.select("listing_id", title.alias("title")), "listing_id", "title", towns(spark, d).select("town", "province"))

@@ -218,3 +218,17 @@ def test_keys_at_any_depth(spark):
     got = sorted((r.page_id, r.path, r.value) for r in pages.found_keys(d, "page_id", "state", "wanted").collect())
     assert got == [(1, [0] * 13 + [1, 0], '{"wanted":"x"}'), (1, [0] * 13 + [1, 0, 0], "x"), (2, [0, 0], None)]
     assert pages.found_keys(d.where("page_id > 2"), "page_id", "state", "wanted").count() == 0
+
+
+def test_towns_of_texts(spark):
+    towns = spark.createDataFrame([("Reggio nell'Emilia", "RE"), ("Emilia", "XX"), ("San Donà di Piave", "VE"), ("Milano", "MI"), ("Rho", "MI"), ("Castro", "BG"), ("Castro", "LE"), ("Roma", "RM"), (None, "ZZ")], "town string, province string")
+    texts = {
+        1: "Capannone a Reggio nell'Emilia (RE)", 2: "Magazzino a Lambrate, Milano", 3: "SAN DONA' DI PIAVE", 4: "San Donà  di\nPiave", 5: "Opificio in Castro (le) vicino a Milano", 6: "Rho, zona Milano ovest",
+        7: "Terreno altrove", 8: None, 9: "", 10: "Milano Milano", 11: "deposito, Castro",
+    }
+    rows = spark.createDataFrame(list(texts.items()), "k int, title string")
+    got = {r.k: (r.town, r.province, r.confidence) for r in J.town_of_text(rows, "k", "title", towns).collect()}
+    assert got == {
+        1: ("Reggio nell'Emilia", "RE", "alta"), 2: ("Milano", "MI", "media"), 4: ("San Donà di Piave", "VE", "media"), 5: ("Castro", "LE", "alta"), 6: ("Milano", "MI", "bassa"),
+        10: ("Milano", "MI", "media"), 11: ("Castro", "BG", "media"),
+    }
