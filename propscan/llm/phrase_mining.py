@@ -335,7 +335,7 @@ def oracle_sql(limit: int = 2000, min_count: int = 100, max_words: int = 5) -> s
     )
     return f"""
 with pieces as (
-  select lang, list_filter(string_split_regex(piece, '[ \\t]+'), x -> x <> '') as w
+  select lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') as w
   from (select coalesce(lang, 'und') as lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\x0B\\f\\r]')) as piece from documents)
 ), grams as ({grams}
 ), frequent as (select lang, words, phrase, count(*) as n, string_split(phrase, ' ') as w from grams group by lang, words, phrase having count(*) >= {min_count}

@@ -97,3 +97,15 @@ def test_products_beyond_64_bits(spark, monkeypatch):
     monkeypatch.setattr(pm, "mine", lambda *a, **k: (frequent, totals, 1))
     (row,) = pm.collocations(frequent).collect()
     assert row.score == 1000 * (big - 3) * 10**16 // (big * (big + 7))
+
+
+def test_matches_sql(spark):
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.dirname(os.path.dirname(__file__)))
+    from oracle import compare
+    from propscan.llm.queries import ORACLE_SQL, QUERIES
+
+    name = "op11_phrase_collocation_mining"
+    assert compare(spark, QUERIES[name], ORACLE_SQL[name]) > 0
