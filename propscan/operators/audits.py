@@ -1,7 +1,10 @@
-"""Audits of loaded tables: filled fields, keys, volumes and log levels."""
+"""Audits of loaded tables: filled fields, keys, volumes, log levels, and the schema of their records."""
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,3 +43,78 @@ def volume_alarm(counts: DataFrame, source: str, run: str, n: str = "n", share:
 def level_counts(log: DataFrame, source: str, levels: tuple[str, ...] = ("ERROR", "WARNING")) -> DataFrame:
     """``source`` and one count a level; sources without such lines have zeros."""
     return log.groupBy(source).agg(*[F.count_if(F.coalesce(F.col("level") == x, F.lit(False))).alias(x.lower()) for x in levels])
+
+
+_WORD = re.compile(r"(?P<open>OBJECT|ARRAY)<|(?P<name>`(?:[^`]|``)*`|[^`\s:<>,()]+): |(?P<kind>[A-Z][A-Z_ ]*)(?:\(\d+,\d+\))?|(?P<close>>)|, ")
+
+
+def _places(shape: str) -> list[dict[str, str]]:
+    """Path and kind of each place in a shape as ``schema_of_variant`` prints it: ``OBJECT<a: ARRAY<BIGINT>>``."""
+    out, holders, path, at = [], [], "", 0
+    while at < len(shape):
+        word = _WORD.match(shape, at)
+        if word is None:
+            raise ValueError(f"shape not understood at {at}: {shape[:200]}")
+        at = word.end()
+        if word["name"] is not None:
+            path = f"{holders[-1]}.{word['name']}" if holders[-1] else word["name"]
+        elif word["open"] or word["kind"]:
+            out.append({"path": path, "kind": word["open"] or word["kind"]})
+            if word["open"]:
+                holders.append(path)
+                path += "[]" if word["open"] == "ARRAY" else ""
+        elif word["close"]:
+            holders.pop()
+    return out
+
+
+def json_paths(rows: DataFrame, group: str, payload: str) -> DataFrame:
+    """``group, path, kind, n, share``: in how many JSON records of a group a path, at any depth, holds a value of a kind.
+
+    Records are counted by their shape first, which shuffles a row a shape and task; only shapes are opened. The path of a record is
+    empty, that of an array's items ends in ``[]``, names other than plain words are in backticks. Items of several kinds are
+    ``VARIANT`` and aren't opened; a null has the kind ``VOID``; a null or unreadable record has ``UNREADABLE``.
+    """
+
+    @F.pandas_udf("array<struct<path string, kind string>>")
+    def places(shapes: pd.Series) -> pd.Series:
+        return shapes.map(_places)
+
+    shape = F.schema_of_variant(F.try_parse_json(payload))
+    counts = rows.select(F.col(group), shape.alias("shape")).groupBy(group, "shape").agg(F.count("*").alias("n"))
+    unreadable = F.array(F.struct(F.lit("").alias("path"), F.lit("UNREADABLE").alias("kind")))
+    known = counts.where("shape is not null").select(group, "n", F.explode(places("shape")).alias("p"))
+    found = known.unionByName(counts.where("shape is null").select(group, "n", F.explode(unreadable).alias("p")))
+    total = counts.groupBy(group).agg(F.sum("n").alias("_all"))
+    out = found.groupBy(group, "p.path", "p.kind").agg(F.sum("n").alias("n"))
+    same = out[group].eqNullSafe(total[group])
+    return out.join(total, same).select(out[group], "path", "kind", "n", (F.col("n") / F.col("_all")).alias("share"))
+
+
+def schema_drift(now: DataFrame, before: DataFrame, group: str, tolerance: float = 0.02) -> DataFrame:
+    """What changed between two results of ``json_paths``: ``group, path, change, kinds_before, kinds_now, share_before, share_now,
+    renamed_from``, a row a path.
+
+    ``change``: new, gone, kind (other kinds of value; ``VOID`` aside), or share (by more than ``tolerance``). A new path takes as
+    ``renamed_from`` the path that is gone from the same place, with the same kinds and a share within the tolerance; of several the
+    nearest share, then the first path. Groups of one side only have all their paths new or gone.
+    """
+    side = lambda df, s: df.groupBy(group, "path").agg(
+        F.array_join(F.sort_array(F.collect_set(F.when(F.col("kind") != "VOID", F.col("kind")))), "|").alias(f"kinds_{s}"),
+        F.sum(F.when(F.col("kind") != "VOID", F.col("share")).otherwise(0.0)).alias(f"share_{s}"),
+    )
+    a, b = side(now, "now"), side(before, "before")
+    both = a.withColumnRenamed(group, "_g").join(b.select(F.col(group).alias("_h"), F.col("path").alias("_p"), "kinds_before", "share_before"), F.col("_g").eqNullSafe(F.col("_h")) & (F.col("path") == F.col("_p")), "full")
+    change = F.when(F.col("_p").isNull(), "new").when(F.col("path").isNull(), "gone").when((F.col("kinds_now") != F.col("kinds_before")) & (F.col("kinds_now") != "") & (F.col("kinds_before") != ""), "kind")
+    change = change.when(F.abs(F.col("share_now") - F.col("share_before")) > tolerance, "share")
+    in_now = F.col("path").isNotNull()
+    rows = both.select(F.when(in_now, F.col("_g")).otherwise(F.col("_h")).alias(group), F.coalesce("path", "_p").alias("path"), change.alias("change"), "kinds_before", "kinds_now", "share_before", "share_now").where("change is not null")
+    place = F.regexp_replace("path", r"(?:\.|^)(?:`(?:[^`]|``)*`|[^.`\[\]]+)$", "")
+    named = ~F.col("path").endswith("[]") & (F.col("path") != "")
+    rows = rows.withColumn("_in", F.when(named, place))
+    gone = rows.where("change = 'gone'").select(F.col(group).alias("_gg"), F.col("_in").alias("_gin"), F.col("path").alias("_old"), F.col("kinds_before").alias("_kinds"), F.col("share_before").alias("_share"))
+    gap = F.abs(F.col("share_now") - F.col("_share"))
+    pairs = rows.where("change = 'new'").join(gone, F.col(group).eqNullSafe(F.col("_gg")) & (F.col("_in") == F.col("_gin")) & (F.col("kinds_now") == F.col("_kinds"))).where(gap <= tolerance)
+    best = pairs.groupBy(F.col(group).alias("_bg"), F.col("path").alias("_bp")).agg(F.min_by("_old", F.struct(gap, "_old")).alias("renamed_from"))
+    out = rows.join(best, F.col(group).eqNullSafe(F.col("_bg")) & (F.col("path") == F.col("_bp")), "left")
+    return out.select(group, "path", "change", "kinds_before", "kinds_now", "share_before", "share_now", "renamed_from")
