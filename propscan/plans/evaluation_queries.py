@@ -14,11 +14,12 @@ from propscan.operators import resolve as R
 from propscan.operators import windows as W
 from propscan.plans import freshness as Fresh
 from propscan.plans import publish as Pub
+from propscan.plans import releases as Rel
 from propscan.plans.demo import RUN_DATE, TOWNS, facts, listings, points, table, towns
-from propscan.plans.evaluate import announced, evaluated, scorecard, with_optional
+from propscan.plans.evaluate import announced, evaluated, ranking_key, scorecard, with_optional
 from propscan.plans.expected import CRITERIA, EVAL_SQL, L, km
 from propscan.plans.registry import query
-from propscan.storage import written
+from propscan.storage import new_path, written
 
 
 def _evaluated(spark, d):
@@ -87,6 +88,21 @@ def _properties(spark, d):
     return rows, R.properties(rows, R.links(rows))
 
 
+_SITE = f"{L}, w as (select *, case when number % 5 > 0 then 1 end as one, case when number % 7 > 0 then 2 end as two from l)"
+
+
+@query(f"""{_SITE} select 'current' as release, source, count(*) as n, cast(sum(price * 2) as decimal(20,2)) as prices from w where two = 2 group by source union all select 'past', source, count(*), sum(price) from w where one = 1 group by source
+  union all select 'registry', source, count(one) + count(two), cast(sum(case when one = 1 then price else 0 end + case when two = 2 then price * 2 else 0 end) as decimal(20,2)) from w where number % 3 = 0 group by source""")
+def published_releases(spark, d):
+    """Two weeks published one after the other, the second twice: current and past listings, and the registry of both."""
+    site, rows = new_path(spark, "site"), listings(spark, d).select("listing_id", "source", "price", "number")
+    one, two = rows.where("number % 5 > 0"), rows.where("number % 7 > 0").withColumn("price", (F.col("price") * 2).cast("decimal(14,2)"))
+    for version, t in (("2026-09-09", one), (RUN_DATE, two), (RUN_DATE, two)):
+        Rel.publish(site, version, {"listings": t, "registry": t.where("number % 3 = 0")}, appended=("registry",))
+    count = lambda name, t: t.groupBy("source").agg(F.count("*").alias("n"), F.sum("price").cast("decimal(20,2)").alias("prices")).select(F.lit(name).alias("release"), "*")
+    return count("current", Rel.released(spark, site, "listings")).union(count("past", Rel.released(spark, site, "listings", 1))).union(count("registry", Rel.released(spark, site, "registry")))
+
+
 @query()  # components that keep lots apart are too slow in SQL: tests join the rules' links one after another
 def resolved_properties(spark, d):
     """Each listing's property: all rules' links, without two lots of a procedure in one property."""
@@ -105,6 +121,15 @@ def merged_properties(spark, d):
     return _merged(spark, d)[2].select("property_id", "listing_id", "n_listings")
 
 
+@query()
+def properties_over_weeks(spark, d):
+    """Properties of all listings after a week that lacked one in fifty and priced one in forty otherwise: last week's ids stay."""
+    rows = listings(spark, d)
+    past = rows.where("number % 50 <> 1").withColumn("price", F.expr("case when number % 40 = 0 then cast(price * 2 as decimal(14,2)) else price end"))
+    before = R.weekly_properties(past, R.links(past), "2026-09-09")
+    return R.weekly_properties(rows, R.links(rows), RUN_DATE, before).select("listing_id", "property_id", "component")
+
+
 @query()
 def property_aliases(spark, d):
     """The other listings of each property, a row each."""
@@ -155,7 +180,8 @@ def _compared(now, registry, items, c=None):
     return both.select("listing_id", "id", "date", "file", "snapshot", "note", *[v.alias(n) for n, v in result.items()])
 
 
-@query(f"""{EVAL_SQL}, w as (select *, date '{RUN_DATE}' + days_left as deadline, q_hi - q_lo as width_now from o),
+#: CTE ``g``: this week's listings against their latest announcement, reason by reason.
+_HISTORY = f"""{EVAL_SQL}, w as (select *, date '{RUN_DATE}' + days_left as deadline, q_hi - q_lo as width_now from o),
 r as (select *, unnest(case when number % 6 = 0 then ['2026-09-02', '2026-09-09'] else ['2026-09-02'] end) as day from w where number % 3 = 0),
 m as (select * from r qualify row_number() over (partition by listing_id order by day desc) = 1),
 i as (select *, number % 15 <> 0 as has, cast(price * (1 + 0.013 * (number % 9 - 4) - case when number % 24 = 0 then 0 when number % 27 = 0 then -2 else 0 end) as double) as was_price, vote + number % 17 - 8 + case when day = '2026-09-09' then 1 else 0 end as was_vote,
@@ -165,11 +191,15 @@ c as (select *, (p - was_price) / nullif(was_price, 0) as change, vote - was_vot
   case was_outcome when 'SCARTA' then 0 when 'MONITORA' then 1 when 'DA APPROFONDIRE' then 2 else 3 end as rk_was from i),
 b as (select *, change <= -0.03 as p1, (number % 5 = 0 and height is not null) and (rk_now > rk_was or was_width - width_now >= 10) as p2, deadline <> was_deadline and days_left >= 20 as p3,
   change > 0.03 as n1, gain <= -5 as n2, rk_now < rk_was as n3, (number % 5 = 0 and coalesce(height < 3, false)) or ((number % 9 = 0 or free is null) and coalesce(not free, false)) or regexp_matches(title, 'quota|nuda') as n4 from c),
-g as (select *, gain >= 5 and (same_config or p1 or p2 or p3) as p4 from b)
+g as (select *, gain >= 5 and (same_config or p1 or p2 or p3) as p4 from b)"""
+_VERDICT = "case when not has then null when (p1 or p2 or p3 or p4) and not (n2 or n3) then 'MIGLIORATA' when n1 or n2 or n3 or n4 then 'PEGGIORATA' else 'INVARIATA' end as verdict"
+
+
+@query(f"""{_HISTORY}
 select listing_id, day as date, case when has then concat_ws(',', case when p1 then 'PREZZO_SCESO' end, case when p2 then 'DATO_SBLOCCATO' end, case when p3 then 'ASTA_DI_NUOVO_AZIONABILE' end, case when p4 then 'VOTO_SALITO' end) end as positives,
   case when has then concat_ws(',', case when n1 then 'PREZZO_SALITO' end, case when n2 then 'VOTO_SCESO' end, case when n3 then 'ESITO_PEGGIORATO' end, case when n4 then 'DATO_SFAVOREVOLE' end) end as negatives,
   case when has then case when change <= -0.5 then 'VERIFICARE_PERIMETRO_LOTTO' else '' end end as flags,
-  case when not has then null when (p1 or p2 or p3 or p4) and not (n2 or n3) then 'MIGLIORATA' when n1 or n2 or n3 or n4 then 'PEGGIORATA' else 'INVARIATA' end as verdict,
+  {_VERDICT},
   case when not has then 'segnalata il ' || day || ' ma il file storico report_' || replace(day, '-', '_') || '.json è illeggibile: confronto impossibile' end as note from g""")
 def compared_history(spark, d):
     """Each listing against its latest announcement's snapshot, with all reasons; lost snapshots have a note."""
@@ -179,6 +209,29 @@ def compared_history(spark, d):
     return rows.select("listing_id", "date", *[F.when(known, F.array_join(n, ",")).alias(n) for n in ("positives", "negatives", "flags")], F.when(known, F.col("verdict")).alias("verdict"), "note")
 
 
+@query(f"""{_HISTORY}, z_v as (select listing_id, {_VERDICT} from g),
+z_m as (select o.*, z_v.verdict from o left join z_v using (listing_id) qualify lot is null or listing_id = (min(listing_id) over (partition by lower(trim(court)), procedure, lot))),
+z_m2 as (select *, outcome in ('PROMUOVI', 'DA APPROFONDIRE') as ranked from z_m),
+z_rk as (select *, row_number() over (order by vote desc, yoc desc nulls last, days_left, listing_id) as rank from z_m2 where ranked),
+z_top as (select *, row_number() over (order by rank) as position from z_rk where coalesce(verdict, 'MIGLIORATA') = 'MIGLIORATA' qualify position <= 10),
+z_pa as (select verdict from z_rk where verdict in ('INVARIATA', 'PEGGIORATA') and ((select count(*) from z_top) < 10 or rank < (select max(rank) from z_top)))
+select statistic, key, cast(n as bigint) as n from (select 'record_letti' as statistic, null as key, count(*) as n from o union all select 'duplicati_uniti', null, (select count(*) from o) - count(*) from z_m2
+  union all select 'per_esito', k, (select count(*) from z_m2 where outcome = k) from (values ('PROMUOVI'), ('DA APPROFONDIRE'), ('MONITORA'), ('SCARTA')) t(k)
+  union all select 'scarti_per_motivo', reason, count(*) from z_m2 where outcome = 'SCARTA' and reason is not null group by reason
+  union all select 'in_classifica', null, count(*) from z_rk union all select 'posizioni_scorse', null, count(*) from z_pa
+  union all select 'escluse_per_storico', k, (select count(*) from z_pa where verdict = k) from (values ('INVARIATA'), ('PEGGIORATA')) t(k)
+  union all select 'segnalate', 'totale', count(*) from z_top union all select 'segnalate', 'nuove', count(*) filter (where verdict is null) from z_top union all select 'segnalate', 'risegnalate', count(*) filter (where verdict is not null) from z_top
+  union all select 'segnalate', 'da_' || k, (select count(*) from z_top where channel = k) from (values ('ASTE'), ('IMM_ID')) t(k))""")
+def report_numbers(spark, d):
+    """All numbers of a report: read, merged (listings of one lot), outcomes, reasons, ranked, passed over by verdict, announced."""
+    read = facts(spark, d)
+    head = R.same_lot(read).select(F.col("b").alias("listing_id"))
+    now = written(evaluated(read.join(head, "listing_id", "left_anti"), RUN_DATE).drop("scores"), "evaluated")
+    verdicts = _compared(now, *_past(now)).where("snapshot is not null").select("listing_id", "verdict")
+    top = announced(now, verdicts.where("verdict <> 'MIGLIORATA'"))
+    return Pub.report_statistics(read, now, verdicts, top, ranking_key())
+
+
 @query("""with tw as (select lower(n_name) as town, lower(r_name) as province, case when n_nationkey % 4 > 0 then cast(n_nationkey * 37 % 100 as double) end as i from nation join region on n_regionkey = r_regionkey)
 select c_custkey, province, i as town_index, round(avg_i, 6) as province_index, case when i is not null then 'alta' when avg_i is not null then 'bassa' end as confidence
 from customer join nation on c_nationkey = n_nationkey left join tw on tw.town = lower(n_name) left join (select province, avg(i) as avg_i from tw group by province) using (province)""")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from propscan.functions.parse import report_name
@@ -42,7 +42,7 @@ def replaced(registry: DataFrame, new: DataFrame) -> DataFrame:
 def contract_breaks(items: DataFrame) -> DataFrame:
     """``listing_id, rule`` for each rule that a published item breaks."""
     bad = {
-        "channel": ~F.col("channel").isin(*CHANNELS), "vote": ~F.col("vote").between(0, 100), "text": F.coalesce(F.trim("text"), F.lit("")) == "",
+        "channel": ~F.col("channel").isin(*CHANNELS), "vote": ~(F.col("vote").between(0, 100) & (F.col("vote") == F.floor("vote"))), "text": F.coalesce(F.trim("text"), F.lit("")) == "",
         "again_without_reason": (F.col("state") == "RISEGNALATA") & (F.coalesce(F.size("reasons"), F.lit(0)) <= 0),
     }
     return items.select("listing_id", F.explode(F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(True)), n) for n, c in bad.items())))).alias("rule"))
@@ -54,6 +54,42 @@ def broken_links(registry: DataFrame, items: DataFrame) -> DataFrame:
     return a.join(b, ["file", "id"], "left_anti").withColumn("side", F.lit("registry")).union(b.join(a, ["file", "id"], "left_anti").withColumn("side", F.lit("report")))
 
 
+OUTCOMES = ["PROMUOVI", "DA APPROFONDIRE", "MONITORA", "SCARTA"]
+_ALWAYS = [
+    ("in_classifica", None), ("posizioni_scorse", None), ("escluse_per_storico", "INVARIATA"), ("escluse_per_storico", "PEGGIORATA"),
+    *(("segnalate", k) for k in ("totale", "nuove", "risegnalate", *(f"da_{c}" for c in CHANNELS))), *(("per_esito", o) for o in OUTCOMES),
+]
+
+
+def report_statistics(read: DataFrame, rows: DataFrame, verdicts: DataFrame, top: DataFrame, key: Column, slots: int = 10) -> DataFrame:
+    """``statistic, key, n``: a report's numbers, those of ``_ALWAYS`` with zeros.
+
+    ``read``: listings as loaded; ``rows``: the evaluation, a row a property (``listing_id, channel, outcome, reason`` and what ``key``,
+    the ranking's order, reads); ``verdicts``: ``listing_id, verdict`` of those announced before, once each; ``top``: this
+    week's announced rows. Positions are passed over down to the last announced one, or all where slots stay empty. One pass over
+    ``rows`` counts groups of few kinds, and the numbers are sums of those.
+    """
+    told = top.select("listing_id", F.lit(True).alias("_told"))
+    last = top.agg(F.max(key).alias("_last"), F.count("*").alias("_n"))
+    ranked = F.col("outcome").isin("PROMUOVI", "DA APPROFONDIRE")
+    both = rows.join(verdicts.select("listing_id", "verdict"), "listing_id", "left").join(F.broadcast(told), "listing_id", "left").crossJoin(F.broadcast(last))
+    passed = ranked & F.coalesce(F.col("verdict").isin("INVARIATA", "PEGGIORATA"), F.lit(False)) & ((F.col("_n") < slots) | (key < F.col("_last")))
+    kinds = both.groupBy("channel", "outcome", "reason", "verdict", "_told", passed.alias("_passed"), ranked.alias("_ranked")).agg(F.count("*").alias("n"))
+    tag = lambda name, k: F.struct(F.lit(name).alias("statistic"), (k if isinstance(k, Column) else F.lit(k).cast("string")).alias("key"))
+    again = F.coalesce(F.col("verdict") == "MIGLIORATA", F.lit(False))
+    tags = [
+        tag("per_esito", F.col("outcome")), F.when((F.col("outcome") == "SCARTA") & F.col("reason").isNotNull(), tag("scarti_per_motivo", F.col("reason"))), F.when(F.col("_ranked"), tag("in_classifica", None)),
+        F.when(F.col("_passed"), tag("posizioni_scorse", None)), F.when(F.col("_passed"), tag("escluse_per_storico", F.col("verdict"))), F.when(F.col("_told"), tag("segnalate", "totale")),
+        F.when(F.col("_told"), tag("segnalate", F.when(again, "risegnalate").otherwise("nuove"))), F.when(F.col("_told"), tag("segnalate", F.concat(F.lit("da_"), "channel"))),
+    ]
+    counts = kinds.select("n", F.explode(F.array_compact(F.array(*tags))).alias("t")).select("t.statistic", "t.key", "n")
+    zeros = rows.sparkSession.createDataFrame([(s, k, 0) for s, k in _ALWAYS], "statistic string, key string, n long")
+    n_read, none = read.agg(F.count("*").alias("n")), F.lit(None).cast("string").alias("key")
+    loaded = n_read.select(F.lit("record_letti").alias("statistic"), none, "n")
+    merged = n_read.crossJoin(rows.agg(F.count("*").alias("_m"))).select(F.lit("duplicati_uniti").alias("statistic"), none, (F.col("n") - F.col("_m")).alias("n"))
+    return counts.unionByName(zeros).groupBy("statistic", "key").agg(F.sum("n").alias("n")).unionByName(loaded).unionByName(merged)
+
+
 def differences(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of either table that the other lacks; empty for two runs over the same input."""
     return a.exceptAll(b).withColumn("side", F.lit("first")).union(b.exceptAll(a).withColumn("side", F.lit("second")))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from propscan.functions import parse as P
+from propscan.operators import audits as A
 from propscan.operators import filters as X
 from propscan.operators import joins as J
 from propscan.plans.demo import facts, listings, table
@@ -189,6 +190,25 @@ def unknown_fields(spark, d):
     return Snap.unknown_fields(rows, Snap.FIELDS).select("field", F.col("count").alias("n"))
 
 
+@query(f"""{L}, c as (select source, cast(count(*) as double) as n, count(*) filter (where number % 6 <> 0) as open, count(*) filter (where number % 4 <> 0) as was, count(*) filter (where number % 4 <> 0 and number % 6 <> 0) as mq from l group by source),
+u as (select source, 'luogo.citta' as path, 'gone' as change, 'STRING' as kinds_before, null as kinds_now, 1.0 as share_before, null as share_now, null as renamed_from from c
+  union all select source, 'luogo.comune', 'new', null, 'STRING', null, 1.0, 'luogo.citta' from c
+  union all select source, 'lotti[]', 'share', 'OBJECT', 'OBJECT', 1.0, open / n, null from c where 1 - open / n > 0.02
+  union all select source, 'lotti[].n', case source when 'vgi' then 'kind' else 'share' end, 'BIGINT', case source when 'vgi' then 'STRING' else 'BIGINT' end, 1.0, open / n, null from c where source = 'vgi' or 1 - open / n > 0.02
+  union all select source, 'lotti[].mq', 'share', 'BIGINT', 'BIGINT', was / n, mq / n, null from c where (was - mq) / n > 0.02)
+select source, path, change, kinds_before, kinds_now, round(share_before, 6) as share_before, round(share_now, 6) as share_now, renamed_from from u""")
+def schema_drift(spark, d):
+    """Nested records of two weeks: a field renamed, one of another kind at one source, and lists that are empty more often."""
+    lot = lambda n: f"named_struct('n', {n}, 'mq', case when number % 4 <> 0 then number % 900 end)"
+    record = lambda place, lots: f"to_json(named_struct('id', listing_id, 'luogo', named_struct('{place}', town, 'lotto', lot), 'lotti', {lots}))"
+    few = lambda n: f"filter(array({lot(n)}), x -> number % 6 <> 0)"
+    before = record("citta", f"array({lot('number')})")
+    now = f"case when source = 'vgi' then {record('comune', few('cast(number as string)'))} else {record('comune', few('number'))} end"
+    paths = lambda text: A.json_paths(listings(spark, d).select("source", F.expr(text).alias("payload")), "source", "payload")
+    found = A.schema_drift(paths(now), paths(before), "source")
+    return found.withColumns({c: F.round(c, 6) for c in ("share_before", "share_now")})
+
+
 @query(f"""{L} select listing_id as listing_key, source, price, cast(number % 900 + 100 as decimal(10,2)) as sqm, case source when 'asteflorio' then null when 'fallcoaste' then null else town end as town, case category when 'residenziale' then 'residenziale' else category end as category,
   procedure, court from l""")
 def canonical_listings(spark, d):

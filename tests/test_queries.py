@@ -57,3 +57,15 @@ def test_resolution_and_weekly_chain(spark):
     for r in top:
         was = verdicts.get(r.listing_id)
         assert r.state == ("RISEGNALATA" if was and was.verdict == "MIGLIORATA" else "NUOVA") and (was is None or was.verdict in (None, "MIGLIORATA"))
+
+
+def test_properties_over_weeks(spark):
+    """A week on, components are those of all listings, and ids are last week's or new names."""
+    folder = "/root/testdata/sf0.001"
+    full = {r.listing_id: r.property_id for r in QUERIES["resolved_properties"](spark, folder).collect()}
+    got = {r.listing_id: r for r in QUERIES["properties_over_weeks"](spark, folder).collect()}
+    assert {i: r.component for i, r in got.items()} == full
+    ids = {}
+    for r in got.values():
+        ids.setdefault(r.property_id, set()).add(r.component)
+    assert all(len(c) == 1 for c in ids.values()) and len(ids) == len(set(full.values()))

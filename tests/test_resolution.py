@@ -106,3 +106,48 @@ def test_equal_rows_give_few_links(spark):
     rows = [listing(f"x{i:05d}", ("idealista", "immobiliare")[i % 2], "Ancona", f"{i % 3}/2020", str(i % 4) if i % 5 else None, "gorle", 100.0, 1000.0, lat=43.6, lon=13.5) for i in range(2000)]
     table = spark.createDataFrame(rows, LISTING)
     assert R.links(table).count() < 5 * len(rows)
+
+
+def carried(now, before, date):
+    """Ids of components ``now`` (listing → component) by last week's ids, in plain Python."""
+    shared = {}
+    for i, c in now.items():
+        if i in before:
+            shared.setdefault(c, {}).setdefault(before[i], []).append(i)
+    want = {c: min((-len(v), p) for p, v in by.items()) for c, by in shared.items()}
+    winner = {p: min((n, c) for c, (n, q) in want.items() if q == p)[1] for _, p in want.values()}
+    name = {c: p for p, c in winner.items()}
+    used = set(before.values())
+    return {i: name.get(c, f"{c}@{date}" if c in used else c) for i, c in now.items()}
+
+
+def test_weekly_properties_equal_full_ones_and_keep_ids(spark):
+    rnd = random.Random(11)
+
+    def row(i):
+        case = {"court": "Ancona", "procedure": f"{rnd.randrange(6)}/2020", "lot": rnd.choice([None, "1", "2"])} if rnd.random() < 0.6 else {}
+        place = {"lat": 43 + rnd.randrange(14) / 50, "lon": 13.5} if rnd.random() < 0.7 else {}
+        return listing(f"p{i:03d}", rnd.choice(["idealista", "immobiliare", "x"]), town=rnd.choice("tuvw"), sqm=100 * 1.02 ** rnd.randrange(60), price=1000.0 + rnd.randrange(4), **case, **place)
+
+    week = {i: row(i) for i in range(20, 90)}
+    before, ids = None, {}
+    for date, gone, changed, new in (("d1", 0, 0, 0), ("d2", 3, 3, 4)):
+        for i in rnd.sample(sorted(week), gone):
+            del week[i]
+        week |= {i: row(i) for i in [*rnd.sample(sorted(week), changed), *rnd.sample([i for i in range(120) if i not in week], new)]}
+        rows = [*week.values(), next(iter(week.values())), listing(None)]
+        table = spark.createDataFrame(rows, LISTING)
+        links = R.links(table)
+        last, before = before, R.weekly_properties(table, links, date, before)
+        got = {r.listing_id: r for r in before.collect()}
+        edges = [(r.a, r.b, r.rule) for r in links.collect()]
+        labels = [(r.node, tuple(r.case), r.label) for r in R.labels(table).collect()]
+        names = [r[0] for r in week.values()]
+        full = one_by_one(names, edges, labels)
+        assert before.count() == len(got) == len(week) and {i: r.component for i, r in got.items()} == full
+        assert {i: r.block for i, r in got.items()} == one_by_one(names, [(a, b, 0) for a, b, _ in edges], [])
+        ids, old = ({i: r.property_id for i, r in got.items()}, ids)
+        assert ids == carried(full, old, date)
+        kept = set() if last is None else {tuple(r) for r in got.values()} & {tuple(r) for r in last.collect()}
+    assert len(kept) > 5
+    assert any(p != full[i] for i, p in ids.items())
