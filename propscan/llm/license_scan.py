@@ -49,6 +49,10 @@ RULES = [
 ]
 _GPL = "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation"
 _IMPLIED = "including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"
+_FEE = "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"
+_LESSER = "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation"
+_LATER = "of the license or at your option any later version"
+_ENDORSE = "may be used to endorse or promote products derived from this software without specific prior written permission"
 #: The same for whole sentences as the licences print them. ``oracle_sql`` knows ``SENTENCES`` and ``RULES`` only.
 FULL_SENTENCES = {
     "MITref": ["this software is released under the mit license", "this software is licensed under the mit license", "this project is released under the mit license"],
@@ -65,8 +69,41 @@ FULL_SENTENCES = {
     "GPLonly2": [_GPL + " version 2 of the license", _GPL + " version 2"],
     "CCBYNC4ref": [f"{w}licensed under a creative commons attribution noncommercial 4 0 international license" for w in ("", "this work is ")] + ["this work is licensed under cc by nc 4 0"],
     "CCBY4ref": [f"{w}licensed under a creative commons attribution 4 0 international license" for w in ("", "this work is ")] + ["this work is licensed under cc by 4 0"],
+    "MPLform": ["this source code form is subject to the terms of the mozilla public license v"],
+    "MPLcopy": [f"if a copy of the mpl was not distributed with this file you can obtain one at {scheme} mozilla org mpl 2 0" for scheme in ("http", "https")],
+    "MPL2ref": [f"{w}licensed under the mozilla public license {v}" for w in ("", "this project is ") for v in ("2 0", "version 2 0")],
+    "ISCperm": [f"{_FEE} provided that the above copyright notice and this permission notice appear in all copies"],
+    "0BSDperm": [_FEE],
+    "LGPLfree21": [f"this {w} is free software {_LESSER} either version 2 1 {_LATER}" for w in ("library", "program")],
+    "LGPLfree3": [f"this {w} is free software {_LESSER} either version 3 {_LATER}" for w in ("library", "program")],
+    "AGPLfree3": [_GPL.replace("gnu general", "gnu affero general") + f" either version 3 {_LATER}"],
+    "AGPLonly3": [_GPL.replace("gnu general", "gnu affero general") + tail for tail in (" version 3 of the license", " version 3")],
+    "BSDsource": ["redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"],
+    "BSDbinary": ["redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"],
+    "BSDname": [
+        *(f"neither the name of {who} nor the names of its contributors {_ENDORSE}" for who in ("the copyright holder", "the copyright holders", "the university", "the project", "the author")),
+        "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission",
+    ],
+    "Unlicense": ["this is free and unencumbered software released into the public domain"],
+    "BSL1ref": ["distributed under the boost software license version 1 0"],
+    "EPL2ref": [f"this program and the accompanying materials are made available under the terms of the eclipse public license {v}" for v in ("2 0", "v2 0", "2 0 which is available at https www eclipse org legal epl 2 0", "v2 0 which is available at https www eclipse org legal epl 2 0")],
+    "CCBYSA4ref": [f"{w}licensed under {of}" for w in ("", "this work is ") for of in ("cc by sa 4 0", "a creative commons attribution sharealike 4 0 international license")],
 }
-FULL_RULES = [("GPL-3.0-or-later", ["GPLfree3"]), ("GPL-2.0-or-later", ["GPLfree2"]), ("GPL-3.0", ["GPLonly3"]), ("GPL-2.0", ["GPLonly2"])]
+FULL_RULES = [
+    ("GPL-3.0-or-later", ["GPLfree3"]), ("GPL-2.0-or-later", ["GPLfree2"]), ("GPL-3.0", ["GPLonly3"]), ("GPL-2.0", ["GPLonly2"]), ("MPL-2.0", ["MPLform", "MPLcopy"]), ("MPL-2.0", ["MPL2ref"]),
+    ("ISC", ["ISCperm"]), ("0BSD", ["0BSDperm"]), ("LGPL-2.1-or-later", ["LGPLfree21"]), ("LGPL-3.0-or-later", ["LGPLfree3"]), ("AGPL-3.0-or-later", ["AGPLfree3"]), ("AGPL-3.0", ["AGPLonly3"]),
+    ("BSD-3-Clause", ["BSDredist", "BSDsource", "BSDbinary", "BSDname"]), ("BSD-2-Clause", ["BSDredist", "BSDsource", "BSDbinary"]), ("Unlicense", ["Unlicense"]), ("BSL-1.0", ["BSL1ref"]),
+    ("EPL-2.0", ["EPL2ref"]), ("CC-BY-SA-4.0", ["CCBYSA4ref"]),
+]
+#: Names in ``SPDX-License-Identifier`` lines; those that end in ``-only`` have the rules' name without it.
+SPDX = [
+    "MIT", "Apache-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later",
+    "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "ISC", "MPL-2.0", "EPL-2.0", "BSL-1.0", "Zlib", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
+]
+FULL_SENTENCES |= {f"SPDX-{name}": ["spdx license identifier " + re.sub("[^a-z0-9]+", " ", name.lower())] for name in SPDX}
+FULL_RULES += [(name.removesuffix("-only"), [f"SPDX-{name}"]) for name in SPDX]
+#: What says that there is a licence, whichever; both engines run it on lower-cased text.
+MENTION = r"licen[sc]ed[ \t\r\n]+under|spdx-license-identifier"
 
 
 def all_sentences() -> dict[str, list[str]]:
@@ -74,6 +111,21 @@ def all_sentences() -> dict[str, list[str]]:
     return {k: SENTENCES.get(k, []) + FULL_SENTENCES.get(k, []) for k in [*SENTENCES, *(k for k in FULL_SENTENCES if k not in SENTENCES)]}
 
 
+#: Words that other texts hold often; a gate takes one only where a sentence has no other.
+ORDINARY = ["software", "provided", "without", "conditions", "following", "documentation", "international", "released", "distributed", "available", "program", "version", "project", "materials"]
+
+
+def gate(sentences: list[str]) -> list[str]:
+    """Words so that every sentence holds one: by turns the word with the most letters in sentences left, ``ORDINARY`` ones last."""
+    left, words = set(sentences), []
+    known = sorted({w for s in sentences for w in s.split(" ")})
+    while left:
+        held = {w: sum(w in s for s in left) * len(w) for w in known}
+        words.append(max(known, key=lambda w: (held[w] > 0 and len(w) > 4 and w not in ORDINARY, held[w], w)))
+        left = {s for s in left if words[-1] not in s}
+    return words
+
+
 def _marked(text: Column) -> Column:
     """Normalised words with one blank, a line break (which may end a sentence) or ``|`` (which does) between them."""
     s = F.regexp_replace(F.lower(text), "[^a-z0-9.!?;\n\r]+", " ")
@@ -86,11 +138,11 @@ def _marked(text: Column) -> Column:
 def sentence_ids(text: Column, sentences: dict[str, list[str]] | None = None) -> Column:
     """Identifiers of the known sentences of ``text``, in order; other sentences are left out.
 
-    Only texts that hold one of the words common to licence sentences are normalised.
+    Only texts that hold one of the words of ``gate`` are normalised.
     """
     known = {s: k for k, v in (sentences or all_sentences()).items() for s in v}
     table = F.create_map(*(F.lit(x) for s, k in known.items() for x in (s, k)))
-    likely = F.lower(text).rlike("licen[sc]e|permission|copyright|redistribution|warrant|conditions|cc0|cc by|cc-by") | (F.lit(sentences is not None))
+    likely = F.lower(text).rlike("|".join(gate(sorted(known))))
     words = "|".join("[ \n]".join(map(re.escape, s.split(" "))) for s in sorted(known, key=len, reverse=True))
     hits = F.regexp_extract_all(_marked(text), F.lit(rf"(?<=[|\n])({words})(?=[|\n])"), F.lit(1))
     found = F.transform(hits, lambda s: table[F.translate(s, "\n", " ")])
@@ -110,13 +162,17 @@ def rule_matches(ids: Column, rules: list[tuple[str, list[str]]] | None = None)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sentences: dict[str, list[str]] | None = None, rules: list[tuple[str, list[str]]] | None = None) -> DataFrame:
-    """Return ``doc_id, sentence_ids array, licenses array`` for each row.
+    """Return ``doc_id, sentence_ids array, licenses array, unknown_license boolean`` for each row.
+
+    ``unknown_license``: the text says that it is under a licence (``MENTION``), but no rule matches.
 
     Null and empty texts have empty arrays; repeated rows give equal rows; ids may be null; an empty
     table gives no rows; other columns are ignored. ``licenses`` is in rule order, without repeats.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), sentence_ids(F.coalesce(F.col(text_col), F.lit("")), sentences).alias("sentence_ids"))
-    return rows.withColumn("licenses", rule_matches(F.col("sentence_ids"), rules))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("doc_id"), sentence_ids(text, sentences).alias("sentence_ids"), F.lower(text).rlike(MENTION).alias("_mentions"))
+    rows = rows.withColumn("licenses", rule_matches(F.col("sentence_ids"), rules))
+    return rows.select("doc_id", "sentence_ids", "licenses", ((F.size("licenses") == 0) & F.col("_mentions")).alias("unknown_license"))
 
 
 def oracle_sql() -> str:
@@ -126,11 +182,12 @@ def oracle_sql() -> str:
     split = r"string_split_regex(coalesce(text, ''), '[\n\r]+|[.!?;][ \t]+')"
     ids = f"list_filter(list_transform({split}, lambda s: element_at({pairs}, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')))[1]), lambda k: k is not null)"
     step, hits = "'|' || array_to_string(list_transform(ids, lambda x: x || '|'), '|') || '|'", []
-    ctes = [f"r0 as (select doc_id, ids, {step} as s from (select doc_id, {ids} as ids from documents))"]
+    ctes = [f"r0 as (select doc_id, ids, mentions, {step} as s from (select doc_id, {ids} as ids, regexp_matches(lower(coalesce(text, '')), '{MENTION}') as mentions from documents))"]
     for i, (name, seq) in enumerate(sorted(RULES, key=lambda r: -len(r[1]))):
         needle = "|" + "".join(f"{x}||" for x in seq)[:-1]
         ctes.append(f"r{i + 1} as (select * exclude (s), case when contains(s, '{needle}') then '{name}' end as h{i}, replace(s, '{needle}', '|~|') as s from r{i})")
         hits.append(f"h{i}")
     # keep the first of equal names, in rule order
     first = [f"case when {h} is not null and not coalesce({h} in ({', '.join(hits[:i])}), false) then {h} end" if i else h for i, h in enumerate(hits)]
-    return f"with {', '.join(ctes)} select doc_id, coalesce(array_to_string(ids, ','), '') as sentence_ids, concat_ws(',', {', '.join(first)}) as licenses, cast(len(ids) as bigint) as n_sentences from r{len(hits)}"
+    none = " and ".join(f"{h} is null" for h in hits)
+    return f"with {', '.join(ctes)} select doc_id, mentions and {none} as unknown_license, coalesce(array_to_string(ids, ','), '') as sentence_ids, concat_ws(',', {', '.join(first)}) as licenses, cast(len(ids) as bigint) as n_sentences from r{len(hits)}"

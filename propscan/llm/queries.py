@@ -16,7 +16,7 @@ def _table(spark, sf_dir, name):
 
 def op1_license_scans(spark, sf_dir):
     found = license_scan.scan(_table(spark, sf_dir, "documents"))
-    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"), F.size("sentence_ids").cast("long").alias("n_sentences"))
+    return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"), F.size("sentence_ids").cast("long").alias("n_sentences"), "unknown_license")
 
 
 def op2_toxicity(spark, sf_dir):

@@ -42,7 +42,7 @@ def test_verbatim_notices(spark):
     import textwrap
 
     want = {
-        MIT: (["MITperm", "MITnotice", "AsIs"], ["MIT"]), BSD: (["BSDredist"], ["BSD"]), APACHE: (["Apache2ref", "ApacheUse"], ["Apache-2.0"]),
+        MIT: (["MITperm", "MITnotice", "AsIs"], ["MIT"]), BSD: (["BSDredist", "BSDsource"], ["BSD"]), APACHE: (["Apache2ref", "ApacheUse"], ["Apache-2.0"]),
         GPL % (":", ",", 3): (["GPLfree3"], ["GPL-3.0-or-later"]), GPL % (";", ";", 2): (["GPLfree2"], ["GPL-2.0-or-later"]),
     }
     wrap = lambda t, width, sign: "\n".join((sign + line).rstrip() for p in t.split("\n") for line in textwrap.wrap(p.strip(), width) or [""])
@@ -56,8 +56,39 @@ def test_verbatim_notices(spark):
     assert license_scan.scan(lines).first().licenses == ["MIT", "CC-BY-4.0", "CC0-1.0"]
     import re
 
-    for s in (s for v in license_scan.all_sentences().values() for s in v):
-        assert re.search("licen[sc]e|permission|copyright|redistribution|warrant|conditions|cc0|cc by|cc-by", s) and re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", s)
+    known = [s for v in license_scan.all_sentences().values() for s in v]
+    words = license_scan.gate(known)
+    assert len(words) < 12 and not set(license_scan.ORDINARY) & set(words) and len(set(known)) == len(known)
+    assert license_scan.gate(["provided"]) == ["provided"] and license_scan.gate([]) == []
+    assert all(any(w in s for w in words) and re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", s) for s in known)
+
+
+MORE = {
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.": "MPL-2.0",
+    'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS"': "ISC",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.": "0BSD",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.": "LGPL-2.1-or-later",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "AGPL-3.0-or-later",
+    "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy": "Unlicense",
+    "SPDX-License-Identifier: MIT": "MIT", "SPDX-License-Identifier: GPL-2.0-only": "GPL-2.0", "SPDX-License-Identifier: MPL-2.0": "MPL-2.0", "SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0", "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+}
+CLAUSES = BSD + "\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+NAME = "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+
+
+def test_further_notices(spark):
+    import textwrap
+
+    want = MORE | {CLAUSES: "BSD-2-Clause", CLAUSES + NAME: "BSD-3-Clause"}
+    wrap = lambda t, width, sign: "\n".join((sign + line).rstrip() for p in t.split("\n") for line in textwrap.wrap(p.strip(), width, break_on_hyphens=False, break_long_words=False) or [""])
+    forms = [lambda t: t, lambda t: wrap(t, 70, "# "), lambda t: "/*\n" + wrap(t, 60, " * ") + "\n */\nint x;", lambda t: f"Copyright 2020 A\n\n{t}\n\nmain()"]
+    rows = [(i, f(t)) for i, (t, f) in enumerate((t, f) for t in want for f in forms)]
+    got = {r.doc_id: r for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(got[i].licenses, got[i].unknown_license) for i, _ in rows] == [([name], False) for name in want.values() for _ in forms]
+    no = [("SPDX-License-Identifier: MIT OR Apache-2.0", True), ("It is licensed\n  under the Foo License.", True), ("SPDX-License-Identifier: GPL-2.0+", True), ("a licence to kill", False), ("", False), (None, False)]
+    found = license_scan.scan(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(no)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [(r.licenses, r.unknown_license) for r in found] == [([], u) for _, u in no]
 
 
 def test_license_edges(spark):
