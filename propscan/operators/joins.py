@@ -87,6 +87,24 @@ def town_of_text(rows: DataFrame, key: str, text: str, towns: DataFrame, max_wor
     return best.select(F.col("_key").alias(key), "b.town", "b.province", confidence.alias("confidence"))
 
 
+def with_perimeter(listings: DataFrame, targets: DataFrame, excluded: list[str], km: float = 30.0) -> DataFrame:
+    """Add ``distance_km`` to the nearest of the ``targets`` (``town, lat, lon``) and ``inside``, which may be unknown.
+
+    ``distance_km``: 0 in a target town, infinite for a known place with no target within ``km``, null where neither tells.
+    ``inside``: false in an excluded town (lower-cased names), true in a target town or within ``km`` of one, false beyond, null where the
+    distance is unknown, which drops nothing. Targets named twice count once; targets without coordinates count by name only.
+    """
+    name = lambda c: F.lower(F.trim(c))
+    names = targets.where("town is not null").select(name("town").alias("_target")).distinct()
+    near = radius_join(targets.select("lat", "lon"), listings.select("listing_id", "lat", "lon"), km)  # the few look around
+    near = near.groupBy(F.col("r_listing_id").alias("listing_id")).agg(F.min("km").alias("_km"))
+    rows = listings.drop("distance_km", "inside").join(near, "listing_id", "left").join(names, name("town") == F.col("_target"), "left")
+    placed = F.col("lat").isNotNull() & F.col("lon").isNotNull()
+    rows = rows.withColumn("distance_km", F.when(F.col("_target").isNotNull(), 0.0).when(placed, F.coalesce("_km", F.lit(float("inf")))))
+    inside = F.when(F.coalesce(name("town").isin(*excluded), F.lit(False)), False).otherwise(F.col("distance_km") <= km)
+    return rows.withColumn("inside", inside).drop("_km", "_target")
+
+
 def surrounded(listings: DataFrame, points: DataFrame, competitors_km: float = 5.0, poles_km: float = 2.0) -> DataFrame:
     """Add ``competitor_sqm``, ``junction_km`` and ``retail_poles`` by ``points``: ``k, lat, lon, sqm``; even ``k`` are junctions too,
     multiples of three are retail poles. Listings without coordinates have nulls, those with nothing around have 0 m² and poles."""

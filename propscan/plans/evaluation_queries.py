@@ -232,6 +232,22 @@ def report_numbers(spark, d):
     return Pub.report_statistics(read, now, verdicts, top, ranking_key())
 
 
+_TARGETS = "select lower(n_name) as town, 36.0 + (n_nationkey * 137 % 1000) / 100.0 as lat, 7.0 + (n_nationkey * 311 % 1000) / 100.0 as lon from {nation} where n_nationkey % 6 = 1"
+_PLACED = "listing_id, case when number % 13 > 0 then town end as town, case when number % 11 > 0 then cast(lat as double) end as lat, case when number % 11 > 0 then cast(lon as double) end as lon"
+
+
+@query(f"""{L}, p as (select {_PLACED} from l), t as ({_TARGETS.format(nation="nation")}),
+n as (select listing_id, min({km("p.", "t.")}) as km from p join t on abs(p.lat - t.lat) < 1 where {km("p.", "t.")} <= 30 group by listing_id),
+x as (select p.*, n.km, p.town in (select town from t) as hit from p left join n using (listing_id))
+select listing_id, round(case when hit then 0.0 else km end, 6) as km, case when town = 'china' then false when hit or km is not null then true when lat is not null then false end as inside, not coalesce(hit, false) and lat is not null and km is null as beyond from x""")
+def inside_perimeter(spark, d):
+    """Listings in a target town or within 30 km of one, by name or place; unknown places stay unknown."""
+    targets = spark.sql(_TARGETS, nation=table(spark, d, "nation")).select("town", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
+    rows = J.with_perimeter(listings(spark, d).selectExpr(*_PLACED.split(", case")[:1], *("case" + x for x in _PLACED.split(", case")[1:])), targets, ["china"])
+    beyond = F.coalesce(F.col("distance_km") == float("inf"), F.lit(False))
+    return rows.select("listing_id", F.round(F.when(~beyond, F.col("distance_km")), 6).alias("km"), "inside", beyond.alias("beyond"))
+
+
 @query("""with tw as (select lower(n_name) as town, lower(r_name) as province, case when n_nationkey % 4 > 0 then cast(n_nationkey * 37 % 100 as double) end as i from nation join region on n_regionkey = r_regionkey)
 select c_custkey, province, i as town_index, round(avg_i, 6) as province_index, case when i is not null then 'alta' when avg_i is not null then 'bassa' end as confidence
 from customer join nation on c_nationkey = n_nationkey left join tw on tw.town = lower(n_name) left join (select province, avg(i) as avg_i from tw group by province) using (province)""")
