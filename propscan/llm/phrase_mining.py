@@ -84,7 +84,7 @@ def _lang_seeds(lang: pa.Array) -> tuple[pa.Array, np.ndarray]:
     joined = "".join(names).encode()
     stop = np.cumsum([len(n.encode()) for n in names], dtype=np.int64)
     seeds = span_hashes(np.frombuffer(joined, np.uint8), np.r_[0, stop[:-1]].astype(np.int64) if len(stop) else stop, stop)
-    return coded, seeds
+    return coded, seeds * np.uint64(_R)  # added to a word's hash: the word "en" in "de" isn't the word "de" in "en"
 
 
 class Chunk:

@@ -65,6 +65,14 @@ def test_ties_and_limit(spark):
     assert sorted(map(tuple, pm.collocations(docs, limit=7, min_count=5).collect())) == brute(rows, 5, limit=7)[0]
 
 
+def test_words_that_name_languages(spark):
+    rnd = random.Random(7)
+    words = ["en", "de", "fr", "und", "la", "x"]
+    rows = [(lang, " ".join(rnd.choice(words) for _ in range(40))) for lang in ("en", "de", "fr", None) for _ in range(1 + 10 * len(lang or ""))]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    assert sorted(map(tuple, pm.collocations(docs, min_count=10).collect())) == brute(rows, 10)[0]
+
+
 class Sent:
     def __init__(self, value):
         self.value = value
