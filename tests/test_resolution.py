@@ -77,6 +77,21 @@ def test_tolerance_links_have_the_components_of_all_pairs(spark, sides, toleranc
     assert set(got) <= set(pairs) and len(got) < 40 * len(rows)
 
 
+@pytest.mark.parametrize("tolerances", [{"p": 0.05}, {"p": 0.03, "q": 0.02}])
+def test_differing_links_have_the_components_of_all_pairs(spark, tolerances):
+    rnd = random.Random(6)
+    rows = [(i, rnd.choice("tuv"), 100 * 1.012 ** rnd.randrange(40), 1000 * 1.008 ** rnd.randrange(30), rnd.choice("xxxxyzw")) for i in range(200)]
+    rows += [(500 + i, rnd.choice("abcdefghij"), 100 * 1.012 ** rnd.randrange(12), 1000 * 1.008 ** rnd.randrange(9), rnd.choice("xxxyz")) for i in range(120)]
+    rows += [(1000 + i, "w", 50.0, 70.0, "xyz"[i % 3]) for i in range(400)] + [(2000, None, 1.0, 1.0, "x"), (2001, "t", None, 1.0, "x"), (2002, "t", 0.0, 1.0, "y"), (2003, "t", 100.0, 1000.0, None)]
+    table = spark.createDataFrame(rows, "i int, t string, p double, q double, s string")
+    near = lambda u, v: all(u[k] and v[k] and u[k] > 0 and v[k] > 0 and abs(u[k] - v[k]) <= share * max(u[k], v[k]) for k, share in zip((2, 3), tolerances.values()))
+    pairs = [(u[0], v[0]) for u in rows for v in rows if u[0] < v[0] and u[1] is not None and u[1] == v[1] and u[4] and v[4] and u[4] != v[4] and near(u, v)]
+    got = [tuple(r) for r in J.differing_links(table, "i", ["t"], tolerances, "s").collect()]
+    ids = [r[0] for r in rows]
+    assert groups(ids, got) == groups(ids, pairs)
+    assert set(got) <= set(pairs) and len(got) < 8 * len(rows)
+
+
 LISTING = "listing_id string, source string, court string, procedure string, lot string, town string, sqm double, price double, category string, lat double, lon double, url string"
 
 
@@ -108,6 +123,15 @@ def test_equal_rows_give_few_links(spark):
     assert R.links(table).count() < 5 * len(rows)
 
 
+def test_market_edges_join_any_two_portals(spark):
+    rows = [listing(f"{s}_{i}", s, town="gorle", sqm=1000.0 + 10 * i, price=100.0) for i, s in enumerate(["idealista", "immobiliare", "vgi", "fallcoaste", "vgi"])]
+    table = spark.createDataFrame([*rows, listing("far", "caseasta", town="gorle", sqm=2000.0, price=100.0), listing("other", "caseasta", town="como", sqm=1000.0, price=100.0)], LISTING)
+    got = sorted((r.a, r.b, r.rule) for r in R.edges(table).collect())
+    assert got == sorted((min(u[0], v[0]), max(u[0], v[0]), 5) for i, u in enumerate(rows) for v in rows[:i] if u[1] != v[1] and abs(u[6] - v[6]) <= 0.03 * max(u[6], v[6]))
+    of = {r.listing_id: r.property_id for r in R.properties(table, R.links(table, markets=None)).collect()}
+    assert {of[r[0]] for r in rows} == {min(r[0] for r in rows)} and of["far"] == "far" and of["other"] == "other"
+
+
 def carried(now, before, date):
     """Ids of components ``now`` (listing → component) by last week's ids, in plain Python."""
     shared = {}
