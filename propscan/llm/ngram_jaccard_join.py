@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propscan.llm.batches import LOWER, chunks, gram_hashes, mix, released, span_hashes, word_spans
+from propscan.llm.batches import LOWER, chunks, gram_hashes, mix, released, released_group, span_hashes, word_spans
 from propscan.operators.components import connected_components
 from propscan.storage import removed, written
 
@@ -41,6 +41,8 @@ from propscan.storage import removed, written
 BUCKET_TOKENS = 2_000_000
 #: Shingles that a task gathers before it hands them on, at least.
 FLUSH_TOKENS = 800_000
+#: Bytes of text shingled together: some ten arrays of eight bytes a byte of text live at once.
+CHUNK_BYTES = 1 << 18
 #: One set in so many, by its hash, tells which shingles are very common: those in this share of such sets, and
 #: in so many of them at least. At most so many are treated apart; the others are counted like rare ones.
 SAMPLE_OF, COMMON_SHARE, COMMON_LEAST, COMMON_MOST = 64, 0.001, 20, 200_000
@@ -76,7 +78,7 @@ def _document_sets(k: int, sample_of: int):
         seen: set[int] = set()
         for batch in batches:
             sizes, sids, sampled = [], [], []
-            for _, _, data, off in chunks(batch.column(0)):
+            for _, _, data, off in chunks(batch.column(0), CHUNK_BYTES):
                 for s in shingle_sets(data, off, k):
                     sizes.append(len(s))
                     sids.append(set_id(s) if len(s) else None)
@@ -97,12 +99,12 @@ def _packed(sids: np.ndarray, ns: np.ndarray, owner: np.ndarray, tokens: bytes)
     return sids[which].tobytes(), ns[which].tobytes(), np.diff(np.r_[at, len(owner)]).astype(np.int32).tobytes(), tokens
 
 
-def _unpacked(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Set id and size for each token, and the tokens."""
-    joined = {c: np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("sids", np.int64), ("ns", np.int32), ("counts", np.int32), ("tokens", np.uint8))}
-    wide = np.zeros((len(joined["tokens"]) // width, 8), np.uint8)
-    wide[:, :width] = joined["tokens"].reshape(-1, width)
-    return np.repeat(joined["sids"], joined["counts"]), np.repeat(joined["ns"], joined["counts"]), wide.view(np.uint64).ravel()
+def _unpacked(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and sizes of the sets; for each token its set's place there, and the tokens."""
+    sids, ns, counts, raw = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("sids", np.int64), ("ns", np.int32), ("counts", np.int32), ("tokens", np.uint8)))
+    wide = np.zeros((len(raw) // width, 8), np.uint8)
+    wide[:, :width] = raw.reshape(-1, width)
+    return sids, ns, np.repeat(np.arange(len(sids), dtype=np.int32), counts), wide.view(np.uint64).ravel()
 
 
 _PACKED = "bucket int, sids binary, ns binary, counts binary, tokens binary"
@@ -139,7 +141,7 @@ def _token_buckets(k: int, buckets: int, common: np.ndarray):
         held: list[tuple[int, np.ndarray]] = []
         size = 0
         for batch in batches:
-            for _, _, data, off in chunks(batch.column(0)):
+            for _, _, data, off in chunks(batch.column(0), CHUNK_BYTES):
                 for s in shingle_sets(data, off, k):
                     if len(s) and (i := set_id(s)) not in seen:
                         if len(seen) > 500_000:  # only saves work: copies that two tasks send on are told apart later
@@ -160,16 +162,19 @@ def _shared_tokens(buckets: int):
     """Of one bucket's tokens, those in two sets or more, ranked by frequency, dealt by set; common ones rank last."""
 
     def run(table: pa.Table) -> pa.Table:
-        sids, ns, tokens = _unpacked(table, 6)
+        sids, ns, owner, tokens = _unpacked(table, 6)
         if (bucket := table.column("bucket")[0].as_py()) < 0:
-            order = np.argsort(sids, kind="stable")
-            s, ranks = sids[order], _COMMON | tokens[order]
-            return pa.Table.from_batches([_by_bucket(s, ns[order], np.searchsorted(s, s).astype(np.int32), np.full(len(s), -1 - bucket, np.int32), ranks, 8)])
+            order = np.argsort(sids[owner], kind="stable")
+            s, n, ranks = sids[owner[order]], ns[owner[order]], _COMMON | tokens[order]
+            return pa.Table.from_batches([_by_bucket(s, n, np.searchsorted(s, s).astype(np.int32), np.full(len(s), -1 - bucket, np.int32), ranks, 8)])
         order = np.argsort(tokens, kind="stable")
-        same = tokens[order][1:] == tokens[order][:-1]
+        t = tokens[order]
+        same = t[1:] == t[:-1]
         order = order[np.r_[False, same] | np.r_[same, False]]
-        order = order[np.lexsort((sids[order], tokens[order]))]
-        t, s = tokens[order], sids[order]
+        tokens, owner = tokens[order], owner[order]  # of the rest, which may be few
+        del t, same, order
+        order = np.lexsort((sids[owner], tokens))
+        t, s = tokens[order], sids[owner[order]]
         order = order[np.r_[True, (t[1:] != t[:-1]) | (s[1:] != s[:-1])]] if len(order) else order
         t = tokens[order]
         _, group, df = np.unique(t, return_inverse=True, return_counts=True)
@@ -178,7 +183,7 @@ def _shared_tokens(buckets: int):
         if not len(order):
             return _PACKED_ARROW.empty_table()
         rank = np.minimum(df, 65534).astype(np.uint64) << np.uint64(48) | t
-        s, n = sids[order], ns[order]
+        s, n = sids[owner[order]], ns[owner[order]]
         by_set = np.argsort(s, kind="stable")
         s, n, rank = s[by_set], n[by_set], rank[by_set]
         to = (s.view(np.uint64) % np.uint64(buckets)).astype(np.int32)
@@ -195,9 +200,9 @@ def _partners_possible(percent: int):
     """Sets whose shared shingles alone could reach the threshold, with those shingles in global order."""
 
     def run(table: pa.Table) -> pa.Table:
-        sids, ns, ranks = _unpacked(table, 8)
-        order = np.lexsort((ranks, sids))
-        sids, ns, ranks = sids[order], ns[order], ranks[order]
+        sids, ns, owner, ranks = _unpacked(table, 8)
+        order = np.lexsort((ranks, sids[owner]))
+        sids, ns, ranks = sids[owner[order]], ns[owner[order]], ranks[order]
         once = np.r_[True, (sids[1:] != sids[:-1]) | (ranks[1:] != ranks[:-1])]  # two tasks may have sent a set's common tokens
         sids, ns, ranks = sids[once], ns[once], ranks[once]
         at = np.flatnonzero(np.r_[True, sids[1:] != sids[:-1]])
@@ -442,8 +447,8 @@ def near_duplicates(
     total = ids.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = int(max(8, -(-total // bucket_tokens)))
     packed = rows.select("text").mapInArrow(released(_token_buckets(k, buckets, _common_tokens(ids, *common[1:]))), _PACKED)
-    shared = packed.groupBy("bucket").applyInArrow(_shared_tokens(buckets), _PACKED)
-    sets = written(shared.groupBy("bucket").applyInArrow(_partners_possible(percent), _SETS), "shared")
+    shared = packed.groupBy("bucket").applyInArrow(released_group(_shared_tokens(buckets)), _PACKED)
+    sets = written(shared.groupBy("bucket").applyInArrow(released_group(_partners_possible(percent)), _SETS), "shared")
     copies = ids.where("sid is not null").groupBy("sid").agg(F.count("*").alias("copies"))
     found, read = _links(sets, copies, percent, block)
     links = written(found, "links")

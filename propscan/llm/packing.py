@@ -14,13 +14,13 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from propscan.llm.batches import CHUNK_BYTES, LOWER, flat, released, slices, span_hashes, word_spans
@@ -315,6 +315,12 @@ def pack_lengths(counts: np.ndarray, capacity: int = CAPACITY, classes: int = 64
     return runs
 
 
+def _table(spark: SparkSession, columns: Iterable[Iterable[int]], names: tuple[str, ...]) -> DataFrame:
+    """Columns of whole numbers as a DataFrame; none at all are empty ones."""
+    found = list(columns) or [()] * len(names)
+    return spark.createDataFrame(pa.table([pa.array([int(x) for x in c], pa.int64()) for c in found], names=list(names)))
+
+
 def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """Return one row a piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``.
 
@@ -332,8 +338,9 @@ def pack(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col:
     counts[list(tally)] = list(tally.values())
     runs = pack_lengths(counts, capacity)
     used = max((s + n for _, _, n, s, _ in runs), default=0)
-    plan = spark.createDataFrame([tuple(map(int, r)) for r in runs], "length long, first long, n long, sequence long, offset long")
-    slices_of = spark.createDataFrame([(int(x), math.isqrt(int(n) - 1) + 1) for x, n in tally.items()], "length long, slices int")
+    # from Arrow, as lists would be serialised by Python workers of their own, which stay beside those of the tasks
+    plan = _table(spark, zip(*runs, strict=True), ("length", "first", "n", "sequence", "offset"))
+    slices_of = _table(spark, zip(*((x, math.isqrt(n - 1) + 1) for x, n in tally.items()), strict=True), ("length", "slices"))
 
     full = pieces.where(F.col("length") == capacity).select("*", (F.lit(used) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     sliced = pieces.where(F.col("length") < capacity).join(F.broadcast(slices_of), "length")

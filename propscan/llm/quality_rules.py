@@ -34,6 +34,8 @@ RULES = {
     "word_length": "10 * word_chars / n_words",
 }
 GRID = 1000
+#: Bytes of text counted together.
+CHUNK_BYTES = 1 << 18
 
 
 def text_counts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -74,7 +76,7 @@ _COUNTED_ARROW = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in C
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        parts = [text_counts(data, off) for _, _, data, off in chunks(batch.column(1))]
+        parts = [text_counts(data, off) for _, _, data, off in chunks(batch.column(1), CHUNK_BYTES)]
         values = np.concatenate(parts) if parts else np.zeros((0, len(COUNTS)), np.int64)
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), *(pa.array(values[:, i], pa.int64()) for i in range(len(COUNTS))), batch.column(2).cast(pa.string())], schema=_COUNTED_ARROW)
 
