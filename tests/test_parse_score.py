@@ -232,3 +232,9 @@ def test_towns_of_texts(spark):
         1: ("Reggio nell'Emilia", "RE", "alta"), 2: ("Milano", "MI", "media"), 4: ("San Donà di Piave", "VE", "media"), 5: ("Castro", "LE", "alta"), 6: ("Milano", "MI", "bassa"),
         10: ("Milano", "MI", "media"), 11: ("Castro", "BG", "media"),
     }
+
+
+def test_visibility_is_exact(spark):
+    """Points are those of decimal arithmetic, so a width of half the points isn't a last digit more."""
+    for address, km, want in (("viale Europa 3", 3.0, (5.4, 8.4, 11.4)), ("via Roma", None, (1.8, 4.8, 7.8)), ("Via Statale 12", 0.5, (9.0, 12.0, 12.0)), (None, 0.5, (4.2, 7.2, 10.2))):
+        assert tuple(one(spark, S.visibility_score(F.col("a"), F.lit(km).cast("double")), a=address)) == want
