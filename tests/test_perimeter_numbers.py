@@ -1,5 +1,6 @@
 from propscan.operators import joins as J
 from propscan.plans import publish
+from propscan.plans.evaluate import OPTIONAL, evaluated
 from pyspark.sql import functions as F
 
 
@@ -34,3 +35,16 @@ def test_numbers_of_a_report(spark):
         assert {(r.statistic, r.key): r.n for r in got.collect()} == want
     none = publish.report_statistics(table.limit(0), table.limit(0), verdicts, table.limit(0), F.struct(-F.col("vote"), "listing_id"))
     assert {r.n for r in none.collect()} == {0} and none.count() == len(publish._ALWAYS) + 2
+
+
+def test_a_range_of_fifteen_points_is_promoted(spark):
+    """Criteria that are uncertain by exactly 15 points in all; a report's numbers and the run's statistics count it as promoted."""
+    facts = {
+        "town_index": 29.0, "province_index": 44.0, "competitor_sqm": 18300.0, "inhabitants": 169000.0, "address": "via Roma", "retail_poles": 0, "barrier": True, "height": 5.5, "floor": -1, "bays": 2,
+        "yard": True, "gates": True, "certified": True, "permit": "libero", "adjacent": False, "second_bay": False, "phased": False, "auction": True, "free": True, "failed": 1, "custodian": False,
+    }
+    row = {"listing_id": "x", "category": "capannone", "price": 228508.27, "sqm": 1490.0, "town": "gorle", **facts}
+    table = spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} {OPTIONAL.get(k, 'double' if isinstance(v, float) else 'string')}" for k, v in row.items()))
+    table = table.withColumn("deadline", F.lit("2026-11-05").cast("date"))
+    got = evaluated(table, "2026-09-16").select("outcome", (F.col("quality.hi") - F.col("quality.lo")).alias("width")).first()
+    assert got.width <= 15 and got.outcome == "PROMUOVI"
