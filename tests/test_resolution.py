@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from propscan.operators import components
 from propscan.operators import joins as J
 from propscan.operators import resolve as R
 from propscan.operators.components import constrained_components
@@ -41,6 +42,28 @@ def test_constrained_components_are_those_of_one_edge_after_another(spark, seed)
     assert dict(map(tuple, got.collect())) == one_by_one(nodes, edges, labels)
 
 
+@pytest.mark.parametrize("batch", [40, 10_000])
+def test_batches_give_what_one_edge_after_another_gives(spark, monkeypatch, batch):
+    """Rounds are as many as batches, however long the chain of parts that wait for each other; a case of many labels is kept apart too."""
+    rnd = random.Random(7)
+    edges = [(f"n{rnd.randrange(90):02d}", f"n{rnd.randrange(90):02d}", rnd.randrange(1, 4)) for _ in range(160)] + [(f"p{i:02d}", f"p{i + 1:02d}", 2) for i in range(40)] + [("z1", "z1", 1), ("z2", None, 1)]
+    labels = [(f"n{i:02d}", f"c{rnd.randrange(12)}", str(rnd.randrange(3))) for i in range(90) if rnd.random() < 0.5]
+    labels += [(f"p{i:02d}", "long", str(i // 3)) for i in range(41)] + [("p00", "other", "x"), ("p40", "other", "x")]
+    rounds = []
+    clashes = components._clashes
+    monkeypatch.setattr(components, "_clashes", lambda held: rounds.append(1) or clashes(held))
+    nodes = sorted({x for a, b, _ in edges for x in (a, b) if None not in (a, b)})
+    got = constrained_components(spark.createDataFrame(edges, "a string, b string, rule int"), spark.createDataFrame(labels, "node string, case string, label string"), batch=batch)
+    assert dict(map(tuple, got.collect())) == one_by_one(nodes, edges, labels)
+    assert len(rounds) == 1 if batch > 200 else 3 < len(rounds) < 3 * 200 // batch
+
+
+def test_two_labels_of_a_node_clash_with_both(spark):
+    edges = spark.createDataFrame([("a", "b", 1), ("a", "c", 2), ("a", "d", 3), ("b", "e", 3)], "a string, b string, rule int")
+    labels = spark.createDataFrame([("a", "p", "1"), ("a", "p", "2"), ("b", "p", "1"), ("c", "p", "2"), ("e", "p", "1"), *((f"x{i}", "p", "1") for i in range(20))], "node string, case string, label string")
+    assert dict(map(tuple, constrained_components(edges, labels).collect())) == {"a": "a", "b": "b", "c": "c", "d": "a", "e": "b"}
+
+
 def test_no_edges_and_chain_of_lots(spark):
     none = spark.createDataFrame([], "a string, b string, rule int")
     tags = spark.createDataFrame([("l1", "p", "1"), ("l9", "p", "2")], "node string, case string, label string")
