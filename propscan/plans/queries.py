@@ -72,10 +72,8 @@ def tolerance_pairs(spark, d):
   and abs(a.sqm - b.sqm) <= 0.03 * greatest(a.sqm, b.sqm) and abs(a.price - b.price) <= 0.02 * greatest(a.price, b.price)""")
 def portal_pairs(spark, d):
     """The two-portal rule over all sources."""
-    rows = listings(spark, d)
-    pairs, of = J.tolerance_pairs(rows, "listing_id", ["town"], {"sqm": 0.03, "price": 0.02}), rows.select("listing_id", "source")
-    pairs = pairs.join(of.select(F.col("listing_id").alias("a"), F.col("source").alias("sa")), "a").join(of.select(F.col("listing_id").alias("b"), F.col("source").alias("sb")), "b")
-    return pairs.where("sa <> sb").select("a", "b")
+    rows = written(listings(spark, d).select("listing_id", "source", "town", "sqm", "price"), "listings")
+    return J.tolerance_pairs(rows, "listing_id", ["town"], {"sqm": 0.03, "price": 0.02}, "source")
 
 
 @query(f"""{L}, e as (select a.listing_id as x, b.listing_id as y from l a join l b on lower(trim(a.court)) = lower(trim(b.court)) and a.procedure = b.procedure and a.lot = b.lot)
